@@ -2,10 +2,10 @@
 DataFrame unless its docstring says it needs a batch (the key-based ones run
 inside ``foreachBatch``)."""
 
-from .decode import MODES, annotate, decode_json, decode_utf8, malformed, split_rows
+from .decode import MODES, annotate, decode_json, decode_utf8, decode_with, malformed, split_rows
 from .enrich import enrich, to_processed, with_audit_line, with_defaults, with_engine_tag
 from .lookup import by_customer, by_order_time, by_status, peek
-from .quality import drop_failed, reject_reasons, split_valid, with_reasons
+from .quality import drop_failed, is_valid, reject_reasons, split_valid, with_reasons
 from .upsert import empty_snapshot, latest_per_key, upsert_snapshot
 
 __all__ = [
@@ -16,9 +16,11 @@ __all__ = [
     "by_status",
     "decode_json",
     "decode_utf8",
+    "decode_with",
     "drop_failed",
     "empty_snapshot",
     "enrich",
+    "is_valid",
     "latest_per_key",
     "malformed",
     "peek",

@@ -19,7 +19,7 @@ Modes, one per behaviour found among the reference's pipelines:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -140,6 +140,25 @@ def annotate(
     )
 
 
+def decode_with(
+    df: DataFrame,
+    decoder: Callable[[Column], Column],
+    *,
+    value: str = "value",
+    keep: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """A pluggable decoder: ``decoder`` maps the message text column to a
+    struct column (built from Spark expressions); a NULL result means "no
+    record" and the message is dropped, as a deserializer returning null.
+    Prefer expression-built decoders; a Python UDF here is the slow path."""
+    doc = decoder(F.col(value).cast("string"))
+    out = df.select(*[F.col(c) for c in keep], F.explode(F.array(doc)).alias(_DOC)).filter(F.col(_DOC).isNotNull())
+    if columns is None:
+        return out.select(*[F.col(c) for c in keep], f"{_DOC}.*")
+    return out.select(*[F.col(c) for c in keep], *[F.col(f"{_DOC}.{c}").alias(c) for c in columns])
+
+
 def decode_json(
     df: DataFrame,
     mode: str = "drop_malformed",

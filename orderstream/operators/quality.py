@@ -29,17 +29,29 @@ def reject_reasons(required: Sequence[str] = REQUIRED_COLUMNS) -> Column:
     return F.concat_ws(",", *checks)
 
 
+def is_valid(required: Sequence[str] = REQUIRED_COLUMNS) -> Column:
+    """True when a row satisfies every store constraint; never NULL (the NOT
+    NULL checks come first, so a NULL column makes the conjunction false)."""
+    cond = F.lit(True)
+    for c in required:
+        cond = cond & F.col(c).isNotNull()
+    for c in ("order_id", "customer_id", "product_id"):
+        cond = cond & (F.length(c) <= MAX_ID_LENGTH)
+    cond = cond & (F.length("status") <= MAX_STATUS_LENGTH)
+    return cond & (F.col("quantity") >= 0)
+
+
 def with_reasons(df: DataFrame, column: str = REASONS) -> DataFrame:
     return df.withColumn(column, reject_reasons())
 
 
 def split_valid(df: DataFrame, column: str = REASONS) -> tuple[DataFrame, DataFrame]:
-    """``(valid, rejected)``; ``rejected`` carries the reasons column. Both
-    come from one annotated plan; when both are written, persist the input
-    first (as the batch sinks do) so it is computed once."""
-    annotated = with_reasons(df, column)
-    valid = annotated.filter(F.col(column) == F.lit("")).drop(column)
-    rejected = annotated.filter(F.col(column) != F.lit(""))
+    """``(valid, rejected)``; only ``rejected`` builds the reasons string, the
+    valid side is a plain predicate. When both are written, persist the input
+    first (as the batch jobs do) so it is computed once."""
+    ok = is_valid()
+    valid = df.filter(ok)
+    rejected = df.filter(~ok).withColumn(column, reject_reasons())
     return valid, rejected
 
 

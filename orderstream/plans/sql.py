@@ -47,3 +47,10 @@ def enrich_sql(spark: SparkSession, raw: DataFrame, at: dt.datetime | str | None
 def insert_into(spark: SparkSession, select_sql: str, target: str) -> None:
     """``INSERT INTO target <select>`` against a catalog table (batch)."""
     spark.sql(f"INSERT INTO {target} {select_sql}")
+
+
+def insert_into_keyed(spark: SparkSession, select_sql: str, table, batch_id: int, created_value=None) -> None:
+    """The SQL sink with a declared key: the rows of ``select_sql`` are
+    upserted into ``table`` (a ``KeyedTable``) as batch ``batch_id``; the select
+    must carry the arrival-order column the table orders by."""
+    table.write_batch(spark.sql(select_sql), batch_id, created_value)

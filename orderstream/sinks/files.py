@@ -7,7 +7,7 @@ what its first attempt wrote instead of duplicating it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,15 +35,17 @@ def append_sorted(
     *,
     sort_by: Sequence[str] = ("order_id", "processing_timestamp"),
     partitions: int | None = None,
+    observe: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Append a batch to a table stored in ``sort_by`` order; every version of
     an order is kept. Range partitioning on the sort key gives each output
     file a disjoint key range (tight min/max statistics for lookups); the
-    sort runs per partition, never globally on one task."""
+    sort runs per partition, never globally on one task. ``observe`` attaches
+    metrics above the exchange, so the range sampling pass does not count."""
     n = partitions or batch.sparkSession.conf.get("spark.sql.shuffle.partitions")
     cols = [F.col(c) for c in sort_by]
     out = batch.repartitionByRange(int(n), *cols).sortWithinPartitions(*cols)
-    _write_batch_partition(out, path, batch_id)
+    _write_batch_partition(observe(out) if observe else out, path, batch_id)
 
 
 def write_rejected(rejected: DataFrame, path: str, batch_id: int) -> None:
@@ -69,8 +71,15 @@ class KeyedTable:
         self.columns = list(columns)
         self.order = order
 
-    def write_batch(self, batch: DataFrame, batch_id: int, created_value: Column | None = None) -> None:
+    def write_batch(
+        self,
+        batch: DataFrame,
+        batch_id: int,
+        created_value: Column | None = None,
+        observe: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> None:
         created_value = created_value if created_value is not None else F.col("processing_timestamp")
+        batch = observe(batch) if observe else batch
         order = F.col(self.order).cast("long")
         # One two-phase aggregate: last arrival's columns, first arrival's
         # creation value.

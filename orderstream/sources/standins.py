@@ -110,17 +110,30 @@ def lineitem_faulted_orders(lineitem: DataFrame) -> DataFrame:
         ),
     }
     other = [F.expr(LINEITEM_ORDER_SQL[c]).alias(c) for c in RAW_COLUMNS if c not in cols]
-    return lineitem.select(
+    return spread(lineitem).select(
         (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("offset"),
         *other,
         *[v.alias(k) for k, v in cols.items()],
     ).select("offset", *RAW_COLUMNS)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """At least ``min_partitions`` (default: the cluster's parallelism) input
+    partitions, like a topic source's ``minPartitions``. Only a bounded input
+    read as fewer splits than there are cores is round-robined; a large scan
+    already has far more partitions and is left alone (no shuffle)."""
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def as_topic(orders: DataFrame, topic: str = "orders", message: "F.Column | None" = None) -> DataFrame:
     """Typed orders -> topic records (key = id bytes, value = JSON bytes)."""
     msg = message if message is not None else encode_json()
-    return orders.select(
+    return spread(orders).select(
         encode_key("order_id").alias("key"),
         F.encode(msg, "UTF-8").alias("value"),
         F.lit(topic).alias("topic"),

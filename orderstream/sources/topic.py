@@ -65,15 +65,19 @@ def register_topic(
     split_lines: bool = False,
     keep: tuple[str, ...] = ("offset",),
     decode_options: Mapping[str, object] | None = None,
+    proctime: str | None = None,
 ) -> DataFrame:
     """A decoded order source under a SQL name: the topic's records decoded by
     ``mode`` and registered as a temporary view, queryable with ``spark.sql``.
-    Works for batch and streaming records alike."""
+    Works for batch and streaming records alike. ``proctime`` names an extra
+    processing-time column computed on the source (declared, optional)."""
     df = records
     keep = tuple(keep)
     if split_lines:
         df = split_rows(df)
         keep = (*keep, "line")
     decoded = decode_json(df, mode, keep=keep, **dict(decode_options or {}))
+    if proctime:
+        decoded = decoded.withColumn(proctime, F.localtimestamp())
     decoded.createOrReplaceTempView(name)
     return decoded

@@ -8,10 +8,12 @@ keyed by ``batch_id``, so a replay after failure overwrites, never duplicates.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ..operators.decode import annotate, apply_mode, rejected_by_mode, split_rows
 from ..operators.enrich import enrich
@@ -34,6 +36,7 @@ class OrderBatchJob:
     malformed_path: str | None = None
     opts: PipelineOptions = PipelineOptions()
     created_value: Column | None = None
+    report: Callable[[int, dict], None] | None = None
 
     def outputs(self, batch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
         o = self.opts
@@ -55,16 +58,25 @@ class OrderBatchJob:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         annotated, valid, rejected, bad = self.outputs(batch)
+        obs = Observation(f"orders_{batch_id}") if self.report else None
+
+        def observe(df: DataFrame) -> DataFrame:
+            if obs is None:
+                return df
+            return df.observe(obs, F.count(F.lit(1)).alias("valid_rows"), F.sum("total_price").alias("total_amount"))
+
         try:
             if self.target == "sorted":
-                append_sorted(valid, self.path, batch_id)
+                append_sorted(valid, self.path, batch_id, observe=observe)
             elif self.target == "keyed":
-                KeyedTable(self.path).write_batch(valid, batch_id, self.created_value)
+                KeyedTable(self.path).write_batch(valid, batch_id, self.created_value, observe=observe)
             else:
                 raise ValueError(f"unknown target {self.target!r}")
             if self.rejected_path:
                 write_rejected(rejected, self.rejected_path, batch_id)
             if self.malformed_path:
                 write_rejected(bad, self.malformed_path, batch_id)
+            if obs is not None:
+                self.report(batch_id, dict(obs.get))
         finally:
             annotated.unpersist()

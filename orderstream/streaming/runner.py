@@ -29,10 +29,18 @@ def observe_intake(records: DataFrame, name: str = "intake") -> DataFrame:
     )
 
 
+def _apply_partitions(spark: SparkSession, opts: StreamOptions) -> None:
+    # Shuffle parallelism of the stream's keyed steps. Spark records it in the
+    # checkpoint at first start; later restarts keep the recorded value.
+    if opts.partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(opts.partitions))
+
+
 def start(df: DataFrame, batch_fn: BatchFn, opts: StreamOptions) -> StreamingQuery:
     """Start ``df`` into ``batch_fn`` (``foreachBatch``) with a durable
     checkpoint; the trigger sets the commit cadence."""
     spark = df.sparkSession
+    _apply_partitions(spark, opts)
     checkpoint = opts.checkpoint or scratch_path(spark, f"ckpt-{opts.name or 'stream'}")
     w = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch_fn)
     if opts.name:
@@ -46,6 +54,7 @@ def start(df: DataFrame, batch_fn: BatchFn, opts: StreamOptions) -> StreamingQue
 def start_files(df: DataFrame, path: str, opts: StreamOptions, file_format: str = "parquet", partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Start ``df`` into a file table (exactly-once through the sink's log)."""
     spark = df.sparkSession
+    _apply_partitions(spark, opts)
     checkpoint = opts.checkpoint or scratch_path(spark, f"ckpt-{opts.name or 'stream'}")
     w = df.writeStream.format(file_format).option("checkpointLocation", checkpoint).outputMode("append")
     if opts.name:

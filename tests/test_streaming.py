@@ -76,3 +76,22 @@ def test_materialized_sql_view(spark, tmp_path):
     got = spark.read.parquet(out)
     batch = process(events_topic(read_table(spark, SF, "events")), PipelineOptions(at=AT, keep=()))
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
+
+
+def test_batch_report_and_custom_decoder(spark, tmp_path):
+    from orderstream.operators import decode_with
+    from orderstream.schemas import RAW_ORDER
+
+    seen = {}
+    job = OrderBatchJob(str(tmp_path / "t"), target="sorted", opts=PipelineOptions(at=AT), report=lambda b, m: seen.update({b: m}))
+    topic = events_topic(read_table(spark, SF, "events"))
+    job(topic, 7)
+    assert seen[7]["valid_rows"] == 1000 and seen[7]["total_amount"] is not None
+    dec = decode_with(topic, lambda v: F.from_json(v, RAW_ORDER), keep=("offset",))
+    assert dec.count() == 1000 and "order_id" in dec.columns
+
+
+def test_register_topic_proctime(spark):
+    df = register_topic(spark, "orders_pt", events_topic(read_table(spark, SF, "events")), proctime="proctime")
+    assert "proctime" in df.columns
+    assert spark.sql("SELECT count(*) AS n FROM orders_pt").collect()[0].n == 1000
