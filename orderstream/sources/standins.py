@@ -80,12 +80,12 @@ LINEITEM_FAULTS = {
 def events_orders(events: DataFrame) -> DataFrame:
     """E as typed raw orders plus ``offset`` (= ``event_id``, arrival order)."""
     m = events_order_sql(EVENTS_K_SPARK)
-    return events.select(F.col("event_id").alias("offset"), *[F.expr(m[c]).alias(c) for c in RAW_COLUMNS])
+    return spread(events).select(F.col("event_id").alias("offset"), *[F.expr(m[c]).alias(c) for c in RAW_COLUMNS])
 
 
 def lineitem_orders(lineitem: DataFrame) -> DataFrame:
     """L as typed raw orders plus a deterministic ``offset`` (not unique)."""
-    return lineitem.select(
+    return spread(lineitem).select(
         (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("offset"),
         *[F.expr(LINEITEM_ORDER_SQL[c]).alias(c) for c in RAW_COLUMNS],
     )
@@ -155,7 +155,7 @@ def lineitem_topic(lineitem: DataFrame) -> DataFrame:
 def events_faulted_topic(events: DataFrame) -> DataFrame:
     """E messages with the faults of ``EVENT_FAULTS`` planted by content."""
     f = {k: F.expr(v) for k, v in EVENT_FAULTS.items()}
-    orders = events.select(
+    orders = spread(events).select(
         "event_id", "value", "event_type", F.col("event_id").alias("offset"),
         *[F.expr(v).alias(c) for c, v in events_order_sql(EVENTS_K_SPARK).items()],
     )
