@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from orderstream.functions import round_money  # noqa: E402
+from orderstream.functions.time import ntz_literal  # noqa: E402
 from orderstream.operators import (  # noqa: E402
     by_customer,
     by_order_time,
@@ -234,8 +235,9 @@ def q_latest_per_key(spark, sf):
 
 def q_upsert_snapshot(spark, sf):
     p = _e_processed(spark, sf)
-    first = p.filter(F.col("order_timestamp") < F.lit(HALF).cast("timestamp_ntz"))
-    second = p.filter(F.col("order_timestamp") >= F.lit(HALF).cast("timestamp_ntz"))
+    half = ntz_literal(HALF)
+    first = p.filter(F.col("order_timestamp") < half)
+    second = p.filter(F.col("order_timestamp") >= half)
     created = F.col("order_timestamp")
     snap = upsert_snapshot(empty_snapshot(p), first, created_value=created)
     return upsert_snapshot(snap, second, created_value=created)

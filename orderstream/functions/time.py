@@ -15,9 +15,15 @@ def processing_time(at: dt.datetime | str | None = None) -> Column:
     replays that must be byte-identical)."""
     if at is None:
         return F.localtimestamp()
-    if isinstance(at, str):
-        at = dt.datetime.fromisoformat(at)
-    return F.lit(at.replace(tzinfo=None)).cast("timestamp_ntz")
+    return ntz_literal(at)
+
+
+def ntz_literal(value: dt.datetime | str) -> Column:
+    """A zone-less timestamp literal. Built from text, so neither the Python
+    process zone nor the session zone can shift it."""
+    if isinstance(value, dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    return F.lit(str(value)).cast("timestamp_ntz")
 
 
 def to_millis(c: Column | str) -> Column:

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.time import ntz_literal
 from ..schemas import PROCESSED_COLUMNS
 
 
@@ -25,8 +26,7 @@ def by_customer(df: DataFrame, customer_id: str) -> DataFrame:
 
 def by_order_time(df: DataFrame, lo: dt.datetime | str, hi: dt.datetime | str) -> DataFrame:
     """Half-open range ``lo <= order_timestamp < hi`` (zone-less bounds)."""
-    lo_c = F.lit(lo).cast("timestamp_ntz")
-    hi_c = F.lit(hi).cast("timestamp_ntz")
+    lo_c, hi_c = ntz_literal(lo), ntz_literal(hi)
     return df.filter((F.col("order_timestamp") >= lo_c) & (F.col("order_timestamp") < hi_c))
 
 
