@@ -66,5 +66,7 @@ def upsert_snapshot(
 
 
 def empty_snapshot(batch: DataFrame, *, key: str = KEY, columns: Sequence[str] = UPDATE_COLUMNS, created: str = "created_at") -> DataFrame:
-    """A zero-row snapshot with the shape ``upsert_snapshot`` produces."""
-    return batch.select(F.col(key), *[F.col(c) for c in columns], F.lit(None).cast("timestamp_ntz").alias(created)).limit(0)
+    """A zero-row snapshot with the shape ``upsert_snapshot`` produces (the
+    state of a keyed table before its first batch)."""
+    schema = batch.select(F.col(key), *[F.col(c) for c in columns], F.lit(None).cast("timestamp_ntz").alias(created)).schema
+    return batch.sparkSession.createDataFrame([], schema)
