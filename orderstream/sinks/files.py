@@ -36,6 +36,7 @@ def append_sorted(
     sort_by: Sequence[str] = ("order_id", "processing_timestamp"),
     partitions: int | None = None,
     observe: Callable[[DataFrame], DataFrame] | None = None,
+    tiebreak: Sequence[str] = ("offset", "line"),
 ) -> None:
     """Append a batch to a table stored in ``sort_by`` order; every version of
     an order is kept. Range partitioning on the sort key gives each output
@@ -43,7 +44,11 @@ def append_sorted(
     sort runs per partition, never globally on one task. ``observe`` attaches
     metrics above the exchange, so the range sampling pass does not count."""
     n = partitions or batch.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    cols = [F.col(c) for c in sort_by]
+    # A micro-batch shares one processing stamp, so a hot order id would be a
+    # single unsplittable range; the arrival position breaks the tie, letting
+    # the range partitioner spread it while the declared order still holds.
+    tiebreak = [c for c in tiebreak if c in batch.columns and c not in sort_by]
+    cols = [F.col(c) for c in (*sort_by, *tiebreak)]
     out = batch.repartitionByRange(int(n), *cols).sortWithinPartitions(*cols)
     _write_batch_partition(observe(out) if observe else out, path, batch_id)
 

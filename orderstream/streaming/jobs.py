@@ -42,18 +42,25 @@ class OrderBatchJob:
         o = self.opts
         df = split_rows(batch) if o.split_lines else batch
         keep = (*o.keep, "line") if o.split_lines else tuple(o.keep)
+        # The message text is carried only when undecodable messages are kept.
+        carry = ("value",) if self.malformed_path else ()
         annotated = annotate(
             df,
-            keep=(*keep, "value"),
+            keep=(*keep, *carry),
             fill_missing=o.fill_missing,
             coerce_numbers=o.coerce_numbers,
             ts_format=o.ts_format,
             ts_precision=o.ts_precision,
-        ).persist(StorageLevel.MEMORY_AND_DISK)
-        decoded = apply_mode(annotated, o.mode).drop("value")
+        )
+        if self.rejected_path or self.malformed_path:
+            # Several outputs read the decoded batch: decode it once. The batch
+            # is bounded by the trigger's intake limit; lost blocks are
+            # recomputed from the replayable source.
+            annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
+        decoded = apply_mode(annotated, o.mode).drop(*carry)
         processed = enrich(decoded, rounding=o.rounding, at=o.at, ts_precision=o.ts_precision, null_status=o.null_status, keep=keep)
         valid, rejected = split_valid(processed)
-        bad = rejected_by_mode(annotated, o.mode, keep=keep)
+        bad = rejected_by_mode(annotated, o.mode, keep=keep) if self.malformed_path else None
         return annotated, valid, rejected, bad
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:

@@ -95,3 +95,17 @@ def test_register_topic_proctime(spark):
     df = register_topic(spark, "orders_pt", events_topic(read_table(spark, SF, "events")), proctime="proctime")
     assert "proctime" in df.columns
     assert spark.sql("SELECT count(*) AS n FROM orders_pt").collect()[0].n == 1000
+
+
+def test_sorted_append_splits_a_hot_key(spark, tmp_path):
+    # one order id holds most rows of the batch; the write must not put it in one task
+    from orderstream.sinks import append_sorted
+
+    topic = events_topic(read_table(spark, SF, "events"))
+    df = process(topic, PipelineOptions(at=AT)).withColumn(
+        "order_id", F.when(F.col("offset") % 3 != 0, F.lit("HOT")).otherwise(F.col("order_id"))
+    )
+    out = str(tmp_path / "hot")
+    append_sorted(df, out, 0, partitions=4)
+    per_file = spark.read.parquet(out).select(F.input_file_name().alias("f")).groupBy("f").count().collect()
+    assert len(per_file) >= 3 and max(r["count"] for r in per_file) < 700
