@@ -7,6 +7,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 
+# Fixed value: the reference's intake block, 1,000,000 messages. It also
+# bounds every micro-batch a batch job decodes and persists.
+MAX_PER_BATCH = 1_000_000
+
+
 @dataclass(frozen=True)
 class TopicOptions:
     """Where the order messages come from (SRC-1..5)."""
@@ -15,7 +20,7 @@ class TopicOptions:
     topic: str = "orders"
     group: str | None = None
     starting: str = "latest"
-    max_per_batch: int | None = None
+    max_per_batch: int | None = MAX_PER_BATCH
     min_partitions: int | None = None
     extra: Mapping[str, str] = field(default_factory=dict)
 

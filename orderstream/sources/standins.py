@@ -121,19 +121,27 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """At least ``min_partitions`` (default: the cluster's parallelism) input
     partitions, like a topic source's ``minPartitions``. Only a bounded input
     read as fewer splits than there are cores is round-robined; a large scan
-    already has far more partitions and is left alone (no shuffle)."""
-    if df.isStreaming:
+    already has far more partitions and is left alone (no shuffle).
+
+    Meant for a table scan: a plan that already shuffles is returned as is,
+    because counting its partitions would make adaptive execution run the
+    shuffle stage just to answer."""
+    if df.isStreaming or "Exchange" in df._jdf.queryExecution().sparkPlan().toString():
         return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    # Hash of the row's position in the scan: unique per row, so duplicate
+    # rows cannot pile up in one task, and stable when a task is retried (a
+    # scan re-reads its split in the same order), so no pre-sort is needed as
+    # for a round-robin repartition.
+    return df.repartition(target, F.monotonically_increasing_id())
 
 
 def as_topic(orders: DataFrame, topic: str = "orders", message: "F.Column | None" = None) -> DataFrame:
     """Typed orders -> topic records (key = id bytes, value = JSON bytes)."""
     msg = message if message is not None else encode_json()
-    return spread(orders).select(
+    return orders.select(
         encode_key("order_id").alias("key"),
         F.encode(msg, "UTF-8").alias("value"),
         F.lit(topic).alias("topic"),

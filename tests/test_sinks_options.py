@@ -13,6 +13,7 @@ def test_topic_options_from_env():
     r = o.reader_options()
     assert r["kafka.bootstrap.servers"] == "b:9092" and r["subscribe"] == "orders"
     assert r["startingOffsets"] == "latest" and r["kafka.group.id"] == "g"
+    assert r["maxOffsetsPerTrigger"] == "1000000"  # bounded intake by default
     assert TopicOptions("b", max_per_batch=1_000_000).reader_options()["maxOffsetsPerTrigger"] == "1000000"
     assert o.writer_options()["kafka.acks"] == "all"
     with pytest.raises(KeyError):
