@@ -244,7 +244,7 @@ def q_upsert_snapshot(spark, sf):
 
 
 def _events_stream(spark: SparkSession, sf: str, max_files: int | None = None) -> DataFrame:
-    schema = _events(spark, sf).schema
+    schema = read_table(spark, sf, "events", min_partitions=None).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))

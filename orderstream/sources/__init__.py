@@ -13,7 +13,7 @@ from .standins import (
     lineitem_orders,
     lineitem_topic,
 )
-from .tables import read_processed, read_processed_jdbc, read_table
+from .tables import read_processed, read_processed_jdbc, read_table, spread
 from .topic import read_topic, read_topic_batch, read_topic_files, register_topic, value_only
 
 __all__ = [
@@ -34,5 +34,6 @@ __all__ = [
     "read_topic_batch",
     "read_topic_files",
     "register_topic",
+    "spread",
     "value_only",
 ]
