@@ -62,7 +62,7 @@ from orderstream.sources.standins import (  # noqa: E402
     LINEITEM_ORDER_SQL,
     events_order_sql,
 )
-from orderstream.sources.topic import register_topic  # noqa: E402
+from orderstream.sources.topic import MAX_FILES_PER_TRIGGER, register_topic  # noqa: E402
 from orderstream.streaming import OrderBatchJob, materialize, run, start, start_files  # noqa: E402
 from orderstream.streaming.runner import observe_intake  # noqa: E402
 
@@ -243,12 +243,11 @@ def q_upsert_snapshot(spark, sf):
     return upsert_snapshot(snap, second, created_value=created)
 
 
-def _events_stream(spark: SparkSession, sf: str, max_files: int | None = None) -> DataFrame:
+def _events_stream(spark: SparkSession, sf: str, max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """The events table as a file stream (bounded files per micro-batch)."""
     schema = read_table(spark, sf, "events", min_partitions=None).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.parquet(sf)
+    return reader.option("maxFilesPerTrigger", str(max_files)).parquet(sf)
 
 
 def _once(target: str) -> StreamOptions:

@@ -60,21 +60,33 @@ def write_rejected(rejected: DataFrame, path: str, batch_id: int) -> None:
 
 class KeyedTable:
     """A keyed table where the last arrival wins and ``created_at`` keeps the
-    first arrival's value, stored as an append-only log of reduced batches.
+    first arrival's value, stored as an append-only log of reduced batches on
+    top of an optional compacted base.
 
     * ``write_batch`` reduces the batch to one row per key (map-side first)
       and writes it as partition ``batch_id`` - O(batch) work, idempotent.
-    * ``snapshot`` folds the log: one two-phase aggregate on the key, the
-      latest version by ``(batch_id, order)`` and the earliest ``created_at``.
-    * ``compact`` writes the folded snapshot to a new location (a periodic
-      job), which then serves as the base of a new log.
+    * ``snapshot`` folds base + log: one two-phase aggregate on the key, the
+      latest version by ``(batch_id, order)`` and the earliest ``created_at``;
+      base rows rank before every log row.
+    * ``compact(target)`` writes the folded snapshot as a new base; a new log
+      then continues from it (``KeyedTable(new_log, base=target)``), so reads
+      never fold an unbounded log.
     """
 
-    def __init__(self, path: str, *, key: str = KEY, columns: Sequence[str] = UPDATE_COLUMNS, order: str = "offset"):
+    def __init__(
+        self,
+        path: str,
+        *,
+        key: str = KEY,
+        columns: Sequence[str] = UPDATE_COLUMNS,
+        order: str = "offset",
+        base: str | None = None,
+    ):
         self.path = path.rstrip("/")
         self.key = key
         self.columns = list(columns)
         self.order = order
+        self.base = base
 
     def write_batch(
         self,
@@ -102,9 +114,18 @@ class KeyedTable:
         return spark.read.parquet(self.path)
 
     def snapshot(self, spark: SparkSession) -> DataFrame:
-        return fold_log(self.log(spark), key=self.key, columns=self.columns)
+        log = self.log(spark)
+        if self.base:
+            base = spark.read.parquet(self.base).select(
+                F.col(self.key), *[F.col(c) for c in self.columns], F.col("created_at"),
+                F.lit(None).cast("long").alias("_order"), F.lit(-1).cast("long").alias(BATCH),
+            )
+            log = base.unionByName(log.select(base.columns))
+        return fold_log(log, key=self.key, columns=self.columns)
 
     def compact(self, spark: SparkSession, target: str) -> None:
+        """Write the current snapshot as a new base at ``target`` (a written
+        table in the shared folder; it also cuts the lineage of the fold)."""
         self.snapshot(spark).write.mode("errorifexists").parquet(target)
 
 

@@ -17,6 +17,8 @@ from ..operators.decode import decode_json, split_rows
 from ..options import TopicOptions
 from ..schemas import TOPIC_RECORD
 
+MAX_FILES_PER_TRIGGER = 1000
+
 
 def read_topic(spark: SparkSession, opts: TopicOptions) -> DataFrame:
     """Unbounded topic read. Progress lives in the query checkpoint; the
@@ -36,10 +38,12 @@ def read_topic_files(
     *,
     streaming: bool = True,
     glob: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
     file_format: str = "parquet",
 ) -> DataFrame:
-    """Topic records stored as files (``TOPIC_RECORD`` columns)."""
+    """Topic records stored as files (``TOPIC_RECORD`` columns). A stream
+    takes at most ``max_files_per_trigger`` new files per micro-batch, so a
+    large backlog is worked off in bounded batches."""
     reader = spark.readStream if streaming else spark.read
     reader = reader.format(file_format).schema(TOPIC_RECORD)
     if glob:

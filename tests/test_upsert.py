@@ -72,3 +72,19 @@ def test_keyed_table_log_replay(spark, tmp_path):
     got = {r.order_id: (r.quantity, r.created_at) for r in t.snapshot(spark).collect()}
     assert got == {"a": (3, dt.datetime(2024, 6, 1)), "b": (1, dt.datetime(2024, 6, 2))}
     assert t.log(spark).count() == 3
+
+
+def test_keyed_table_compaction_continues_from_base(spark, tmp_path):
+    t1 = KeyedTable(str(tmp_path / "log1"))
+    t1.write_batch(batch(spark, [row(1, "a", 1, 1), row(2, "b", 1, 1)], at="2024-06-01 00:00:00"), 0)
+    t1.write_batch(batch(spark, [row(3, "a", 2, 1)], at="2024-06-02 00:00:00"), 1)
+    base = str(tmp_path / "base1")
+    t1.compact(spark, base)
+    t2 = KeyedTable(str(tmp_path / "log2"), base=base)
+    t2.write_batch(batch(spark, [row(4, "a", 3, 1), row(5, "c", 9, 1)], at="2024-06-03 00:00:00"), 0)
+    got = {r.order_id: (r.quantity, r.created_at) for r in t2.snapshot(spark).collect()}
+    assert got == {
+        "a": (3, dt.datetime(2024, 6, 1)),
+        "b": (1, dt.datetime(2024, 6, 1)),
+        "c": (9, dt.datetime(2024, 6, 3)),
+    }
