@@ -28,6 +28,8 @@ from orderstream.operators import (  # noqa: E402
     by_order_time,
     by_status,
     decode_json,
+    decode_with,
+    drop_failed,
     empty_snapshot,
     enrich,
     latest_per_key,
@@ -41,8 +43,8 @@ from orderstream.operators import (  # noqa: E402
     with_engine_tag,
 )
 from orderstream.options import StreamOptions  # noqa: E402
-from orderstream.plans import PipelineOptions, enrich_sql, enrich_sql_text, process  # noqa: E402
-from orderstream.schemas import PROCESSED_COLUMNS, RAW_COLUMNS, UPDATE_COLUMNS  # noqa: E402
+from orderstream.plans import PipelineOptions, enrich_sql, enrich_sql_text, insert_into_keyed, process  # noqa: E402
+from orderstream.schemas import PROCESSED_COLUMNS, RAW_COLUMNS, RAW_ORDER  # noqa: E402
 from orderstream.session import scratch_path  # noqa: E402
 from orderstream.sinks import KeyedTable  # noqa: E402
 from orderstream.sources import (  # noqa: E402
@@ -52,8 +54,8 @@ from orderstream.sources import (  # noqa: E402
     events_topic,
     events_two_row_topic,
     lineitem_faulted_orders,
-    lineitem_orders,
     lineitem_topic,
+    read_processed,
     read_table,
 )
 from orderstream.sources.standins import (  # noqa: E402
@@ -289,6 +291,53 @@ def q_materialize(spark, sf):
     return spark.read.parquet(target)
 
 
+def q_drop_failed(spark, sf):
+    return drop_failed(enrich(lineitem_faulted_orders(_lineitem(spark, sf)), at=AT))
+
+
+def q_decode_custom(spark, sf):
+    # A user decoder built from expressions: the JSON object read with the raw
+    # schema; a message that is not an object gives no record.
+    def decoder(text):
+        return F.when(F.json_object_keys(text).isNotNull(), F.from_json(text, RAW_ORDER))
+
+    return decode_with(events_faulted_topic(_events(spark, sf)), decoder, keep=("offset",), columns=RAW_COLUMNS)
+
+
+def q_sql_upsert(spark, sf):
+    target = scratch_path(spark, "sql_upsert")
+    view = "orders_raw_" + target.rsplit("-", 1)[-1]
+    register_topic(spark, view, events_topic(_events(spark, sf)), mode="drop_malformed")
+    select = enrich_sql_text(view, AT).replace("SELECT", "SELECT offset,", 1)
+    table = KeyedTable(target)
+    insert_into_keyed(spark, select, table, 0, created_value=F.col("order_timestamp"))
+    return table.snapshot(spark)
+
+
+def q_keyed_compaction(spark, sf):
+    p = _e_processed(spark, sf)
+    half = ntz_literal(HALF)
+    created = F.col("order_timestamp")
+    first_log = KeyedTable(scratch_path(spark, "keyed_log1"))
+    first_log.write_batch(p.filter(F.col("order_timestamp") < half), 0, created)
+    base = scratch_path(spark, "keyed_base")
+    first_log.compact(spark, base)
+    second_log = KeyedTable(scratch_path(spark, "keyed_log2"), base=base)
+    second_log.write_batch(p.filter(F.col("order_timestamp") >= half), 0, created)
+    return second_log.snapshot(spark)
+
+
+def q_engine_tag_parity(spark, sf):
+    return with_engine_tag(_l_valid(spark, sf), from_status=True)
+
+
+def q_stored_by_status(spark, sf):
+    path = scratch_path(spark, "processed_by_status")
+    _l_valid(spark, sf).write.partitionBy("status").parquet(path)
+    stored = read_processed(spark, path)
+    return by_status(stored, STATUS).select(*PROCESSED_COLUMNS)
+
+
 _QUERIES: dict[str, Query] = {
     "decode_json": q_decode_json,
     "decode_roundtrip": q_decode_roundtrip,
@@ -323,6 +372,12 @@ _QUERIES: dict[str, Query] = {
     "stream_upsert": q_stream_upsert,
     "stream_sorted_append": q_stream_sorted_append,
     "materialize": q_materialize,
+    "drop_failed": q_drop_failed,
+    "decode_custom": q_decode_custom,
+    "sql_upsert": q_sql_upsert,
+    "keyed_compaction": q_keyed_compaction,
+    "engine_tag_parity": q_engine_tag_parity,
+    "stored_by_status": q_stored_by_status,
 }
 
 
@@ -506,6 +561,15 @@ _ORACLE: dict[str, str] = {
     "stream_upsert": _E_LATEST_CREATED.format(rank_desc="offset DESC", rank_asc="offset"),
     "stream_sorted_append": _E_PROCESSED,
     "materialize": _processed_select(_E_RAW, offset=False),
+    "drop_failed": (
+        f"SELECT * FROM ({_processed_select(_L_FAULTED_RAW, offset=False)}) c "
+        "WHERE total_price IS NOT NULL AND order_timestamp IS NOT NULL"
+    ),
+    "decode_custom": _faulted_sql(f"NOT {_DEAD}", _Q_STRICT),
+    "sql_upsert": _E_LATEST_CREATED.format(rank_desc="offset DESC", rank_asc="offset"),
+    "keyed_compaction": _E_LATEST_CREATED.format(rank_desc="half DESC, offset DESC", rank_asc="half, offset"),
+    "engine_tag_parity": f"SELECT *, status AS spark_engine FROM ({_L_VALID}) t",
+    "stored_by_status": f"SELECT * FROM ({_L_VALID}) t WHERE status = 'SHIPPED'",
 }
 
 
