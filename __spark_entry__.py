@@ -308,7 +308,7 @@ def q_sql_upsert(spark, sf):
     target = scratch_path(spark, "sql_upsert")
     view = "orders_raw_" + target.rsplit("-", 1)[-1]
     register_topic(spark, view, events_topic(_events(spark, sf)), mode="drop_malformed")
-    select = enrich_sql_text(view, AT).replace("SELECT", "SELECT offset,", 1)
+    select = enrich_sql_text(view, AT, keep=("offset",))
     table = KeyedTable(target)
     insert_into_keyed(spark, select, table, 0, created_value=F.col("order_timestamp"))
     return table.snapshot(spark)

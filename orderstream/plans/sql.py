@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 ENRICH_SQL = """
-SELECT
+SELECT{keep}
     order_id,
     customer_id,
     product_id,
@@ -33,8 +33,11 @@ def processing_sql(at: dt.datetime | str | None) -> str:
     return f"TIMESTAMP_NTZ '{at}'"
 
 
-def enrich_sql_text(source: str, at: dt.datetime | str | None = None) -> str:
-    return ENRICH_SQL.format(source=source, processing=processing_sql(at))
+def enrich_sql_text(source: str, at: dt.datetime | str | None = None, keep: tuple[str, ...] = ()) -> str:
+    """The enrichment SELECT over ``source``; ``keep`` columns pass through in
+    front (e.g. ``offset`` for a keyed sink)."""
+    head = "".join(f"\n    {c}," for c in keep)
+    return ENRICH_SQL.format(source=source, processing=processing_sql(at), keep=head)
 
 
 def enrich_sql(spark: SparkSession, raw: DataFrame, at: dt.datetime | str | None = None, view: str | None = None) -> DataFrame:
