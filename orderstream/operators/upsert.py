@@ -36,27 +36,29 @@ def upsert_snapshot(
     *,
     key: str = KEY,
     columns: Sequence[str] = UPDATE_COLUMNS,
-    order: str = "offset",
+    order: str | Sequence[str] = "offset",
     created: str = "created_at",
     created_value: Column | None = None,
 ) -> DataFrame:
     """Apply ``batch`` to ``current`` as keyed upserts.
 
     For each key the result carries the last arrival's ``columns`` (batch rows
-    after current rows, within the batch by ``order``), and ``created`` from
-    the first arrival: an existing row keeps its value; a new key takes
-    ``created_value`` of its earliest batch row (default: its processing time).
-    Replaying the same batch gives the same table.
+    after current rows, within the batch by ``order``, a total arrival order
+    such as ``(offset, line)``), and ``created`` from the first arrival: an
+    existing row keeps its value; a new key takes ``created_value`` of its
+    earliest batch row (default: its processing time). Replaying the same
+    batch gives the same table.
     """
     cols = list(columns)
     created_value = created_value if created_value is not None else F.col("processing_timestamp")
+    arrival = F.struct(*[F.col(c) for c in _as_list(order)])
     cur = current.select(
         F.col(key), *[F.col(c) for c in cols], F.col(created),
-        F.struct(F.lit(0).alias("src"), F.lit(None).cast("long").alias("ord")).alias("_rank"),
+        F.struct(F.lit(0).alias("src"), F.lit(None).cast(batch.select(arrival.alias("a")).schema["a"].dataType).alias("ord")).alias("_rank"),
     )
     new = batch.select(
         F.col(key), *[F.col(c) for c in cols], created_value.alias(created),
-        F.struct(F.lit(1).alias("src"), F.col(order).cast("long").alias("ord")).alias("_rank"),
+        F.struct(F.lit(1).alias("src"), arrival.alias("ord")).alias("_rank"),
     )
     merged = cur.unionByName(new).groupBy(key).agg(
         F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("_rank")).alias("_last"),

@@ -79,13 +79,15 @@ class KeyedTable:
         *,
         key: str = KEY,
         columns: Sequence[str] = UPDATE_COLUMNS,
-        order: str = "offset",
+        order: str | Sequence[str] = "offset",
         base: str | None = None,
     ):
         self.path = path.rstrip("/")
         self.key = key
         self.columns = list(columns)
-        self.order = order
+        # A total arrival order within a key, e.g. ``(offset, line)`` when one
+        # message carries several rows.
+        self.order = [order] if isinstance(order, str) else list(order)
         self.base = base
 
     def write_batch(
@@ -97,7 +99,7 @@ class KeyedTable:
     ) -> None:
         created_value = created_value if created_value is not None else F.col("processing_timestamp")
         batch = observe(batch) if observe else batch
-        order = F.col(self.order).cast("long")
+        order = F.struct(*[F.col(c) for c in self.order])
         # One two-phase aggregate: last arrival's columns, first arrival's
         # creation value.
         out = (
@@ -118,8 +120,9 @@ class KeyedTable:
         if self.base:
             base = spark.read.parquet(self.base).select(
                 F.col(self.key), *[F.col(c) for c in self.columns], F.col("created_at"),
-                F.lit(None).cast("long").alias("_order"), F.lit(-1).cast("long").alias(BATCH),
+                F.lit(-1).cast("long").alias(BATCH),
             )
+            base = base.withColumn("_order", F.lit(None).cast(log.schema["_order"].dataType))
             log = base.unionByName(log.select(base.columns))
         return fold_log(log, key=self.key, columns=self.columns)
 

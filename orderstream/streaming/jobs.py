@@ -76,7 +76,8 @@ class OrderBatchJob:
             if self.target == "sorted":
                 append_sorted(valid, self.path, batch_id, observe=observe)
             elif self.target == "keyed":
-                KeyedTable(self.path).write_batch(valid, batch_id, self.created_value, observe=observe)
+                order = (*self.opts.keep, "line") if self.opts.split_lines else tuple(self.opts.keep)
+                KeyedTable(self.path, order=order).write_batch(valid, batch_id, self.created_value, observe=observe)
             else:
                 raise ValueError(f"unknown target {self.target!r}")
             if self.rejected_path:

@@ -88,3 +88,25 @@ def test_keyed_table_compaction_continues_from_base(spark, tmp_path):
         "b": (1, dt.datetime(2024, 6, 1)),
         "c": (9, dt.datetime(2024, 6, 3)),
     }
+
+
+def test_same_key_twice_in_one_message_last_line_wins(spark, tmp_path, messages):
+    from orderstream.plans import PipelineOptions
+    from orderstream.streaming import OrderBatchJob
+
+    a1 = '{"order_id":"a","customer_id":"c","product_id":"p","quantity":1,"price":1,"order_timestamp":"2024-01-01T00:00:00","status":"x"}'
+    a2 = a1.replace('"quantity":1', '"quantity":2')
+    topic = messages([a1 + "\n" + a2, a2 + "\n" + a1])
+    job = OrderBatchJob(str(tmp_path / "k"), target="keyed", opts=PipelineOptions(at=AT, split_lines=True))
+    job(topic.filter("offset = 0"), 0)
+    assert KeyedTable(str(tmp_path / "k")).snapshot(spark).collect()[0].quantity == 2
+    job(topic, 1)  # message 1: a2 then a1, so a1 (quantity 1) arrives last
+    assert KeyedTable(str(tmp_path / "k")).snapshot(spark).collect()[0].quantity == 1
+    b = enrich(
+        spark.createDataFrame([(0, 0, "a", "c", "p", 1, Decimal("1"), dt.datetime(2024, 1, 1), "x"),
+                               (0, 1, "a", "c", "p", 2, Decimal("1"), dt.datetime(2024, 1, 1), "x")],
+                              "offset long, line int, " + RAW.split(", ", 1)[1]),
+        at=AT, keep=("offset", "line"),
+    )
+    got = upsert_snapshot(empty_snapshot(b), b, order=("offset", "line")).collect()
+    assert [r.quantity for r in got] == [2]
