@@ -11,15 +11,19 @@ def upper_status(c: Column | str = "status") -> Column:
     return F.upper(F.col(c) if isinstance(c, str) else c)
 
 
+# Fixed value: the audit line's wording.
+AUDIT_PARTS = ("Processing: ", " | Status: ", " | Total: $")
+
+
 def audit_line(order_id: str = "order_id", status: str = "status", total: str = "total_price") -> Column:
-    """``Processing: <id> | Status: <s> | Total: $<t>`` as a column (the
-    reference prints it per record; here it is data, written or observed)."""
+    """``Processing: <id> | Status: <s> | Total: $<t>`` as a column (printed
+    per record by the original jobs; here it is data, written or observed)."""
     return F.concat(
-        F.lit("Processing: "),
+        F.lit(AUDIT_PARTS[0]),
         F.col(order_id),
-        F.lit(" | Status: "),
+        F.lit(AUDIT_PARTS[1]),
         F.col(status),
-        F.lit(" | Total: $"),
+        F.lit(AUDIT_PARTS[2]),
         F.col(total).cast("string"),
     )
 

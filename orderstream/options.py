@@ -26,6 +26,7 @@ class TopicOptions:
 
     @classmethod
     def from_env(cls, env: Mapping[str, str], group: str | None = None) -> "TopicOptions":
+        # The setting names the jobs are configured with.
         if "KAFKA_BOOTSTRAP_SERVERS" not in env:
             raise KeyError("KAFKA_BOOTSTRAP_SERVERS is required")
         return cls(
@@ -77,6 +78,7 @@ class JdbcOptions:
 
     @classmethod
     def from_env(cls, env: Mapping[str, str], table: str = "processed_orders") -> "JdbcOptions":
+        # The setting names the jobs are configured with.
         missing = [k for k in ("POSTGRES_URL", "POSTGRES_USER", "POSTGRES_PASSWORD") if k not in env]
         if missing:
             raise KeyError(f"missing settings: {', '.join(missing)}")

@@ -20,7 +20,7 @@ from ..operators.upsert import latest_per_key
 from ..options import JdbcOptions
 from ..schemas import KEY, PROCESSED_COLUMNS, UPDATE_COLUMNS
 
-DIALECTS = ("postgres", "merge")
+DIALECTS = ("on_conflict", "merge")
 
 
 def append_jdbc(batch: DataFrame, opts: JdbcOptions, table: str | None = None) -> None:
@@ -35,12 +35,12 @@ def upsert_statement(
     key: str = KEY,
     columns: Sequence[str] = PROCESSED_COLUMNS,
     update: Sequence[str] = UPDATE_COLUMNS,
-    dialect: str = "postgres",
+    dialect: str = "on_conflict",
 ) -> str:
     """One set-based upsert from ``stage`` into ``target``. Columns not in
     ``update`` (e.g. ``created_at``) keep their first value."""
     cols = ", ".join(columns)
-    if dialect == "postgres":
+    if dialect == "on_conflict":
         sets = ", ".join(f"{c} = EXCLUDED.{c}" for c in update)
         return f"INSERT INTO {target} ({cols}) SELECT {cols} FROM {stage} ON CONFLICT ({key}) DO UPDATE SET {sets}"
     if dialect == "merge":
@@ -79,7 +79,7 @@ def execute_statement(batch: DataFrame, opts: JdbcOptions, sql: str) -> None:
         conn.close()
 
 
-def upsert_jdbc(batch: DataFrame, opts: JdbcOptions, batch_id: int, *, order: str = "offset", dialect: str = "postgres") -> None:
+def upsert_jdbc(batch: DataFrame, opts: JdbcOptions, batch_id: int, *, order: str = "offset", dialect: str = "on_conflict") -> None:
     """Keyed upsert of one micro-batch (SNK-2): latest per key, stage, merge."""
     stage = f"{opts.table}_stage_{int(batch_id)}"
     reduced = latest_per_key(batch, KEY, order).select(*PROCESSED_COLUMNS)
