@@ -70,6 +70,11 @@ def execute_statement(batch: DataFrame, opts: JdbcOptions, sql: str) -> None:
     """Run one statement in the database from the driver (through the JVM's
     JDBC driver manager); the data itself never passes through the driver."""
     jvm = batch.sparkSession.sparkContext._jvm
+    if opts.driver:
+        # A driver added with spark.jars is visible to the context class loader
+        # only; loading it registers it with the driver manager.
+        loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        jvm.java.lang.Class.forName(opts.driver, True, loader)
     conn = jvm.java.sql.DriverManager.getConnection(opts.url, opts.user, opts.password)
     try:
         stmt = conn.createStatement()
@@ -79,8 +84,17 @@ def execute_statement(batch: DataFrame, opts: JdbcOptions, sql: str) -> None:
         conn.close()
 
 
-def upsert_jdbc(batch: DataFrame, opts: JdbcOptions, batch_id: int, *, order: str = "offset", dialect: str = "on_conflict") -> None:
-    """Keyed upsert of one micro-batch (SNK-2): latest per key, stage, merge."""
+def upsert_jdbc(
+    batch: DataFrame,
+    opts: JdbcOptions,
+    batch_id: int,
+    *,
+    order: str | Sequence[str] = "offset",
+    dialect: str = "on_conflict",
+) -> None:
+    """Keyed upsert of one micro-batch (SNK-2): latest per key (one statement
+    may not see a key twice), parallel write to a stage table, one set-based
+    statement, stage dropped. Rerunning the whole step is safe."""
     stage = f"{opts.table}_stage_{int(batch_id)}"
     reduced = latest_per_key(batch, KEY, order).select(*PROCESSED_COLUMNS)
 
