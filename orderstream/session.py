@@ -38,18 +38,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     the setting is an error, since a machine-local folder would not survive the
     loss of that machine.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote client session: only the configuration is visible
+        sc = None
+    root = (sc.getCheckpointDir() if sc else None) or spark.conf.get(CHECKPOINT_CONF, None)
     if root:
-        if not sc.getCheckpointDir():
+        if sc and not sc.getCheckpointDir():
             sc.setCheckpointDir(root)
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    master = sc.master if sc else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder the executors can reach")
     root = tempfile.mkdtemp(prefix="orderstream-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, root)
-    sc.setCheckpointDir(root)
-    return sc.getCheckpointDir().rstrip("/") if sc.getCheckpointDir() else root
+    if sc:
+        sc.setCheckpointDir(root)
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

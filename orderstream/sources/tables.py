@@ -27,8 +27,12 @@ def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
     duplicate rows cannot pile up in one task, and stable when a task is
     retried (a scan re-reads its split in the same order), so no pre-sort is
     needed as for a round-robin repartition."""
-    target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
+        splits = scan.rdd.getNumPartitions()
+    except Exception:  # a session without an RDD view (remote client): read as is
+        return scan
+    if splits >= target:
         return scan
     return scan.repartition(target, F.monotonically_increasing_id())
 
