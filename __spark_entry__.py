@@ -44,12 +44,13 @@ from orderstream.operators import (  # noqa: E402
 )
 from orderstream.options import StreamOptions  # noqa: E402
 from orderstream.plans import PipelineOptions, enrich_sql, enrich_sql_text, insert_into_keyed, process  # noqa: E402
-from orderstream.schemas import PROCESSED_COLUMNS, RAW_COLUMNS, RAW_ORDER  # noqa: E402
+from orderstream.schemas import PROCESSED_COLUMNS, RAW_COLUMNS  # noqa: E402
 from orderstream.session import scratch_path  # noqa: E402
 from orderstream.sinks import KeyedTable  # noqa: E402
 from orderstream.sources import (  # noqa: E402
     EVENT_FAULTS,
     LINEITEM_FAULTS,
+    events_csv_topic,
     events_faulted_topic,
     events_topic,
     events_two_row_topic,
@@ -60,6 +61,7 @@ from orderstream.sources import (  # noqa: E402
 )
 from orderstream.sources.standins import (  # noqa: E402
     EVENTS_K_DUCKDB,
+    csv_decoder,
     LINEITEM_FAULT_PRICE,
     LINEITEM_ORDER_SQL,
     events_order_sql,
@@ -296,12 +298,9 @@ def q_drop_failed(spark, sf):
 
 
 def q_decode_custom(spark, sf):
-    # A user decoder built from expressions: the JSON object read with the raw
-    # schema; a message that is not an object gives no record.
-    def decoder(text):
-        return F.when(F.json_object_keys(text).isNotNull(), F.from_json(text, RAW_ORDER))
-
-    return decode_with(events_faulted_topic(_events(spark, sf)), decoder, keep=("offset",), columns=RAW_COLUMNS)
+    # The pluggable decoder hook with another wire format: orders as CSV lines,
+    # decoded with one ``from_csv`` per message.
+    return decode_with(events_csv_topic(_events(spark, sf)), csv_decoder(), keep=("offset",), columns=RAW_COLUMNS)
 
 
 def q_sql_upsert(spark, sf):
@@ -565,7 +564,7 @@ _ORACLE: dict[str, str] = {
         f"SELECT * FROM ({_processed_select(_L_FAULTED_RAW, offset=False)}) c "
         "WHERE total_price IS NOT NULL AND order_timestamp IS NOT NULL"
     ),
-    "decode_custom": _faulted_sql(f"NOT {_DEAD}", _Q_STRICT),
+    "decode_custom": _E_RAW,
     "sql_upsert": _E_LATEST_CREATED.format(rank_desc="offset DESC", rank_asc="offset"),
     "keyed_compaction": _E_LATEST_CREATED.format(rank_desc="half DESC, offset DESC", rank_asc="half, offset"),
     "engine_tag_parity": f"SELECT *, status AS spark_engine FROM ({_L_VALID}) t",

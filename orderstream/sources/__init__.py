@@ -5,6 +5,7 @@ from .standins import (
     EVENT_FAULTS,
     LINEITEM_FAULTS,
     as_topic,
+    events_csv_topic,
     events_faulted_topic,
     events_orders,
     events_topic,
@@ -20,6 +21,7 @@ __all__ = [
     "EVENT_FAULTS",
     "LINEITEM_FAULTS",
     "as_topic",
+    "events_csv_topic",
     "events_faulted_topic",
     "events_orders",
     "events_topic",

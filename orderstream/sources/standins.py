@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codec import ISO_MICROS, encode_json
 from ..functions.text import encode_key
-from ..schemas import RAW_COLUMNS
+from ..schemas import RAW_COLUMNS, RAW_ORDER
 
 # Spark spelling of the payload field; DuckDB uses json_extract_string.
 EVENTS_K_SPARK = "try_cast(get_json_object(props, '$.k') AS INT)"
@@ -164,6 +164,18 @@ def events_faulted_topic(events: DataFrame) -> DataFrame:
     return as_topic(orders.withColumn("_js", js), message=msg)
 
 
+def events_csv_topic(events: DataFrame) -> DataFrame:
+    """E messages as CSV lines (a second wire format for a custom decoder)."""
+    line = F.to_csv(F.struct(*[F.col(c) for c in RAW_COLUMNS]), {"timestampNTZFormat": ISO_MICROS})
+    return as_topic(events_orders(events), message=line)
+
+
+def csv_decoder():
+    """A decoder for ``events_csv_topic`` messages (for ``decode_with``)."""
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_ORDER.fields)
+    return lambda text: F.from_csv(text, ddl, {"timestampNTZFormat": ISO_MICROS})
+
+
 def events_two_row_topic(events: DataFrame) -> DataFrame:
     """E messages each carrying two newline-delimited orders: the order and a
     twin whose id ends in ``-B``."""
