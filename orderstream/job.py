@@ -16,10 +16,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators.enrich import with_engine_tag
+from .operators.quality import split_valid
 from .operators.upsert import latest_per_key
 from .options import JdbcOptions, StreamOptions, TopicOptions
 from .plans.enrichment import PipelineOptions, process
-from .operators.quality import split_valid
 from .session import scratch_path
 from .sinks.jdbc import append_jdbc, upsert_jdbc
 from .sources.topic import read_topic, read_topic_files
@@ -43,8 +44,14 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p.add_argument("--jdbc-table", default="processed_orders")
     p.add_argument("--mode", choices=("drop_malformed", "null_fields", "permissive"), default="drop_malformed")
     p.add_argument("--split-lines", action="store_true", help="several newline-delimited orders per message")
-    p.add_argument("--rounding", default="exact")
+    p.add_argument("--rounding", choices=("exact", "half_up", "half_even", "scaled"), default="exact")
     p.add_argument("--ts-precision", choices=("us", "ms"), default="us")
+    p.add_argument("--ts-format", choices=("iso", "micros"), default="iso")
+    p.add_argument("--coerce-numbers", action="store_true", help='accept "3" and 2.7 as quantities')
+    p.add_argument("--no-fill-missing", action="store_true", help="absent quantity/price stay NULL (else 0)")
+    p.add_argument("--null-status", choices=("keep", "drop"), default="keep")
+    p.add_argument("--engine-tag", help="add a spark_engine column with this value")
+    p.add_argument("--engine-tag-from-status", action="store_true", help="spark_engine copies the status")
     p.add_argument("--trigger", default="10 seconds")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--checkpoint")
@@ -69,16 +76,28 @@ def _records(spark: SparkSession, a: argparse.Namespace, env: Mapping[str, str])
     return read_topic(spark, opts)
 
 
+def _tag(a: argparse.Namespace):
+    if a.engine_tag_from_status:
+        return lambda df: with_engine_tag(df, from_status=True)
+    if a.engine_tag:
+        return lambda df: with_engine_tag(df, a.engine_tag)
+    return None
+
+
 def _batch_fn(a: argparse.Namespace, env: Mapping[str, str], opts: PipelineOptions):
+    tag = _tag(a)
     if a.target in ("keyed", "sorted"):
         if not a.target_path:
             raise SystemExit("--target-path is required for file targets")
-        return OrderBatchJob(a.target_path, target=a.target, rejected_path=a.rejected_path, malformed_path=a.malformed_path, opts=opts)
+        return OrderBatchJob(
+            a.target_path, target=a.target, rejected_path=a.rejected_path, malformed_path=a.malformed_path, opts=opts, tag=tag
+        )
     jdbc = JdbcOptions.from_env(env, table=a.jdbc_table)
     order = (*opts.keep, "line") if opts.split_lines else tuple(opts.keep)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         valid, _ = split_valid(process(batch, opts))
+        valid = tag(valid) if tag else valid
         if a.target == "jdbc_append":
             # Appending into a keyed table fails on a repeated key: one row per key.
             append_jdbc(latest_per_key(valid, order=order).drop(*order), jdbc)
@@ -88,13 +107,26 @@ def _batch_fn(a: argparse.Namespace, env: Mapping[str, str], opts: PipelineOptio
     return write
 
 
+def options_from_args(a: argparse.Namespace) -> PipelineOptions:
+    return PipelineOptions(
+        mode=a.mode,
+        split_lines=a.split_lines,
+        fill_missing=None if a.no_fill_missing else {"quantity": 0, "price": 0},
+        coerce_numbers=a.coerce_numbers,
+        ts_format=a.ts_format,
+        ts_precision=a.ts_precision,
+        rounding=a.rounding,
+        null_status=a.null_status,
+    )
+
+
 def main(argv: Sequence[str] | None = None, env: Mapping[str, str] | None = None, spark: SparkSession | None = None):
     import os
 
     a = parse_args(argv)
     env = os.environ if env is None else env
     spark = spark or SparkSession.builder.appName(a.name).getOrCreate()
-    opts = PipelineOptions(mode=a.mode, split_lines=a.split_lines, rounding=a.rounding, ts_precision=a.ts_precision)
+    opts = options_from_args(a)
     records = observe_intake(_records(spark, a, env))
     stream = StreamOptions(
         name=a.name,

@@ -19,6 +19,7 @@ from ..operators.decode import annotate, apply_mode, rejected_by_mode, split_row
 from ..operators.enrich import enrich
 from ..operators.quality import split_valid
 from ..plans.enrichment import PipelineOptions
+from ..schemas import PROCESSED_COLUMNS, UPDATE_COLUMNS
 from ..sinks.files import KeyedTable, append_sorted, write_rejected
 
 
@@ -37,6 +38,7 @@ class OrderBatchJob:
     opts: PipelineOptions = PipelineOptions()
     created_value: Column | None = None
     report: Callable[[int, dict], None] | None = None
+    tag: Callable[[DataFrame], DataFrame] | None = None
 
     def outputs(self, batch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
         o = self.opts
@@ -60,6 +62,8 @@ class OrderBatchJob:
         decoded = apply_mode(annotated, o.mode).drop(*carry)
         processed = enrich(decoded, rounding=o.rounding, at=o.at, ts_precision=o.ts_precision, null_status=o.null_status, keep=keep)
         valid, rejected = split_valid(processed)
+        if self.tag:
+            valid = self.tag(valid)
         bad = rejected_by_mode(annotated, o.mode, keep=keep) if self.malformed_path else None
         return annotated, valid, rejected, bad
 
@@ -77,7 +81,9 @@ class OrderBatchJob:
                 append_sorted(valid, self.path, batch_id, observe=observe)
             elif self.target == "keyed":
                 order = (*self.opts.keep, "line") if self.opts.split_lines else tuple(self.opts.keep)
-                KeyedTable(self.path, order=order).write_batch(valid, batch_id, self.created_value, observe=observe)
+                extra = [c for c in valid.columns if c not in (*PROCESSED_COLUMNS, *order)]
+                table = KeyedTable(self.path, order=order, columns=(*UPDATE_COLUMNS, *extra))
+                table.write_batch(valid, batch_id, self.created_value, observe=observe)
             else:
                 raise ValueError(f"unknown target {self.target!r}")
             if self.rejected_path:

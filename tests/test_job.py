@@ -34,3 +34,20 @@ def test_job_settings_need_broker_and_credentials(spark):
     with pytest.raises(KeyError):  # no broker address
         _records(spark, a, {})
     assert callable(_batch_fn(a, {"POSTGRES_URL": "jdbc:x", "POSTGRES_USER": "u", "POSTGRES_PASSWORD": "p"}, PipelineOptions()))
+
+
+def test_job_flags_reach_the_plan(spark, tmp_path):
+    from orderstream.job import options_from_args
+
+    o = options_from_args(parse_args(["--mode", "null_fields", "--coerce-numbers", "--ts-format", "micros",
+                                      "--no-fill-missing", "--null-status", "drop", "--rounding", "scaled"]))
+    assert (o.mode, o.coerce_numbers, o.ts_format, o.fill_missing, o.null_status, o.rounding) == (
+        "null_fields", True, "micros", None, "drop", "scaled")
+    src = str(tmp_path / "topic")
+    events_topic(read_table(spark, SF, "events")).write.parquet(src)
+    out = str(tmp_path / "keyed")
+    main(["--source", "files", "--topic-path", src, "--target", "keyed", "--target-path", out, "--engine-tag-from-status",
+          "--available-now", "--checkpoint", str(tmp_path / "ck"), "--name", "job_tag"], env={}, spark=spark)
+    snap = KeyedTable(out, columns=("customer_id", "product_id", "quantity", "price", "total_price", "order_timestamp",
+                                    "processing_timestamp", "status", "spark_engine")).snapshot(spark)
+    assert snap.filter("spark_engine = status").count() == snap.count() > 0
