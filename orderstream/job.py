@@ -17,10 +17,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators.enrich import with_engine_tag
-from .operators.quality import split_valid
 from .operators.upsert import latest_per_key
 from .options import JdbcOptions, StreamOptions, TopicOptions
-from .plans.enrichment import PipelineOptions, process
+from .plans.enrichment import PipelineOptions
 from .session import scratch_path
 from .sinks.jdbc import append_jdbc, upsert_jdbc
 from .sources.topic import read_topic, read_topic_files
@@ -86,25 +85,22 @@ def _tag(a: argparse.Namespace):
 
 def _batch_fn(a: argparse.Namespace, env: Mapping[str, str], opts: PipelineOptions):
     tag = _tag(a)
+    dead_letters = dict(rejected_path=a.rejected_path, malformed_path=a.malformed_path, opts=opts, tag=tag)
     if a.target in ("keyed", "sorted"):
         if not a.target_path:
             raise SystemExit("--target-path is required for file targets")
-        return OrderBatchJob(
-            a.target_path, target=a.target, rejected_path=a.rejected_path, malformed_path=a.malformed_path, opts=opts, tag=tag
-        )
+        return OrderBatchJob(a.target_path, target=a.target, **dead_letters)
     jdbc = JdbcOptions.from_env(env, table=a.jdbc_table)
     order = (*opts.keep, "line") if opts.split_lines else tuple(opts.keep)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        valid, _ = split_valid(process(batch, opts))
-        valid = tag(valid) if tag else valid
+    def write(valid: DataFrame, batch_id: int) -> None:
         if a.target == "jdbc_append":
             # Appending into a keyed table fails on a repeated key: one row per key.
             append_jdbc(latest_per_key(valid, order=order).drop(*order), jdbc)
         else:
             upsert_jdbc(valid, jdbc, batch_id, order=order)
 
-    return write
+    return OrderBatchJob(target=write, **dead_letters)
 
 
 def options_from_args(a: argparse.Namespace) -> PipelineOptions:

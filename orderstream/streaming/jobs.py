@@ -27,12 +27,13 @@ from ..sinks.files import KeyedTable, append_sorted, write_rejected
 class OrderBatchJob:
     """Decode, enrich, check and write one micro-batch.
 
-    ``target`` is ``"sorted"`` (append-only table sorted by order id and
-    processing time, every version kept) or ``"keyed"`` (last arrival wins,
-    ``created_at`` from the first)."""
+    ``target`` is ``"sorted"`` (append-only table at ``path``, sorted by order
+    id and processing time, every version kept), ``"keyed"`` (last arrival
+    wins, ``created_at`` from the first) or any ``(valid, batch_id)`` writer,
+    e.g. a JDBC upsert."""
 
-    path: str
-    target: str = "sorted"
+    path: str | None = None
+    target: str | Callable[[DataFrame, int], None] = "sorted"
     rejected_path: str | None = None
     malformed_path: str | None = None
     opts: PipelineOptions = PipelineOptions()
@@ -77,7 +78,9 @@ class OrderBatchJob:
             return df.observe(obs, F.count(F.lit(1)).alias("valid_rows"), F.sum("total_price").alias("total_amount"))
 
         try:
-            if self.target == "sorted":
+            if callable(self.target):
+                self.target(observe(valid), batch_id)
+            elif self.target == "sorted":
                 append_sorted(valid, self.path, batch_id, observe=observe)
             elif self.target == "keyed":
                 order = (*self.opts.keep, "line") if self.opts.split_lines else tuple(self.opts.keep)

@@ -51,3 +51,17 @@ def test_job_flags_reach_the_plan(spark, tmp_path):
     snap = KeyedTable(out, columns=("customer_id", "product_id", "quantity", "price", "total_price", "order_timestamp",
                                     "processing_timestamp", "status", "spark_engine")).snapshot(spark)
     assert snap.filter("spark_engine = status").count() == snap.count() > 0
+
+
+def test_custom_writer_gets_valid_rows_and_dead_letters_are_kept(spark, tmp_path):
+    from orderstream.plans import PipelineOptions
+    from orderstream.sources import events_faulted_topic
+    from orderstream.streaming import OrderBatchJob
+
+    seen = []
+    job = OrderBatchJob(target=lambda df, b: seen.append((b, df.count())), opts=PipelineOptions(),
+                        rejected_path=str(tmp_path / "rej"), malformed_path=str(tmp_path / "bad"))
+    job(events_faulted_topic(read_table(spark, SF, "events")), 3)
+    rej = spark.read.parquet(str(tmp_path / "rej")).count()
+    bad = spark.read.parquet(str(tmp_path / "bad")).count()
+    assert seen[0][0] == 3 and seen[0][1] + rej + bad == 1000
