@@ -21,7 +21,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int
 
 
 def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a bare table scan over at least ``min_partitions`` tasks.
+    """Spread a bare scan (a table, or a micro-batch of a file or topic
+    source) over at least ``min_partitions`` tasks.
 
     The scan is hashed on each row's position in it: unique per row, so
     duplicate rows cannot pile up in one task, and stable when a task is

@@ -21,6 +21,7 @@ from ..operators.quality import split_valid
 from ..plans.enrichment import PipelineOptions
 from ..schemas import PROCESSED_COLUMNS, UPDATE_COLUMNS
 from ..sinks.files import KeyedTable, append_sorted, write_rejected
+from ..sources.tables import spread
 
 
 @dataclass
@@ -40,9 +41,15 @@ class OrderBatchJob:
     created_value: Column | None = None
     report: Callable[[int, dict], None] | None = None
     tag: Callable[[DataFrame], DataFrame] | None = None
+    # Like a topic source's ``minPartitions``: a micro-batch that arrives in
+    # fewer partitions than cores is spread first (0 = the cluster's
+    # parallelism, None = never). A batch from a busy source is left alone.
+    min_partitions: int | None = 0
 
     def outputs(self, batch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
         o = self.opts
+        if self.min_partitions is not None:
+            batch = spread(batch, self.min_partitions or None)
         df = split_rows(batch) if o.split_lines else batch
         keep = (*o.keep, "line") if o.split_lines else tuple(o.keep)
         # The message text is carried only when undecodable messages are kept.
@@ -55,10 +62,11 @@ class OrderBatchJob:
             ts_format=o.ts_format,
             ts_precision=o.ts_precision,
         )
-        if self.rejected_path or self.malformed_path:
-            # Several outputs read the decoded batch: decode it once. The batch
-            # is bounded by the trigger's intake limit; lost blocks are
-            # recomputed from the replayable source.
+        # Decode once when more than one job reads the decoded batch: dead
+        # letters, or the sorted sink (its range partitioning samples the
+        # batch in a job of its own). The batch is bounded by the trigger's
+        # intake limit; lost blocks are recomputed from the replayable source.
+        if self.rejected_path or self.malformed_path or self.target == "sorted":
             annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
         decoded = apply_mode(annotated, o.mode).drop(*carry)
         processed = enrich(decoded, rounding=o.rounding, at=o.at, ts_precision=o.ts_precision, null_status=o.null_status, keep=keep)
