@@ -12,6 +12,7 @@ given.
 from __future__ import annotations
 
 import argparse
+import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,12 @@ from .streaming.jobs import OrderBatchJob
 from .streaming.runner import observe_intake, run, start
 
 TARGETS = ("keyed", "sorted", "jdbc_append", "jdbc_upsert")
+log = logging.getLogger("orderstream.job")
+
+
+def log_batch(batch_id: int, metrics: dict) -> None:
+    """Report each written batch (from metrics observed during the write)."""
+    log.info("batch %s written: %s valid rows, total %s", batch_id, metrics.get("valid_rows"), metrics.get("total_amount"))
 
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -85,7 +92,7 @@ def _tag(a: argparse.Namespace):
 
 def _batch_fn(a: argparse.Namespace, env: Mapping[str, str], opts: PipelineOptions):
     tag = _tag(a)
-    dead_letters = dict(rejected_path=a.rejected_path, malformed_path=a.malformed_path, opts=opts, tag=tag)
+    dead_letters = dict(rejected_path=a.rejected_path, malformed_path=a.malformed_path, opts=opts, tag=tag, report=log_batch)
     if a.target in ("keyed", "sorted"):
         if not a.target_path:
             raise SystemExit("--target-path is required for file targets")
@@ -120,6 +127,7 @@ def main(argv: Sequence[str] | None = None, env: Mapping[str, str] | None = None
     import os
 
     a = parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     env = os.environ if env is None else env
     spark = spark or SparkSession.builder.appName(a.name).getOrCreate()
     opts = options_from_args(a)

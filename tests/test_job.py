@@ -9,14 +9,16 @@ from orderstream.sources import events_topic, read_table
 SF = "/root/testdata/sf0.001"
 
 
-def test_job_files_to_keyed_then_restart(spark, tmp_path):
+def test_job_files_to_keyed_then_restart(spark, tmp_path, caplog):
     src = str(tmp_path / "topic")
     events_topic(read_table(spark, SF, "events")).write.parquet(src)
     out, ck = str(tmp_path / "keyed"), str(tmp_path / "ck")
     args = ["--source", "files", "--topic-path", src, "--target", "keyed", "--target-path", out,
             "--rejected-path", str(tmp_path / "rej"), "--available-now", "--checkpoint", ck, "--name", "job_test"]
-    q = main(args, env={}, spark=spark)
+    with caplog.at_level("INFO", logger="orderstream.job"):
+        q = main(args, env={}, spark=spark)
     assert q.lastProgress["observedMetrics"]["intake"]["messages"] == 1000
+    assert any("batch 0 written: 1000 valid rows" in m for m in caplog.messages)
     snap = KeyedTable(out).snapshot(spark)
     assert snap.count() == spark.read.parquet(src).select("key").distinct().count()
     main(args, env={}, spark=spark)  # restart: nothing new, nothing duplicated
