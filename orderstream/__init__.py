@@ -7,14 +7,25 @@ append-only sorted table or a keyed last-arrival-wins table.
 """
 
 from . import functions, operators, plans, schemas, sinks, sources, streaming
+from .operators import decode_json, enrich, latest_per_key, split_valid, upsert_snapshot
 from .options import JdbcOptions, StreamOptions, TopicOptions
 from .plans import PipelineOptions, process, process_split
+from .sinks import KeyedTable, append_sorted
+from .streaming import OrderBatchJob
 
 __all__ = [
     "JdbcOptions",
+    "KeyedTable",
+    "OrderBatchJob",
     "PipelineOptions",
     "StreamOptions",
     "TopicOptions",
+    "append_sorted",
+    "decode_json",
+    "enrich",
+    "latest_per_key",
+    "split_valid",
+    "upsert_snapshot",
     "functions",
     "operators",
     "plans",

@@ -54,3 +54,14 @@ def test_encode_decode_roundtrip(spark, orders):
     msgs = df.select("offset", encode_json().alias("value"))
     back = decode_json(msgs, "drop_malformed", keep=("offset",))
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.select("offset", *RAW_COLUMNS).collect()))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(min_value=-1000, max_value=10**6), st.decimals(min_value=Decimal("-99999.99"), max_value=Decimal("99999.99"), places=2)), min_size=1, max_size=10))
+def test_coercion_reads_numbers_written_as_text(spark, pairs):
+    as_numbers = [(i, f'{{"order_id":"o{i}","quantity":{q},"price":{p}}}') for i, (q, p) in enumerate(pairs)]
+    as_text = [(i, f'{{"order_id":"o{i}","quantity":"{q}","price":"{p}"}}') for i, (q, p) in enumerate(pairs)]
+    a = decode_json(spark.createDataFrame(as_numbers, "offset long, value string"), keep=("offset",))
+    b = decode_json(spark.createDataFrame(as_text, "offset long, value string"), keep=("offset",), coerce_numbers=True)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert a.count() == len(pairs)
