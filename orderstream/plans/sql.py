@@ -47,9 +47,11 @@ def enrich_sql(spark: SparkSession, raw: DataFrame, at: dt.datetime | str | None
     return spark.sql(enrich_sql_text(view, at))
 
 
-def insert_into(spark: SparkSession, select_sql: str, target: str) -> None:
-    """``INSERT INTO target <select>`` against a catalog table (batch)."""
-    spark.sql(f"INSERT INTO {target} {select_sql}")
+def insert_into(spark: SparkSession, select_sql: str, target: str, columns: tuple[str, ...] | None = None) -> None:
+    """``INSERT INTO target [(columns)] <select>`` against a catalog table
+    (batch). Columns left out take the table's declared defaults."""
+    cols = f" ({', '.join(columns)})" if columns else ""
+    spark.sql(f"INSERT INTO {target}{cols} {select_sql}")
 
 
 def insert_into_keyed(spark: SparkSession, select_sql: str, table, batch_id: int, created_value=None) -> None:

@@ -65,3 +65,18 @@ def test_ensure_tables(spark, tmp_path):
         "TIMESTAMP_NTZ'2024-01-01 00:00:00', TIMESTAMP_NTZ'2024-01-01 00:00:00','X', NULL)"
     )
     assert spark.table("spark_processed_orders").collect()[0].spark_engine == "PySpark"
+
+
+def test_insert_into_declared_table_uses_defaults(spark, tmp_path):
+    from orderstream.plans import enrich_sql_text, insert_into
+    from orderstream.sinks.files import ensure_tables
+    from orderstream.sources import events_topic, read_table, register_topic
+
+    names = ensure_tables(spark, str(tmp_path / "db"), keyed="k_orders", tagged="k_tagged", sorted_append="k_sorted")
+    register_topic(spark, "orders_raw_insert", events_topic(read_table(spark, "/root/testdata/sf0.001", "events")), mode="drop_malformed")
+    from orderstream.schemas import PROCESSED_COLUMNS
+
+    insert_into(spark, enrich_sql_text("orders_raw_insert", "2024-06-01 00:00:00"), names[1], columns=PROCESSED_COLUMNS)
+    t = spark.table(names[1])
+    assert t.count() == 1000
+    assert t.filter("spark_engine = 'PySpark'").count() == 1000 and t.filter("created_at IS NULL").count() == 1000
