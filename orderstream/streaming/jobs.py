@@ -1,7 +1,7 @@
 """``foreachBatch`` functions for the order pipeline.
 
-Each decodes a micro-batch once (the annotated decode is persisted because
-three outputs read it), then writes valid rows to the target, constraint
+Each decodes a micro-batch once (the annotated decode is persisted when more
+than one job reads it), then writes valid rows to the target, constraint
 violations and undecodable messages to dead-letter tables. All writes are
 keyed by ``batch_id``, so a replay after failure overwrites, never duplicates.
 """
@@ -31,7 +31,8 @@ class OrderBatchJob:
     ``target`` is ``"sorted"`` (append-only table at ``path``, sorted by order
     id and processing time, every version kept), ``"keyed"`` (last arrival
     wins, ``created_at`` from the first) or any ``(valid, batch_id)`` writer,
-    e.g. a JDBC upsert."""
+    e.g. a JDBC upsert. With ``report`` set, a writer must execute the frame
+    it is given: the report waits for the metrics observed while it runs."""
 
     path: str | None = None
     target: str | Callable[[DataFrame, int], None] = "sorted"

@@ -139,3 +139,23 @@ def test_failed_batch_is_replayed_without_duplicates(spark, tmp_path):
     df = spark.read.parquet(out)
     assert df.count() == 1000
     assert df.select("offset").distinct().count() == 1000
+
+
+def test_sorted_append_files_are_sorted_with_ordered_ranges(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from orderstream.sinks import append_sorted
+
+    df = process(events_topic(read_table(spark, SF, "events")), PipelineOptions(at=AT))
+    out = str(tmp_path / "sorted")
+    append_sorted(df, out, 0, partitions=4)
+    firsts_lasts = []
+    for f in sorted(glob.glob(out + "/batch_id=0/*.parquet")):
+        rows = pq.read_table(f, columns=["order_id", "processing_timestamp", "offset"]).to_pylist()
+        keys = [(r["order_id"], r["processing_timestamp"], r["offset"]) for r in rows]
+        assert keys == sorted(keys)
+        firsts_lasts.append((keys[0], keys[-1]))
+    firsts_lasts.sort()
+    assert all(a[1] <= b[0] for a, b in zip(firsts_lasts, firsts_lasts[1:]))  # disjoint ranges
