@@ -53,7 +53,8 @@ def split_rows(df: DataFrame, value: str = "value", sep: str = "\n", position: s
     message so arrival order stays total. A NULL message gives no row.
     """
     text = F.col(value).cast("string")
-    lines = F.filter(F.split(text, sep), lambda x: F.length(F.trim(x)) > 0)
+    # ``split`` takes a pattern; quote the separator so it is matched literally.
+    lines = F.filter(F.split(text, "\\Q" + sep + "\\E"), lambda x: F.length(F.trim(x)) > 0)
     keep = [c for c in df.columns if c != value]
     return df.select(*keep, F.posexplode(lines).alias(position, value))
 

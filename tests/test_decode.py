@@ -111,3 +111,10 @@ def test_malformed_reasons(messages):
     assert got["truncated"] == "malformed_document" and got["null"] == "malformed_document"
     assert got["bad_ts"] == "field_conversion" and got["overflow"] == "field_conversion"
     assert "good" not in got and "missing" not in got
+
+
+def test_split_rows_separator_is_literal(messages):
+    a = '{"order_id":"a"}'
+    df = messages([a + "|" + a.replace('"a"', '"b"')])
+    rows = decode_json(split_rows(df, sep="|"), keep=("line",)).orderBy("line").collect()
+    assert [r.order_id for r in rows] == ["a", "b"]
