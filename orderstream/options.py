@@ -41,7 +41,6 @@ class TopicOptions:
             "kafka.bootstrap.servers": self.bootstrap_servers,
             "subscribe": self.topic,
             "startingOffsets": self.starting,
-            "failOnDataLoss": "false",
         }
         if self.group:
             opts["kafka.group.id"] = self.group
