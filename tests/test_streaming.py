@@ -159,3 +159,25 @@ def test_sorted_append_files_are_sorted_with_ordered_ranges(spark, tmp_path):
         firsts_lasts.append((keys[0], keys[-1]))
     firsts_lasts.sort()
     assert all(a[1] <= b[0] for a, b in zip(firsts_lasts, firsts_lasts[1:]))  # disjoint ranges
+
+
+def test_processing_time_trigger_picks_up_new_files(spark, tmp_path):
+    src, out, ck = str(tmp_path / "src"), str(tmp_path / "keyed"), str(tmp_path / "ck")
+    _write_topic_files(spark, src, 2)
+    import shutil
+
+    live = str(tmp_path / "live")
+    os.makedirs(live)
+    shutil.copytree(os.path.join(src, "part1"), os.path.join(live, "part1"))
+    job = OrderBatchJob(out, target="keyed", opts=PipelineOptions(at=AT))
+    q = start(read_topic_files(spark, live + "/part*"), job, StreamOptions(name="live_orders", checkpoint=ck, trigger="1 second"))
+    try:
+        q.processAllAvailable()
+        first = KeyedTable(out).log(spark).count()
+        shutil.copytree(os.path.join(src, "part2"), os.path.join(live, "part2"))  # a new file arrives
+        q.processAllAvailable()
+        assert run(q, timeout=0.5) is False  # still running: unbounded query
+    finally:
+        q.stop()
+    assert KeyedTable(out).log(spark).select("batch_id").distinct().count() >= 2
+    assert KeyedTable(out).log(spark).count() > first
