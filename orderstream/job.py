@@ -43,6 +43,12 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p.add_argument("--group", help="consumer group name (source=broker)")
     p.add_argument("--starting", default="latest", help="start position for a new query (source=broker)")
     p.add_argument("--max-per-batch", type=int, default=None, help="messages (broker) or files per micro-batch")
+    p.add_argument(
+        "--min-partitions",
+        type=int,
+        default=None,
+        help="broker: split topic partitions into at least this many tasks (a hot partition is divided)",
+    )
     p.add_argument("--target", choices=TARGETS, default="keyed")
     p.add_argument("--target-path", help="table folder (keyed, sorted)")
     p.add_argument("--rejected-path", help="dead-letter folder for constraint violations")
@@ -78,6 +84,7 @@ def _records(spark: SparkSession, a: argparse.Namespace, env: Mapping[str, str])
         group=a.group,
         starting=a.starting,
         max_per_batch=a.max_per_batch or base.max_per_batch,
+        min_partitions=a.min_partitions,
     )
     return read_topic(spark, opts)
 

@@ -35,6 +35,7 @@ def test_job_settings_need_broker_and_credentials(spark):
         _batch_fn(a, {}, PipelineOptions())
     with pytest.raises(KeyError):  # no broker address
         _records(spark, a, {})
+    assert parse_args(["--min-partitions", "64"]).min_partitions == 64
     assert callable(_batch_fn(a, {"POSTGRES_URL": "jdbc:x", "POSTGRES_USER": "u", "POSTGRES_PASSWORD": "p"}, PipelineOptions()))
 
 
