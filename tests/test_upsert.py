@@ -110,3 +110,10 @@ def test_same_key_twice_in_one_message_last_line_wins(spark, tmp_path, messages)
     )
     got = upsert_snapshot(empty_snapshot(b), b, order=("offset", "line")).collect()
     assert [r.quantity for r in got] == [2]
+
+
+def test_event_time_order_is_an_option(spark):
+    # an older order time arriving later: arrival order keeps it, event-time order does not
+    b = batch(spark, [row(1, "a", 1, 5), row(2, "a", 2, 1)])
+    assert latest_per_key(b).collect()[0].quantity == 2
+    assert latest_per_key(b, order=("order_timestamp", "offset")).collect()[0].quantity == 1
