@@ -118,3 +118,13 @@ def test_split_rows_separator_is_literal(messages):
     df = messages([a + "|" + a.replace('"a"', '"b"')])
     rows = decode_json(split_rows(df, sep="|"), keep=("line",)).orderBy("line").collect()
     assert [r.order_id for r in rows] == ["a", "b"]
+
+
+def test_iso_time_variants(messages):
+    ts = ["2024-01-01T03:04:05.123456", "2024-01-01 03:04:05.1", "2024-01-01T03:04:05", "2024-01-01T03:04:05+02:00"]
+    df = messages([f'{{"order_id":"x{i}","order_timestamp":"{t}"}}' for i, t in enumerate(ts)])
+    got = {r.offset: r.order_timestamp for r in decode_json(df, "null_fields", keep=("offset",)).collect()}
+    assert got[0] == dt.datetime(2024, 1, 1, 3, 4, 5, 123456)
+    assert got[1] == dt.datetime(2024, 1, 1, 3, 4, 5, 100000)  # space instead of T, one digit
+    assert got[2] == dt.datetime(2024, 1, 1, 3, 4, 5)
+    assert got[3] is None  # an offset is not a local time
