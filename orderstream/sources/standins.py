@@ -55,7 +55,7 @@ LINEITEM_ORDER_SQL = {
 }
 
 # Faults planted in E messages, selected by content (every row is still
-# processed). The rule texts shared with the oracle.
+# processed). The rule texts are shared with the oracle SQL.
 EVENT_FAULTS = {
     "truncated": "event_type = 'error'",
     "null_message": "event_type = 'purchase' AND value < 5",
