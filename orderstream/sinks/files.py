@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..schemas import KEY, UPDATE_COLUMNS
@@ -115,8 +116,19 @@ class KeyedTable:
     def log(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
 
+    def _log_or_none(self, spark: SparkSession) -> DataFrame | None:
+        try:
+            return self.log(spark)
+        except AnalysisException:  # no batch written yet
+            return None
+
     def snapshot(self, spark: SparkSession) -> DataFrame:
-        log = self.log(spark)
+        log = self._log_or_none(spark)
+        if log is None:
+            if not self.base:
+                raise ValueError(f"keyed table {self.path} has neither a base nor a written batch")
+            base = spark.read.parquet(self.base)
+            return base.select(F.col(self.key), *[F.col(c) for c in self.columns], F.col("created_at"))
         if self.base:
             base = spark.read.parquet(self.base).select(
                 F.col(self.key), *[F.col(c) for c in self.columns], F.col("created_at"),

@@ -117,3 +117,11 @@ def test_event_time_order_is_an_option(spark):
     b = batch(spark, [row(1, "a", 1, 5), row(2, "a", 2, 1)])
     assert latest_per_key(b).collect()[0].quantity == 2
     assert latest_per_key(b, order=("order_timestamp", "offset")).collect()[0].quantity == 1
+
+
+def test_keyed_table_with_base_and_empty_log(spark, tmp_path):
+    t1 = KeyedTable(str(tmp_path / "log1"))
+    t1.write_batch(batch(spark, [row(1, "a", 1, 1)]), 0)
+    t1.compact(spark, str(tmp_path / "base"))
+    t2 = KeyedTable(str(tmp_path / "log2"), base=str(tmp_path / "base"))
+    assert [r.order_id for r in t2.snapshot(spark).collect()] == ["a"]
