@@ -181,3 +181,16 @@ def test_processing_time_trigger_picks_up_new_files(spark, tmp_path):
         q.stop()
     assert KeyedTable(out).log(spark).select("batch_id").distinct().count() >= 2
     assert KeyedTable(out).log(spark).count() > first
+
+
+def test_empty_micro_batch_is_harmless(spark, tmp_path):
+    empty = events_topic(read_table(spark, SF, "events")).filter("offset < 0")
+    seen = {}
+    for target in ("sorted", "keyed"):
+        job = OrderBatchJob(str(tmp_path / target), target=target, opts=PipelineOptions(at=AT),
+                            rejected_path=str(tmp_path / f"rej_{target}"), report=lambda b, m: seen.update({b: m}))
+        job(empty, 0)
+        job(events_topic(read_table(spark, SF, "events")), 1)
+        assert seen[0]["valid_rows"] == 0 and seen[1]["valid_rows"] == 1000
+    assert spark.read.parquet(str(tmp_path / "sorted")).count() == 1000
+    assert KeyedTable(str(tmp_path / "keyed")).snapshot(spark).count() > 0
