@@ -42,6 +42,7 @@ from orderstream.operators import (  # noqa: E402
     with_defaults,
     with_engine_tag,
 )
+from orderstream.operators.upsert import BROADCAST_KEY_LIMIT  # noqa: E402
 from orderstream.options import StreamOptions  # noqa: E402
 from orderstream.plans import PipelineOptions, enrich_sql, enrich_sql_text, insert_into_keyed, process  # noqa: E402
 from orderstream.schemas import PROCESSED_COLUMNS, RAW_COLUMNS  # noqa: E402
@@ -244,7 +245,8 @@ def q_upsert_snapshot(spark, sf):
     second = p.filter(F.col("order_timestamp") >= half)
     created = F.col("order_timestamp")
     snap = upsert_snapshot(empty_snapshot(p), first, created_value=created)
-    return upsert_snapshot(snap, second, created_value=created)
+    # the second batch splits the snapshot on its broadcast key set (size-checked)
+    return upsert_snapshot(snap, second, created_value=created, broadcast_key_limit=BROADCAST_KEY_LIMIT)
 
 
 def _events_stream(spark: SparkSession, sf: str, max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:

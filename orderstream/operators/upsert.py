@@ -30,6 +30,11 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str] = KEY, order: str | S
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+# Largest number of distinct batch keys broadcast to split a snapshot; about
+# 60 MB of 50-character ids. Beyond it the full merge runs instead.
+BROADCAST_KEY_LIMIT = 1_000_000
+
+
 def upsert_snapshot(
     current: DataFrame,
     batch: DataFrame,
@@ -39,6 +44,7 @@ def upsert_snapshot(
     order: str | Sequence[str] = "offset",
     created: str = "created_at",
     created_value: Column | None = None,
+    broadcast_key_limit: int | None = None,
 ) -> DataFrame:
     """Apply ``batch`` to ``current`` as keyed upserts.
 
@@ -48,13 +54,35 @@ def upsert_snapshot(
     existing row keeps its value; a new key takes ``created_value`` of its
     earliest batch row (default: its processing time). Replaying the same
     batch gives the same table.
+
+    By default the whole of ``current`` takes part in one two-phase aggregate
+    on the key. With ``broadcast_key_limit`` the batch's distinct keys are
+    counted first (one job over the batch); when there are at most that many,
+    they are broadcast and the snapshot is split map-side: rows of untouched
+    keys pass through without a shuffle and only touched keys are merged.
+    ``current`` is then read twice, so pass a stored (or checkpointed)
+    snapshot. Above the limit the full merge runs.
     """
+    if broadcast_key_limit:
+        keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
+        if keys.count() <= broadcast_key_limit:
+            hits = F.broadcast(keys.withColumn("_hit", F.lit(True)))
+            flagged = current.join(hits, key, "left")
+            untouched = flagged.where(F.col("_hit").isNull() & F.col(key).isNotNull()).drop("_hit")
+            touched = flagged.where(F.col("_hit").isNotNull() | F.col(key).isNull()).drop("_hit")
+            merged = _merge(touched, batch, key, columns, order, created, created_value)
+            return untouched.select(merged.columns).unionByName(merged)
+    return _merge(current, batch, key, columns, order, created, created_value)
+
+
+def _merge(current, batch, key, columns, order, created, created_value) -> DataFrame:
     cols = list(columns)
     created_value = created_value if created_value is not None else F.col("processing_timestamp")
     arrival = F.struct(*[F.col(c) for c in _as_list(order)])
+    arrival_type = batch.select(arrival.alias("a")).schema["a"].dataType
     cur = current.select(
         F.col(key), *[F.col(c) for c in cols], F.col(created),
-        F.struct(F.lit(0).alias("src"), F.lit(None).cast(batch.select(arrival.alias("a")).schema["a"].dataType).alias("ord")).alias("_rank"),
+        F.struct(F.lit(0).alias("src"), F.lit(None).cast(arrival_type).alias("ord")).alias("_rank"),
     )
     new = batch.select(
         F.col(key), *[F.col(c) for c in cols], created_value.alias(created),
