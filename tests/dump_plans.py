@@ -40,7 +40,8 @@ def main(sf_dir: str) -> None:
            "time (partition coalescing, skew splits); the operators shown are the ones that run.", "",
            "An `Exchange hashpartitioning(_nondeterministic, ...)` right after a scan is the small-input",
            "spread of `read_table` (the test tables are single row groups); a large scan has no such",
-           "exchange. Every other exchange is on `order_id`.", ""]
+           "exchange. Every other shuffle is on `order_id`; the only broadcast is the size-checked key",
+           "set that `upsert_snapshot` uses to split the snapshot.", ""]
 
     def add(title: str, note: str, df) -> None:
         buf = io.StringIO()
