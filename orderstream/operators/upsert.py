@@ -64,17 +64,28 @@ def upsert_snapshot(
     snapshot. Above the limit the full merge runs.
     """
     if broadcast_key_limit:
-        keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
-        if keys.count() <= broadcast_key_limit:
-            hits = F.broadcast(keys.withColumn("_hit", F.lit(True)))
-            flagged = current.join(hits, key, "left")
-            untouched = flagged.where(F.col("_hit").isNull() & F.col(key).isNotNull()).drop("_hit")
-            touched = flagged.where(F.col("_hit").isNotNull() | F.col(key).isNull()).drop("_hit")
+        split = split_by_keys(current, batch, key, broadcast_key_limit)
+        if split is not None:
+            untouched, touched = split
             merged = _merge(touched, batch, key, columns, order, created, created_value)
             return untouched.select(merged.columns).unionByName(merged)
     return _merge(current, batch, key, columns, order, created, created_value)
 
 
+def split_by_keys(table: DataFrame, changes: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame] | None:
+    """``(untouched, touched)`` rows of ``table`` by whether ``changes`` has
+    their key, decided map-side against the broadcast key set of ``changes``;
+    NULL keys count as touched. ``None`` when ``changes`` has more than
+    ``limit`` distinct keys (counted first), so the caller merges in full."""
+    keys = changes.select(key).where(F.col(key).isNotNull()).distinct()
+    if keys.count() > limit:
+        return None
+    flagged = table.join(F.broadcast(keys.withColumn("_hit", F.lit(True))), key, "left")
+    untouched = flagged.where(F.col("_hit").isNull() & F.col(key).isNotNull()).drop("_hit")
+    touched = flagged.where(F.col("_hit").isNotNull() | F.col(key).isNull()).drop("_hit")
+    return untouched, touched
+
+
 def _merge(current, batch, key, columns, order, created, created_value) -> DataFrame:
     cols = list(columns)
     created_value = created_value if created_value is not None else F.col("processing_timestamp")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from ..operators.upsert import BROADCAST_KEY_LIMIT, split_by_keys
 from ..schemas import KEY, UPDATE_COLUMNS
 
 BATCH = "batch_id"
@@ -122,21 +123,27 @@ class KeyedTable:
         except AnalysisException:  # no batch written yet
             return None
 
-    def snapshot(self, spark: SparkSession) -> DataFrame:
+    def snapshot(self, spark: SparkSession, broadcast_key_limit: int | None = BROADCAST_KEY_LIMIT) -> DataFrame:
+        """The folded table. With a base, only base rows whose keys occur in
+        the log are folded: the log's key set (counted, at most
+        ``broadcast_key_limit``) is broadcast and the rest of the base passes
+        through without a shuffle; a larger log folds the whole base."""
         log = self._log_or_none(spark)
         if log is None:
             if not self.base:
                 raise ValueError(f"keyed table {self.path} has neither a base nor a written batch")
             base = spark.read.parquet(self.base)
             return base.select(F.col(self.key), *[F.col(c) for c in self.columns], F.col("created_at"))
-        if self.base:
-            base = spark.read.parquet(self.base).select(
-                F.col(self.key), *[F.col(c) for c in self.columns], F.col("created_at"),
-                F.lit(-1).cast("long").alias(BATCH),
-            )
-            base = base.withColumn("_order", F.lit(None).cast(log.schema["_order"].dataType))
-            log = base.unionByName(log.select(base.columns))
-        return fold_log(log, key=self.key, columns=self.columns)
+        if not self.base:
+            return fold_log(log, key=self.key, columns=self.columns)
+        base = spark.read.parquet(self.base).select(F.col(self.key), *[F.col(c) for c in self.columns], F.col("created_at"))
+        split = split_by_keys(base, log, self.key, broadcast_key_limit) if broadcast_key_limit else None
+        untouched, touched = split if split is not None else (None, base)
+        as_log = touched.withColumn(BATCH, F.lit(-1).cast("long")).withColumn(
+            "_order", F.lit(None).cast(log.schema["_order"].dataType)
+        )
+        folded = fold_log(as_log.unionByName(log.select(as_log.columns)), key=self.key, columns=self.columns)
+        return folded if untouched is None else untouched.select(folded.columns).unionByName(folded)
 
     def compact(self, spark: SparkSession, target: str) -> None:
         """Write the current snapshot as a new base at ``target`` (a written

@@ -151,3 +151,16 @@ def test_broadcast_split_handles_null_keys_like_full_merge(spark):
     key = lambda r: tuple("" if v is None else str(v) for v in r)
     assert sorted(map(key, split.collect())) == sorted(map(key, full.collect()))
     assert split.count() == 3  # one NULL-key row, as in the full merge
+
+
+def test_keyed_snapshot_split_equals_full_fold(spark, tmp_path):
+    t1 = KeyedTable(str(tmp_path / "log1"))
+    t1.write_batch(batch(spark, [row(i, f"k{i}", i, 1) for i in range(10)]), 0)
+    t1.compact(spark, str(tmp_path / "base"))
+    t2 = KeyedTable(str(tmp_path / "log2"), base=str(tmp_path / "base"))
+    t2.write_batch(batch(spark, [row(20, "k3", 99, 2), row(21, "new", 5, 2)], at="2024-06-02 00:00:00"), 0)
+    split = t2.snapshot(spark)
+    full = t2.snapshot(spark, broadcast_key_limit=None)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, full.collect()))
+    got = {r.order_id: r.quantity for r in split.collect()}
+    assert got["k3"] == 99 and got["new"] == 5 and got["k4"] == 4 and len(got) == 11
