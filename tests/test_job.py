@@ -68,3 +68,15 @@ def test_custom_writer_gets_valid_rows_and_dead_letters_are_kept(spark, tmp_path
     rej = spark.read.parquet(str(tmp_path / "rej")).count()
     bad = spark.read.parquet(str(tmp_path / "bad")).count()
     assert seen[0][0] == 3 and seen[0][1] + rej + bad == 1000
+
+
+def test_compact_command(spark, tmp_path):
+    from orderstream.compact import main as compact
+
+    src = str(tmp_path / "topic")
+    events_topic(read_table(spark, SF, "events")).write.parquet(src)
+    log = str(tmp_path / "keyed")
+    main(["--source", "files", "--topic-path", src, "--target", "keyed", "--target-path", log,
+          "--available-now", "--checkpoint", str(tmp_path / "ck"), "--name", "job_compact"], env={}, spark=spark)
+    out = compact(["--log", log, "--out", str(tmp_path / "base1")], spark=spark)
+    assert spark.read.parquet(out).count() == KeyedTable(log).snapshot(spark).count()
