@@ -51,6 +51,7 @@ from orderstream.sinks import KeyedTable  # noqa: E402
 from orderstream.sources import (  # noqa: E402
     EVENT_FAULTS,
     LINEITEM_FAULTS,
+    events_correction_topic,
     events_csv_topic,
     events_faulted_topic,
     events_topic,
@@ -328,6 +329,16 @@ def q_keyed_compaction(spark, sf):
     return second_log.snapshot(spark)
 
 
+def q_multi_row_upsert(spark, sf):
+    target = scratch_path(spark, "multi_row_upsert")
+    job = OrderBatchJob(
+        target, target="keyed", opts=PipelineOptions(at=AT, split_lines=True), created_value=F.col("order_timestamp"),
+        min_partitions=None,  # the table read is already spread
+    )
+    job(events_correction_topic(_events(spark, sf)), 0)
+    return KeyedTable(target, order=("offset", "line")).snapshot(spark)
+
+
 def q_engine_tag_parity(spark, sf):
     return with_engine_tag(_l_valid(spark, sf), from_status=True)
 
@@ -378,6 +389,7 @@ _QUERIES: dict[str, Query] = {
     "sql_upsert": q_sql_upsert,
     "keyed_compaction": q_keyed_compaction,
     "engine_tag_parity": q_engine_tag_parity,
+    "multi_row_upsert": q_multi_row_upsert,
     "stored_by_status": q_stored_by_status,
 }
 
@@ -570,6 +582,19 @@ _ORACLE: dict[str, str] = {
     "sql_upsert": _E_LATEST_CREATED.format(rank_desc="offset DESC", rank_asc="offset"),
     "keyed_compaction": _E_LATEST_CREATED.format(rank_desc="half DESC, offset DESC", rank_asc="half, offset"),
     "engine_tag_parity": f"SELECT *, status AS spark_engine FROM ({_L_VALID}) t",
+    "multi_row_upsert": (
+        "SELECT order_id, customer_id, product_id, quantity, price, total_price, order_timestamp, processing_timestamp, "
+        "status, created_at FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY offset DESC, line DESC) AS rn, "
+        "first_value(order_timestamp) OVER (PARTITION BY order_id ORDER BY offset, line) AS created_at FROM ("
+        + _processed_select(
+            f"SELECT offset, 0 AS line, order_id, customer_id, product_id, quantity, price, order_timestamp, status "
+            f"FROM ({_E_RAW}) a UNION ALL "
+            f"SELECT offset, 1 AS line, order_id, customer_id, product_id, quantity + 1, price, order_timestamp, status "
+            f"FROM ({_E_RAW}) b",
+            offset=True,
+        ).replace("SELECT offset,", "SELECT offset, line,", 1)
+        + ") p) w WHERE rn = 1"
+    ),
     "stored_by_status": f"SELECT * FROM ({_L_VALID}) t WHERE status = 'SHIPPED'",
 }
 

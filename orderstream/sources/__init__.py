@@ -5,6 +5,7 @@ from .standins import (
     EVENT_FAULTS,
     LINEITEM_FAULTS,
     as_topic,
+    events_correction_topic,
     events_csv_topic,
     events_faulted_topic,
     events_orders,
@@ -21,6 +22,7 @@ __all__ = [
     "EVENT_FAULTS",
     "LINEITEM_FAULTS",
     "as_topic",
+    "events_correction_topic",
     "events_csv_topic",
     "events_faulted_topic",
     "events_orders",

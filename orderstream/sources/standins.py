@@ -164,6 +164,18 @@ def events_faulted_topic(events: DataFrame) -> DataFrame:
     return as_topic(orders.withColumn("_js", js), message=msg)
 
 
+def events_correction_topic(events: DataFrame) -> DataFrame:
+    """E messages each carrying the order and then a correction of it (same
+    id, quantity + 1) as two newline-delimited rows: within one message the
+    later line is the later arrival."""
+    orders = events_orders(events)
+    corrected = F.to_json(
+        F.struct(*[(F.col(c) + F.lit(1)).alias(c) if c == "quantity" else F.col(c) for c in RAW_COLUMNS]),
+        {"timestampNTZFormat": ISO_MICROS},
+    )
+    return as_topic(orders, message=F.concat(encode_json(), F.lit("\n"), corrected))
+
+
 def events_csv_topic(events: DataFrame) -> DataFrame:
     """E messages as CSV lines (a second wire format for a custom decoder)."""
     line = F.to_csv(F.struct(*[F.col(c) for c in RAW_COLUMNS]), {"timestampNTZFormat": ISO_MICROS})

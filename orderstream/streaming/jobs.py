@@ -45,6 +45,9 @@ class OrderBatchJob:
     # Like a topic source's ``minPartitions``: a micro-batch that arrives in
     # fewer partitions than cores is spread first (0 = the cluster's
     # parallelism, None = never). A batch from a busy source is left alone.
+    # Meant for the bare source batches ``foreachBatch`` delivers; pass None
+    # when calling the job on a frame that already shuffles (counting its
+    # partitions would run that shuffle once more).
     min_partitions: int | None = 0
 
     def outputs(self, batch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
