@@ -245,8 +245,10 @@ def q_upsert_snapshot(spark, sf):
     first = p.filter(F.col("order_timestamp") < half)
     second = p.filter(F.col("order_timestamp") >= half)
     created = F.col("order_timestamp")
-    snap = upsert_snapshot(empty_snapshot(p), first, created_value=created)
-    # the second batch splits the snapshot on its broadcast key set (size-checked)
+    # The snapshot after the first batch is stored (a reliable checkpoint in
+    # spark.checkpoint.dir), as a keyed table is between batches; the second
+    # batch then splits it on its broadcast key set (size-checked).
+    snap = upsert_snapshot(empty_snapshot(p), first, created_value=created).checkpoint()
     return upsert_snapshot(snap, second, created_value=created, broadcast_key_limit=BROADCAST_KEY_LIMIT)
 
 

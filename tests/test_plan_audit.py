@@ -44,5 +44,5 @@ def test_audit_sees_the_keyed_operators(spark):
     plan = _plan(E.queries()["latest_per_key"](spark, SF))
     assert "hashpartitioning(order_id" in plan and "WindowGroupLimit" in plan
     plan = _plan(E.queries()["upsert_snapshot"](spark, SF))
-    assert len(re.findall(r"functions=\[partial_max_by", plan)) >= 2
+    assert len(re.findall(r"functions=\[partial_max_by", plan)) >= 1
     assert "LeftOuter, BuildRight" in plan
