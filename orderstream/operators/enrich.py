@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import total_price
+from ..functions.money import to_money, total_price
 from ..functions.text import audit_line, upper_status
 from ..functions.time import processing_time, to_millis
 from ..schemas import ENGINE_TAG_DEFAULT, PROCESSED_COLUMNS
@@ -48,7 +48,7 @@ def enrich(
         F.col("customer_id"),
         F.col("product_id"),
         F.col("quantity"),
-        F.col("price"),
+        to_money("price").alias("price"),  # the declared type, whatever the message schema
         total_price("quantity", "price", rounding).alias("total_price"),
         order_ts.alias("order_timestamp"),
         proc_ts.alias("processing_timestamp"),

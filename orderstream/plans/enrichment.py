@@ -13,10 +13,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from ..operators.decode import decode_json, malformed, split_rows
 from ..operators.enrich import enrich
 from ..operators.quality import split_valid
+from ..schemas import RAW_ORDER
 
 
 @dataclass(frozen=True)
@@ -31,10 +33,12 @@ class PipelineOptions:
     null_status: str = "keep"
     at: dt.datetime | str | None = None
     keep: Sequence[str] = ("offset",)
+    schema: T.StructType = RAW_ORDER  # the message fields; totals are decimal(10,2) either way
 
 
 def _decode_kwargs(o: PipelineOptions, keep: tuple[str, ...]) -> dict:
     return dict(
+        schema=o.schema,
         keep=keep,
         fill_missing=o.fill_missing,
         coerce_numbers=o.coerce_numbers,

@@ -60,6 +60,7 @@ class OrderBatchJob:
         carry = ("value",) if self.malformed_path else ()
         annotated = annotate(
             df,
+            schema=o.schema,
             keep=(*keep, *carry),
             fill_missing=o.fill_missing,
             coerce_numbers=o.coerce_numbers,

@@ -105,3 +105,15 @@ def test_tags_defaults_audit(spark):
     r = d.collect()[0]
     assert r.spark_engine == "PySpark" and r.created_at == dt.datetime(2024, 6, 1)
     assert with_audit_line(df).collect()[0].audit_line == "Processing: a | Status: PENDING | Total: $30.30"
+
+
+def test_double_price_schema_still_gives_decimal_totals(spark, messages):
+    from pyspark.sql import types as T
+
+    from orderstream.plans import PipelineOptions, process
+    from orderstream.schemas import RAW_ORDER
+
+    as_double = T.StructType([T.StructField(f.name, T.DoubleType()) if f.name == "price" else f for f in RAW_ORDER.fields])
+    df = messages(['{"order_id":"a","customer_id":"c","product_id":"p","quantity":3,"price":10.1,"order_timestamp":"2024-01-01T00:00:00","status":"x"}'])
+    r = process(df, PipelineOptions(at=AT, schema=as_double)).collect()[0]
+    assert r.price == Decimal("10.10") and r.total_price == Decimal("30.30")
