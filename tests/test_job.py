@@ -80,3 +80,22 @@ def test_compact_command(spark, tmp_path):
           "--available-now", "--checkpoint", str(tmp_path / "ck"), "--name", "job_compact"], env={}, spark=spark)
     out = compact(["--log", log, "--out", str(tmp_path / "base1")], spark=spark)
     assert spark.read.parquet(out).count() == KeyedTable(log).snapshot(spark).count()
+
+
+def test_jdbc_targets_receive_processed_rows(spark, monkeypatch):
+    import orderstream.job as J
+    from orderstream.plans import PipelineOptions
+    from orderstream.schemas import PROCESSED_COLUMNS
+
+    calls = []
+    monkeypatch.setattr(J, "append_jdbc", lambda df, opts: calls.append(("append", df.columns, df.count(), df.select("order_id").distinct().count(), opts.table)))
+    monkeypatch.setattr(J, "upsert_jdbc", lambda df, opts, b, order: calls.append(("upsert", df.columns, df.count(), b, tuple(order))))
+    env = {"POSTGRES_URL": "jdbc:x", "POSTGRES_USER": "u", "POSTGRES_PASSWORD": "p"}
+    topic = events_topic(read_table(spark, SF, "events"))
+    for target, extra in (("jdbc_append", ["--engine-tag-from-status", "--jdbc-table", "spark_processed_orders"]), ("jdbc_upsert", [])):
+        a = parse_args(["--target", target, *extra])
+        J._batch_fn(a, env, PipelineOptions())(topic, 5)
+    kind, cols, rows, keys, table = calls[0]
+    assert kind == "append" and cols == [*PROCESSED_COLUMNS, "spark_engine"] and rows == keys and table == "spark_processed_orders"
+    kind, cols, rows, batch_id, order = calls[1]
+    assert kind == "upsert" and cols[0] == "offset" and rows == 1000 and batch_id == 5 and order == ("offset",)
