@@ -23,9 +23,15 @@ from ..schemas import KEY, PROCESSED_COLUMNS, UPDATE_COLUMNS
 DIALECTS = ("on_conflict", "merge")
 
 
+def write_table(df: DataFrame, opts: JdbcOptions, table: str | None, mode: str) -> None:
+    """Parallel JDBC write: each task opens its own connection and sends
+    ``batchsize`` rows per round trip."""
+    df.write.format("jdbc").options(**opts.writer_options(table)).mode(mode).save()
+
+
 def append_jdbc(batch: DataFrame, opts: JdbcOptions, table: str | None = None) -> None:
-    """Per-batch append (SNK-1); ``batchsize`` rows per round trip."""
-    batch.write.format("jdbc").options(**opts.writer_options(table)).mode("append").save()
+    """Per-batch append (SNK-1)."""
+    write_table(batch, opts, table, "append")
 
 
 def upsert_statement(
@@ -99,7 +105,7 @@ def upsert_jdbc(
     reduced = latest_per_key(batch, KEY, order).select(*PROCESSED_COLUMNS)
 
     def run() -> None:
-        reduced.write.format("jdbc").options(**opts.writer_options(stage)).mode("overwrite").save()
+        write_table(reduced, opts, stage, "overwrite")
         execute_statement(batch, opts, upsert_statement(opts.table, stage, dialect=dialect))
         execute_statement(batch, opts, f"DROP TABLE {stage}")
 

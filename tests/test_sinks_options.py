@@ -80,3 +80,33 @@ def test_insert_into_declared_table_uses_defaults(spark, tmp_path):
     t = spark.table(names[1])
     assert t.count() == 1000
     assert t.filter("spark_engine = 'PySpark'").count() == 1000 and t.filter("created_at IS NULL").count() == 1000
+
+
+def test_upsert_jdbc_sequence_with_a_retry(spark, monkeypatch):
+    import orderstream.sinks.jdbc as J
+    from orderstream.options import JdbcOptions
+    from orderstream.plans import PipelineOptions, process
+    from orderstream.schemas import PROCESSED_COLUMNS
+    from orderstream.sources import events_topic, read_table
+
+    steps, fail = [], {"left": 1}
+
+    def write(df, opts, table, mode):
+        steps.append(("write", table, mode, df.columns, df.count(), df.select("order_id").distinct().count()))
+
+    def execute(batch, opts, sql):
+        if sql.startswith("INSERT") and fail["left"]:
+            fail["left"] -= 1
+            raise RuntimeError("connection reset")
+        steps.append(("sql", sql.split(" ")[0]))
+
+    monkeypatch.setattr(J, "write_table", write)
+    monkeypatch.setattr(J, "execute_statement", execute)
+    monkeypatch.setattr(J.time, "sleep", lambda s: None)
+    batch = process(events_topic(read_table(spark, "/root/testdata/sf0.001", "events")), PipelineOptions(at="2024-06-01 00:00:00"))
+    J.upsert_jdbc(batch, JdbcOptions("jdbc:x", "u", "p"), 7)
+    write1, write2 = steps[0], steps[1]
+    assert write1[:3] == ("write", "processed_orders_stage_7", "overwrite") and write1[3] == list(PROCESSED_COLUMNS)
+    assert write1[4] == write1[5]  # one row per key reaches the statement
+    assert write2[:3] == write1[:3]  # the failed attempt reran from the stage write
+    assert steps[2:] == [("sql", "INSERT"), ("sql", "DROP")]
