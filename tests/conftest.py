@@ -20,10 +20,14 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("ckpt")))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    # Use the environment's checkpoint folder; name a private one only if unset.
+    if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
+        folder = str(tmp_path_factory.mktemp("ckpt"))
+        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(folder)
     yield spark
     spark.stop()
 
