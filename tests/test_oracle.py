@@ -32,3 +32,14 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert tuple(df.columns) == ("order_id", "customer_id", "product_id", "quantity", "price", "total_price", "order_timestamp", "processing_timestamp", "status")
+
+
+@pytest.mark.parametrize("name", ["enrich_orders", "truncate_ms", "by_order_time", "upsert_snapshot", "decode_micros_ts"])
+def test_results_do_not_depend_on_the_session_zone(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        r = compare(spark, SF, name, con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert r["status"] == "OK", r
