@@ -65,3 +65,35 @@ def test_coercion_reads_numbers_written_as_text(spark, pairs):
     b = decode_json(spark.createDataFrame(as_text, "offset long, value string"), keep=("offset",), coerce_numbers=True)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert a.count() == len(pairs)
+
+
+def _py_reasons(r):
+    """The store constraints, computed row by row in plain Python."""
+    cols = ("order_id", "customer_id", "product_id", "quantity", "price", "total_price", "order_timestamp", "processing_timestamp", "status")
+    out = [f"{c}:null" for c in cols if r[c] is None]
+    out += [f"{c}:too_long" for c in ("order_id", "customer_id", "product_id") if r[c] is not None and len(r[c]) > 50]
+    if r["status"] is not None and len(r["status"]) > 20:
+        out.append("status:too_long")
+    if r["quantity"] is not None and r["quantity"] < 0:
+        out.append("quantity:negative")
+    return ",".join(out)
+
+
+text = st.one_of(st.none(), st.text(min_size=0, max_size=55))
+raw_row = st.tuples(text, text, text, st.one_of(st.none(), st.integers(-5, 5)),
+                    st.one_of(st.none(), st.decimals(min_value=Decimal("-9999999.99"), max_value=Decimal("99999999.99"), places=2)),
+                    st.one_of(st.none(), st.datetimes(min_value=dt.datetime(2000, 1, 1), max_value=dt.datetime(2030, 1, 1))),
+                    st.one_of(st.none(), st.text(max_size=22)))
+
+
+@SETTINGS
+@given(st.lists(raw_row, min_size=1, max_size=15))
+def test_split_valid_matches_brute_force(spark, rows):
+    from orderstream.operators import split_valid
+
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], RAW)
+    processed = enrich(df, at=AT, keep=("offset",))
+    valid, rejected = split_valid(processed)
+    expected = {r["offset"]: _py_reasons(r.asDict()) for r in processed.collect()}
+    assert {r.offset for r in valid.collect()} == {o for o, reason in expected.items() if reason == ""}
+    assert {r.offset: r.reject_reasons for r in rejected.collect()} == {o: reason for o, reason in expected.items() if reason}
