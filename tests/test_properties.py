@@ -97,3 +97,48 @@ def test_split_valid_matches_brute_force(spark, rows):
     expected = {r["offset"]: _py_reasons(r.asDict()) for r in processed.collect()}
     assert {r.offset for r in valid.collect()} == {o for o, reason in expected.items() if reason == ""}
     assert {r.offset: r.reject_reasons for r in rejected.collect()} == {o: reason for o, reason in expected.items() if reason}
+
+
+message = st.tuples(
+    st.sampled_from(["absent", "null", "number", "string"]),
+    st.integers(min_value=-(2**31), max_value=2**31 - 1),
+    st.one_of(st.none(), st.decimals(min_value=Decimal("-999999.99"), max_value=Decimal("999999.99"), places=2)),
+    st.booleans(),  # truncate the document
+)
+
+
+def _message_text(i, kind, q, price, truncate):
+    import json
+
+    doc = {"order_id": f"o{i}"}
+    if kind == "null":
+        doc["quantity"] = None
+    elif kind == "number":
+        doc["quantity"] = q
+    elif kind == "string":
+        doc["quantity"] = str(q)
+    if price is not None:
+        doc["price"] = float(price)
+    text = json.dumps(doc)
+    return text[:-3] if truncate else text
+
+
+@SETTINGS
+@given(st.lists(message, min_size=1, max_size=15))
+def test_drop_policy_matches_brute_force(spark, msgs):
+    import json
+
+    texts = [(i, _message_text(i, *m)) for i, m in enumerate(msgs)]
+    got = {r.offset: r for r in decode_json(spark.createDataFrame(texts, "offset long, value string"), "drop_malformed", keep=("offset",)).collect()}
+    expected = {}
+    for i, t in texts:
+        try:
+            doc = json.loads(t)
+        except ValueError:
+            continue  # not a JSON object: dropped
+        if isinstance(doc.get("quantity"), str):
+            continue  # a number given as text does not convert without coercion: dropped
+        expected[i] = (doc.get("quantity"), None if doc.get("price") is None else Decimal(str(doc["price"])).quantize(Decimal("0.01")))
+    assert set(got) == set(expected)
+    for i, (q, p) in expected.items():
+        assert got[i].quantity == q and got[i].price == p
