@@ -341,6 +341,18 @@ def q_multi_row_upsert(spark, sf):
     return KeyedTable(target, order=("offset", "line")).snapshot(spark)
 
 
+def q_dead_letters(spark, sf):
+    root = scratch_path(spark, "dead_letters")
+    job = OrderBatchJob(
+        f"{root}/orders", target="sorted", opts=PipelineOptions(at=AT),
+        rejected_path=f"{root}/rejected", malformed_path=f"{root}/malformed", min_partitions=None,
+    )
+    job(events_faulted_topic(_events(spark, sf)), 0)
+    rejected = spark.read.parquet(f"{root}/rejected").select("offset", F.lit("rejected").alias("kind"), F.col("reject_reasons").alias("reason"))
+    malformed = spark.read.parquet(f"{root}/malformed").select("offset", F.lit("malformed").alias("kind"), "reason")
+    return rejected.unionByName(malformed)
+
+
 def q_engine_tag_parity(spark, sf):
     return with_engine_tag(_l_valid(spark, sf), from_status=True)
 
@@ -392,6 +404,7 @@ _QUERIES: dict[str, Query] = {
     "keyed_compaction": q_keyed_compaction,
     "engine_tag_parity": q_engine_tag_parity,
     "multi_row_upsert": q_multi_row_upsert,
+    "dead_letters": q_dead_letters,
     "stored_by_status": q_stored_by_status,
 }
 
@@ -584,6 +597,12 @@ _ORACLE: dict[str, str] = {
     "sql_upsert": _E_LATEST_CREATED.format(rank_desc="offset DESC", rank_asc="offset"),
     "keyed_compaction": _E_LATEST_CREATED.format(rank_desc="half DESC, offset DESC", rank_asc="half, offset"),
     "engine_tag_parity": f"SELECT *, status AS spark_engine FROM ({_L_VALID}) t",
+    "dead_letters": (
+        f"SELECT offset, 'malformed' AS kind, CASE WHEN {_DEAD} THEN 'malformed_document' ELSE 'field_conversion' END AS reason "
+        f"FROM ({_E_FAULTED}) e WHERE {_DEAD} OR {_QFAIL} "
+        f"UNION ALL SELECT offset, 'rejected' AS kind, 'status:null' AS reason "
+        f"FROM ({_E_FAULTED}) e WHERE f_status_missing AND NOT ({_DEAD} OR {_QFAIL})"
+    ),
     "multi_row_upsert": (
         "SELECT order_id, customer_id, product_id, quantity, price, total_price, order_timestamp, processing_timestamp, "
         "status, created_at FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY offset DESC, line DESC) AS rn, "
