@@ -73,6 +73,10 @@ class KeyedTable:
     * ``compact(target)`` writes the folded snapshot as a new base; a new log
       then continues from it (``KeyedTable(new_log, base=target)``), so reads
       never fold an unbounded log.
+
+    A log belongs to one stream checkpoint: batch ids restart at 0 on a new
+    checkpoint and would overwrite the old partitions. To move a stream to a
+    new checkpoint, compact first and give it a new log on top of the base.
     """
 
     def __init__(
