@@ -145,7 +145,9 @@ def main(argv: Sequence[str] | None = None, env: Mapping[str, str] | None = None
         trigger=a.trigger,
         available_now=a.available_now,
     )
-    query = start(records, _batch_fn(a, env, opts), stream)
+    batch_fn = _batch_fn(a, env, opts)
+    batch_fn.owner = stream.checkpoint  # tables belong to this checkpoint
+    query = start(records, batch_fn, stream)
     run(query, a.timeout)
     return query
 

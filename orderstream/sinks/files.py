@@ -55,6 +55,25 @@ def append_sorted(
     _write_batch_partition(observe(out) if observe else out, path, batch_id)
 
 
+def claim(spark: SparkSession, path: str, owner: str) -> None:
+    """Record that the batch-keyed table at ``path`` is written by the stream
+    whose checkpoint is ``owner``; fail if another stream already owns it
+    (its batch ids would collide). The marker lives in ``_owner``, which table
+    reads ignore."""
+    marker = f"{path.rstrip('/')}/_owner"
+    try:
+        current = spark.read.text(marker).first()
+    except AnalysisException:
+        current = None
+    if current is None:
+        spark.createDataFrame([(owner,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
+    elif current[0] != owner:
+        raise RuntimeError(
+            f"{path} is written by the stream checkpointed at {current[0]}; "
+            f"compact it and give the stream at {owner} a new table"
+        )
+
+
 def write_rejected(rejected: DataFrame, path: str, batch_id: int) -> None:
     """Dead-letter table: rejected rows with their reasons, per batch."""
     _write_batch_partition(rejected, path, batch_id)

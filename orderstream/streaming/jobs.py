@@ -20,7 +20,7 @@ from ..operators.enrich import enrich
 from ..operators.quality import split_valid
 from ..plans.enrichment import PipelineOptions
 from ..schemas import PROCESSED_COLUMNS, UPDATE_COLUMNS
-from ..sinks.files import KeyedTable, append_sorted, write_rejected
+from ..sinks.files import KeyedTable, append_sorted, claim, write_rejected
 from ..sources.tables import spread
 
 
@@ -49,6 +49,10 @@ class OrderBatchJob:
     # when calling the job on a frame that already shuffles (counting its
     # partitions would run that shuffle once more).
     min_partitions: int | None = 0
+    # The stream's checkpoint; when set, the job claims its tables on the
+    # first batch so a stream on another checkpoint cannot overwrite them.
+    owner: str | None = None
+    _claimed: bool = False
 
     def outputs(self, batch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
         o = self.opts
@@ -82,6 +86,11 @@ class OrderBatchJob:
         return annotated, valid, rejected, bad
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.owner and not self._claimed:
+            paths = [p for p in (self.path if isinstance(self.target, str) else None, self.rejected_path, self.malformed_path) if p]
+            for p in paths:
+                claim(batch.sparkSession, p, self.owner)
+            self._claimed = True
         annotated, valid, rejected, bad = self.outputs(batch)
         obs = Observation(f"orders_{batch_id}") if self.report else None
 

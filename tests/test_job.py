@@ -99,3 +99,14 @@ def test_jdbc_targets_receive_processed_rows(spark, monkeypatch):
     assert kind == "append" and cols == [*PROCESSED_COLUMNS, "spark_engine"] and rows == keys and table == "spark_processed_orders"
     kind, cols, rows, batch_id, order = calls[1]
     assert kind == "upsert" and cols[0] == "offset" and rows == 1000 and batch_id == 5 and order == ("offset",)
+
+
+def test_a_table_belongs_to_one_checkpoint(spark, tmp_path):
+    src = str(tmp_path / "topic")
+    events_topic(read_table(spark, SF, "events")).write.parquet(src)
+    common = ["--source", "files", "--topic-path", src, "--target", "sorted", "--target-path", str(tmp_path / "t"), "--available-now"]
+    main([*common, "--checkpoint", str(tmp_path / "ck1"), "--name", "own1"], env={}, spark=spark)
+    main([*common, "--checkpoint", str(tmp_path / "ck1"), "--name", "own1b"], env={}, spark=spark)  # same stream: fine
+    with pytest.raises(Exception, match="is written by the stream checkpointed at"):
+        main([*common, "--checkpoint", str(tmp_path / "ck2"), "--name", "own2"], env={}, spark=spark)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1000
