@@ -26,10 +26,17 @@ def read_topic(spark: SparkSession, opts: TopicOptions) -> DataFrame:
     return spark.readStream.format("kafka").options(**opts.reader_options()).load()
 
 
+def batch_reader_options(opts: TopicOptions, starting: str = "earliest", ending: str = "latest") -> dict[str, str]:
+    """Options for a bounded read: explicit start and end, no per-trigger cap
+    (a batch read takes the whole range, split by ``minPartitions``)."""
+    o = {k: v for k, v in opts.reader_options().items() if k not in ("startingOffsets", "maxOffsetsPerTrigger")}
+    o.update(startingOffsets=starting, endingOffsets=ending)
+    return o
+
+
 def read_topic_batch(spark: SparkSession, opts: TopicOptions, starting: str = "earliest", ending: str = "latest") -> DataFrame:
     """Bounded topic read (backfills)."""
-    o = {k: v for k, v in opts.reader_options().items() if k not in ("startingOffsets", "maxOffsetsPerTrigger")}
-    return spark.read.format("kafka").options(**o).option("startingOffsets", starting).option("endingOffsets", ending).load()
+    return spark.read.format("kafka").options(**batch_reader_options(opts, starting, ending)).load()
 
 
 def read_topic_files(

@@ -110,3 +110,11 @@ def test_upsert_jdbc_sequence_with_a_retry(spark, monkeypatch):
     assert write1[4] == write1[5]  # one row per key reaches the statement
     assert write2[:3] == write1[:3]  # the failed attempt reran from the stage write
     assert steps[2:] == [("sql", "INSERT"), ("sql", "DROP")]
+
+
+def test_bounded_topic_read_options():
+    from orderstream.sources.topic import batch_reader_options
+
+    o = batch_reader_options(TopicOptions("b:9092", group="g", min_partitions=64))
+    assert o["startingOffsets"] == "earliest" and o["endingOffsets"] == "latest"
+    assert "maxOffsetsPerTrigger" not in o and o["minPartitions"] == "64" and o["subscribe"] == "orders"
