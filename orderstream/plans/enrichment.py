@@ -68,7 +68,9 @@ def process(records: DataFrame, opts: PipelineOptions = PipelineOptions()) -> Da
 def process_split(records: DataFrame, opts: PipelineOptions = PipelineOptions()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(valid, rejected, malformed)``: rows fit for the store, rows that
     decoded but break a store constraint (with reasons), and messages the
-    decode policy dropped (with the text)."""
+    decode policy dropped (with the text). Each output reads ``records``
+    again; persist it first when writing all three (``OrderBatchJob`` does
+    this per micro-batch)."""
     valid, rejected = split_valid(process(records, opts))
     df = split_rows(records) if opts.split_lines else records
     keep = (*opts.keep, "line") if opts.split_lines else tuple(opts.keep)
