@@ -409,6 +409,23 @@ _QUERIES: dict[str, Query] = {
 }
 
 
+# The training-data operators are an optional subpackage: their queries are
+# added only where it (and the pipeline built on it) is present.
+try:
+    import corpus_pipeline
+    from orderstream.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if (missing.name or "").split(".llm")[0] not in ("orderstream", "corpus_pipeline"):
+        raise
+    _LLM_QUERIES: dict[str, Query] = {}
+    _LLM_ORACLE: dict[str, str] = {}
+else:
+    _LLM_QUERIES = {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    _LLM_ORACLE = dict(llm_queries.ORACLE)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        _LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship on sf0.001: lineitem as order messages -> decoded, enriched,
     constraint-checked processed orders."""
@@ -416,7 +433,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_LLM_QUERIES}
 
 
 # ---------------------------------------------------------------- oracle side
@@ -626,4 +643,4 @@ def _quote_offset(sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _quote_offset(v) for k, v in _ORACLE.items()}
+    return {k: _quote_offset(v) for k, v in _ORACLE.items()} | _LLM_ORACLE
