@@ -152,10 +152,11 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk:
     )
     by = Window.partitionBy("_stratum", "metric")
     above = by.orderBy(F.col("value").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    strata = bins.select("_stratum").distinct().agg(F.count(F.lit(1)).alias("_strata"))
+    one = F.lit(1).alias("_one")
+    strata = bins.select("_stratum", one).distinct().groupBy("_one").agg(F.count(F.lit(1)).alias("_strata"))
     scored = bins.select(
-        "*", F.sum("n").over(by).alias("good"), F.coalesce(F.sum("n").over(above), F.lit(0)).alias("lost")
-    ).join(F.broadcast(strata))  # one row
+        "*", one, F.sum("n").over(by).alias("good"), F.coalesce(F.sum("n").over(above), F.lit(0)).alias("lost")
+    ).join(F.broadcast(strata), "_one")  # one row
     groups = (
         scored.groupBy("_stratum", "metric", "_strata")
         .agg(F.max("good").alias("good"), F.collect_list(F.struct("value", "lost")).alias("steps"))  # at most 1001 bins

@@ -5,19 +5,94 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality
+from . import exact_dedup, mixing, quality, sharding, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    out = exact_dedup.classify(table(spark, sf, "documents"))
+    return out.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.choose(table(spark, sf, "documents")).drop("_row")
+
+
+def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, sf, "pages"), model)
+
+
 def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept")
 
 
+def op9_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """Placement of every document, and where it goes when the first shard is lost."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    placed = sharding.place(sharding.place(docs), sharding.SHARDS[1:], name="shard_after_loss")
+    return placed.select("doc_id", "shard", "shard_after_loss")
+
+
 QUERIES: dict[str, Query] = {
+    "op3_exact_dedup": op3_exact_dedup,
+    "op4_mixing": op4_mixing,
+    "op5_url_filter": op5_url_filter,
     "op6_quality_rules": op6_quality_rules,
+    "op9_sharding": op9_sharding,
 }
-ORACLE: dict[str, str] = {}
+
+_NORM = r"regexp_replace(coalesce(text, ''), '[ \x09-\x0D]+', '', 'g')"
+_OP3 = f"""
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+       row_number() OVER best = 1 AS kept, sha256(norm) AS text_sha256
+FROM (SELECT doc_id, {_NORM} AS norm, length(coalesce(text, '')) AS points FROM documents) d
+WINDOW best AS (PARTITION BY norm ORDER BY points DESC, doc_id NULLS LAST)
+"""
+
+
+def _level_sql(source: str, parent: str, level: str, budget: str) -> str:
+    """One level of the water filling: rows (parent keys, level, quota)."""
+    weight = "CASE " + " ".join(f"WHEN {level} = '{k}' THEN {v}" for k, v in mixing.WEIGHTS[level].items()) + " ELSE 1 END"
+    keys = [k for k in parent.split(", ") if k]
+    on = " AND ".join(f"n.{k} IS NOT DISTINCT FROM b.{k}" for k in keys) or "TRUE"
+    pick = "".join(f"n.{k}, " for k in keys)
+    by = f"PARTITION BY {parent}" if parent else ""
+    fill = f"{by} ORDER BY capacity::DOUBLE / weight, {level} NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    return f"""
+    SELECT {parent + ", " if parent else ""}{level}, CASE WHEN full_up THEN capacity ELSE greatest((budget - taken) * weight // others, 0) END AS budget
+    FROM (SELECT *, coalesce(sum(CASE WHEN full_up THEN capacity END) OVER ({by}), 0) AS taken,
+                 nullif(sum(CASE WHEN NOT full_up THEN weight END) OVER ({by}), 0) AS others
+          FROM (SELECT *, capacity * (total_w - w_before) <= greatest(budget - used, 0) * weight AS full_up
+                FROM (SELECT *, coalesce(sum(capacity) OVER ({fill}), 0) AS used, sum(weight) OVER ({by}) AS total_w,
+                             coalesce(sum(weight) OVER ({fill}), 0) AS w_before
+                      FROM (SELECT {pick}n.{level}, {weight.replace(level, "n." + level)} AS weight, sum(tokens * {mixing.MAX_EPOCHS}) AS capacity, any_value(b.budget) AS budget
+                            FROM {source} n JOIN {budget} b ON {on} GROUP BY {pick}n.{level}) a) c) d) e
+    """
+
+
+_OP4 = rf"""
+WITH t AS (SELECT doc_id, CASE WHEN num < 10 THEN 'web' WHEN num < 15 THEN 'books' ELSE 'forum' END AS domain, lang, source, n_tokens
+           FROM (SELECT *, TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) AS num,
+                        len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS n_tokens FROM documents) x WHERE n_tokens > 0),
+leaves AS (SELECT domain, lang, source, sum(n_tokens) AS tokens FROM t GROUP BY ALL),
+l0 AS (SELECT sum(tokens) * {mixing.BUDGET_PERCENT} // 100 AS budget FROM leaves),
+l1 AS ({_level_sql("leaves", "", "domain", "l0")}),
+l2 AS ({_level_sql("leaves", "domain", "lang", "l1")}),
+l3 AS ({_level_sql("leaves", "domain, lang", "source", "l2")}),
+q AS (SELECT v.*, l3.budget AS quota, l3.budget // v.tokens AS epochs, l3.budget % v.tokens AS more FROM leaves v JOIN l3
+      ON v.domain IS NOT DISTINCT FROM l3.domain AND v.lang IS NOT DISTINCT FROM l3.lang AND v.source IS NOT DISTINCT FROM l3.source),
+k AS (SELECT t.*, q.quota, q.epochs, q.more, md5(concat_ws(':', '{mixing.SEED}', q.epochs, coalesce(t.doc_id::VARCHAR, 'null'))) AS key FROM t JOIN q
+      ON t.domain IS NOT DISTINCT FROM q.domain AND t.lang IS NOT DISTINCT FROM q.lang AND t.source IS NOT DISTINCT FROM q.source),
+s AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key, doc_id
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM k)
+SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens, (epochs + CASE WHEN start < more THEN 1 ELSE 0 END)::BIGINT AS copies, quota::BIGINT AS quota
+FROM s WHERE epochs + CASE WHEN start < more THEN 1 ELSE 0 END > 0
+"""
+
+ORACLE: dict[str, str] = {"op3_exact_dedup": _OP3, "op4_mixing": _OP4}
