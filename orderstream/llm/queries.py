@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, quality, sharding, url_filter
+from . import chat, exact_dedup, mixing, pii, quality, sharding, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     out = exact_dedup.classify(table(spark, sf, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -47,6 +52,7 @@ def op10_chat_format(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_pii": op2_pii,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_mixing": op4_mixing,
     "op5_url_filter": op5_url_filter,
