@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, pii, quality, sharding, url_filter
+from . import chat, exact_dedup, mixing, pii, quality, sampled_pieces, sharding, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sampled_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    model = sampled_pieces.load()
+    drawn = sampled_pieces.decode(sampled_pieces.encode(table(spark, sf, "documents"), model), model)
+    return drawn.withColumn("text_sha256", F.sha2("text", 256)).drop("text")
+
+
 def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return pii.find(docs, pii.fit(docs))
@@ -52,6 +58,7 @@ def op10_chat_format(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_sampled_pieces": op1_sampled_pieces,
     "op2_pii": op2_pii,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_mixing": op4_mixing,
