@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderstream.llm import quality
+from orderstream.llm import exact_dedup, mixing, near_dedup, quality, sampled_pieces
 from orderstream.llm.common import stored, table
 
 
@@ -20,8 +20,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.keep_first(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Five-word shingles, 80 % similar."""
+    return near_dedup.keep_one(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sampled_pieces.encode(docs, sampled_pieces.load())
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("exact_duplicates", exact_duplicates),
+    ("near_duplicates", near_duplicates),
+    ("mixture", mixture),
+    ("segmentations", segmentations),
 ]
 #: Learned cutoffs, minhash and sampled segmentations have no SQL form; the
 #: stages are tested against brute-force versions.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, near_dedup, pii, quality, sampled_pieces, sharding, url_filter
+from . import chat, exact_dedup, mixing, near_dedup, pii, quality, sampled_pieces, sharding, substring_dedup, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op7_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.classify(table(spark, sf, "documents"), words=3, percent=85)
 
 
+def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup.remove(table(spark, sf, "documents"), with_text=False).drop("spans", "text")
+
+
 def op9_sharding(spark: SparkSession, sf: str) -> DataFrame:
     """Placement of every document, and where it goes when the first shard is lost."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -69,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op5_url_filter": op5_url_filter,
     "op6_quality_rules": op6_quality_rules,
     "op7_near_dedup": op7_near_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
     "op10_chat_format": op10_chat_format,
 }
