@@ -18,6 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -42,10 +43,10 @@ from orderstream.operators import (  # noqa: E402
     with_defaults,
     with_engine_tag,
 )
-from orderstream.operators.upsert import BROADCAST_KEY_LIMIT  # noqa: E402
+from orderstream import compact  # noqa: E402
 from orderstream.options import StreamOptions  # noqa: E402
-from orderstream.plans import PipelineOptions, enrich_sql, enrich_sql_text, insert_into_keyed, process  # noqa: E402
-from orderstream.schemas import PROCESSED_COLUMNS, RAW_COLUMNS  # noqa: E402
+from orderstream.plans import PipelineOptions, enrich_sql, enrich_sql_text, insert_into_keyed, process, process_split  # noqa: E402
+from orderstream.schemas import PROCESSED_COLUMNS, RAW_COLUMNS, RAW_ORDER, UPDATE_COLUMNS  # noqa: E402
 from orderstream.session import scratch_path  # noqa: E402
 from orderstream.sinks import KeyedTable  # noqa: E402
 from orderstream.sources import (  # noqa: E402
@@ -54,21 +55,28 @@ from orderstream.sources import (  # noqa: E402
     events_correction_topic,
     events_csv_topic,
     events_faulted_topic,
+    events_shaped_topic,
     events_topic,
     events_two_row_topic,
     lineitem_faulted_orders,
+    lineitem_huge_topic,
+    lineitem_net_topic,
     lineitem_topic,
     read_processed,
     read_table,
 )
 from orderstream.sources.standins import (  # noqa: E402
+    EVENT_SHAPES,
     EVENTS_K_DUCKDB,
     csv_decoder,
     LINEITEM_FAULT_PRICE,
+    LINEITEM_HUGE,
+    LINEITEM_HUGE_PRICE,
+    LINEITEM_NET_PRICE,
     LINEITEM_ORDER_SQL,
     events_order_sql,
 )
-from orderstream.sources.topic import MAX_FILES_PER_TRIGGER, register_topic  # noqa: E402
+from orderstream.sources.topic import read_topic_files, register_topic  # noqa: E402
 from orderstream.streaming import OrderBatchJob, materialize, run, start, start_files  # noqa: E402
 from orderstream.streaming.runner import observe_intake  # noqa: E402
 
@@ -84,11 +92,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ---------------------------------------------------------------- Spark side
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, sf, "events")
+    # The test tables are one split each: deal their rows to all cores.
+    return read_table(spark, sf, "events", partitions=spark.sparkContext.defaultParallelism)
 
 
 def _lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, sf, "lineitem")
+    return read_table(spark, sf, "lineitem", partitions=spark.sparkContext.defaultParallelism)
 
 
 def _e_processed(spark: SparkSession, sf: str, **kw) -> DataFrame:
@@ -245,18 +254,16 @@ def q_upsert_snapshot(spark, sf):
     first = p.filter(F.col("order_timestamp") < half)
     second = p.filter(F.col("order_timestamp") >= half)
     created = F.col("order_timestamp")
-    # The snapshot after the first batch is stored (a reliable checkpoint in
-    # spark.checkpoint.dir), as a keyed table is between batches; the second
-    # batch then splits it on its broadcast key set (size-checked).
-    snap = upsert_snapshot(empty_snapshot(p), first, created_value=created).checkpoint()
-    return upsert_snapshot(snap, second, created_value=created, broadcast_key_limit=BROADCAST_KEY_LIMIT)
+    # The snapshot after the first batch is stored, as a keyed table is between batches.
+    path = scratch_path(spark, "snapshot")
+    upsert_snapshot(empty_snapshot(p), first, created_value=created).write.parquet(path)
+    return upsert_snapshot(spark.read.parquet(path), second, created_value=created)
 
 
-def _events_stream(spark: SparkSession, sf: str, max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """The events table as a file stream (bounded files per micro-batch)."""
-    schema = read_table(spark, sf, "events", min_partitions=None).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return reader.option("maxFilesPerTrigger", str(max_files)).parquet(sf)
+def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The events table as a file stream."""
+    schema = read_table(spark, sf, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
 def _once(target: str) -> StreamOptions:
@@ -335,7 +342,6 @@ def q_multi_row_upsert(spark, sf):
     target = scratch_path(spark, "multi_row_upsert")
     job = OrderBatchJob(
         target, target="keyed", opts=PipelineOptions(at=AT, split_lines=True), created_value=F.col("order_timestamp"),
-        min_partitions=None,  # the table read is already spread
     )
     job(events_correction_topic(_events(spark, sf)), 0)
     return KeyedTable(target, order=("offset", "line")).snapshot(spark)
@@ -345,7 +351,7 @@ def q_dead_letters(spark, sf):
     root = scratch_path(spark, "dead_letters")
     job = OrderBatchJob(
         f"{root}/orders", target="sorted", opts=PipelineOptions(at=AT),
-        rejected_path=f"{root}/rejected", malformed_path=f"{root}/malformed", min_partitions=None,
+        rejected_path=f"{root}/rejected", malformed_path=f"{root}/malformed",
     )
     job(events_faulted_topic(_events(spark, sf)), 0)
     rejected = spark.read.parquet(f"{root}/rejected").select("offset", F.lit("rejected").alias("kind"), F.col("reject_reasons").alias("reason"))
@@ -364,6 +370,111 @@ def q_stored_by_status(spark, sf):
     return by_status(stored, STATUS).select(*PROCESSED_COLUMNS)
 
 
+def _pipeline(mode: str) -> Query:
+    """The whole pipeline on messages whose price has four digits."""
+
+    def q(spark, sf):
+        processed = process(lineitem_net_topic(_lineitem(spark, sf)), PipelineOptions(at=AT, keep=(), rounding=mode))
+        return split_valid(processed)[0]
+
+    return q
+
+
+def q_price_out_of_range(spark, sf):
+    double_price = T.StructType([T.StructField("price", T.DoubleType()) if f.name == "price" else f for f in RAW_ORDER.fields])
+    opts = PipelineOptions(at=AT, keep=(), rounding="half_up", schema=double_price)
+    return process_split(lineitem_huge_topic(_lineitem(spark, sf)), opts)[1].select("order_id", "reject_reasons")
+
+
+def q_decode_strict(spark, sf):
+    return decode_json(events_shaped_topic(_events(spark, sf)), "drop_malformed", keep=("offset",))
+
+
+def q_decode_strict_rejects(spark, sf):
+    return malformed(events_shaped_topic(_events(spark, sf)), "drop_malformed", keep=("offset",)).select("offset", "reason")
+
+
+def q_messages_accounted(spark, sf):
+    seen = []
+    job = OrderBatchJob(scratch_path(spark, "accounted"), opts=PipelineOptions(at=AT), report=lambda _, counts: seen.append(counts))
+    job(events_faulted_topic(_events(spark, sf)), 0)
+    counts = ("messages", "malformed", "rejected", "valid_rows", "total_amount")
+    return spark.createDataFrame([[seen[0][c] for c in counts]], "messages long, malformed long, rejected long, valid_rows long, total_amount decimal(20,2)")
+
+
+def q_enrich_sql_faulted(spark, sf):
+    view = "orders_faulted_" + scratch_path(spark, "v").rsplit("-", 1)[-1]
+    register_topic(spark, view, events_faulted_topic(_events(spark, sf)), mode="drop_malformed")
+    return spark.sql(enrich_sql_text(view, AT, keep=("offset",), ts_precision="ms", null_status="drop"))
+
+
+def q_sql_upsert_faulted(spark, sf):
+    """Rows the store would refuse go out at the sink, with their reasons."""
+    view = "orders_faulted_" + scratch_path(spark, "v").rsplit("-", 1)[-1]
+    register_topic(spark, view, events_faulted_topic(_events(spark, sf)), mode="drop_malformed")
+    table = KeyedTable(scratch_path(spark, "sql_upsert_faulted"))
+    insert_into_keyed(spark, enrich_sql_text(view, AT, keep=("offset",)), table, 0, created_value=F.col("order_timestamp"))
+    return table.snapshot(spark)
+
+
+def q_tagged_compaction(spark, sf):
+    """A column beyond the processed ones survives the upsert and a compaction."""
+    p = with_engine_tag(_e_processed(spark, sf))
+    half, created = ntz_literal(HALF), F.col("order_timestamp")
+    columns = (*UPDATE_COLUMNS, "spark_engine")
+    logs = [scratch_path(spark, "tagged_log") for _ in range(2)]
+    KeyedTable(logs[0], columns=columns).write_batch(p.filter(F.col("order_timestamp") < half), 0, created)
+    base = compact.main(["--log", logs[0], "--out", scratch_path(spark, "tagged_base")], spark=spark)
+    KeyedTable(logs[1], columns=columns).write_batch(p.filter(F.col("order_timestamp") >= half), 0, created)
+    out = compact.main(["--log", logs[1], "--base", base, "--out", scratch_path(spark, "tagged_base")], spark=spark)
+    return spark.read.parquet(out)
+
+
+def _topic_files(spark: SparkSession, sf: str, path: str, late: bool, files: int) -> None:
+    """One half of the events, as order messages in files."""
+    half = ntz_literal(HALF)
+    events = _events(spark, sf).filter(F.col("ts") >= half if late else F.col("ts") < half)
+    events_topic(events).repartitionByRange(files, "offset").write.mode("append").parquet(path)
+
+
+def q_stream_restart(spark, sf):
+    """One file per micro-batch; the stream stops, more files arrive, it goes on."""
+    topic, target = scratch_path(spark, "restart_topic"), scratch_path(spark, "restart_orders")
+    for late in (False, True):
+        _topic_files(spark, sf, topic, late, files=3)
+        records = read_topic_files(spark, topic, max_files_per_trigger=1)
+        job = OrderBatchJob(target, target="sorted", opts=PipelineOptions(at=AT))
+        run(start(records, job, _once(target)))
+    return spark.read.parquet(target).drop("batch_id")
+
+
+def q_stream_multi_batch_upsert(spark, sf):
+    """Keyed upserts over several micro-batches with a restart in between; a
+    later batch wins over an earlier one."""
+    topic, target = scratch_path(spark, "upsert_topic"), scratch_path(spark, "upsert_orders")
+    for late in (False, True):
+        _topic_files(spark, sf, topic, late, files=1)
+        records = read_topic_files(spark, topic, max_files_per_trigger=1)
+        job = OrderBatchJob(target, target="keyed", opts=PipelineOptions(at=AT), created_value=F.col("order_timestamp"))
+        run(start(records, job, _once(target)))
+    return KeyedTable(target).snapshot(spark)
+
+
+def _stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The processed orders as a stored table, sorted for lookups."""
+    path = scratch_path(spark, "processed_sorted")
+    _l_valid(spark, sf).repartitionByRange("order_timestamp").sortWithinPartitions("order_timestamp").write.parquet(path)
+    return read_processed(spark, path)
+
+
+def q_stored_by_customer(spark, sf):
+    return by_customer(_stored(spark, sf), CUSTOMER)
+
+
+def q_stored_by_order_time(spark, sf):
+    return by_order_time(_stored(spark, sf), TIME_LO, TIME_HI)
+
+
 _QUERIES: dict[str, Query] = {
     "decode_json": q_decode_json,
     "decode_roundtrip": q_decode_roundtrip,
@@ -406,6 +517,21 @@ _QUERIES: dict[str, Query] = {
     "multi_row_upsert": q_multi_row_upsert,
     "dead_letters": q_dead_letters,
     "stored_by_status": q_stored_by_status,
+    "pipeline_exact": _pipeline("exact"),
+    "pipeline_half_up": _pipeline("half_up"),
+    "pipeline_half_even": _pipeline("half_even"),
+    "pipeline_scaled": _pipeline("scaled"),
+    "price_out_of_range": q_price_out_of_range,
+    "decode_strict": q_decode_strict,
+    "decode_strict_rejects": q_decode_strict_rejects,
+    "messages_accounted": q_messages_accounted,
+    "enrich_sql_faulted": q_enrich_sql_faulted,
+    "sql_upsert_faulted": q_sql_upsert_faulted,
+    "tagged_compaction": q_tagged_compaction,
+    "stream_restart": q_stream_restart,
+    "stream_multi_batch_upsert": q_stream_multi_batch_upsert,
+    "stored_by_customer": q_stored_by_customer,
+    "stored_by_order_time": q_stored_by_order_time,
 }
 
 
@@ -533,6 +659,34 @@ _REASONS = (
 )
 _L_CHECKED = f"SELECT *, {_REASONS} AS reject_reasons FROM ({_processed_select(_L_FAULTED_RAW, offset=False)}) c"
 
+def _net_sql(mode: str) -> str:
+    """The pipeline on the price after discount: the product is rounded, and the
+    price is narrowed on its own."""
+    x = f"CAST(quantity AS DECIMAL(10,0)) * ({LINEITEM_NET_PRICE})"
+    total = {
+        "exact": f"quantity * CAST({LINEITEM_NET_PRICE} AS DECIMAL(10,2))",
+        "half_up": f"round({x}, 2)",
+        "half_even": f"round_even({x}, 2)",
+        "scaled": f"floor({x} * 100 + 0.5) * 0.01",
+    }[mode]
+    raw = _L_RAW.replace("FROM lineitem", ", l_extendedprice, l_discount FROM lineitem")
+    return (
+        f"SELECT order_id, customer_id, product_id, quantity, CAST({LINEITEM_NET_PRICE} AS DECIMAL(10,2)) AS price, "
+        f"CAST({total} AS DECIMAL(10,2)) AS total_price, order_timestamp, {_TS} AS processing_timestamp, upper(status) AS status FROM ({raw}) r"
+    )
+
+
+_ODD = " OR ".join(f"({EVENT_SHAPES[k]})" for k in ("two_documents", "trailing_text", "single_quoted"))
+
+
+def _latest_created(processed: str, rank_desc: str, rank_asc: str) -> str:
+    return (
+        "SELECT order_id, customer_id, product_id, quantity, price, total_price, order_timestamp, processing_timestamp, status, created_at "
+        f"FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY {rank_desc}) AS rn, "
+        f"first_value(order_timestamp) OVER (PARTITION BY order_id ORDER BY {rank_asc}) AS created_at FROM ({processed}) p) r WHERE rn = 1"
+    )
+
+
 _E_LATEST_CREATED = (
     "SELECT order_id, customer_id, product_id, quantity, price, total_price, order_timestamp, "
     "processing_timestamp, status, created_at FROM ("
@@ -633,6 +787,37 @@ _ORACLE: dict[str, str] = {
         ).replace("SELECT offset,", "SELECT offset, line,", 1)
         + ") p) w WHERE rn = 1"
     ),
+    **{f"pipeline_{mode}": _net_sql(mode) for mode in ("exact", "half_up", "half_even", "scaled")},
+    "price_out_of_range": (
+        f"SELECT {LINEITEM_ORDER_SQL['order_id']} AS order_id, 'price:null,total_price:null' AS reject_reasons FROM lineitem "
+        f"WHERE {LINEITEM_HUGE} AND TRY_CAST({LINEITEM_HUGE_PRICE} AS DECIMAL(10,2)) IS NULL"
+    ),
+    "decode_strict": f"SELECT s.* FROM ({_E_RAW}) s JOIN events e ON s.offset = e.event_id WHERE NOT ({_ODD})",
+    "decode_strict_rejects": f"SELECT event_id AS offset, 'malformed_document' AS reason FROM events WHERE {_ODD}",
+    "messages_accounted": (
+        f"SELECT count(*) AS messages, sum(bad::BIGINT)::BIGINT AS malformed, sum((NOT bad AND f_status_missing)::BIGINT)::BIGINT AS rejected, "
+        "sum((NOT bad AND NOT f_status_missing)::BIGINT)::BIGINT AS valid_rows, "
+        "sum(CASE WHEN NOT bad AND NOT f_status_missing AND NOT f_quantity_missing THEN quantity * price END)::DECIMAL(20,2) AS total_amount "
+        f"FROM (SELECT *, {_DEAD} OR {_QFAIL} AS bad FROM ({_E_FAULTED}) e) b"
+    ),
+    "enrich_sql_faulted": _processed_select(
+        _faulted_sql(f"NOT {_DEAD} AND NOT {_QFAIL} AND NOT f_status_missing", "CASE WHEN f_quantity_missing THEN 0 ELSE quantity END"),
+        offset=True, ts="date_trunc('milliseconds', order_timestamp)",
+    ),
+    "sql_upsert_faulted": _latest_created(
+        _processed_select(
+            _faulted_sql(f"NOT {_DEAD} AND NOT {_QFAIL} AND NOT f_status_missing", "CASE WHEN f_quantity_missing THEN 0 ELSE quantity END"), offset=True
+        ),
+        "offset DESC", "offset",
+    ),
+    "tagged_compaction": "SELECT *, 'PySpark' AS spark_engine FROM (" + _E_LATEST_CREATED.format(rank_desc="half DESC, offset DESC", rank_asc="half, offset") + ") t",
+    "stream_restart": _E_PROCESSED,
+    "stream_multi_batch_upsert": _E_LATEST_CREATED.format(rank_desc="half DESC, offset DESC", rank_asc="half, offset"),
+    "stored_by_customer": f"SELECT * FROM ({_L_VALID}) t WHERE customer_id = 'CUST-7'",
+    "stored_by_order_time": (
+        f"SELECT * FROM ({_L_VALID}) t WHERE order_timestamp >= TIMESTAMP '1999-01-01 00:00:00' "
+        "AND order_timestamp < TIMESTAMP '1999-04-01 00:00:00'"
+    ),
     "stored_by_status": f"SELECT * FROM ({_L_VALID}) t WHERE status = 'SHIPPED'",
 }
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import MONEY
+from ..schemas import UNROUNDED
 
 ROUNDING_MODES = ("exact", "half_up", "half_even", "scaled")
 
@@ -44,12 +44,15 @@ def round_money(x: Column | str, mode: str = "half_up", scale: int = 2) -> Colum
 
 
 def total_price(quantity: Column | str = "quantity", price: Column | str = "price", rounding: str = "exact") -> Column:
-    """``quantity * price`` as ``decimal(10,2)``.
-
-    With a whole quantity and a 2-dp price the product is exact, so every
-    rounding mode agrees on well-formed orders; the product is computed in
-    ``decimal(21,2)`` (no intermediate overflow) and only the final narrowing
-    can fail, which yields NULL for the quality check to reject.
-    """
-    product = _col(quantity).cast("decimal(10,0)") * _col(price).cast(MONEY)
+    """``quantity * price`` as ``decimal(10,2)``; NULL where it does not fit.
+
+    ``exact`` multiplies the price as the store keeps it (two digits), so there
+    is nothing to round. The other modes multiply the price as the message has
+    it and round the product; only the result is narrowed. No step raises: a
+    value out of range gives NULL for the quality check to reject."""
+    count = _col(quantity).try_cast("decimal(10,0)")
+    if rounding == "exact":
+        return to_money(F.try_multiply(count, to_money(price)))
+    # 18 whole and 6 fraction digits hold any product that can still fit.
+    product = F.try_multiply(count, _col(price).try_cast(UNROUNDED))
     return to_money(round_money(product, rounding))

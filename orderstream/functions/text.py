@@ -17,15 +17,12 @@ AUDIT_PARTS = ("Processing: ", " | Status: ", " | Total: $")
 
 def audit_line(order_id: str = "order_id", status: str = "status", total: str = "total_price") -> Column:
     """``Processing: <id> | Status: <s> | Total: $<t>`` as a column (printed
-    per record by the original jobs; here it is data, written or observed)."""
-    return F.concat(
-        F.lit(AUDIT_PARTS[0]),
-        F.col(order_id),
-        F.lit(AUDIT_PARTS[1]),
-        F.col(status),
-        F.lit(AUDIT_PARTS[2]),
-        F.col(total).cast("string"),
-    )
+    per record by the original jobs; here it is data, written or observed). A
+    missing part reads ``null``; the line is never NULL."""
+    parts: list[Column] = []
+    for label, value in zip(AUDIT_PARTS, (order_id, status, total), strict=True):
+        parts += [F.lit(label), F.coalesce(F.col(value).cast("string"), F.lit("null"))]
+    return F.concat(*parts)
 
 
 def encode_key(c: Column | str = "order_id") -> Column:

@@ -5,25 +5,25 @@
 
 Settings come from flags, else from the environment (the same names the
 original jobs used), else defaults; credentials have no default. Checkpoints
-live below the session's ``spark.checkpoint.dir`` unless ``--checkpoint`` is
-given.
+live below the session's ``spark.checkpoint.dir``, in a folder that belongs to the
+stream's name and target, unless ``--checkpoint`` is given.
 """
 
 from __future__ import annotations
 
 import argparse
+import hashlib
 import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators.enrich import with_engine_tag
-from .operators.upsert import latest_per_key
 from .options import JdbcOptions, StreamOptions, TopicOptions
 from .plans.enrichment import PipelineOptions
-from .session import scratch_path
+from .session import checkpoint_root
 from .sinks.jdbc import append_jdbc, upsert_jdbc
-from .sources.topic import read_topic, read_topic_files
+from .sources.topic import read_topic, read_topic_files, value_only
 from .streaming.jobs import OrderBatchJob
 from .streaming.runner import observe_intake, run, start
 
@@ -33,7 +33,10 @@ log = logging.getLogger("orderstream.job")
 
 def log_batch(batch_id: int, metrics: dict) -> None:
     """Report each written batch (from metrics observed during the write)."""
-    log.info("batch %s written: %s valid rows, total %s", batch_id, metrics.get("valid_rows"), metrics.get("total_amount"))
+    log.info(
+        "batch %s written: %s messages, %s malformed, %s rejected, %s valid rows, total %s",
+        batch_id, *(metrics.get(k) for k in ("messages", "malformed", "rejected", "valid_rows", "total_amount")),
+    )
 
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -61,6 +64,8 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p.add_argument("--ts-format", choices=("iso", "micros"), default="iso")
     p.add_argument("--coerce-numbers", action="store_true", help='accept "3" and 2.7 as quantities')
     p.add_argument("--no-fill-missing", action="store_true", help="absent quantity/price stay NULL (else 0)")
+    p.add_argument("--null-numbers", choices=("drop", "fill"), default="drop", help="an explicit null quantity or price")
+    p.add_argument("--partitions", type=int, default=None, help="shuffle partitions of this stream (first start)")
     p.add_argument("--null-status", choices=("keep", "drop"), default="keep")
     p.add_argument("--engine-tag", help="add a spark_engine column with this value")
     p.add_argument("--engine-tag-from-status", action="store_true", help="spark_engine copies the status")
@@ -76,7 +81,7 @@ def _records(spark: SparkSession, a: argparse.Namespace, env: Mapping[str, str])
     if a.source == "files":
         if not a.topic_path:
             raise SystemExit("--topic-path is required with --source files")
-        return read_topic_files(spark, a.topic_path, max_files_per_trigger=a.max_per_batch or 1000)
+        return read_topic_files(spark, a.topic_path, max_files_per_trigger=a.max_per_batch)
     base = TopicOptions.from_env(env, group=a.group)
     opts = TopicOptions(
         bootstrap_servers=base.bootstrap_servers,
@@ -109,14 +114,22 @@ def _batch_fn(a: argparse.Namespace, env: Mapping[str, str], opts: PipelineOptio
 
     def write(valid: DataFrame, batch_id: int) -> None:
         if a.target == "jdbc_append":
-            # Appending into a keyed table fails on a repeated key: one row per key.
-            append_jdbc(latest_per_key(valid, order=order).drop(*order), jdbc)
+            append_jdbc(valid.drop(*order), jdbc)  # every version of an order
         else:
-            upsert_jdbc(valid, jdbc, batch_id, order=order)
+            upsert_jdbc(valid, jdbc, batch_id, order=order, stream=checkpoint_of(valid.sparkSession, a))
 
     return OrderBatchJob(target=write, **dead_letters)
 
 
+def checkpoint_of(spark: SparkSession, a: argparse.Namespace) -> str:
+    """The checkpoint given, or one that the stream's name and target always map
+    to, so that a restarted job goes on where it stopped."""
+    if a.checkpoint:
+        return a.checkpoint
+    target = hashlib.sha256(f"{a.target} {a.target_path} {a.jdbc_table}".encode()).hexdigest()[:12]
+    return f"{checkpoint_root(spark)}/ckpt-{a.name}-{target}"
+
+
 def options_from_args(a: argparse.Namespace) -> PipelineOptions:
     return PipelineOptions(
         mode=a.mode,
@@ -127,6 +140,7 @@ def options_from_args(a: argparse.Namespace) -> PipelineOptions:
         ts_precision=a.ts_precision,
         rounding=a.rounding,
         null_status=a.null_status,
+        null_numbers=a.null_numbers,
     )
 
 
@@ -138,12 +152,13 @@ def main(argv: Sequence[str] | None = None, env: Mapping[str, str] | None = None
     env = os.environ if env is None else env
     spark = spark or SparkSession.builder.appName(a.name).getOrCreate()
     opts = options_from_args(a)
-    records = observe_intake(_records(spark, a, env))
+    records = observe_intake(value_only(_records(spark, a, env)))
     stream = StreamOptions(
         name=a.name,
-        checkpoint=a.checkpoint or scratch_path(spark, f"ckpt-{a.name}"),
+        checkpoint=checkpoint_of(spark, a),
         trigger=a.trigger,
         available_now=a.available_now,
+        partitions=a.partitions,
     )
     batch_fn = _batch_fn(a, env, opts)
     batch_fn.owner = stream.checkpoint  # tables belong to this checkpoint

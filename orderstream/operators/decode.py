@@ -1,9 +1,12 @@
 """Decode order messages: bytes -> text -> typed columns (DEC-1..13).
 
-One JSON parse per message (``from_json`` with a corrupt-record column). A
-second parse (``json_object_keys``) runs only for the rare records the first
-one flagged, to tell a broken document (drop it) from a broken field (keep or
-drop it by mode). Everything stays in JVM expressions; no Python per row.
+One JSON parse per message (``from_json`` with a corrupt-record column). Further
+parses run only for rare records: ``json_object_keys`` where the first parse
+complained (a broken document or a broken field?) or a filled number is NULL
+(absent or an explicit null?), and a check of the whole text where it is not
+plainly one flat object. A message is one document: text before or after it, a
+second object or single-quoted strings make it malformed (several orders per
+message are read with ``split_rows``). Everything stays in JVM expressions.
 
 Modes, one per behaviour found among the reference's pipelines:
 
@@ -32,8 +35,12 @@ from ..schemas import RAW_ORDER
 MODES = ("drop_malformed", "null_fields", "permissive")
 TS_FORMATS = ("iso", "micros")
 
+NULL_NUMBERS = ("drop", "fill")
+
+_PLAIN_NUMBER = r"^\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 _TEXT = "_text"
 _DOC = "_doc"
+_ALONE = "_alone"
 _CORRUPT = "_corrupt"
 DOC_OK = "_doc_ok"
 FIELD_FAILED = "_field_failed"
@@ -54,7 +61,7 @@ def split_rows(df: DataFrame, value: str = "value", sep: str = "\n", position: s
     """
     text = F.col(value).cast("string")
     # ``split`` takes a pattern; quote the separator so it is matched literally.
-    lines = F.filter(F.split(text, "\\Q" + sep + "\\E"), lambda x: F.length(F.trim(x)) > 0)
+    lines = F.filter(F.split(text, "\\Q" + sep + "\\E"), lambda x: x.rlike(r"\S"))
     keep = [c for c in df.columns if c != value]
     return df.select(*keep, F.posexplode(lines).alias(position, value))
 
@@ -71,12 +78,33 @@ def _parse_schema(schema: T.StructType, coerce_numbers: bool) -> T.StructType:
 
 
 def _coerce(text: Column, target: T.DataType) -> Column:
-    """Numbers given as JSON strings or with a fraction: ``"3"`` -> 3,
-    ``2.7`` -> 2 (truncated, as an integer conversion does). Anything else that
-    does not convert gives NULL."""
+    """A number given as a JSON number or string. A string must be a whole
+    integer for an integer field (``"3"`` -> 3, ``"2.7"`` and ``"3d"`` -> NULL);
+    a number loses its fraction, as an integer conversion does. The parser hands
+    both over as text; ``annotate`` tells them apart where there is a fraction."""
     if isinstance(target, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        return text.try_cast("double").try_cast(target)
-    return text.try_cast(target)
+        # decimal(38,6), not double: no digit of a bigint is lost.
+        return F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("decimal(38,6)").try_cast(target))
+    return F.when(text.rlike(_PLAIN_NUMBER), text.try_cast(target))
+
+
+def _quoted(doc: Column, name: str) -> Column:
+    """Whether the field's value is a JSON string. Looked at only for text with
+    a fraction, so the pattern rarely runs."""
+    return doc.rlike('"' + name + r'"\s*:\s*"')
+
+
+def is_one_document(text: Column) -> Column:
+    """Whether the text is one JSON object and nothing else. Most messages are
+    one flat object, which a pattern tells; only for others the text is parsed as
+    the first of two elements of an array, so that anything beside it shows."""
+    flat = text.rlike(r"^\s*\{[^{}']*\}\s*$")
+    end = "end of the message"
+    probe = F.from_json(
+        F.concat(F.lit("["), text, F.lit(f',"{end}"]')), T.ArrayType(T.StringType()), {"allowSingleQuotes": "false"}
+    )
+    alone = (F.size(probe) == 2) & (F.get(probe, 1) == end) & text.rlike(r"^\s*\{")
+    return F.coalesce(F.when(flat, F.lit(True)).otherwise(alone), F.lit(False))
 
 
 def annotate(
@@ -89,31 +117,42 @@ def annotate(
     coerce_numbers: bool = False,
     ts_format: str = "iso",
     ts_precision: str = "us",
+    null_numbers: str = "drop",
 ) -> DataFrame:
-    """Decode without dropping: typed fields plus ``_doc_ok`` (a JSON object)
-    and ``_field_failed`` (some present field did not convert)."""
+    """Decode without dropping: typed fields plus ``_doc_ok`` (one JSON object)
+    and ``_field_failed`` (some present field did not convert).
+
+    ``fill_missing`` gives absent fields a value. An explicit null in such a
+    field fails to convert (``null_numbers="drop"``) or is filled like an absent
+    one (``"fill"``)."""
     if ts_format not in TS_FORMATS:
         raise ValueError(f"ts_format must be one of {TS_FORMATS}")
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    if null_numbers not in NULL_NUMBERS:
+        raise ValueError(f"null_numbers must be one of {NULL_NUMBERS}")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"}
     if ts_format == "micros":
         options["timestampNTZFormat"] = ISO_MICROS
         options["timestampFormat"] = ISO_MICROS
     text = F.col(value).cast("string")
     doc = F.from_json(F.col(_TEXT), _parse_schema(schema, coerce_numbers), options)
-    # The parse sits behind a one-element explode: predicate pushdown cannot
-    # move the mode's filter below a generator, so Catalyst does not inline
-    # (and repeat) ``from_json`` inside the filter. One parse per message.
+    # The parse and the whole-text check sit behind a one-element explode:
+    # predicate pushdown cannot move the mode's filter below a generator, so
+    # Catalyst does not inline (and repeat) them inside the filter.
     parsed = df.select(
         *[F.col(c) for c in keep],
         text.alias(_TEXT),
     ).select(
         *[F.col(c) for c in keep],
         F.col(_TEXT),
-        F.explode(F.array(doc)).alias(_DOC),
-    )
+        F.explode(F.array(F.struct(doc.alias("fields"), is_one_document(F.col(_TEXT)).alias("alone")))).alias(_DOC),
+    ).withColumn(_ALONE, F.col(_DOC)["alone"]).withColumn(_DOC, F.col(_DOC)["fields"])
     corrupt = F.col(f"{_DOC}.{_CORRUPT}")
     # Second parse only where the first one complained.
-    doc_ok = F.col(_DOC).isNotNull() & (corrupt.isNull() | F.json_object_keys(F.col(_TEXT)).isNotNull())
+    doc_ok = (
+        F.col(_DOC).isNotNull()
+        & (corrupt.isNull() | F.json_object_keys(F.col(_TEXT)).isNotNull())
+        & F.col(_ALONE)
+    )
     failed = corrupt.isNotNull()
     fill = dict(fill_missing or {})
     out = []
@@ -121,6 +160,9 @@ def annotate(
         raw = F.col(f"{_DOC}.{f.name}")
         if coerce_numbers and isinstance(f.dataType, _NUMERIC):
             typed = _coerce(raw, f.dataType)
+            if isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+                fraction = raw.rlike("[.eE]")
+                typed = F.when(fraction & _quoted(F.col(_TEXT), f.name), F.lit(None).cast(f.dataType)).otherwise(typed)
             failed = failed | (raw.isNotNull() & typed.isNull())
             absent = raw.isNull()
         else:
@@ -129,6 +171,10 @@ def annotate(
             # absent one; fill only records that decoded cleanly.
             absent = raw.isNull() & corrupt.isNull()
         if f.name in fill:
+            if null_numbers == "drop":
+                named = F.coalesce(F.array_contains(F.json_object_keys(F.col(_TEXT)), f.name), F.lit(False))
+                failed = failed | F.when(F.col(_DOC).isNotNull() & absent, named).otherwise(F.lit(False))
+                absent = absent & ~F.when(absent, named).otherwise(F.lit(False))
             typed = F.when(F.col(_DOC).isNotNull() & absent, F.lit(fill[f.name]).cast(f.dataType)).otherwise(typed)
         if f.name == "order_timestamp" and ts_precision == "ms":
             typed = to_millis(typed)
@@ -171,6 +217,7 @@ def decode_json(
     coerce_numbers: bool = False,
     ts_format: str = "iso",
     ts_precision: str = "us",
+    null_numbers: str = "drop",
 ) -> DataFrame:
     """Decode the JSON message in ``value`` into the columns of ``schema``
     (plus the ``keep`` pass-through columns), applying ``mode``'s policy."""
@@ -185,32 +232,29 @@ def decode_json(
         coerce_numbers=coerce_numbers,
         ts_format=ts_format,
         ts_precision=ts_precision,
+        null_numbers=null_numbers,
     )
     return apply_mode(a, mode)
 
 
-def apply_mode(annotated: DataFrame, mode: str) -> DataFrame:
-    """Keep the records ``mode`` accepts from an ``annotate`` result."""
+def accepted(mode: str) -> Column:
+    """Whether ``mode`` keeps a row of an ``annotate`` result; never NULL."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    a = annotated
     if mode == "drop_malformed":
-        a = a.filter(F.col(DOC_OK) & ~F.col(FIELD_FAILED))
-    elif mode == "null_fields":
-        a = a.filter(F.col(DOC_OK))
-    return a.drop(DOC_OK, FIELD_FAILED)
+        return F.col(DOC_OK) & ~F.col(FIELD_FAILED)
+    return F.col(DOC_OK) if mode == "null_fields" else F.lit(True)
+
+
+def apply_mode(annotated: DataFrame, mode: str) -> DataFrame:
+    """Keep the records ``mode`` accepts from an ``annotate`` result."""
+    return annotated.filter(accepted(mode)).drop(DOC_OK, FIELD_FAILED)
 
 
 def rejected_by_mode(annotated: DataFrame, mode: str, *, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """The complement of ``apply_mode``: dropped messages with a reason."""
     reason = F.when(~F.col(DOC_OK), F.lit("malformed_document")).otherwise(F.lit("field_conversion"))
-    if mode == "drop_malformed":
-        bad = ~F.col(DOC_OK) | F.col(FIELD_FAILED)
-    elif mode == "null_fields":
-        bad = ~F.col(DOC_OK)
-    else:
-        bad = F.lit(False)
-    return annotated.filter(bad).select(*keep, F.col(value).cast("string").alias("message"), reason.alias("reason"))
+    return annotated.filter(~accepted(mode)).select(*keep, F.col(value).cast("string").alias("message"), reason.alias("reason"))
 
 
 def malformed(df: DataFrame, mode: str = "drop_malformed", *, value: str = "value", keep: Sequence[str] = (), **kw) -> DataFrame:

@@ -30,11 +30,6 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str] = KEY, order: str | S
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-# Largest number of distinct batch keys broadcast to split a snapshot; about
-# 60 MB of 50-character ids. Beyond it the full merge runs instead.
-BROADCAST_KEY_LIMIT = 1_000_000
-
-
 def upsert_snapshot(
     current: DataFrame,
     batch: DataFrame,
@@ -44,7 +39,6 @@ def upsert_snapshot(
     order: str | Sequence[str] = "offset",
     created: str = "created_at",
     created_value: Column | None = None,
-    broadcast_key_limit: int | None = None,
 ) -> DataFrame:
     """Apply ``batch`` to ``current`` as keyed upserts.
 
@@ -55,37 +49,12 @@ def upsert_snapshot(
     earliest batch row (default: its processing time). Replaying the same
     batch gives the same table.
 
-    By default the whole of ``current`` takes part in one two-phase aggregate
-    on the key. With ``broadcast_key_limit`` the batch's distinct keys are
-    counted first (one job over the batch); when there are at most that many,
-    they are broadcast and the snapshot is split map-side: rows of untouched
-    keys pass through without a shuffle and only touched keys are merged.
-    ``current`` is then read twice, so pass a stored (or checkpointed)
-    snapshot. Above the limit the full merge runs.
+    One two-phase aggregate on the key over both sides: the batch is read once,
+    and reduced within each task before the shuffle.
     """
-    if broadcast_key_limit:
-        split = split_by_keys(current, batch, key, broadcast_key_limit)
-        if split is not None:
-            untouched, touched = split
-            merged = _merge(touched, batch, key, columns, order, created, created_value)
-            return untouched.select(merged.columns).unionByName(merged)
     return _merge(current, batch, key, columns, order, created, created_value)
 
 
-def split_by_keys(table: DataFrame, changes: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame] | None:
-    """``(untouched, touched)`` rows of ``table`` by whether ``changes`` has
-    their key, decided map-side against the broadcast key set of ``changes``;
-    NULL keys count as touched. ``None`` when ``changes`` has more than
-    ``limit`` distinct keys (counted first), so the caller merges in full."""
-    keys = changes.select(key).where(F.col(key).isNotNull()).distinct()
-    if keys.count() > limit:
-        return None
-    flagged = table.join(F.broadcast(keys.withColumn("_hit", F.lit(True))), key, "left")
-    untouched = flagged.where(F.col("_hit").isNull() & F.col(key).isNotNull()).drop("_hit")
-    touched = flagged.where(F.col("_hit").isNotNull() | F.col(key).isNull()).drop("_hit")
-    return untouched, touched
-
-
 def _merge(current, batch, key, columns, order, created, created_value) -> DataFrame:
     cols = list(columns)
     created_value = created_value if created_value is not None else F.col("processing_timestamp")

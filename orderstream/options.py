@@ -7,9 +7,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 
-# Fixed value: the reference's intake block, 1,000,000 messages. It also
-# bounds every micro-batch a batch job decodes and persists.
-MAX_PER_BATCH = 1_000_000
+# Fixed value: the intake block of the one pipeline that sets one. An option
+# (``--max-per-batch``), not a default: the others take what has arrived.
+STORE_INTAKE_BLOCK = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -20,7 +20,7 @@ class TopicOptions:
     topic: str = "orders"
     group: str | None = None
     starting: str = "latest"
-    max_per_batch: int | None = MAX_PER_BATCH
+    max_per_batch: int | None = None
     min_partitions: int | None = None
     extra: Mapping[str, str] = field(default_factory=dict)
 
@@ -73,7 +73,7 @@ class JdbcOptions:
     driver: str | None = None
     batch_rows: int = 1000
     max_retries: int = 5
-    num_partitions: int | None = None
+    num_partitions: int | None = 16  # at most so many connections at once
 
     @classmethod
     def from_env(cls, env: Mapping[str, str], table: str = "processed_orders") -> "JdbcOptions":

@@ -1,6 +1,6 @@
 """Composed plans: the enrichment pipeline and its SQL form."""
 
 from .enrichment import PipelineOptions, process, process_split
-from .sql import ENRICH_SQL, enrich_sql, enrich_sql_text, insert_into, insert_into_keyed
+from .sql import enrich_sql, enrich_sql_text, insert_into, insert_into_keyed
 
-__all__ = ["ENRICH_SQL", "PipelineOptions", "enrich_sql", "enrich_sql_text", "insert_into", "insert_into_keyed", "process", "process_split"]
+__all__ = ["PipelineOptions", "enrich_sql", "enrich_sql_text", "insert_into", "insert_into_keyed", "process", "process_split"]

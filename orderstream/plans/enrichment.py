@@ -18,14 +18,15 @@ from pyspark.sql import types as T
 from ..operators.decode import decode_json, malformed, split_rows
 from ..operators.enrich import enrich
 from ..operators.quality import split_valid
-from ..schemas import RAW_ORDER
+from ..schemas import FILL_MISSING, RAW_ORDER, RAW_ORDER_UNROUNDED
 
 
 @dataclass(frozen=True)
 class PipelineOptions:
     mode: str = "drop_malformed"
     split_lines: bool = False
-    fill_missing: Mapping[str, object] | None = field(default_factory=lambda: {"quantity": 0, "price": 0})
+    fill_missing: Mapping[str, object] | None = field(default_factory=lambda: dict(FILL_MISSING))
+    null_numbers: str = "drop"
     coerce_numbers: bool = False
     ts_format: str = "iso"
     ts_precision: str = "us"
@@ -33,17 +34,26 @@ class PipelineOptions:
     null_status: str = "keep"
     at: dt.datetime | str | None = None
     keep: Sequence[str] = ("offset",)
-    schema: T.StructType = RAW_ORDER  # the message fields; totals are decimal(10,2) either way
+    # The message fields. By default the price keeps its digits in the modes that
+    # round the total; stored money is decimal(10,2) either way.
+    schema: T.StructType | None = None
+
+    @property
+    def message_schema(self) -> T.StructType:
+        if self.schema is not None:
+            return self.schema
+        return RAW_ORDER if self.rounding == "exact" else RAW_ORDER_UNROUNDED
 
 
 def _decode_kwargs(o: PipelineOptions, keep: tuple[str, ...]) -> dict:
     return dict(
-        schema=o.schema,
+        schema=o.message_schema,
         keep=keep,
         fill_missing=o.fill_missing,
         coerce_numbers=o.coerce_numbers,
         ts_format=o.ts_format,
         ts_precision=o.ts_precision,
+        null_numbers=o.null_numbers,
     )
 
 

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(10, 2)
+# A price as a message may carry it, before it is narrowed to ``MONEY``.
+UNROUNDED = T.DecimalType(18, 6)
 
 TOPIC_RECORD = T.StructType(
     [
@@ -42,6 +44,8 @@ RAW_ORDER = T.StructType(
     ]
 )
 RAW_COLUMNS = tuple(f.name for f in RAW_ORDER.fields)
+# The same with the price's own digits kept, for the modes that round the total.
+RAW_ORDER_UNROUNDED = T.StructType([T.StructField("price", UNROUNDED) if f.name == "price" else f for f in RAW_ORDER.fields])
 
 PROCESSED_ORDER = T.StructType(
     [
@@ -58,6 +62,9 @@ PROCESSED_ORDER = T.StructType(
 )
 PROCESSED_COLUMNS = tuple(f.name for f in PROCESSED_ORDER.fields)
 
+# What an absent number counts as.
+FILL_MISSING = {"quantity": 0, "price": 0}
+
 KEY = "order_id"
 # Columns the keyed target overwrites on a repeated key; ``created_at`` is
 # deliberately not among them (it keeps the first insert's value).
@@ -67,7 +74,7 @@ UPDATE_COLUMNS = tuple(c for c in PROCESSED_COLUMNS if c != KEY)
 # and its defaults.
 MAX_ID_LENGTH = 50
 MAX_STATUS_LENGTH = 20
-MAX_MONEY = "99999999.99"
+ENGINE_TAG = "spark_engine"
 ENGINE_TAG_DEFAULT = "PySpark"
 ENGINE_TAG_MAX_LENGTH = 20
 

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from ..operators.upsert import BROADCAST_KEY_LIMIT, split_by_keys
 from ..schemas import KEY, UPDATE_COLUMNS
 
 BATCH = "batch_id"
@@ -45,26 +44,36 @@ def append_sorted(
     file a disjoint key range (tight min/max statistics for lookups); the
     sort runs per partition, never globally on one task. ``observe`` attaches
     metrics above the exchange, so the range sampling pass does not count."""
-    n = partitions or batch.sparkSession.conf.get("spark.sql.shuffle.partitions")
     # A micro-batch shares one processing stamp, so a hot order id would be a
     # single unsplittable range; the arrival position breaks the tie, letting
     # the range partitioner spread it while the declared order still holds.
     tiebreak = [c for c in tiebreak if c in batch.columns and c not in sort_by]
     cols = [F.col(c) for c in (*sort_by, *tiebreak)]
-    out = batch.repartitionByRange(int(n), *cols).sortWithinPartitions(*cols)
+    # Without a count, adaptive execution sizes the files to the batch.
+    ranged = batch.repartitionByRange(partitions, *cols) if partitions else batch.repartitionByRange(*cols)
+    out = ranged.sortWithinPartitions(*cols)
     _write_batch_partition(observe(out) if observe else out, path, batch_id)
 
 
+def _if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The frame, or None where its path does not exist. Any other failure is
+    the caller's to see."""
+    try:
+        return read()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def claim(spark: SparkSession, path: str, owner: str) -> None:
     """Record that the batch-keyed table at ``path`` is written by the stream
     whose checkpoint is ``owner``; fail if another stream already owns it
     (its batch ids would collide). The marker lives in ``_owner``, which table
     reads ignore."""
     marker = f"{path.rstrip('/')}/_owner"
-    try:
-        current = spark.read.text(marker).first()
-    except AnalysisException:
-        current = None
+    stored = _if_present(lambda: spark.read.text(marker))
+    current = stored.first() if stored is not None else None
     if current is None:
         spark.createDataFrame([(owner,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
     elif current[0] != owner:
@@ -140,33 +149,28 @@ class KeyedTable:
     def log(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
 
-    def _log_or_none(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return self.log(spark)
-        except AnalysisException:  # no batch written yet
-            return None
-
-    def snapshot(self, spark: SparkSession, broadcast_key_limit: int | None = BROADCAST_KEY_LIMIT) -> DataFrame:
-        """The folded table. With a base, only base rows whose keys occur in
-        the log are folded: the log's key set (counted, at most
-        ``broadcast_key_limit``) is broadcast and the rest of the base passes
-        through without a shuffle; a larger log folds the whole base."""
-        log = self._log_or_none(spark)
+    def snapshot(self, spark: SparkSession, *, empty_log: bool = False) -> DataFrame:
+        """The folded table. ``empty_log=True`` says that a log without any batch
+        is expected (a new log on a base); otherwise a missing log is an error."""
+        log = _if_present(lambda: self.log(spark)) if empty_log else self.log(spark)
         if log is None:
             if not self.base:
                 raise ValueError(f"keyed table {self.path} has neither a base nor a written batch")
-            base = spark.read.parquet(self.base)
-            return base.select(F.col(self.key), *[F.col(c) for c in self.columns], F.col("created_at"))
+            return spark.read.parquet(self.base)
         if not self.base:
-            return fold_log(log, key=self.key, columns=self.columns)
-        base = spark.read.parquet(self.base).select(F.col(self.key), *[F.col(c) for c in self.columns], F.col("created_at"))
-        split = split_by_keys(base, log, self.key, broadcast_key_limit) if broadcast_key_limit else None
-        untouched, touched = split if split is not None else (None, base)
-        as_log = touched.withColumn(BATCH, F.lit(-1).cast("long")).withColumn(
-            "_order", F.lit(None).cast(log.schema["_order"].dataType)
+            return fold_log(log, key=self.key, columns=self._columns(log))
+        base = spark.read.parquet(self.base)
+        # A column that only one side has is kept, NULL on the other.
+        columns = list(dict.fromkeys([*self._columns(log), *[c for c in base.columns if c not in (self.key, "created_at")]]))
+        as_log = base.withColumns(
+            {BATCH: F.lit(-1).cast("long"), "_order": F.lit(None).cast(log.schema["_order"].dataType)}
         )
-        folded = fold_log(as_log.unionByName(log.select(as_log.columns)), key=self.key, columns=self.columns)
-        return folded if untouched is None else untouched.select(folded.columns).unionByName(folded)
+        return fold_log(as_log.unionByName(log, allowMissingColumns=True), key=self.key, columns=columns)
+
+    def _columns(self, log: DataFrame) -> list[str]:
+        """The stored columns: those declared, then any other the log has."""
+        extra = [c for c in log.columns if c not in (self.key, "created_at", "_order", BATCH, *self.columns)]
+        return [*self.columns, *extra]
 
     def compact(self, spark: SparkSession, target: str) -> None:
         """Write the current snapshot as a new base at ``target`` (a written
@@ -202,13 +206,11 @@ PROCESSED_DDL = """
 """
 
 
-def ensure_tables(spark: SparkSession, location: str, *, keyed: str = "processed_orders", tagged: str = "spark_processed_orders", sorted_append: str = "processed_orders_sorted") -> list[str]:
-    """Declare the target tables if missing (parquet, with defaults)."""
+def ensure_tables(spark: SparkSession, location: str, *, tagged: str = "spark_processed_orders", sorted_append: str = "processed_orders_sorted") -> list[str]:
+    """Declare the append targets if missing, as the writers store them, and make
+    the batches written so far visible: the tagged table (plain rows, with the
+    tag's default) and the sorted one (a partition per batch)."""
     location = location.rstrip("/")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {keyed} ({PROCESSED_DDL}, created_at TIMESTAMP_NTZ) "
-        f"USING parquet LOCATION '{location}/{keyed}'"
-    )
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {tagged} ({PROCESSED_DDL}, spark_engine STRING DEFAULT 'PySpark', "
         f"created_at TIMESTAMP_NTZ) USING parquet LOCATION '{location}/{tagged}'"
@@ -217,7 +219,17 @@ def ensure_tables(spark: SparkSession, location: str, *, keyed: str = "processed
         f"CREATE TABLE IF NOT EXISTS {sorted_append} ({PROCESSED_DDL}, batch_id BIGINT) "
         f"USING parquet PARTITIONED BY (batch_id) LOCATION '{location}/{sorted_append}'"
     )
-    return [keyed, tagged, sorted_append]
+    if _if_present(lambda: spark.read.schema("order_id string").parquet(f"{location}/{sorted_append}")) is not None:
+        spark.sql(f"ALTER TABLE {sorted_append} RECOVER PARTITIONS")
+    return [tagged, sorted_append]
+
+
+def register_keyed(spark: SparkSession, table: KeyedTable, name: str = "processed_orders") -> DataFrame:
+    """The keyed target under a SQL name: its folded snapshot, one row per key
+    (the stored log has one per key and batch)."""
+    snapshot = table.snapshot(spark)
+    snapshot.createOrReplaceTempView(name)
+    return snapshot
 
 
 def tables(spark: SparkSession) -> DataFrame:

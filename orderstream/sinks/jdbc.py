@@ -11,6 +11,7 @@ are covered by statement-generation tests only.
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable, Sequence
 
@@ -30,7 +31,8 @@ def write_table(df: DataFrame, opts: JdbcOptions, table: str | None, mode: str)
 
 
 def append_jdbc(batch: DataFrame, opts: JdbcOptions, table: str | None = None) -> None:
-    """Per-batch append (SNK-1)."""
+    """Per-batch append of every row (SNK-1). Not idempotent: a replayed
+    micro-batch appends again, so use ``upsert_jdbc`` where that matters."""
     write_table(batch, opts, table, "append")
 
 
@@ -90,6 +92,11 @@ def execute_statement(batch: DataFrame, opts: JdbcOptions, sql: str) -> None:
         conn.close()
 
 
+def stage_name(table: str, stream: str, batch_id: int) -> str:
+    """A stage table of its own for each stream and batch."""
+    return f"{table}_stage_{hashlib.sha256(stream.encode()).hexdigest()[:10]}_{int(batch_id)}"
+
+
 def upsert_jdbc(
     batch: DataFrame,
     opts: JdbcOptions,
@@ -97,16 +104,23 @@ def upsert_jdbc(
     *,
     order: str | Sequence[str] = "offset",
     dialect: str = "on_conflict",
+    stream: str = "",
 ) -> None:
     """Keyed upsert of one micro-batch (SNK-2): latest per key (one statement
     may not see a key twice), parallel write to a stage table, one set-based
-    statement, stage dropped. Rerunning the whole step is safe."""
-    stage = f"{opts.table}_stage_{int(batch_id)}"
-    reduced = latest_per_key(batch, KEY, order).select(*PROCESSED_COLUMNS)
+    statement, stage dropped. Rerunning the whole step is safe. ``stream`` (the
+    stream's checkpoint) keeps the stages of two streams into one table apart.
+    Columns beyond the processed ones, such as an engine tag, are upserted too."""
+    stage = stage_name(opts.table, stream, batch_id)
+    arrival = [order] if isinstance(order, str) else list(order)
+    extra = [c for c in batch.columns if c not in (*PROCESSED_COLUMNS, *arrival)]
+    columns = (*PROCESSED_COLUMNS, *extra)
+    reduced = latest_per_key(batch, KEY, order).select(*columns)
+    statement = upsert_statement(opts.table, stage, columns=columns, update=(*UPDATE_COLUMNS, *extra), dialect=dialect)
 
     def run() -> None:
         write_table(reduced, opts, stage, "overwrite")
-        execute_statement(batch, opts, upsert_statement(opts.table, stage, dialect=dialect))
+        execute_statement(batch, opts, statement)
         execute_statement(batch, opts, f"DROP TABLE {stage}")
 
     with_retries(run, opts.max_retries)

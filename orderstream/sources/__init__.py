@@ -8,14 +8,17 @@ from .standins import (
     events_correction_topic,
     events_csv_topic,
     events_faulted_topic,
+    events_shaped_topic,
     events_orders,
     events_topic,
     events_two_row_topic,
     lineitem_faulted_orders,
+    lineitem_huge_topic,
+    lineitem_net_topic,
     lineitem_orders,
     lineitem_topic,
 )
-from .tables import read_processed, read_processed_jdbc, read_table, spread
+from .tables import read_processed, read_processed_jdbc, read_table
 from .topic import read_topic, read_topic_batch, read_topic_files, register_topic, value_only
 
 __all__ = [
@@ -38,6 +41,5 @@ __all__ = [
     "read_topic_batch",
     "read_topic_files",
     "register_topic",
-    "spread",
     "value_only",
 ]

@@ -54,6 +54,20 @@ LINEITEM_ORDER_SQL = {
     ),
 }
 
+# A price with four digits, so that the rounding modes differ.
+LINEITEM_NET_PRICE = "TRY_CAST(l_extendedprice AS DECIMAL(10,2)) * (1 - TRY_CAST(l_discount AS DECIMAL(4,2)))"
+# A price in a double field that no stored amount can hold.
+LINEITEM_HUGE = "l_tax = 0.0"
+LINEITEM_HUGE_PRICE = "l_extendedprice * 10000000000"
+
+# Messages that are more or less than one JSON object, or just padded.
+EVENT_SHAPES = {
+    "two_documents": "event_type = 'error'",
+    "trailing_text": "event_type = 'purchase' AND value < 5",
+    "single_quoted": "event_type = 'view' AND value < 5",
+    "padded": "event_type = 'click' AND value < 5",
+}
+
 # Faults planted in E messages, selected by content (every row is still
 # processed). The rule texts are shared with the oracle SQL.
 EVENT_FAULTS = {
@@ -83,11 +97,12 @@ def events_orders(events: DataFrame) -> DataFrame:
     return events.select(F.col("event_id").alias("offset"), *[F.expr(m[c]).alias(c) for c in RAW_COLUMNS])
 
 
-def lineitem_orders(lineitem: DataFrame) -> DataFrame:
+def lineitem_orders(lineitem: DataFrame, price: str | None = None) -> DataFrame:
     """L as typed raw orders plus a deterministic ``offset`` (not unique)."""
+    mapping = LINEITEM_ORDER_SQL if price is None else {**LINEITEM_ORDER_SQL, "price": price}
     return lineitem.select(
         (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("offset"),
-        *[F.expr(LINEITEM_ORDER_SQL[c]).alias(c) for c in RAW_COLUMNS],
+        *[F.expr(mapping[c]).alias(c) for c in RAW_COLUMNS],
     )
 
 
@@ -164,6 +179,34 @@ def events_faulted_topic(events: DataFrame) -> DataFrame:
     return as_topic(orders.withColumn("_js", js), message=msg)
 
 
+def lineitem_net_topic(lineitem: DataFrame) -> DataFrame:
+    """L messages whose price is after discount."""
+    return as_topic(lineitem_orders(lineitem, price=LINEITEM_NET_PRICE))
+
+
+def lineitem_huge_topic(lineitem: DataFrame) -> DataFrame:
+    """L messages with a double price, far out of range by ``LINEITEM_HUGE``."""
+    return as_topic(lineitem_orders(lineitem, price=f"CASE WHEN {LINEITEM_HUGE} THEN {LINEITEM_HUGE_PRICE} ELSE l_extendedprice END"))
+
+
+def events_shaped_topic(events: DataFrame) -> DataFrame:
+    """E messages of the shapes of ``EVENT_SHAPES``."""
+    f = {k: F.expr(v) for k, v in EVENT_SHAPES.items()}
+    orders = events.select(
+        "value", "event_type", F.col("event_id").alias("offset"),
+        *[F.expr(v).alias(c) for c, v in events_order_sql(EVENTS_K_SPARK).items()],
+    ).withColumn("_js", encode_json())
+    js = F.col("_js")
+    msg = (
+        F.when(f["two_documents"], F.concat(js, F.lit("\n"), js))
+        .when(f["trailing_text"], F.concat(js, F.lit(" trailing")))
+        .when(f["single_quoted"], F.replace(js, F.lit('"'), F.lit("'")))
+        .when(f["padded"], F.concat(F.lit("  "), js, F.lit("\r\n")))
+        .otherwise(js)
+    )
+    return as_topic(orders, message=msg)
+
+
 def events_correction_topic(events: DataFrame) -> DataFrame:
     """E messages each carrying the order and then a correction of it (same
     id, quantity + 1) as two newline-delimited rows: within one message the

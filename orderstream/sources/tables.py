@@ -8,34 +8,12 @@ from pyspark.sql import functions as F
 from ..options import JdbcOptions
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = 0) -> DataFrame:
-    """A stored table. ``min_partitions`` works like a topic source's
-    ``minPartitions``: a table read as fewer splits than that (``0`` = the
-    cluster's parallelism, ``None`` = off) is spread over that many tasks.
-    A large table already has far more splits and is read as is, without a
-    shuffle."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
+    """A stored table, read as its files are split. ``partitions`` deals its rows
+    to that many tasks instead (for a table of few splits and much work per row):
+    by a hash of each row's position, which a retried task repeats."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if min_partitions is None:
-        return df
-    return spread(df, min_partitions or None)
-
-
-def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a bare scan (a table, or a micro-batch of a file or topic
-    source) over at least ``min_partitions`` tasks.
-
-    The scan is hashed on each row's position in it: unique per row, so
-    duplicate rows cannot pile up in one task, and stable when a task is
-    retried (a scan re-reads its split in the same order), so no pre-sort is
-    needed as for a round-robin repartition."""
-    try:
-        target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
-        splits = scan.rdd.getNumPartitions()
-    except Exception:  # a session without an RDD view (remote client): read as is
-        return scan
-    if splits >= target:
-        return scan
-    return scan.repartition(target, F.monotonically_increasing_id())
+    return df if partitions is None else df.repartition(partitions, F.monotonically_increasing_id())
 
 
 def read_processed(spark: SparkSession, path: str) -> DataFrame:

@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.decode import decode_json, split_rows
 from ..options import TopicOptions
-from ..schemas import TOPIC_RECORD
-
-MAX_FILES_PER_TRIGGER = 1000
+from ..schemas import FILL_MISSING, TOPIC_RECORD
 
 
 def read_topic(spark: SparkSession, opts: TopicOptions) -> DataFrame:
@@ -45,12 +43,12 @@ def read_topic_files(
     *,
     streaming: bool = True,
     glob: str | None = None,
-    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+    max_files_per_trigger: int | None = None,
     file_format: str = "parquet",
 ) -> DataFrame:
-    """Topic records stored as files (``TOPIC_RECORD`` columns). A stream
-    takes at most ``max_files_per_trigger`` new files per micro-batch, so a
-    large backlog is worked off in bounded batches."""
+    """Topic records stored as files (``TOPIC_RECORD`` columns). With
+    ``max_files_per_trigger`` a stream works off a backlog in micro-batches of
+    that many files; without, it takes all that is there."""
     reader = spark.readStream if streaming else spark.read
     reader = reader.format(file_format).schema(TOPIC_RECORD)
     if glob:
@@ -87,7 +85,10 @@ def register_topic(
     if split_lines:
         df = split_rows(df)
         keep = (*keep, "line")
-    decoded = decode_json(df, mode, keep=keep, **dict(decode_options or {}))
+    # The defaults of ``PipelineOptions``, so that the SQL form starts from the
+    # same rows as the DataFrame form.
+    options = {"fill_missing": FILL_MISSING, **dict(decode_options or {})}
+    decoded = decode_json(df, mode, keep=keep, **options)
     if proctime:
         decoded = decoded.withColumn(proctime, F.localtimestamp())
     decoded.createOrReplaceTempView(name)

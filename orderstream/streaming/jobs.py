@@ -15,13 +15,12 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators.decode import annotate, apply_mode, rejected_by_mode, split_rows
+from ..operators.decode import accepted, annotate, apply_mode, rejected_by_mode, split_rows
 from ..operators.enrich import enrich
 from ..operators.quality import split_valid
 from ..plans.enrichment import PipelineOptions
 from ..schemas import PROCESSED_COLUMNS, UPDATE_COLUMNS
 from ..sinks.files import KeyedTable, append_sorted, claim, write_rejected
-from ..sources.tables import spread
 
 
 @dataclass
@@ -31,8 +30,10 @@ class OrderBatchJob:
     ``target`` is ``"sorted"`` (append-only table at ``path``, sorted by order
     id and processing time, every version kept), ``"keyed"`` (last arrival
     wins, ``created_at`` from the first) or any ``(valid, batch_id)`` writer,
-    e.g. a JDBC upsert. With ``report`` set, a writer must execute the frame
-    it is given: the report waits for the metrics observed while it runs."""
+    e.g. a JDBC upsert. With ``report`` set, every message is accounted for:
+    messages = malformed + rows without a status where those are dropped +
+    rejected + valid. A writer must then execute the frame it is given: the
+    report waits for the metrics observed while it runs."""
 
     path: str | None = None
     target: str | Callable[[DataFrame, int], None] = "sorted"
@@ -42,13 +43,6 @@ class OrderBatchJob:
     created_value: Column | None = None
     report: Callable[[int, dict], None] | None = None
     tag: Callable[[DataFrame], DataFrame] | None = None
-    # Like a topic source's ``minPartitions``: a micro-batch that arrives in
-    # fewer partitions than cores is spread first (0 = the cluster's
-    # parallelism, None = never). A batch from a busy source is left alone.
-    # Meant for the bare source batches ``foreachBatch`` delivers; pass None
-    # when calling the job on a frame that already shuffles (counting its
-    # partitions would run that shuffle once more).
-    min_partitions: int | None = 0
     # The stream's checkpoint; when set, the job claims its tables on the
     # first batch so a stream on another checkpoint cannot overwrite them.
     owner: str | None = None
@@ -56,32 +50,29 @@ class OrderBatchJob:
 
     def outputs(self, batch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
         o = self.opts
-        if self.min_partitions is not None:
-            batch = spread(batch, self.min_partitions or None)
         df = split_rows(batch) if o.split_lines else batch
         keep = (*o.keep, "line") if o.split_lines else tuple(o.keep)
         # The message text is carried only when undecodable messages are kept.
         carry = ("value",) if self.malformed_path else ()
         annotated = annotate(
             df,
-            schema=o.schema,
+            schema=o.message_schema,
             keep=(*keep, *carry),
             fill_missing=o.fill_missing,
             coerce_numbers=o.coerce_numbers,
             ts_format=o.ts_format,
             ts_precision=o.ts_precision,
+            null_numbers=o.null_numbers,
         )
         # Decode once when more than one job reads the decoded batch: dead
         # letters, or the sorted sink (its range partitioning samples the
-        # batch in a job of its own). The batch is bounded by the trigger's
-        # intake limit; lost blocks are recomputed from the replayable source.
-        if self.rejected_path or self.malformed_path or self.target == "sorted":
+        # batch in a job of its own), or the report. Blocks that do not fit in
+        # memory go to disk; lost ones are recomputed from the replayable source.
+        if self.rejected_path or self.malformed_path or self.report or self.target == "sorted":
             annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
         decoded = apply_mode(annotated, o.mode).drop(*carry)
         processed = enrich(decoded, rounding=o.rounding, at=o.at, ts_precision=o.ts_precision, null_status=o.null_status, keep=keep)
-        valid, rejected = split_valid(processed)
-        if self.tag:
-            valid = self.tag(valid)
+        valid, rejected = split_valid(self.tag(processed) if self.tag else processed)
         bad = rejected_by_mode(annotated, o.mode, keep=keep) if self.malformed_path else None
         return annotated, valid, rejected, bad
 
@@ -116,6 +107,17 @@ class OrderBatchJob:
             if self.malformed_path:
                 write_rejected(bad, self.malformed_path, batch_id)
             if obs is not None:
-                self.report(batch_id, dict(obs.get))
+                self.report(batch_id, self._accounts(annotated, dict(obs.get)))
         finally:
             annotated.unpersist()
+
+    def _accounts(self, annotated: DataFrame, written: dict) -> dict:
+        """Counts of one micro-batch, from its persisted decode."""
+        keeps = accepted(self.opts.mode)
+        no_status = keeps & F.col("status").isNull() & F.lit(self.opts.null_status == "drop")
+        seen = annotated.agg(
+            F.count(F.lit(1)).alias("messages"), F.count_if(~keeps).alias("malformed"), F.count_if(no_status).alias("no_status")
+        ).first()
+        valid = written["valid_rows"]
+        rejected = seen["messages"] - seen["malformed"] - seen["no_status"] - valid
+        return {**written, **seen.asDict(), "rejected": rejected}

@@ -2,20 +2,24 @@
 
 Progress is owned by the query checkpoint, which must be a shared folder:
 after a failure the query resumes from its last committed batch and replays
-at most that batch, so every sink here is idempotent per ``batch_id``.
+at most that batch; the file and upsert sinks are idempotent per ``batch_id``,
+a plain JDBC append is not.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.quality import split_valid
 from ..options import StreamOptions
 from ..session import scratch_path
 
+_SHUFFLE = "spark.sql.shuffle.partitions"
 BatchFn = Callable[[DataFrame, int], None]
 
 
@@ -29,18 +33,26 @@ def observe_intake(records: DataFrame, name: str = "intake") -> DataFrame:
     )
 
 
-def _apply_partitions(spark: SparkSession, opts: StreamOptions) -> None:
-    # Shuffle parallelism of the stream's keyed steps. Spark records it in the
-    # checkpoint at first start; later restarts keep the recorded value.
-    if opts.partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(opts.partitions))
+@contextmanager
+def _partitions(spark: SparkSession, opts: StreamOptions) -> Iterator[None]:
+    """Shuffle parallelism of the stream's keyed steps. A query takes its
+    settings over when it starts, so the session's own value is put back then.
+    Spark records it in the checkpoint; later restarts keep the recorded value."""
+    if not opts.partitions:
+        yield
+        return
+    before = spark.conf.get(_SHUFFLE)
+    spark.conf.set(_SHUFFLE, str(opts.partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(_SHUFFLE, before)
 
 
 def start(df: DataFrame, batch_fn: BatchFn, opts: StreamOptions) -> StreamingQuery:
     """Start ``df`` into ``batch_fn`` (``foreachBatch``) with a durable
     checkpoint; the trigger sets the commit cadence."""
     spark = df.sparkSession
-    _apply_partitions(spark, opts)
     checkpoint = opts.checkpoint or scratch_path(spark, f"ckpt-{opts.name or 'stream'}")
     w = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch_fn)
     if opts.name:
@@ -48,13 +60,13 @@ def start(df: DataFrame, batch_fn: BatchFn, opts: StreamOptions) -> StreamingQue
     trig = opts.trigger_kwargs()
     if trig:
         w = w.trigger(**trig)
-    return w.start()
+    with _partitions(spark, opts):
+        return w.start()
 
 
 def start_files(df: DataFrame, path: str, opts: StreamOptions, file_format: str = "parquet", partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Start ``df`` into a file table (exactly-once through the sink's log)."""
     spark = df.sparkSession
-    _apply_partitions(spark, opts)
     checkpoint = opts.checkpoint or scratch_path(spark, f"ckpt-{opts.name or 'stream'}")
     w = df.writeStream.format(file_format).option("checkpointLocation", checkpoint).outputMode("append")
     if opts.name:
@@ -64,7 +76,8 @@ def start_files(df: DataFrame, path: str, opts: StreamOptions, file_format: str
     trig = opts.trigger_kwargs()
     if trig:
         w = w.trigger(**trig)
-    return w.start(path)
+    with _partitions(spark, opts):
+        return w.start(path)
 
 
 def run(query: StreamingQuery, timeout: float | None = None) -> bool:
@@ -87,4 +100,5 @@ def materialize(
     """An incremental view (STR-10): ``select_sql`` over the streaming view
     ``view`` continuously feeds the file table at ``target``."""
     records.createOrReplaceTempView(view)
-    return start_files(spark.sql(select_sql), target, opts)
+    valid, _ = split_valid(spark.sql(select_sql))  # rows the store would refuse stay out
+    return start_files(valid, target, opts)

@@ -101,8 +101,9 @@ def test_split_rows(messages):
     df = messages([two, None])
     rows = decode_json(split_rows(df), keep=("offset", "line")).orderBy("line").collect()
     assert [(r.line, r.order_id) for r in rows] == [(0, "a"), (1, "a2")]
-    # without splitting only the first object is read
-    assert [r.order_id for r in decode_json(df).collect()] == ["a"]
+    # without splitting, two objects in one message are malformed: neither is lost unseen
+    assert decode_json(df).count() == 0
+    assert [r.reason for r in malformed(df).filter("message is not null").collect()] == ["malformed_document"]
 
 
 def test_malformed_reasons(messages):
@@ -128,3 +129,31 @@ def test_iso_time_variants(messages):
     assert got[1] == dt.datetime(2024, 1, 1, 3, 4, 5, 100000)  # space instead of T, one digit
     assert got[2] == dt.datetime(2024, 1, 1, 3, 4, 5)
     assert got[3] is None  # an offset is not a local time
+
+
+def test_one_document_per_message(messages):
+    flat = GOOD
+    nested = GOOD.replace('"x"', '"it\'s {x}"') if '"x"' in GOOD else GOOD
+    good = [flat, "  " + flat + "\r\n", nested]
+    bad = [flat + " garbage", flat + flat, flat + "," + flat, flat + "],[" + flat, flat.replace('"', "'"), "[" + flat + "]", "5", "null", ""]
+    df = messages(good + bad)
+    assert decode_json(df).count() == len(good)
+    assert {r.reason for r in malformed(df).collect()} == {"malformed_document"} and malformed(df).count() == len(bad)
+
+
+def test_numbers_given_as_strings_must_be_whole(messages):
+    import re
+
+    field = re.search(r'"quantity":\s*[^,}]+', GOOD)[0]
+    values = ['"3"', "2.7", '"2.7"', '"3d"', '" 4 "', "3e0", "null", "9007199254740993", '"NaN"', "true"]
+    texts = [GOOD.replace(field, f'"quantity":{v}') for v in values] + [GOOD.replace(field + ",", "")]
+    df = messages(texts)
+    got = {r.offset: r.quantity for r in decode_json(df, keep=("offset",), coerce_numbers=True, fill_missing={"quantity": 0}).collect()}
+    assert got == {0: 3, 1: 2, 4: 4, 5: 3, 10: 0}  # an explicit null is not an absent number
+    filled = decode_json(df, keep=("offset",), coerce_numbers=True, fill_missing={"quantity": 0}, null_numbers="fill")
+    assert {r.offset: r.quantity for r in filled.collect()} == {**got, 6: 0}
+
+
+def test_blank_line_with_a_carriage_return(messages):
+    df = split_rows(messages([GOOD + "\r\n\r\n" + GOOD + "\n\t\n"]))
+    assert df.count() == 2 and malformed(df).count() == 0

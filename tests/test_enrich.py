@@ -117,3 +117,34 @@ def test_double_price_schema_still_gives_decimal_totals(spark, messages):
     df = messages(['{"order_id":"a","customer_id":"c","product_id":"p","quantity":3,"price":10.1,"order_timestamp":"2024-01-01T00:00:00","status":"x"}'])
     r = process(df, PipelineOptions(at=AT, schema=as_double)).collect()[0]
     assert r.price == Decimal("10.10") and r.total_price == Decimal("30.30")
+
+
+def test_total_is_rounded_from_the_message_price(spark):
+    from decimal import Decimal
+
+    from orderstream.functions import total_price
+
+    df = spark.sql("SELECT 3 AS quantity, CAST(1.005 AS DECIMAL(18,6)) AS price")
+    got = {m: df.select(total_price("quantity", "price", m)).first()[0] for m in ("exact", "half_up", "half_even", "scaled")}
+    assert got == {"exact": Decimal("3.03"), "half_up": Decimal("3.02"), "half_even": Decimal("3.02"), "scaled": Decimal("3.02")}
+    df = spark.sql("SELECT 1 AS quantity, CAST(2.125 AS DECIMAL(18,6)) AS price UNION ALL SELECT 1, -2.125")
+    got = {m: [r[0] for r in df.select(total_price("quantity", "price", m)).collect()] for m in ("half_up", "half_even", "scaled")}
+    assert got == {
+        "half_up": [Decimal("2.13"), Decimal("-2.13")], "half_even": [Decimal("2.12"), Decimal("-2.12")], "scaled": [Decimal("2.13"), Decimal("-2.12")],
+    }
+
+
+def test_a_price_out_of_range_is_null_in_every_mode(spark):
+    from orderstream.functions import total_price
+
+    for kind in ("double", "decimal(38,6)"):
+        df = spark.sql(f"SELECT 3 AS quantity, CAST(1e12 AS {kind}) AS price UNION ALL SELECT 2147483647, CAST(99999999 AS {kind})")
+        for mode in ("exact", "half_up", "half_even", "scaled"):
+            assert [r[0] for r in df.select(total_price("quantity", "price", mode)).collect()] == [None, None]
+
+
+def test_audit_line_is_never_null(spark):
+    from orderstream.functions.text import audit_line
+
+    df = spark.sql("SELECT 'a' AS order_id, CAST(NULL AS STRING) AS status, CAST(NULL AS DECIMAL(10,2)) AS total_price")
+    assert df.select(audit_line()).first()[0] == "Processing: a | Status: null | Total: $null"

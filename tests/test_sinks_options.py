@@ -2,6 +2,7 @@
 started in this repository)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderstream.options import JdbcOptions, StreamOptions, TopicOptions
 from orderstream.sinks import upsert_statement, with_retries
@@ -13,7 +14,7 @@ def test_topic_options_from_env():
     r = o.reader_options()
     assert r["kafka.bootstrap.servers"] == "b:9092" and r["subscribe"] == "orders"
     assert r["startingOffsets"] == "latest" and r["kafka.group.id"] == "g"
-    assert r["maxOffsetsPerTrigger"] == "1000000"  # bounded intake by default
+    assert "maxOffsetsPerTrigger" not in r  # an option, not a default
     assert TopicOptions("b", max_per_batch=1_000_000).reader_options()["maxOffsetsPerTrigger"] == "1000000"
     assert o.writer_options()["kafka.acks"] == "all"
     with pytest.raises(KeyError):
@@ -72,16 +73,34 @@ def test_insert_into_declared_table_uses_defaults(spark, tmp_path):
     from orderstream.sinks.files import ensure_tables
     from orderstream.sources import events_topic, read_table, register_topic
 
-    names = ensure_tables(spark, str(tmp_path / "db"), keyed="k_orders", tagged="k_tagged", sorted_append="k_sorted")
+    names = ensure_tables(spark, str(tmp_path / "db"), tagged="k_tagged", sorted_append="k_sorted")
     register_topic(spark, "orders_raw_insert", events_topic(read_table(spark, "/root/testdata/sf0.001", "events")), mode="drop_malformed")
     from orderstream.schemas import PROCESSED_COLUMNS
 
-    insert_into(spark, enrich_sql_text("orders_raw_insert", "2024-06-01 00:00:00"), names[1], columns=PROCESSED_COLUMNS)
-    t = spark.table(names[1])
+    insert_into(spark, enrich_sql_text("orders_raw_insert", "2024-06-01 00:00:00"), names[0], columns=PROCESSED_COLUMNS)
+    t = spark.table(names[0])
     assert t.count() == 1000
     assert t.filter("spark_engine = 'PySpark'").count() == 1000 and t.filter("created_at IS NULL").count() == 1000
 
 
+def test_declared_sorted_table_shows_what_the_writer_stored(spark, tmp_path):
+    from orderstream.plans import PipelineOptions, process
+    from orderstream.sinks import KeyedTable, append_sorted, register_keyed
+    from orderstream.sources import events_topic, read_table
+
+    p = process(events_topic(read_table(spark, "/root/testdata/sf0.001", "events")), PipelineOptions(at="2024-06-01 00:00:00"))
+    append_sorted(p.drop("offset"), str(tmp_path / "w_sorted"), 0)
+    ensure_tables(spark, str(tmp_path), tagged="w_tagged", sorted_append="w_sorted")
+    append_sorted(p.drop("offset"), str(tmp_path / "w_sorted"), 1)
+    ensure_tables(spark, str(tmp_path), tagged="w_tagged", sorted_append="w_sorted")
+    assert spark.table("w_sorted").count() == 2000
+    keyed = KeyedTable(str(tmp_path / "w_keyed"))
+    for batch_id in (0, 1):
+        keyed.write_batch(p, batch_id)
+    register_keyed(spark, keyed, "w_orders")
+    assert spark.table("w_orders").count() == p.select("order_id").distinct().count()
+
+
 def test_upsert_jdbc_sequence_with_a_retry(spark, monkeypatch):
     import orderstream.sinks.jdbc as J
     from orderstream.options import JdbcOptions
@@ -99,14 +118,16 @@ def test_upsert_jdbc_sequence_with_a_retry(spark, monkeypatch):
             fail["left"] -= 1
             raise RuntimeError("connection reset")
         steps.append(("sql", sql.split(" ")[0]))
+        assert not sql.startswith("INSERT") or "spark_engine" in sql
 
     monkeypatch.setattr(J, "write_table", write)
     monkeypatch.setattr(J, "execute_statement", execute)
     monkeypatch.setattr(J.time, "sleep", lambda s: None)
     batch = process(events_topic(read_table(spark, "/root/testdata/sf0.001", "events")), PipelineOptions(at="2024-06-01 00:00:00"))
-    J.upsert_jdbc(batch, JdbcOptions("jdbc:x", "u", "p"), 7)
+    J.upsert_jdbc(batch.withColumn("spark_engine", F.lit("x")), JdbcOptions("jdbc:x", "u", "p"), 7, stream="/ck/a")
     write1, write2 = steps[0], steps[1]
-    assert write1[:3] == ("write", "processed_orders_stage_7", "overwrite") and write1[3] == list(PROCESSED_COLUMNS)
+    assert write1[:3] == ("write", J.stage_name("processed_orders", "/ck/a", 7), "overwrite") and write1[3] == [*PROCESSED_COLUMNS, "spark_engine"]
+    assert J.stage_name("processed_orders", "/ck/a", 7) != J.stage_name("processed_orders", "/ck/b", 7)  # two streams, two stages
     assert write1[4] == write1[5]  # one row per key reaches the statement
     assert write2[:3] == write1[:3]  # the failed attempt reran from the stage write
     assert steps[2:] == [("sql", "INSERT"), ("sql", "DROP")]

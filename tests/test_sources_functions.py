@@ -54,8 +54,8 @@ def test_stream_name_and_partitions(spark, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     seen = {}
     records = spark.readStream.schema(TOPIC_RECORD).parquet(src)
-    q = start(records, lambda df, b: seen.update(n=df.count()), StreamOptions(name="orders_named", checkpoint=str(tmp_path / "ck"), available_now=True, partitions=3))
+    q = start(records, lambda df, b: seen.update(n=df.count(), partitions=df.sparkSession.conf.get("spark.sql.shuffle.partitions")), StreamOptions(name="orders_named", checkpoint=str(tmp_path / "ck"), available_now=True, partitions=3))
     assert q.name == "orders_named"
     run(q)
-    assert seen["n"] == 1000 and spark.conf.get("spark.sql.shuffle.partitions") == "3"
-    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen["n"] == 1000 and seen["partitions"] == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before  # the session keeps its own

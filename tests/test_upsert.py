@@ -3,6 +3,8 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from orderstream.operators import empty_snapshot, enrich, latest_per_key, upsert_snapshot
@@ -124,43 +126,18 @@ def test_keyed_table_with_base_and_empty_log(spark, tmp_path):
     t1.write_batch(batch(spark, [row(1, "a", 1, 1)]), 0)
     t1.compact(spark, str(tmp_path / "base"))
     t2 = KeyedTable(str(tmp_path / "log2"), base=str(tmp_path / "base"))
-    assert [r.order_id for r in t2.snapshot(spark).collect()] == ["a"]
-
-
-def test_upsert_with_broadcast_keys_equals_full_merge(spark):
-    rows = [row(i, f"k{i % 7}", i, 1 + i % 5) for i in range(30)]
-    whole = batch(spark, rows[:20])
-    current = upsert_snapshot(empty_snapshot(whole), whole, created_value=F.col("order_timestamp"))
-    nxt = batch(spark, rows[20:] + [row(99, "new", 1, 1)])
-    full = upsert_snapshot(current, nxt, created_value=F.col("order_timestamp"))
-    split = upsert_snapshot(current, nxt, created_value=F.col("order_timestamp"), broadcast_key_limit=100)
-    fallback = upsert_snapshot(current, nxt, created_value=F.col("order_timestamp"), broadcast_key_limit=2)
-    for other in (split, fallback):
-        assert sorted(map(tuple, other.collect())) == sorted(map(tuple, full.collect()))
-    plan = split._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftOuter, BuildRight" in plan
-    assert "BroadcastHashJoin" not in fallback._jdf.queryExecution().executedPlan().toString()
-
-
-def test_broadcast_split_handles_null_keys_like_full_merge(spark):
-    cur_rows = [row(1, None, 1, 1), row(2, "a", 1, 1), row(3, "b", 1, 1)]
-    current = upsert_snapshot(empty_snapshot(batch(spark, cur_rows)), batch(spark, cur_rows))
-    nxt = batch(spark, [row(4, None, 5, 2), row(5, "a", 7, 2)])
-    full = upsert_snapshot(current, nxt)
-    split = upsert_snapshot(current, nxt, broadcast_key_limit=10)
-    key = lambda r: tuple("" if v is None else str(v) for v in r)
-    assert sorted(map(key, split.collect())) == sorted(map(key, full.collect()))
-    assert split.count() == 3  # one NULL-key row, as in the full merge
-
-
-def test_keyed_snapshot_split_equals_full_fold(spark, tmp_path):
+    assert [r.order_id for r in t2.snapshot(spark, empty_log=True).collect()] == ["a"]
+    with pytest.raises(AnalysisException):  # a missing log is an error unless it is expected
+        t2.snapshot(spark)
+    with pytest.raises(AnalysisException):
+        t2.compact(spark, str(tmp_path / "base2"))
+
+
+def test_keyed_snapshot_folds_base_and_log(spark, tmp_path):
     t1 = KeyedTable(str(tmp_path / "log1"))
     t1.write_batch(batch(spark, [row(i, f"k{i}", i, 1) for i in range(10)]), 0)
     t1.compact(spark, str(tmp_path / "base"))
     t2 = KeyedTable(str(tmp_path / "log2"), base=str(tmp_path / "base"))
     t2.write_batch(batch(spark, [row(20, "k3", 99, 2), row(21, "new", 5, 2)], at="2024-06-02 00:00:00"), 0)
-    split = t2.snapshot(spark)
-    full = t2.snapshot(spark, broadcast_key_limit=None)
-    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, full.collect()))
-    got = {r.order_id: r.quantity for r in split.collect()}
+    got = {r.order_id: r.quantity for r in t2.snapshot(spark).collect()}
     assert got["k3"] == 99 and got["new"] == 5 and got["k4"] == 4 and len(got) == 11
