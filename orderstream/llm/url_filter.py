@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 BUCKETS = 4096
 GRAMS = (3, 4, 5)
 SCALE = 20.0
+#: Probability from which a url is blocked; high, so that unknown names stay.
+BLOCK_AT = 0.8
 
 # The rules (verdict, rule).
 RULES = (
@@ -110,15 +112,14 @@ def features(urls: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame, reg: float = 0.001) -> tuple[float, list[float]]:
     """(bias, weight of each bucket). The table is small by contract (some
-    hundred rows), hence one partition and dense vectors."""
-    zeros = F.array_repeat(F.lit(0.0), BUCKETS)
+    hundred rows), hence one partition and dense vectors (``BUCKETS`` cells each)."""
     each = F.lit(SCALE) / F.size("_grams")
-    counts = features(labelled).select("label", "url", "_grams").filter(F.size("_grams") > 0)
-    per = counts.select("label", "url", each.alias("v"), F.explode("_grams").alias("b")).groupBy("label", "url", "b").agg(F.sum("v").alias("v"))
-    sparse = per.groupBy("label", "url").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("b", "v")))).alias("m"))
-    dense = F.transform(zeros, lambda z, i: F.coalesce(F.try_element_at(F.col("m"), i), z))
-    rows = sparse.select("label", array_to_vector(dense).alias("features")).coalesce(1)
-    model = LogisticRegression(regParam=reg, maxIter=60, standardization=False).fit(rows)
+    hit = features(labelled).select("label", "url", "_grams").filter(F.size("_grams") > 0)
+    counts = hit.select("label", "url", each.alias("v"), F.explode("_grams").alias("b")).groupBy("label", "url", "b").agg(F.sum("v").alias("v"))
+    cells = hit.select("label", "url", F.explode(F.sequence(F.lit(0), F.lit(BUCKETS - 1))).alias("b")).join(counts, ["label", "url", "b"], "left")
+    by_url = cells.groupBy("label", "url").agg(F.sort_array(F.collect_list(F.struct("b", F.coalesce("v", F.lit(0.0)).alias("v")))).alias("cells"))
+    rows = by_url.select("label", array_to_vector(F.transform("cells", lambda c: c["v"])).alias("features")).coalesce(1)
+    model = LogisticRegression(regParam=reg, maxIter=30, standardization=False).fit(rows)
     return float(model.intercept), [round(float(w), 6) for w in model.coefficients]
 
 
@@ -130,7 +131,7 @@ def judge(pages: DataFrame, model: tuple[float, list[float]], rules: Sequence[tu
     score = F.lit(bias) + F.when(F.size("_grams") > 0, F.lit(SCALE) * total / F.size("_grams")).otherwise(F.lit(0.0))
     scored = features(pages.select("page_id", "url")).withColumn("p_block", F.lit(1.0) / (F.lit(1.0) + F.exp(-score)))
     ruled = scored.withColumn("_rule", fitting_rule(F.col("host"), F.col("path"), rules))
-    learned = F.when(F.col("p_block") >= 0.5, F.lit("block")).otherwise(F.lit("allow"))
+    learned = F.when(F.col("p_block") >= BLOCK_AT, F.lit("block")).otherwise(F.lit("allow"))
     return ruled.select(
         "page_id", "host", "path", F.col("_rule.rule").alias("rule"),
         F.coalesce(F.col("_rule.verdict"), learned).alias("verdict"), F.round("p_block", 6).alias("p_block"),

@@ -44,7 +44,7 @@ def test_hosts_paths_and_rules(spark, model):
         host, path = parts(url)
         text, verdict = rule(host, path)
         assert (r.host, r.path, r.rule) == (host, path, text), url
-        assert r.verdict == (verdict or ("block" if r.p_block >= 0.5 else "allow"))
+        assert r.verdict == (verdict or ("block" if r.p_block >= url_filter.BLOCK_AT else "allow"))
 
 
 def test_learned_verdict_on_urls_not_in_the_table(spark, model):
