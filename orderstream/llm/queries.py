@@ -127,4 +127,94 @@ SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens, (epochs + CAS
 FROM s WHERE epochs + CASE WHEN start < more THEN 1 ELSE 0 END > 0
 """
 
-ORACLE: dict[str, str] = {"op3_exact_dedup": _OP3, "op4_mixing": _OP4}
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^ \x09-\x0D]+')"
+
+
+def _op6_sql() -> str:
+    """Base counts, metrics, and cutoffs by the exact binomial distribution."""
+    share = lambda part, rest: f"CASE WHEN {part} + {rest} > 0 THEN floor(1000 * ({part}) / ({part} + {rest})) ELSE 0 END::INTEGER"
+    metrics = {
+        "m_symbols": share("n_symbols", "n_words"),
+        "m_punct": share("punct", "n_words"),
+        "m_upper": share("upper", "word_chars - upper"),
+        "m_dup_lines": share("n_dup_lines", "n_lines - n_dup_lines"),
+        "m_repeat": share("n_repeat_words", "n_words - n_repeat_words"),
+        "m_long_words": share("word_chars", "10 * n_words"),
+    }
+    count = len(metrics)
+    risk, w = quality.RISK / count, quality.WINDOW
+    base = f"(n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words)"
+    bins = " UNION ALL ".join(f"SELECT stratum, '{m}' AS metric, {m} AS value FROM held" for m in metrics)
+    over = " OR ".join(f"coalesce({m} > (SELECT cutoff FROM cuts c WHERE c.stratum IS NOT DISTINCT FROM v.stratum AND c.metric = '{m}'), FALSE)" for m in metrics)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang AS stratum, coalesce(text, '') AS t, {_WORDS} AS ws,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \x09-\x0D]')) AS lines FROM documents),
+win AS (SELECT rid, i, array_to_string(ws[i:i + {w - 1}], ' ') AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - {w - 2})) AS i FROM d WHERE len(ws) >= {w}) x),
+rep AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, g) AS c FROM win) x WHERE c > 1),
+cov AS (SELECT rid, count(DISTINCT i + k) AS n FROM rep, range({w}) r(k) GROUP BY rid),
+b AS (SELECT d.rid, doc_id, stratum, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+             coalesce(cov.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
+             len(regexp_extract_all(t, '\p{{Lu}}')) AS upper, len(regexp_extract_all(t, '\p{{P}}')) AS punct
+      FROM d LEFT JOIN cov USING (rid)),
+v AS (SELECT *, {base} AS base_failed, {", ".join(f"{e} AS {m}" for m, e in metrics.items())} FROM b),
+held AS (SELECT * FROM v WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1)),
+bins AS (SELECT stratum, metric, value, count(*) AS n FROM ({bins}) x GROUP BY ALL),
+steps AS (SELECT stratum, metric, value, sum(n) OVER (PARTITION BY stratum, metric) AS good,
+                 coalesce(sum(n) OVER (PARTITION BY stratum, metric ORDER BY value DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lost FROM bins),
+sizes AS (SELECT DISTINCT good FROM steps),
+cdf AS (SELECT good, j, sum(exp(lgamma(good + 1) - lgamma(j + 1) - lgamma(good - j + 1) + j * ln({risk!r}) + (good - j) * ln(1 - {risk!r}))) OVER (PARTITION BY good ORDER BY j) AS p
+        FROM (SELECT good, unnest(range(0, floor(good * {risk!r})::BIGINT + 1)) AS j FROM sizes) x),
+k AS (SELECT good, max(j) AS k FROM cdf WHERE p <= {quality.DELTA!r} / {count} / (SELECT count(*) FROM (SELECT DISTINCT stratum FROM bins) x) GROUP BY good),
+cuts AS (SELECT stratum, metric, min(value) AS cutoff FROM steps JOIN k USING (good) WHERE lost <= k GROUP BY ALL)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({over}) AS kept FROM v
+"""
+
+
+_OP7 = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS sh FROM w) x),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a),
+c AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept FROM w JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+_OP8 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS g FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM d WHERE n >= 100) x),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS place FROM w) x WHERE place > 1),
+runs AS (SELECT *, sum(fresh::INTEGER) OVER (PARTITION BY doc_id ORDER BY i) AS run
+         FROM (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, TRUE) AS fresh FROM later) x),
+spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS z FROM runs GROUP BY ALL),
+gaps AS (SELECT doc_id, z AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS z FROM spans
+         UNION ALL SELECT doc_id, 0 AS a, min(a) AS z FROM spans GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(z, n) - a)), '' ORDER BY a) AS h FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+_OP10 = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+           UNION ALL SELECT -1, n, who, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) u(n, who))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn NULLS FIRST, r, x)) AS turns_sha256,
+       coalesce(sum(length(x)) FILTER (r = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(x, '' ORDER BY turn NULLS FIRST, r, x) FILTER (r = 'assistant'), '')) AS loss_sha256,
+       sum(24 + length(r) + length(x) + len(regexp_extract_all(r || chr(10) || x, '<\\*\|')) + 2 * len(regexp_extract_all(r, '[%\n]')))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_exact_dedup": _OP3,
+    "op4_mixing": _OP4,
+    "op6_quality_rules": _op6_sql(),
+    "op7_near_dedup": _OP7,
+    "op8_substring_dedup": _OP8,
+    "op10_chat_format": _OP10,
+}
