@@ -7,11 +7,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 
-# Fixed value: the intake block of the one pipeline that sets one. An option
-# (``--max-per-batch``), not a default: the others take what has arrived.
-STORE_INTAKE_BLOCK = 1_000_000
-
-
 @dataclass(frozen=True)
 class TopicOptions:
     """Where the order messages come from (SRC-1..5)."""
@@ -20,7 +15,7 @@ class TopicOptions:
     topic: str = "orders"
     group: str | None = None
     starting: str = "latest"
-    max_per_batch: int | None = None
+    max_per_batch: int | None = None  # 1,000,000 in the one pipeline that sets it
     min_partitions: int | None = None
     extra: Mapping[str, str] = field(default_factory=dict)
 

@@ -38,10 +38,9 @@ def main(sf_dir: str) -> None:
            f"Generated by `tests/dump_plans.py` on `{sf_dir}` with `local[8]`, `explain(\"formatted\")`;",
            "expression ids and file paths are trimmed. Adaptive execution refines these plans at run",
            "time (partition coalescing, skew splits); the operators shown are the ones that run.", "",
-           "An `Exchange hashpartitioning(_nondeterministic, ...)` right after a scan is the small-input",
-           "spread of `read_table` (the test tables are single row groups); a large scan has no such",
-           "exchange. Every other shuffle is on `order_id`; the only broadcast is the size-checked key",
-           "set that `upsert_snapshot` uses to split the snapshot.", ""]
+           "An `Exchange hashpartitioning(_nondeterministic, ...)` right after a scan is the test set-up",
+           "dealing a single-split table to all cores; the library does not do it. Every other shuffle is",
+           "on `order_id` (or by range in sorted sinks); nothing is broadcast.", ""]
 
     def add(title: str, note: str, df) -> None:
         buf = io.StringIO()

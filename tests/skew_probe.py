@@ -25,7 +25,7 @@ def run(log_dir: str, sf_dir: str) -> None:
     from orderstream.sources import events_topic, read_table
 
     spark = local_session(8)
-    p = process(events_topic(read_table(spark, sf_dir, "events")), PipelineOptions(at="2024-06-01 00:00:00"))
+    p = process(events_topic(read_table(spark, sf_dir, "events", partitions=8)), PipelineOptions(at="2024-06-01 00:00:00"))
     hot = p.withColumn("order_id", F.when(F.col("status").isin("VIEW", "CLICK"), F.lit("HOT")).otherwise(F.col("order_id")))
     steps = {
         "latest_per_key": lambda: latest_per_key(hot).write.format("noop").mode("overwrite").save(),
