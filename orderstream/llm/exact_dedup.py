@@ -31,6 +31,8 @@ from .common import SPACE_CLASS, scratch_path, stored, text_or_empty
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # A store's working files leave the executor's disk once its batch is committed.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 Digest = Callable[[Column], Column]
 
