@@ -204,15 +204,17 @@ def q_upper_drop_null(spark, sf):
 
 def q_topic_records(spark, sf):
     t = events_topic(_events(spark, sf))
-    v = F.col("value").cast("string")
-    return t.select(
-        F.col("offset"),
-        F.col("key").cast("string").alias("key"),
-        F.get_json_object(v, "$.order_id").alias("order_id"),
-        F.get_json_object(v, "$.quantity").try_cast("int").alias("quantity"),
-        F.get_json_object(v, "$.price").try_cast("decimal(10,2)").alias("price"),
-        F.get_json_object(v, "$.order_timestamp").alias("order_timestamp_text"),
-        F.get_json_object(v, "$.status").alias("status"),
+    fields = "order_id string, quantity string, price string, order_timestamp string, status string"
+    v = F.from_json(F.col("value").cast("string"), fields)
+    parsed = t.select("offset", F.col("key").cast("string").alias("key"), F.explode(F.array(v)).alias("v"))
+    return parsed.select(
+        "offset",
+        "key",
+        F.col("v.order_id").alias("order_id"),
+        F.col("v.quantity").try_cast("int").alias("quantity"),
+        F.col("v.price").try_cast("decimal(10,2)").alias("price"),
+        F.col("v.order_timestamp").alias("order_timestamp_text"),
+        F.col("v.status").alias("status"),
     )
 
 
