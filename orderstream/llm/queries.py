@@ -14,9 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_sampled_pieces(spark: SparkSession, sf: str) -> DataFrame:
-    model = sampled_pieces.load()
-    drawn = sampled_pieces.decode(sampled_pieces.encode(table(spark, sf, "documents"), model), model)
-    return drawn.withColumn("text_sha256", F.sha2("text", 256)).drop("text")
+    return sampled_pieces.encode(table(spark, sf, "documents"), sampled_pieces.load(), decoded=True)
 
 
 def op2_pii(spark: SparkSession, sf: str) -> DataFrame:

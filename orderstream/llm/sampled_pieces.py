@@ -32,10 +32,11 @@ produced, also not from texts that spell them. An empty table gives an empty res
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
-from array import array
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Generator, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,10 +50,64 @@ DRAWS = 2
 ALPHA = 1.0
 SEED = 7
 MARK = "▁"
-WORDS_KEPT = 50_000  # distinct words whose lattices a task holds before it starts anew
+_WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+WORDS_KEPT = 200_000  # distinct words whose lattices a task holds before it starts anew
 BATCH_CHARS = 2_000_000
 
 
+class Trie:
+    """The pieces as a table of (node, character) -> node, looked up for many
+    positions at a time (open addressing with linear probing)."""
+
+    def __init__(self, pieces: dict[str, int]):
+        step: dict[tuple[int, int], int] = {}
+        piece = [-1]
+        for text, number in pieces.items():
+            node = 0
+            for c in text:
+                key = (node, ord(c))
+                if key not in step:
+                    step[key] = len(piece)
+                    piece.append(-1)
+                node = step[key]
+            piece[node] = number
+        self.piece = np.array(piece, dtype=np.int64)
+        self.bits = max(4, int(len(step) * 2.5).bit_length())
+        keys = np.array([n << 21 | c for n, c in step], dtype=np.int64)
+        values = np.array(list(step.values()), dtype=np.int64)
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.values = np.full(1 << self.bits, -1, dtype=np.int64)
+        at = self._home(keys)
+        todo = np.arange(len(keys))
+        while len(todo):
+            slot = at[todo]
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = keys[todo[free]]  # of several on one slot the last one stays
+            won = self.keys[slot] == keys[todo]
+            self.values[slot[won]] = values[todo[won]]
+            todo = todo[~won]
+            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def next(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """The node each one leads to, or -1."""
+        keys = nodes << 21 | chars
+        slot = self._home(keys)
+        found = self.keys[slot]
+        out = np.where(found == keys, self.values[slot], -1)
+        todo = np.nonzero((found != keys) & (found >= 0))[0]
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) & ((1 << self.bits) - 1)
+            found = self.keys[slot[todo]]
+            hit = found == keys[todo]
+            out[todo[hit]] = self.values[slot[todo[hit]]]
+            todo = todo[~hit & (found >= 0)]
+        return out
+
+
 class Pieces:
     """Pieces and weights of a model file, and the flat lattices of words."""
 
@@ -60,102 +115,119 @@ class Pieces:
         import sentencepiece
 
         self.processor = p = sentencepiece.SentencePieceProcessor(model_proto=model_bytes)
-        self.alpha = alpha
         n = p.get_piece_size()
         self.text: dict[str, int] = {}
-        self.byte = [0] * 256
-        scores = []
+        byte = np.zeros(256, dtype=np.int64)
+        ranks = np.zeros(n)
         for i in range(n):
-            piece, score = p.id_to_piece(i), p.get_score(i)
+            piece, ranks[i] = p.id_to_piece(i), p.get_score(i)
             if p.is_byte(i):
-                self.byte[int(piece[1:-1], 16)] = i
+                byte[int(piece[1:-1], 16)] = i
             elif not (p.is_control(i) or p.is_unknown(i) or p.is_unused(i)):
                 self.text[piece] = i
-            scores.append(score)
-        ranks = np.array(scores)
+        self.byte = byte
         whole = ranks[list(self.text.values())]
         merges = bool(len(whole)) and bool((whole <= 0).all()) and bool((whole == np.round(whole)).all()) and float(whole.min()) < -1000
         # Scores of -1e9 mark pieces outside the merge order: they come last.
         self.score = alpha * (-np.log1p(np.minimum(-ranks, n)) if merges else ranks)
         self.byte_score = alpha * (-math.log(2.0 * n) if merges else float(whole.min(initial=0.0)) - 10.0)
-        self.longest = max(map(len, self.text), default=1)
-        self.lengths = sorted({len(t) for t in self.text})
         if any(a != MARK and b == MARK for t in self.text for a, b in zip(t, t[1:], strict=False)):
             raise ValueError("a piece of this model spans the start of a word")
+        self.trie = Trie(self.text)
         self.forget()
 
     def forget(self) -> None:
         self.words: dict[str, int] = {}
-        # Per lattice node: first edge; per edge: cumulative probability within its
+        self.nodes = 0
+        self._new: list[str] = []
+        none = np.zeros(0, dtype=np.int32)
+        # First edge of each node; per edge: cumulative probability within its
         # node, node it leads to (-1: the word's end), piece, log probability.
-        self._first, self._to, self._id = array("q"), array("q"), array("q")
-        self._cum, self._log = array("d"), array("d")
-        self._arrays = None
-
-    def word(self, w: str) -> int:
-        """Number of the lattice node at which ``w`` starts."""
-        node = self.words.get(w)
-        if node is None:
-            node = self.words[w] = self._build(w)
-            self._arrays = None
-        return node
-
-    def _build(self, w: str) -> int:
-        n, base = len(w), len(self._first)
-        edges: list[list[tuple[int, int, float]]] = []
-        for i in range(n):
-            here = []
-            for length in self.lengths:
-                if i + length > n:
-                    break
-                piece = self.text.get(w[i : i + length])
-                if piece is not None:
-                    here.append((i + length, piece, float(self.score[piece])))
-            if not here or here[0][0] != i + 1:  # no piece for this character
-                raw = w[i].encode("utf-8", "surrogatepass")
-                here.append((i + 1, -i - 1, self.byte_score * len(raw)))
-            edges.append(here)
-        beta = [0.0] * (n + 1)
-        for i in range(n - 1, -1, -1):
-            terms = [s + beta[j] for j, _, s in edges[i]]
-            top = max(terms)
-            beta[i] = top + math.log(sum(math.exp(t - top) for t in terms))
-        for i in range(n):
-            self._first.append(len(self._cum))
-            total = 0.0
-            for k, (j, piece, s) in enumerate(edges[i]):
-                log = s + beta[j] - beta[i]
-                total += math.exp(log)
-                self._cum.append(1.0 if k == len(edges[i]) - 1 else total)
-                self._to.append(-1 if j == n else base + j)
-                self._id.append(piece if piece >= 0 else -1 - ord(w[i]))  # negative: bytes of a character
-                self._log.append(log)
-        return base
+        self._arrays = (np.zeros(1, dtype=np.int64), np.zeros(0), none, none, np.zeros(0))
+
+    def _edges(self, chars: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(from, to, piece, score) of all edges, ordered by where they start and
+        by length; a negative piece stands for the bytes of a character."""
+        start, node, length = np.arange(len(chars)), np.zeros(len(chars), dtype=np.int64), 0
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        covered = np.zeros(len(chars), dtype=bool)
+        while len(start):
+            node = self.trie.next(node, chars[start + length])
+            length += 1
+            on = node >= 0
+            start, node = start[on], node[on]
+            piece = self.trie.piece[node]
+            is_piece = piece >= 0
+            found.append((start[is_piece], start[is_piece] + length, piece[is_piece]))
+            if length == 1:
+                covered[start[is_piece]] = True
+            on = start + length < end[start]
+            start, node = start[on], node[on]
+        bare = np.nonzero(~covered)[0]
+        found.insert(0, (bare, bare + 1, -1 - chars[bare]))
+        begin, to, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        size = 1 + (-1 - piece > 0x7F) + (-1 - piece > 0x7FF) + (-1 - piece > 0xFFFF)  # bytes of a bare character
+        score = np.where(piece >= 0, self.score[np.maximum(piece, 0)], self.byte_score * size)
+        order = np.argsort(begin, kind="stable")
+        return begin[order], to[order], piece[order], score[order]
+
+    def _build(self, new: list[str]) -> None:
+        chars = np.frombuffer("".join(new).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        size = np.array([len(w) for w in new])
+        end = np.repeat(np.cumsum(size), size)
+        begin, to, piece, score = self._edges(chars, end)
+        n = len(chars)
+        first = np.concatenate([[0], np.cumsum(np.bincount(begin, minlength=n))])
+        # Log weight of all ways from a character to its word's end, for all words
+        # at a time: characters by their distance from it.
+        beta = np.zeros(n + 1)
+        ends = np.zeros(n + 1, dtype=bool)
+        ends[np.cumsum(size)] = True
+        left = end - np.arange(n)
+        by_left = np.argsort(left, kind="stable")
+        cut = np.searchsorted(left[by_left], np.arange(1, int(left.max()) + 2))
+        degree = np.diff(first)
+        for d in range(len(cut) - 1):
+            at = by_left[cut[d] : cut[d + 1]]
+            many = degree[at]
+            offset = np.cumsum(many) - many
+            e = np.arange(int(many.sum())) + np.repeat(first[at] - offset, many)
+            value = score[e] + np.where(ends[to[e]], 0.0, beta[to[e]])
+            top = np.maximum.reduceat(value, offset)
+            beta[at] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, many)), offset))
+        log = score + np.where(ends[to], 0.0, beta[to]) - beta[begin]
+        total = np.cumsum(np.exp(log))
+        cum = total - np.concatenate([[0.0], total])[first[begin]]
+        cum[first[1:] - 1] = 1.0
+        old_first, old_cum, old_to, old_piece, old_log = self._arrays
+        base = len(old_first) - 1
+        self._arrays = (
+            np.concatenate([old_first[:-1], first + len(old_log)]),
+            np.concatenate([old_cum, cum]),
+            np.concatenate([old_to, np.where(ends[to], -1, to + base).astype(np.int32)]),
+            np.concatenate([old_piece, piece.astype(np.int32)]),
+            np.concatenate([old_log, log]),
+        )
 
     def arrays(self):
-        if self._arrays is None:
-            first = np.append(np.array(self._first, dtype=np.int64), len(self._cum))
-            node_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            # Edges of all nodes on one axis: node number + cumulative probability.
-            axis = node_of + np.array(self._cum)
-            self._arrays = (first, axis, np.array(self._to), np.array(self._id), np.array(self._log))
+        if self._new:
+            self._build(self._new)
+            self._new = []
         return self._arrays
 
     def normalise(self, text: str) -> str:
         return self.processor.normalize(text) if text else ""
 
-    def split(self, text: str) -> list[str]:
-        """The words of a normalised text."""
-        out, start = [], 0
-        at = text.find(MARK, 1)
-        while at >= 0:
-            if text[at - 1] != MARK:
-                out.append(text[start:at])
-                start = at
-            at = text.find(MARK, at + 1)
-        if text:
-            out.append(text[start:])
-        return out
+    def starts(self, text: str) -> np.ndarray:
+        """The nodes at which the words of a normalised text start (a node per
+        character). ``arrays`` builds the lattices of all new words at a time."""
+        parts = _WORD.findall(text)
+        known = self.words
+        for w in set(parts).difference(known):
+            known[w] = self.nodes
+            self.nodes += len(w)
+            self._new.append(w)
+        return np.fromiter(map(known.__getitem__, parts), dtype=np.int64, count=len(parts))
 
 
 @dataclass
@@ -169,15 +241,26 @@ class Draw:
     log_p: float = 0.0
 
 
-def walk(pieces: Pieces, starts: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Draw a path from each start node to its word's end: (edges, word, node),
-    in text order."""
-    first, axis, to, _, _ = pieces.arrays()
+def uniforms(streams: np.ndarray, step: int) -> np.ndarray:
+    """The ``step``-th number of each stream (a mixed counter), in [0, 1)."""
+    x = streams + np.uint64((step + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) * 2.0**-53
+
+
+def walk(pieces: Pieces, starts: np.ndarray, streams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Draw a path from each start node to its word's end, by a stream of random
+    numbers per word: (edges, word, node), in text order."""
+    first, cum, to, _, _ = pieces.arrays()
     at, who = starts, np.arange(len(starts))
     edges, words, nodes = [], [], []
     while len(at):
-        e = np.searchsorted(axis, at + rng.random(len(at)), side="right")
-        e = np.minimum(np.maximum(e, first[at]), first[at + 1] - 1)
+        e, u = first[at], uniforms(streams[who], len(edges))
+        on = np.nonzero(cum[e] <= u)[0]
+        while len(on):  # a node has few edges, and the last one's value is 1
+            e[on] += 1
+            on = on[cum[e[on]] <= u[on]]
         edges.append(e)
         words.append(who)
         nodes.append(at)
@@ -187,21 +270,46 @@ def walk(pieces: Pieces, starts: np.ndarray, rng: np.random.Generator) -> tuple[
     if not edges:
         none = np.zeros(0, dtype=np.int64)
         return none, none, none
-    e, w, n = np.concatenate(edges), np.concatenate(words), np.concatenate(nodes)
-    order = np.argsort(w, kind="stable")  # steps of a word are already in order
-    return e[order], w[order], n[order]
+    # Step s of a word goes s places behind the word's first edge.
+    many = np.zeros(len(starts), dtype=np.int64)
+    for who in words:
+        many[who] += 1
+    place = np.cumsum(many) - many
+    e = np.empty(int(many.sum()), dtype=np.int64)
+    n = np.empty(len(e), dtype=np.int64)
+    for step, who in enumerate(words):
+        to_place = place[who] + step
+        e[to_place] = edges[step]
+        n[to_place] = nodes[step]
+    return e, np.repeat(np.arange(len(starts)), many), n
+
+
+def best_regions(prefix: np.ndarray, share: np.ndarray, bound: float, need: int, rng: np.random.Generator) -> list[tuple[int, float]]:
+    """The ``need`` regions of the largest value, by place. A region's value is a
+    Gumbel of location prefix + log(share), given that it does not exceed ``bound``;
+    the condition keeps the order of the values, so it is applied to the best only."""
+    with np.errstate(divide="ignore"):
+        free = prefix + np.log(share / rng.standard_exponential(len(share)))
+    best = np.argpartition(-free, need - 1)[:need] if len(free) > need else np.arange(len(free))
+    best = np.sort(best[free[best] > -np.inf])
+    return list(zip(best.tolist(), (-np.logaddexp(-bound, -free[best])).tolist(), strict=True))
+
 
+def streams_of(key: int, words: np.ndarray) -> np.ndarray:
+    """A stream for each word number of one text."""
+    x = (words.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93) ^ np.uint64(key)
+    return (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
 
-def truncated_gumbel(mu: np.ndarray, bound: float, rng: np.random.Generator) -> np.ndarray:
-    """Gumbels of location ``mu`` given that they do not exceed ``bound``."""
-    with np.errstate(divide="ignore", over="ignore"):
-        log_e = np.log(-np.log1p(-rng.random(len(mu))))  # log of a unit exponential
-        return -np.logaddexp(-bound, log_e - mu)
 
+Path = tuple[np.ndarray, np.ndarray, np.ndarray]
 
-def sample(pieces: Pieces, starts: np.ndarray, k: int, rng: np.random.Generator) -> tuple[list[Draw], float]:
+
+def search(pieces: Pieces, starts: np.ndarray, k: int, key: int) -> Generator[tuple, Path, tuple[list[Draw], float]]:
     """The ``k`` best perturbed segmentations of a text given as the start nodes
-    of its words, best first, and the bound of the best one not taken."""
+    of its words, best first, and the bound of the best one not taken. The search
+    yields what is to be walked (start nodes, streams) and is sent the path, so
+    that ``sample`` can walk for many texts at a time."""
+    rng = np.random.Generator(np.random.PCG64(key))
     first, _, to, _, logs = pieces.arrays()
     whole = float(rng.gumbel())
     # (-bound, number, parent draw, position in it, excluded edges); None: the root.
@@ -211,7 +319,7 @@ def sample(pieces: Pieces, starts: np.ndarray, k: int, rng: np.random.Generator)
         neg, _, parent, at, excluded = heapq.heappop(heap)
         bound = -neg
         if parent is None:
-            e, w, n = walk(pieces, starts, rng)
+            e, w, n = yield starts, streams_of(key, np.arange(len(starts)))
         else:
             node, word = int(parent.node[at]), int(parent.word[at])
             options = [x for x in range(int(first[node]), int(first[node + 1])) if x not in excluded]
@@ -219,7 +327,7 @@ def sample(pieces: Pieces, starts: np.ndarray, k: int, rng: np.random.Generator)
             pick = options[min(int(np.searchsorted(np.cumsum(weights), rng.random() * weights.sum())), len(options) - 1)]
             rest = np.concatenate([to[pick : pick + 1][to[pick : pick + 1] >= 0], starts[word + 1 :]])
             ends_word = int(to[pick]) < 0
-            e, w, n = walk(pieces, rest, rng)
+            e, w, n = yield rest, rng.integers(0, 2**64, len(rest), dtype=np.uint64)
             w = w + (word + 1 if ends_word else word)
             e = np.concatenate([parent.edges[:at], [pick], e])
             w = np.concatenate([parent.word[:at], [word], w])
@@ -229,42 +337,67 @@ def sample(pieces: Pieces, starts: np.ndarray, k: int, rng: np.random.Generator)
         before = np.concatenate([[0.0], np.cumsum(taken)])
         draw.log_p = float(before[-1])
         out.append(draw)
-        # The regions beside the new path: from the popped position on.
-        with np.errstate(divide="ignore"):
-            mass = before[at:-1] + np.log(-np.expm1(np.minimum(taken[at:], 0.0)))
-        mass[first[n[at:] + 1] - first[n[at:]] == 1] = -np.inf
         exclude_here = (*excluded, int(e[at])) if len(e) else ()
+        # The regions beside the new path, from the popped position on: the share
+        # of each one's mass in its prefix (0 where a node has one edge only).
+        beside = -np.expm1(np.minimum(taken[at:], 0.0))
         if parent is not None:
             left = [x for x in range(int(first[n[at]]), int(first[n[at] + 1])) if x not in exclude_here]
-            mass[0] = before[at] + math.log(float(np.exp(logs[left]).sum())) if left else -np.inf
-        open_ = np.nonzero(mass > -np.inf)[0]
-        if len(open_):
-            bounds = truncated_gumbel(mass[open_], bound, rng)
-            need = k - len(out) + 1  # one more, for the threshold
-            best = np.argpartition(-bounds, need - 1)[:need] if len(bounds) > need else np.arange(len(bounds))
-            for b in best[np.argsort(open_[best])].tolist():
-                pos = int(open_[b]) + at
-                heapq.heappush(heap, (-float(bounds[b]), made, draw, pos, exclude_here if pos == at else (int(e[pos]),)))
-                made += 1
-            if len(heap) > need:
-                heap = heapq.nsmallest(need, heap)
-                heapq.heapify(heap)
+            beside[0] = np.exp(logs[left]).sum()
+        need = k - len(out) + 1  # one more, for the threshold
+        for pos, value in best_regions(before[at:-1], beside, bound, need, rng):
+            pos += at
+            heapq.heappush(heap, (-value, made, draw, pos, exclude_here if pos == at else (int(e[pos]),)))
+            made += 1
+        if len(heap) > need:
+            heap = heapq.nsmallest(need, heap)
+            heapq.heapify(heap)
     return out, -heap[0][0] if heap else -math.inf
 
 
 def ids_of(pieces: Pieces, edges: np.ndarray) -> np.ndarray:
     """Piece numbers of a path; a character without a piece becomes its bytes."""
-    ids = pieces.arrays()[3][edges]
-    if len(ids) and ids.min() < 0:
-        out = []
-        for i in ids.tolist():
-            out.extend([i] if i >= 0 else [pieces.byte[b] for b in chr(-1 - i).encode("utf-8")])
-        ids = np.array(out, dtype=np.int64)
-    return ids.astype(np.int32)
-
-
-def _key_rng(seed: int, key: str) -> np.random.Generator:
-    return np.random.Generator(np.random.PCG64(xxhash.xxh3_128_intdigest(f"{seed}:{key}".encode())))
+    ids = pieces.arrays()[3][edges]  # a copy
+    bare = np.nonzero(ids < 0)[0]
+    if len(bare):
+        code = -1 - ids[bare]
+        if code.max() < 0x80:
+            ids[bare] = pieces.byte[code]
+        else:
+            raw = [chr(c).encode("utf-8", "surrogatepass") for c in code.tolist()]
+            many = np.ones(len(ids), dtype=np.int64)
+            many[bare] = [len(r) for r in raw]
+            at = np.repeat(np.arange(len(ids)), many)
+            is_bare = ids < 0
+            ids = ids[at]
+            ids[is_bare[at]] = pieces.byte[np.frombuffer(b"".join(raw), dtype=np.uint8)]
+    return ids.astype(np.int32, copy=False)
+
+
+def _key(seed: int, key: str) -> int:
+    return xxhash.xxh3_64_intdigest(f"{seed}:{key}".encode())
+
+
+def sample(pieces: Pieces, texts: list[np.ndarray], k: int, keys: list[int]) -> list[tuple[list[Draw], float]]:
+    """The result of ``search`` for each text; in each round the paths that all
+    unfinished searches ask for are walked together."""
+    done: dict[int, tuple[list[Draw], float]] = {}
+    running = [(i, search(pieces, t, k, key)) for i, (t, key) in enumerate(zip(texts, keys, strict=True))]
+    asked = [next(g) for _, g in running]
+    while running:
+        e, w, n = walk(pieces, np.concatenate([a[0] for a in asked]), np.concatenate([a[1] for a in asked]))
+        offset = np.concatenate([[0], np.cumsum([len(a[0]) for a in asked])])
+        cut = np.searchsorted(w, offset)
+        on, asked = [], []
+        for j, (i, g) in enumerate(running):
+            part = slice(cut[j], cut[j + 1])
+            try:
+                asked.append(g.send((e[part], w[part] - offset[j], n[part])))
+                on.append((i, g))
+            except StopIteration as end:
+                done[i] = end.value
+        running = on
+    return [done[i] for i in range(len(texts))]
 
 
 def load(path: str = MODEL_FILE) -> bytes:
@@ -273,50 +406,56 @@ def load(path: str = MODEL_FILE) -> bytes:
 
 
 ENCODED = "doc_id long, draw int, n_pieces long, ids array<int>, log_prob double, log_inclusion double, weight double"
+CHECKED = ENCODED + ", text_sha256 string"
 
 
-def encode(docs: DataFrame, model: bytes, k: int = DRAWS, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
+def encode(
+    docs: DataFrame, model: bytes, k: int = DRAWS, alpha: float = ALPHA, seed: int = SEED, decoded: bool = False
+) -> DataFrame:
     """``k`` rows per document: doc_id, draw (best first), n_pieces, ids,
     log_prob, log_inclusion (logarithm of the inclusion score: that of a long
-    text is too small for a double) and weight = probability / inclusion."""
+    text is too small for a double) and weight = probability / inclusion.
+    ``decoded`` adds text_sha256, a digest of the text that the drawn ids decode
+    to, made where they are drawn (``decode`` gives the text itself)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one model file
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = Pieces(shared.value, alpha)
-        rows: list[tuple] = []
-        size = 0
+        restore = decoder(shared.value) if decoded else None
+        todo: list[tuple] = []
+        chars = 0
+
+        def drawn() -> Iterator[pd.DataFrame]:
+            rows, size = [], 0
+            found = sample(pieces, [starts for _, starts in todo], k, [_key(seed, repr(key)) for key, _ in todo])
+            for (key, _), (draws, threshold) in zip(todo, found, strict=True):
+                for r, d in enumerate(draws):
+                    ids = ids_of(pieces, d.edges)
+                    log_q = 0.0 if threshold == -math.inf else _log_inclusion(d.log_p - threshold)
+                    row = (None if key is None else int(key), r, len(ids), ids, d.log_p, log_q, math.exp(d.log_p - log_q))
+                    if restore:
+                        row += (hashlib.sha256(restore(ids).encode("utf-8", "surrogatepass")).hexdigest(),)
+                    rows.append(row)
+                    size += len(ids)
+                if size > 1_000_000:
+                    yield _encoded(rows, decoded)
+                    rows, size = [], 0
+            if rows:
+                yield _encoded(rows, decoded)
+
         for batch in batches:
-            todo: list[tuple] = []
-            chars = 0
             for key, text in zip(batch["key"].tolist(), batch["text"].tolist(), strict=True):
-                todo.append((key, [pieces.word(w) for w in pieces.split(pieces.normalise(text))]))
+                todo.append((key, pieces.starts(pieces.normalise(text))))
                 chars += len(text)
-                if chars >= BATCH_CHARS or len(pieces.words) > WORDS_KEPT:
-                    for part in _drawn(pieces, todo, k, seed):
-                        rows.append(part)
-                        size += part[2]
-                        if size > 1_000_000:
-                            yield _encoded(rows)
-                            rows, size = [], 0
+                if chars >= BATCH_CHARS:
+                    yield from drawn()
                     todo, chars = [], 0
                     if len(pieces.words) > WORDS_KEPT:
                         pieces.forget()
-            rows.extend(_drawn(pieces, todo, k, seed))
-            if rows:
-                yield _encoded(rows)
-                rows, size = [], 0
+        yield from drawn()
 
     rows = docs.select(F.col("doc_id").cast("string").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, ENCODED)
-
-
-def _drawn(pieces: Pieces, todo: list[tuple], k: int, seed: int) -> Iterator[tuple]:
-    for key, starts in todo:
-        draws, threshold = sample(pieces, np.array(starts, dtype=np.int64), k, _key_rng(seed, repr(key)))
-        for r, d in enumerate(draws):
-            ids = ids_of(pieces, d.edges)
-            log_q = 0.0 if threshold == -math.inf else _log_inclusion(d.log_p - threshold)
-            yield (None if key is None else int(key), r, len(ids), ids, d.log_p, log_q, math.exp(d.log_p - log_q))
+    return rows.mapInPandas(run, CHECKED if decoded else ENCODED)
 
 
 def _log_inclusion(x: float) -> float:
@@ -326,13 +465,14 @@ def _log_inclusion(x: float) -> float:
     return math.log(-math.expm1(-math.exp(min(x, 50.0))))
 
 
-def _encoded(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["doc_id", "draw", "n_pieces", "ids", "log_prob", "log_inclusion", "weight"])
+def _encoded(rows: list[tuple], decoded: bool) -> pd.DataFrame:
+    names = ["doc_id", "draw", "n_pieces", "ids", "log_prob", "log_inclusion", "weight"]
+    out = pd.DataFrame(rows, columns=names + ["text_sha256"] * decoded)
     out["doc_id"] = out["doc_id"].astype("Int64")
     return out
 
 
-def decoder(model: bytes) -> Callable[[list[int]], str]:
+def decoder(model: bytes) -> Callable[[np.ndarray], str]:
     """From piece numbers to the normalised text: space marks become spaces, the
     leading one that normalising added goes, bytes that are no UTF-8 become U+FFFD,
     control pieces are nothing."""
@@ -344,9 +484,15 @@ def decoder(model: bytes) -> Callable[[list[int]], str]:
         piece = p.id_to_piece(i)
         table.append(bytes([int(piece[1:-1], 16)]) if p.is_byte(i) else b"" if p.is_control(i) else piece.replace(MARK, " ").encode())
     prefix = p.normalize("a") != "a"
-
-    def restore(ids: list[int]) -> str:
-        text = b"".join([table[i] for i in ids]).decode("utf-8", "replace")
+    size = np.array([len(t) for t in table])
+    begin = np.cumsum(size) - size
+    joined = np.frombuffer(b"".join(table), dtype=np.uint8)
+
+    def restore(ids: np.ndarray) -> str:
+        # The bytes of all pieces, gathered from the joined table.
+        many = size[ids]
+        at = np.arange(int(many.sum())) + np.repeat(begin[ids] - (np.cumsum(many) - many), many)
+        text = joined[at].tobytes().decode("utf-8", "replace")
         return text[1:] if prefix and text[:1] == " " else text
 
     return restore
@@ -360,6 +506,6 @@ def decode(encoded: DataFrame, model: bytes, ids: str = "ids", text: str = "text
     def restored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         restore = decoder(shared.value)
         for batch in batches:
-            yield pd.Series([None if x is None else restore(x.tolist()) for x in batch], dtype=object)
+            yield pd.Series([None if x is None else restore(np.asarray(x, dtype=np.int64)) for x in batch], dtype=object)
 
     return encoded.withColumn(text, restored(ids))

@@ -1,7 +1,7 @@
+import hashlib
 import math
 from collections import Counter
 
-import numpy as np
 import pytest
 
 from orderstream.llm import sampled_pieces as sp
@@ -31,12 +31,12 @@ def enumerate_all(pieces, text):
         if i == len(norm):
             out[tuple(ids)] = score
             return
-        here = [(n, pieces.text[norm[i : i + n]]) for n in pieces.lengths if norm[i : i + n] in pieces.text and i + n <= len(norm)]
+        here = [(n, pieces.text[norm[i : i + n]]) for n in range(1, 17) if norm[i : i + n] in pieces.text and i + n <= len(norm)]
         for n, p in here:
             go(i + n, [*ids, p], score + float(pieces.score[p]))
         if not any(n == 1 for n, _ in here):
             raw = norm[i].encode()
-            go(i + 1, [*ids, *[pieces.byte[b] for b in raw]], score + pieces.byte_score * len(raw))
+            go(i + 1, [*ids, *[int(pieces.byte[b]) for b in raw]], score + pieces.byte_score * len(raw))
 
     go(0, [], 0.0)
     top = max(out.values())
@@ -45,8 +45,7 @@ def enumerate_all(pieces, text):
 
 
 def draws(pieces, text, k, seed):
-    starts = np.array([pieces.word(w) for w in pieces.split(pieces.normalise(text))], dtype=np.int64)
-    found, threshold = sp.sample(pieces, starts, k, sp._key_rng(seed, "x"))
+    ((found, threshold),) = sp.sample(pieces, [pieces.starts(pieces.normalise(text))], k, [sp._key(seed, "x")])
     return [(tuple(sp.ids_of(pieces, d.edges).tolist()), d) for d in found], threshold
 
 
@@ -86,7 +85,7 @@ def test_all_segmentations_of_a_short_text(pieces):
 def test_tables_round_trip(docs, model, spark):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, "the key"), (3, TEXTS[3])]
     df = docs(rows).withColumnRenamed("lang", "ids")
-    encoded = sp.encode(df, model, k=4)
+    encoded = sp.encode(df, model, k=4, decoded=True)
     got = sp.decode(encoded, model).collect()
     pieces = sp.Pieces(model)
     by = {}
@@ -96,6 +95,7 @@ def test_tables_round_trip(docs, model, spark):
         norm = pieces.normalise(text or "").replace("▁", " ")
         for r in by[i]:
             assert r.text == norm[1:] and r.n_pieces == len(r.ids)
+            assert r.text_sha256 == hashlib.sha256(r.text.encode()).hexdigest()
             assert not set(r.ids) & {0, 1, 2}
             assert r.log_inclusion <= 0 and r.log_prob <= 1e-9
     assert len({tuple(r.ids) for r in by[10]}) == 4 and len(by[0]) == len(by[1]) == 1
