@@ -34,6 +34,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 RISK = 0.02
 DELTA = 0.05
+MAX_BROADCAST_STRATA = 10_000
 # Fixed value: the characters counted as symbols.
 SYMBOLS = "[#*$%&|<>]"
 
@@ -167,7 +168,11 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk:
 
 
 def _verdict(measured: DataFrame, cuts: DataFrame, stratum: str) -> DataFrame:
-    cuts = cuts.select(F.col("_stratum"), *[F.col(m).alias(f"_cut_{m}") for m in METRICS])
+    cuts = stored(cuts.select(F.col("_stratum"), *[F.col(m).alias(f"_cut_{m}") for m in METRICS]), "quality_cutoffs")
+    # One row per stratum. Checked, so that the texts need no shuffle for it;
+    # more strata than that are joined by a shuffle.
+    if cuts.count() <= MAX_BROADCAST_STRATA:
+        cuts = F.broadcast(cuts)
     joined = measured.join(cuts, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
     over = F.lit(False)
     for m in METRICS:
@@ -190,8 +195,14 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """The documents that pass, with the columns of ``docs``."""
-    measured = measure(docs.withColumn("_doc_text", F.col("text")), "_doc_text").drop("_doc_text")
-    measured = stored(measured, "quality_documents")
-    cuts = cutoffs(measured.select("doc_id", stratum, *BASE, *METRICS), labels, stratum, risk, delta)
-    return _verdict(measured, cuts, stratum).filter("kept").select(*docs.columns)
+    """The documents that pass, with the columns of ``docs``. The cutoffs come
+    from a narrow table of the measures; the documents are measured once more
+    where they are filtered, which costs less than storing their texts."""
+    narrow = stored(measure(docs.select("doc_id", F.col(stratum), "text")).drop("text"), "quality_measured")
+    cuts = cutoffs(narrow, labels, stratum, risk, delta)
+    # Columns that the measures would replace are carried under other names.
+    carried = {c: f"_carried_{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(c).alias(name) for c, name in carried.items()], F.col(stratum).alias("_doc_stratum"), F.col("text").alias("_doc_text"))
+    measured = measure(renamed, "_doc_text").drop("_doc_text")
+    kept = _verdict(measured, cuts, "_doc_stratum").filter("kept")
+    return kept.select(*[F.col(name).alias(c) for c, name in carried.items()])
