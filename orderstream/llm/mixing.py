@@ -97,16 +97,18 @@ def _share(nodes: DataFrame, parent: list[str], level: str) -> DataFrame:
 
 
 def plan(leaves: DataFrame, budget: Column, weights: Mapping[str, Mapping[str, int]] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """``leaves`` (domain, lang, source, tokens, rows) with their ``quota``.
-    The tree has one row per leaf, not per document."""
+    """``leaves`` (domain, lang, source, tokens, rows) with their ``quota``;
+    ``budget`` is an expression over ``_total``, the tokens of all leaves. The tree
+    has one row per leaf, not per document."""
     nodes = leaves.withColumn("_cap", F.col("tokens") * max_epochs).withColumn("_root", F.lit(0))
     parent, quota = ["_root"], None
     for depth, level in enumerate(LEVELS):
         keys = [*parent, level]
         level_nodes = nodes.groupBy(*keys).agg(F.sum("_cap").alias("capacity"), F.sum("tokens").alias("_tokens"))
         if quota is None:
-            total = level_nodes.groupBy("_root").agg(budget.alias("budget"))
-            level_nodes = level_nodes.join(total, "_root")
+            # Over the domains, of which there are few.
+            total = F.sum("_tokens").over(Window.partitionBy("_root"))
+            level_nodes = level_nodes.withColumn("_total", total).withColumn("budget", budget).drop("_total")
         else:
             same = [level_nodes[k].eqNullSafe(quota[f"_q_{k}"]) for k in parent]
             condition = same[0]
@@ -164,7 +166,7 @@ def choose(
     narrow = stored(narrow, "mixing_tokens")
     leaf = list(LEVELS)
     leaves = narrow.groupBy(*leaf).agg(F.sum("_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
-    budget = F.expr(f"sum(_tokens) * {int(budget_percent)} div 100").cast("long")
+    budget = F.expr(f"_total * {int(budget_percent)} div 100").cast("long")
     quotas = plan(leaves, budget, weights, max_epochs)
     condition = F.lit(True)
     for k in leaf:
