@@ -4,10 +4,12 @@ Base spans come from four patterns with their checks (see ``base_spans``); each
 scan is linear in the text, also for one very long token. The model works on the
 tokens that hold a digit or ``@``. Its graph has an edge between neighbours in
 the text and skip edges between distant tokens of one document that are the same
-(ignoring case) or alike (the same digits): each occurrence is tied to the next
-one, so the graph grows with the number of tokens, not with its square. Loopy
-message passing over that graph gives each token's label; a token that the
-patterns left out but the model labels is added as a span of its own.
+(ignoring case) or alike (the same digits): all occurrences are tied to one shared
+variable, so the graph grows with the number of tokens, not with its square, and
+any two of them are two edges apart. Tokens in a base span are given, and so is a
+shared variable whose matched occurrences are of one kind. Loopy message passing
+over that graph, until the messages settle, gives each token's label; a token that
+the patterns left out but the model labels is added as a span of its own.
 
 Weights are trained here by pseudo-likelihood on the documents with the smallest
 id hash, ``FIT_DOCS`` of them at most (documented bound of the labelled sample);
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,7 +37,7 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = 1 + len(KINDS)  # 0: none
 FIT_DOCS = 2000
 MIN_PROBABILITY = 0.8
-SWEEPS = 10
+TOLERANCE = 1e-4  # largest change of a settled message
 CONSISTENCY = 8.0
 CHUNK = 20_000  # tokens whose graphs are solved together
 
@@ -135,15 +138,21 @@ class Graph:
 
     feats: list[list[int]] = field(default_factory=list)
     chain: list[tuple[int, int]] = field(default_factory=list)
-    skip: list[tuple[int, int]] = field(default_factory=list)
+    tied: list[tuple[int, int]] = field(default_factory=list)  # token, shared variable (numbered from 0)
+    shared: int = 0
     spans: list[tuple[int, int, int]] = field(default_factory=list)  # document, start, end
     keys: list[str | None] = field(default_factory=list)
 
+    @property
+    def skip(self) -> list[tuple[int, int]]:
+        """The edges to the shared variables, which are numbered after the tokens."""
+        return [(a, len(self.feats) + b) for a, b in self.tied]
+
     def add(self, doc: int, text: str) -> None:
         found = tokens(text)
         first = len(self.feats)
         near = [0 < b[0] - a[1] <= 3 and "\n" not in text[a[1] : b[0]] for a, b in zip(found, found[1:], strict=False)]
-        last: dict[str, int] = {}
+        alike: dict[str, list[int]] = {}
         i = 0
         while i < len(found):
             j = i
@@ -161,16 +170,14 @@ class Graph:
                 key = core.lower() if len(core) >= 5 and ("@" in core or len(digits) >= 5) else None
                 self.keys.append(key)
                 if key is not None:
-                    if key in last:
-                        self.skip.append((last[key], node))
-                    elif len(digits) >= 7 and "#" + digits in last:
-                        self.skip.append((last["#" + digits], node))
-                    last[key] = node
-                    if len(digits) >= 7:
-                        last["#" + digits] = node
+                    alike.setdefault("#" + digits if len(digits) >= 7 else key, []).append(node)
                 if k > i:
                     self.chain.append((node - 1, node))
             i = j + 1
+        for nodes in alike.values():
+            if len(nodes) > 1:
+                self.tied.extend((node, self.shared) for node in nodes)
+                self.shared += 1
 
 
 def _features(core: str, digits: str, run: int, plus: bool, card: bool, place: int, last: int) -> list[int]:
@@ -191,19 +198,37 @@ def _features(core: str, digits: str, run: int, plus: bool, card: bool, place: i
     return [int(_OFFSETS[t]) + v for t, v in enumerate(values)]
 
 
-def silver_labels(graph: Graph, base: list[list[Span]]) -> np.ndarray:
-    """Labels from the base spans, carried over to repeats of a matched token."""
-    labels = np.zeros(len(graph.feats), dtype=np.int64)
-    for n, (doc, a, b) in enumerate(graph.spans):
-        for kind, s, e in base[doc]:
-            if s < b and a < e:
+def matched_labels(graph: Graph, base: list[list[Span]]) -> np.ndarray:
+    """Labels of the tokens that a base span touches (0: none), then those of the
+    shared variables: their tokens' label, 0 if there is none or more than one."""
+    labels = np.zeros(len(graph.feats) + graph.shared, dtype=np.int64)
+    docs, ends = [s[0] for s in graph.spans], [s[2] for s in graph.spans]
+    for doc, spans in enumerate(base):
+        first, stop = bisect_right(docs, doc - 1), bisect_right(docs, doc)
+        for kind, s, e in spans:
+            n = bisect_right(ends, s, first, stop)
+            while n < stop and graph.spans[n][1] < e:
                 labels[n] = kind + 1
-    for _ in range(2):
-        for a, b in [*graph.skip, *reversed(graph.skip)]:
-            if labels[a] and not labels[b]:
-                labels[b] = labels[a]
-            elif labels[b] and not labels[a]:
-                labels[a] = labels[b]
+                n += 1
+    kinds: dict[int, set[int]] = {}
+    for token, variable in graph.skip:
+        if labels[token]:
+            kinds.setdefault(variable, set()).add(int(labels[token]))
+    for variable, found in kinds.items():
+        labels[variable] = found.pop() if len(found) == 1 else 0
+    return labels
+
+
+def silver_labels(graph: Graph, base: list[list[Span]]) -> np.ndarray:
+    """Labels from the base spans, carried over to repeats of a matched token;
+    the shared variables' labels follow those of the tokens."""
+    labels = matched_labels(graph, base)
+    for _ in range(2):  # to the shared variables, then to their other tokens
+        for token, variable in graph.skip:
+            if labels[token] and not labels[variable]:
+                labels[variable] = labels[token]
+            elif labels[variable] and not labels[token]:
+                labels[token] = labels[variable]
     return labels
 
 
@@ -218,9 +243,18 @@ class Model:
     skip: np.ndarray  # label, label
 
 
+def _potentials(weights: np.ndarray, feats: np.ndarray, n: int) -> np.ndarray:
+    """One row per variable; those after the tokens have no features."""
+    node = np.zeros((n, LABELS))
+    if len(feats):
+        node[: len(feats)] = weights[feats].sum(axis=1)
+    return node
+
+
 def train(feats: np.ndarray, labels: np.ndarray, chain: np.ndarray, skip: np.ndarray, rounds: int = 300, l2: float = 1e-3) -> Model:
-    """Pseudo-likelihood: each token's label given its features and the labels
-    of its neighbours (Adam, deterministic)."""
+    """Pseudo-likelihood: each variable's label given its features and the labels
+    of its neighbours (Adam, deterministic). Shared variables, which follow the
+    tokens in ``labels``, have no features."""
     n = len(labels)
     size = int(_OFFSETS[-1])
     one = np.eye(LABELS)
@@ -236,14 +270,14 @@ def train(feats: np.ndarray, labels: np.ndarray, chain: np.ndarray, skip: np.nda
     first = [np.zeros_like(p) for p in params]
     second = [np.zeros_like(p) for p in params]
     for step in range(1, rounds + 1):
-        score = params[0][feats].sum(axis=1) + beside["chain"] @ params[1] + beside["skip"] @ params[2]
+        score = _potentials(params[0], feats, n) + beside["chain"] @ params[1] + beside["skip"] @ params[2]
         score -= score.max(axis=1, keepdims=True)
         p = np.exp(score)
         p /= p.sum(axis=1, keepdims=True)
         miss = (one[labels] - p) / max(n, 1)
         g0 = np.zeros_like(params[0])
         for t in range(feats.shape[1]):
-            np.add.at(g0, feats[:, t], miss)
+            np.add.at(g0, feats[:, t], miss[: len(feats)])
         grads = [g0, beside["chain"].T @ miss, beside["skip"].T @ miss]
         grads[1], grads[2] = (grads[1] + grads[1].T) / 2, (grads[2] + grads[2].T) / 2  # one table for both directions
         for k, g in enumerate(grads):
@@ -254,30 +288,52 @@ def train(feats: np.ndarray, labels: np.ndarray, chain: np.ndarray, skip: np.nda
     return Model(*params)
 
 
-def marginals(model: Model, feats: np.ndarray, chain: np.ndarray, skip: np.ndarray, sweeps: int = SWEEPS, damping: float = 0.3) -> np.ndarray:
-    """Label probabilities by loopy sum-product message passing (all messages
-    at once per sweep, in logarithms, damped)."""
-    n = len(feats)
-    node = model.nodes[feats].sum(axis=1) if n else np.zeros((0, LABELS))
+def marginals(
+    model: Model, feats: np.ndarray, chain: np.ndarray, skip: np.ndarray, sweeps: int | None = None, damping: float = 0.3, given: np.ndarray | None = None
+) -> np.ndarray:
+    """Label probabilities of the tokens by loopy sum-product message passing (all
+    messages at once per sweep, in logarithms, damped).
+
+    Edges may name shared variables, numbered after the tokens. ``given`` has a
+    known label of each variable, or 0. Without ``sweeps`` the messages are passed
+    until none would change by ``TOLERANCE``. Should some circle, the damping grows;
+    the last stop is one sweep per variable, when any message has crossed the graph."""
     both = np.concatenate([chain, skip])
+    m = len(both)
+    n = max(len(feats), int(both.max()) + 1 if m else 0)
+    node = _potentials(model.nodes, feats, n)
+    if given is not None:
+        known = np.nonzero(given)[0]
+        node[known] = -1e6
+        node[known, given[known]] = 0
     source = np.concatenate([both[:, 0], both[:, 1]])
     target = np.concatenate([both[:, 1], both[:, 0]])
-    m = len(both)
     back = np.concatenate([np.arange(m, 2 * m), np.arange(m)])
-    is_skip = np.tile(np.arange(m) >= len(chain), 2)
-    table = np.where(is_skip[:, None, None], model.skip, model.chain)
+    is_skip = np.tile(np.arange(m) >= len(chain), 2).astype(np.int64)
+    tables = np.stack([model.chain, model.skip])
     messages = np.zeros((2 * m, LABELS))
-    for _ in range(sweeps if m else 0):
-        belief = node.copy()
-        np.add.at(belief, target, messages)
-        out = belief[source] - messages[back]  # all but what came from the target
-        new = np.logaddexp.reduce(out[:, :, None] + table, axis=1)
-        new -= np.logaddexp.reduce(new, axis=1, keepdims=True)
-        messages = damping * messages + (1 - damping) * new
     belief = node.copy()
-    if m:
+    at = np.arange(2 * m)  # the messages that may still change
+    sweep = 0
+    while len(at) and sweep < (n + 100 if sweeps is None else sweeps):
+        sweep += 1
+        out = belief[source[at]] - messages[back[at]]  # all but what came from the target
+        new = np.logaddexp.reduce(out[:, :, None] + tables[is_skip[at]], axis=1)
+        new -= np.logaddexp.reduce(new, axis=1, keepdims=True)
+        moved = np.abs(new - messages[at]).max(axis=1) >= TOLERANCE
+        messages[at] = damping * messages[at] + (1 - damping) * new
+        belief = node.copy()
         np.add.at(belief, target, messages)
-    belief -= np.logaddexp.reduce(belief, axis=1, keepdims=True) if n else 0
+        if sweeps is None:
+            live = np.zeros(2 * m, dtype=bool)
+            live[at[moved]] = True
+            fresh = np.zeros(n, dtype=bool)
+            fresh[target[at[moved]]] = True
+            at = np.nonzero(live | fresh[source])[0]
+            if sweep % 100 == 0:
+                damping = (1 + damping) / 2 if damping < 0.9 else damping
+    belief = belief[: len(feats)]
+    belief -= np.logaddexp.reduce(belief, axis=1, keepdims=True) if len(feats) else 0
     return np.exp(belief)
 
 
@@ -287,13 +343,14 @@ def added_spans(graph: Graph, model: Model, base: list[list[Span]]) -> list[list
     out: list[list[Span]] = [[] for _ in base]
     if not graph.feats:
         return out
-    p = marginals(model, np.array(graph.feats), _edge_array(graph.chain), _edge_array(graph.skip))
+    given = matched_labels(graph, base)
+    p = marginals(model, np.array(graph.feats), _edge_array(graph.chain), _edge_array(graph.skip), given=given)
     best = p.argmax(axis=1)
     sure = (best > 0) & (p[np.arange(len(best)), best] >= MIN_PROBABILITY)
     linked = {b for _, b in graph.chain}
     for n in np.nonzero(sure)[0].tolist():
         doc, a, b = graph.spans[n]
-        if graph.keys[n] is None or any(s < b and a < e for _, s, e in base[doc]):
+        if graph.keys[n] is None or given[n]:
             continue
         kind = int(best[n]) - 1
         if n in linked and out[doc] and out[doc][-1][0] == kind and out[doc][-1][2] == graph.spans[n - 1][2]:
@@ -303,7 +360,7 @@ def added_spans(graph: Graph, model: Model, base: list[list[Span]]) -> list[list
     return out
 
 
-_SAMPLE = "doc string, feats array<int>, labels array<int>, chain array<int>, skip array<int>"
+_SAMPLE = "doc string, feats array<int>, labels array<int>, chain array<int>, tied array<int>"
 
 
 def _sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -313,24 +370,28 @@ def _sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             graph = Graph()
             graph.add(0, text)
             flat = lambda xs: [v for x in xs for v in x]
-            rows.append((doc, flat(graph.feats), silver_labels(graph, [base_spans(text)]).tolist(), flat(graph.chain), flat(graph.skip)))
-        yield pd.DataFrame(rows, columns=["doc", "feats", "labels", "chain", "skip"])
+            rows.append((doc, flat(graph.feats), silver_labels(graph, [base_spans(text)]).tolist(), flat(graph.chain), flat(graph.tied)))
+        yield pd.DataFrame(rows, columns=["doc", "feats", "labels", "chain", "tied"])
 
 
 def fit(docs: DataFrame, limit: int = FIT_DOCS) -> Model | None:
     """The model from at most ``limit`` documents; None if nothing is labelled."""
     ids = docs.select("doc_id").dropna().distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     sample = docs.join(F.broadcast(ids), "doc_id").select(F.col("doc_id").cast("string").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    feats, labels, chain, skip, at = [], [], [], [], 0
+    feats, labels, shared, chain, tied, at, at_shared = [], [], [], [], [], 0, 0
     for r in sorted(sample.mapInPandas(_sampled, _SAMPLE).collect(), key=lambda r: (r.doc, r.feats)):  # bounded by ``limit``
         feats.append(np.array(r.feats, dtype=np.int64).reshape(-1, len(TEMPLATES)))
-        labels.append(np.array(r.labels, dtype=np.int64))
+        n = len(feats[-1])
+        labels.append(np.array(r.labels[:n], dtype=np.int64))
+        shared.append(np.array(r.labels[n:], dtype=np.int64))
         chain.append(np.array(r.chain, dtype=np.int64).reshape(-1, 2) + at)
-        skip.append(np.array(r.skip, dtype=np.int64).reshape(-1, 2) + at)
-        at += len(r.labels)
+        tied.append(np.array(r.tied, dtype=np.int64).reshape(-1, 2) + [at, at_shared])
+        at += n
+        at_shared += len(shared[-1])
     if not any(x.any() for x in labels):
         return None
-    return train(np.concatenate(feats), np.concatenate(labels), np.concatenate(chain), np.concatenate(skip))
+    skip = np.concatenate(tied) + [0, at]  # shared variables follow all tokens
+    return train(np.concatenate(feats), np.concatenate(labels + shared), np.concatenate(chain), skip)
 
 
 FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"

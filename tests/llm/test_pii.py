@@ -93,3 +93,22 @@ def test_find(docs, rows):
 def test_empty(docs):
     assert pii.fit(docs([])) is None
     assert pii.find(docs([]), None).count() == 0
+
+
+@pytest.mark.parametrize("repeats", [50, 500])
+def test_evidence_reaches_every_repeat(repeats):
+    nodes = np.zeros((int(pii._OFFSETS[-1]), pii.LABELS))
+    nodes[int(pii._OFFSETS[-2]) + 1, 4] = 8.0  # a + before the number; all else is neutral
+    model = pii.Model(nodes, np.zeros((pii.LABELS,) * 2), pii.CONSISTENCY * np.eye(pii.LABELS))
+    graph = pii.Graph()
+    graph.add(0, "+4255550735" + " and 4255550735" * (repeats - 1))
+    p = pii.marginals(model, np.array(graph.feats), pii._edge_array(graph.chain), pii._edge_array(graph.skip))
+    assert len(p) == repeats and (p[:, 4] > 0.8).all()
+
+
+@pytest.mark.parametrize("repeats", [50, 500])
+def test_find_every_repeat(docs, rows, repeats):
+    text = "+1 (425) 555-0735" + " later again 555-0735" * repeats
+    df = docs([*rows, (902, text)])
+    got = {r.doc_id: r for r in pii.find(df, pii.fit(docs(rows))).collect()}[902]
+    assert got.n_added == repeats
