@@ -4,9 +4,13 @@ Base spans come from four patterns with their checks (see ``base_spans``); each
 scan is linear in the text, also for one very long token. The model works on the
 tokens that hold a digit or ``@``. Its graph has an edge between neighbours in
 the text and skip edges between distant tokens of one document that are the same
-(ignoring case) or alike (the same digits): all occurrences are tied to one shared
-variable, so the graph grows with the number of tokens, not with its square, and
-any two of them are two edges apart. Tokens in a base span are given, and so is a
+(ignoring case) or alike (7 digits or more, those of one the end of the other's):
+all occurrences are tied to one shared variable, so the graph grows with the number
+of tokens, not with its square, and any two of them are two edges apart. A number
+written as several tokens is one node where it repeats: neighbouring tokens that
+end like a matched phone number (7 digits or more, leading zeros and up to 3 more
+digits aside) or hold all digits of a matched card, and whole runs of number tokens
+that are alike. Tokens in a base span are given, and so is a
 shared variable whose matched occurrences are of one kind. Loopy message passing
 over that graph, until the messages settle, gives each token's label; a token that
 the patterns left out but the model labels is added as a span of its own.
@@ -24,7 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -52,6 +56,11 @@ _SPACE = re.compile(r"[ \x09-\x0D]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _EMAIL_SHAPE = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _EDGE = "()[]{}<>.,;:!?\"'+"
+_NUMBER = re.compile(r"[0-9().+/-]+")
+_JOINT = frozenset(" \t().-/")  # between the tokens of one number
+ALIKE = 7  # digits
+LONGEST = 19  # digits of a number
+PREFIX = 3  # digits before a number that is otherwise the same
 
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -132,6 +141,139 @@ TEMPLATES = (1, 3, 8, 4, 5, 8, 2, 2, 3, 2)
 _OFFSETS = np.concatenate([[0], np.cumsum(TEMPLATES)])
 
 
+def _near(text: str, end: int, start: int) -> bool:
+    return 0 < start - end <= 3 and "\n" not in text[end:start]
+
+
+def _backwards(digits: str) -> str:
+    """The digits from the last one on, without zeros at the front."""
+    bare = digits.lstrip("0")
+    return (bare if len(bare) >= ALIKE else digits)[::-1]
+
+
+def _common(a: str, b: str) -> int:
+    return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+
+class _Parts:
+    """The tokens of a text; those of a repeated number as one.
+
+    ``values`` has, by the end of a token, the matched numbers it is tied to as a
+    part of their span or as a repeat; ``repeats`` has the places of the repeats."""
+
+    def __init__(self, text: str, base: list[Span]) -> None:
+        self.text, self.found = text, tokens(text)
+        self.digits = [_NOT_DIGIT.sub("", text[a:b]) for a, b in self.found]
+        plain = [bool(_NUMBER.fullmatch(text, a, b)) for a, b in self.found]
+        self.touched = [False] * len(self.found)
+        self.values: dict[int, list[str]] = {}
+        self.repeats: set[tuple[int, int]] = set()
+        matched = self._matched(base)
+        # Whether the token belongs to one number with the next one.
+        self.joined = [
+            plain[i] and plain[i + 1] and not self.touched[i] and not self.touched[i + 1]
+            and _near(text, a[1], b[0]) and _JOINT.issuperset(text[a[1] : b[0]])
+            for i, (a, b) in enumerate(zip(self.found, self.found[1:], strict=False))
+        ]
+        self.taken: dict[int, int] = {}  # first and last token of what is one node
+        used = [False] * len(self.found)
+        for _, first, last, value in sorted(self._ends_like(matched)):
+            if not any(used[first : last + 1]):
+                used[first : last + 1] = [True] * (last + 1 - first)
+                self.taken[first] = last
+                self.values.setdefault(self.found[last][1], []).append(value)
+                self.repeats.add(self._place(first, last))
+        for first, last in self._same_runs(used):
+            self.taken[first] = last
+
+    def _place(self, first: int, last: int) -> tuple[int, int]:
+        a, b = self.found[first][0], self.found[last][1]
+        opened = a > 0 and self.text[a - 1] == "(" and ")" in self.text[a:b] and "(" not in self.text[a : self.text.index(")", a)]
+        return (a - 1 if opened else a), b
+
+    def nodes(self) -> list[tuple[int, int]]:
+        out, i = [], 0
+        while i < len(self.found):
+            last = self.taken.get(i)
+            out.append(self.found[i] if last is None else self._place(i, last))
+            i = i + 1 if last is None else last + 1
+        return out
+
+    def _matched(self, base: list[Span]) -> dict[str, list[tuple[str, bool]]]:
+        """Digits of the matched numbers, reversed, by the last ones of them; a
+        card counts as a whole. A phone span may run on into other numbers, so it
+        stands for each of its beginnings of 8 digits or more."""
+        ends = [b for _, b in self.found]
+        by: dict[str, set[tuple[str, bool]]] = {}
+        for kind, s, e in base:
+            n, so_far = bisect_right(ends, s), ""
+            while n < len(ends) and self.found[n][0] < e:
+                self.touched[n] = True
+                a, b = self.found[n]
+                so_far += _NOT_DIGIT.sub("", self.text[max(a, s) : min(b, e)])
+                whole = b >= e or n + 1 == len(ends) or self.found[n + 1][0] >= e
+                if (kind == 3 and len(so_far) >= 8) or (kind == 2 and whole):
+                    by.setdefault(so_far[-ALIKE:], set()).add((so_far[::-1], kind == 2))
+                    self.values.setdefault(b, []).append(so_far)
+                n += 1
+        return {k: sorted(v) for k, v in by.items()}
+
+    def _ends_like(self, matched: dict[str, list[tuple[str, bool]]]) -> list[tuple[int, int, int, str]]:
+        """(- common digits, first token, last token, number) of possible repeats."""
+        out = []
+        for last in range(len(self.found) if matched else 0):
+            if self.touched[last]:
+                continue
+            first, have = last, self.digits[last]
+            while first > 0 and self.joined[first - 1] and len(have) < LONGEST:
+                first -= 1
+                have = self.digits[first] + have
+            known = matched.get(have[-ALIKE:]) if len(have) >= ALIKE else None
+            if not known:
+                continue
+            turned = have[::-1]
+            at = bisect_left(known, (turned, False))
+            best = max(known[max(at - 1, 0) : at + 2], key=lambda v: (_common(turned, v[0]), -len(v[0])))
+            same = _common(turned, best[0])
+            first, inside = last + 1, 0
+            while first > 0 and inside < same and (first > last or self.joined[first - 1]):
+                more = self.digits[first - 1]
+                extra = more[: max(0, inside + len(more) - same)]
+                if extra.strip("0") and not (same == len(best[0]) and len(extra) <= PREFIX):
+                    break
+                first -= 1
+                inside += len(more)
+            inside = min(inside, same)
+            if inside >= ALIKE and (not best[1] or inside == len(best[0])):
+                out.append((-inside, first, last, best[0][::-1]))
+        return out
+
+    def _same_runs(self, used: list[bool]) -> list[tuple[int, int]]:
+        """Whole runs of number tokens whose digits another number has or ends with."""
+        values, i = [], 0
+        while i < len(self.found):
+            j, size = i, len(self.digits[i])
+            while j < len(self.joined) and self.joined[j]:
+                j += 1
+                size += len(self.digits[j])
+            if j > i and ALIKE <= size <= LONGEST and not any(used[i : j + 1]):
+                values.append((_backwards("".join(self.digits[i : j + 1])), i, j))
+            values.extend((_backwards(self.digits[k]), k, k) for k in range(i, j + 1) if len(self.digits[k]) >= ALIKE)
+            i = j + 1
+        values.sort()
+        out, ends = [], []
+        for n, (value, first, last) in enumerate(values):
+            while ends and not value.startswith(ends[-1]):
+                ends.pop()
+            if first < last:
+                longer = n + 1 < len(values) and values[n + 1][0].startswith(value)
+                shorter = bool(ends) and len(ends[-1]) > len(self.digits[last]) and len(value) - len(ends[-1]) <= PREFIX
+                if longer or shorter:
+                    out.append((first, last))
+            ends.append(value)
+        return out
+
+
 @dataclass
 class Graph:
     """The tokens of some documents, their features and edges."""
@@ -148,11 +290,13 @@ class Graph:
         """The edges to the shared variables, which are numbered after the tokens."""
         return [(a, len(self.feats) + b) for a, b in self.tied]
 
-    def add(self, doc: int, text: str) -> None:
-        found = tokens(text)
+    def add(self, doc: int, text: str, base: list[Span] | None = None) -> None:
+        parts = _Parts(text, base_spans(text) if base is None else base)
+        found = parts.nodes()
         first = len(self.feats)
-        near = [0 < b[0] - a[1] <= 3 and "\n" not in text[a[1] : b[0]] for a, b in zip(found, found[1:], strict=False)]
+        near = [_near(text, a[1], b[0]) for a, b in zip(found, found[1:], strict=False)]
         alike: dict[str, list[int]] = {}
+        values: list[tuple[str, int]] = []
         i = 0
         while i < len(found):
             j = i
@@ -169,11 +313,21 @@ class Graph:
                 self.spans.append((doc, *found[k]))
                 key = core.lower() if len(core) >= 5 and ("@" in core or len(digits) >= 5) else None
                 self.keys.append(key)
-                if key is not None:
-                    alike.setdefault("#" + digits if len(digits) >= 7 else key, []).append(node)
+                for value in parts.values.get(found[k][1], ()):
+                    alike.setdefault("+" + value, []).append(node)
+                if key is not None and found[k] not in parts.repeats:
+                    if len(digits) >= ALIKE:
+                        values.append((_backwards(digits), node))
+                    else:
+                        alike.setdefault(key, []).append(node)
                 if k > i:
                     self.chain.append((node - 1, node))
             i = j + 1
+        root = ""
+        for value, node in sorted(values):  # what ends like the root follows it
+            if not root or not value.startswith(root):
+                root = value
+            alike.setdefault("#" + root, []).append(node)
         for nodes in alike.values():
             if len(nodes) > 1:
                 self.tied.extend((node, self.shared) for node in nodes)
@@ -368,9 +522,10 @@ def _sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for doc, text in zip(batch["doc"].tolist(), batch["text"].tolist(), strict=True):
             graph = Graph()
-            graph.add(0, text)
+            base = base_spans(text)
+            graph.add(0, text, base)
             flat = lambda xs: [v for x in xs for v in x]
-            rows.append((doc, flat(graph.feats), silver_labels(graph, [base_spans(text)]).tolist(), flat(graph.chain), flat(graph.tied)))
+            rows.append((doc, flat(graph.feats), silver_labels(graph, [base]).tolist(), flat(graph.chain), flat(graph.tied)))
         yield pd.DataFrame(rows, columns=["doc", "feats", "labels", "chain", "tied"])
 
 
@@ -415,9 +570,9 @@ def find(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             ids, base, graph = [], [], Graph()
             for doc_id, text in zip(batch["doc"].tolist(), batch["text"].tolist(), strict=True):
-                graph.add(len(ids), text)
-                ids.append(doc_id)
                 base.append(base_spans(text))
+                graph.add(len(ids), text, base[-1])
+                ids.append(doc_id)
                 if len(graph.feats) >= CHUNK:
                     yield solve(ids, base, graph)
                     ids, base, graph = [], [], Graph()

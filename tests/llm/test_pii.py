@@ -112,3 +112,33 @@ def test_find_every_repeat(docs, rows, repeats):
     df = docs([*rows, (902, text)])
     got = {r.doc_id: r for r in pii.find(df, pii.fit(docs(rows))).collect()}[902]
     assert got.n_added == repeats
+
+
+def test_number_written_again_without_its_plus(docs, rows):
+    pairs = [
+        ("+1 425 555 0735", "425 555 0735"),
+        ("+1 (425) 555-0735", "(425) 555-0735"),
+        ("+14255550735", "425-555-0735"),
+        ("+1 425 555 0735", "425.555.0735"),
+        ("+49 30 123 45 67", "030 123 45 67"),
+        ("+1 425 555 0735", "001 425 555 0735"),
+        ("4111 1111 1111 1111", "4111.1111.1111.1111"),
+    ]
+    more = [(900 + i, f"{a} x. later again {b} end 12 12, in 1999 {b} too") for i, (a, b) in enumerate(pairs)]
+    got = {r.doc_id: r.spans.split(",") for r in pii.find(docs([*rows, *more]), pii.fit(docs(rows))).collect()}
+    for (i, text), (_, b) in zip(more, pairs, strict=True):
+        kind = "card" if b.startswith("4111") else "phone"
+        for at in (text.index(" " + b + " end") + 1, text.index(" " + b + " too") + 1):
+            assert f"{kind}:{at}:{at + len(b)}" in got[i], (text, got[i])
+        assert len(got[i]) == 3, (text, got[i])
+
+
+def test_runs_alike_share_a_variable():
+    def tied(text):
+        graph = pii.Graph()
+        graph.add(0, text)
+        return [text[graph.spans[n][1] : graph.spans[n][2]] for n, _ in graph.tied]
+
+    assert sorted(tied("a 425 555 0735 b 425-555-0735 c 1 425 555 0735")) == ["1 425 555 0735", "425 555 0735", "425-555-0735"]
+    assert tied("a 206 555 0735 b 425 555 0735") == []  # other area codes
+    assert tied("+1 425 555 0735 a 12065550735") == []
