@@ -16,8 +16,11 @@ over that graph, until the messages settle, gives each token's label; a token th
 the patterns left out but the model labels is added as a span of its own.
 
 Weights are trained here by pseudo-likelihood on the documents with the smallest
-id hash, ``FIT_DOCS`` of them at most (documented bound of the labelled sample);
-their labels come from the base spans, carried over to repeats of a matched token.
+id hash, ``FIT_DOCS`` ids at most (documented bound of the labelled sample), with
+all their rows and tokens; their labels come from the base spans, carried over to
+repeats of a matched token. Variables of equal features, label and labels of their
+neighbours are counted on Spark, and only the counts are collected: they grow with
+the number of different cases, not with the rows or the length of the texts.
 
 Edge cases: NULL text is empty. A NULL doc_id is kept as NULL. Repeated rows are
 judged one by one; other columns are ignored. Without any base span in the sample
@@ -29,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -405,34 +409,47 @@ def _potentials(weights: np.ndarray, feats: np.ndarray, n: int) -> np.ndarray:
     return node
 
 
-def train(feats: np.ndarray, labels: np.ndarray, chain: np.ndarray, skip: np.ndarray, rounds: int = 300, l2: float = 1e-3) -> Model:
+def cases(graph: Graph, labels: np.ndarray) -> np.ndarray:
+    """One row per variable: its label, how many neighbours it has of each label
+    along the chain and the skip edges, its features (-1: a shared variable)."""
+    one = np.eye(LABELS, dtype=np.int64)
+    out = np.full((len(labels), 1 + 2 * LABELS + len(TEMPLATES)), -1, dtype=np.int64)
+    out[:, 0] = labels
+    for at, edges in ((1, _edge_array(graph.chain)), (1 + LABELS, _edge_array(graph.skip))):
+        total = np.zeros((len(labels), LABELS), dtype=np.int64)
+        np.add.at(total, edges[:, 0], one[labels[edges[:, 1]]])
+        np.add.at(total, edges[:, 1], one[labels[edges[:, 0]]])
+        out[:, at : at + LABELS] = total
+    if graph.feats:
+        out[: len(graph.feats), 1 + 2 * LABELS :] = graph.feats
+    return out
+
+
+def train(rows: np.ndarray, counts: np.ndarray, rounds: int = 300, l2: float = 1e-3) -> Model:
     """Pseudo-likelihood: each variable's label given its features and the labels
-    of its neighbours (Adam, deterministic). Shared variables, which follow the
-    tokens in ``labels``, have no features."""
-    n = len(labels)
+    of its neighbours (Adam, deterministic). ``rows`` as of ``cases``, each found
+    ``counts`` times."""
     size = int(_OFFSETS[-1])
     one = np.eye(LABELS)
-    beside = {}
-    for name, edges in (("chain", chain), ("skip", skip)):
-        total = np.zeros((n, LABELS))
-        np.add.at(total, edges[:, 0], one[labels[edges[:, 1]]])
-        np.add.at(total, edges[:, 1], one[labels[edges[:, 0]]])
-        beside[name] = total
+    labels, feats = rows[:, 0], rows[:, 1 + 2 * LABELS :]
+    chain, skip = rows[:, 1 : 1 + LABELS].astype(float), rows[:, 1 + LABELS : 1 + 2 * LABELS].astype(float)
+    share = (counts / counts.sum())[:, None]
     # Tied tokens agree unless the sample says otherwise: a prior, and the start.
     prior = [np.zeros((size, LABELS)), np.zeros((LABELS, LABELS)), CONSISTENCY * np.eye(LABELS)]
     params = [p.copy() for p in prior]
     first = [np.zeros_like(p) for p in params]
     second = [np.zeros_like(p) for p in params]
     for step in range(1, rounds + 1):
-        score = _potentials(params[0], feats, n) + beside["chain"] @ params[1] + beside["skip"] @ params[2]
+        weights = np.concatenate([params[0], np.zeros((1, LABELS))])  # the last row is that of no feature, -1
+        score = weights[feats].sum(axis=1) + chain @ params[1] + skip @ params[2]
         score -= score.max(axis=1, keepdims=True)
         p = np.exp(score)
         p /= p.sum(axis=1, keepdims=True)
-        miss = (one[labels] - p) / max(n, 1)
-        g0 = np.zeros_like(params[0])
+        miss = (one[labels] - p) * share
+        g0 = np.zeros_like(weights)
         for t in range(feats.shape[1]):
-            np.add.at(g0, feats[:, t], miss[: len(feats)])
-        grads = [g0, beside["chain"].T @ miss, beside["skip"].T @ miss]
+            np.add.at(g0, feats[:, t], miss)
+        grads = [g0[:-1], chain.T @ miss, skip.T @ miss]
         grads[1], grads[2] = (grads[1] + grads[1].T) / 2, (grads[2] + grads[2].T) / 2  # one table for both directions
         for k, g in enumerate(grads):
             g = g - l2 * (params[k] - prior[k])
@@ -514,39 +531,35 @@ def added_spans(graph: Graph, model: Model, base: list[list[Span]]) -> list[list
     return out
 
 
-_SAMPLE = "doc string, feats array<int>, labels array<int>, chain array<int>, tied array<int>"
-
-
-def _sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = []
-        for doc, text in zip(batch["doc"].tolist(), batch["text"].tolist(), strict=True):
-            graph = Graph()
+        counts: Counter[tuple[int, ...]] = Counter()
+        for text in batch["text"].tolist():
             base = base_spans(text)
+            graph = Graph()
             graph.add(0, text, base)
-            flat = lambda xs: [v for x in xs for v in x]
-            rows.append((doc, flat(graph.feats), silver_labels(graph, [base]).tolist(), flat(graph.chain), flat(graph.tied)))
-        yield pd.DataFrame(rows, columns=["doc", "feats", "labels", "chain", "tied"])
+            if graph.feats:
+                rows, found = np.unique(cases(graph, silver_labels(graph, [base])), axis=0, return_counts=True)
+                for case, n in zip(rows.tolist(), found.tolist(), strict=True):
+                    counts[tuple(case)] += n
+        if counts:
+            yield pd.DataFrame({"case": [list(case) for case in counts], "n": list(counts.values())})
 
 
-def fit(docs: DataFrame, limit: int = FIT_DOCS) -> Model | None:
-    """The model from at most ``limit`` documents; None if nothing is labelled."""
+def sampled_cases(docs: DataFrame, limit: int = FIT_DOCS) -> DataFrame:
+    """The different cases in the documents of at most ``limit`` ids, and their counts."""
     ids = docs.select("doc_id").dropna().distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    sample = docs.join(F.broadcast(ids), "doc_id").select(F.col("doc_id").cast("string").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    feats, labels, shared, chain, tied, at, at_shared = [], [], [], [], [], 0, 0
-    for r in sorted(sample.mapInPandas(_sampled, _SAMPLE).collect(), key=lambda r: (r.doc, r.feats)):  # bounded by ``limit``
-        feats.append(np.array(r.feats, dtype=np.int64).reshape(-1, len(TEMPLATES)))
-        n = len(feats[-1])
-        labels.append(np.array(r.labels[:n], dtype=np.int64))
-        shared.append(np.array(r.labels[n:], dtype=np.int64))
-        chain.append(np.array(r.chain, dtype=np.int64).reshape(-1, 2) + at)
-        tied.append(np.array(r.tied, dtype=np.int64).reshape(-1, 2) + [at, at_shared])
-        at += n
-        at_shared += len(shared[-1])
-    if not any(x.any() for x in labels):
+    sample = docs.join(F.broadcast(ids), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"))
+    return sample.mapInPandas(_counted, "case array<int>, n long").groupBy("case").agg(F.sum("n").alias("n"))
+
+
+def fit(docs: DataFrame, limit: int = FIT_DOCS) -> Model | None:
+    """The model from the documents of at most ``limit`` ids; None if nothing is labelled."""
+    found = sorted((r.case, r.n) for r in sampled_cases(docs, limit).collect())
+    rows = np.array([case for case, _ in found], dtype=np.int64).reshape(-1, 1 + 2 * LABELS + len(TEMPLATES))
+    if not rows[:, 0].any():
         return None
-    skip = np.concatenate(tied) + [0, at]  # shared variables follow all tokens
-    return train(np.concatenate(feats), np.concatenate(labels + shared), np.concatenate(chain), skip)
+    return train(rows, np.array([n for _, n in found], dtype=float))
 
 
 FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"

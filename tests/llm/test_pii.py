@@ -142,3 +142,15 @@ def test_runs_alike_share_a_variable():
     assert sorted(tied("a 425 555 0735 b 425-555-0735 c 1 425 555 0735")) == ["1 425 555 0735", "425 555 0735", "425-555-0735"]
     assert tied("a 206 555 0735 b 425 555 0735") == []  # other area codes
     assert tied("+1 425 555 0735 a 12065550735") == []
+
+
+def test_sample_is_collected_as_counts(docs):
+    text = "+1 (425) 555-0735 and 12 apples, 1999 pears, mail user.1@mail1.example.com. "
+    few, many = ([(1, text * 20)] * k for k in (2, 200))
+    got = [{tuple(r.case): r.n for r in pii.sampled_cases(docs(rows)).collect()} for rows in (few, many)]
+    graph = pii.Graph()
+    graph.add(0, text * 20)
+    assert sum(got[0].values()) == 2 * (len(graph.feats) + graph.shared)
+    assert got[1] == {case: 100 * n for case, n in got[0].items()}  # as many rows, whatever is repeated
+    one, other = (pii.fit(docs(rows)) for rows in (few, many))
+    assert np.allclose(one.nodes, other.nodes, atol=1e-6) and np.allclose(one.skip, other.skip, atol=1e-6)
