@@ -432,19 +432,22 @@ def q_tagged_compaction(spark, sf):
     return spark.read.parquet(out)
 
 
-def _topic_files(spark: SparkSession, sf: str, path: str, late: bool, files: int) -> None:
-    """One half of the events, as order messages in files."""
+def _topic_files(spark: SparkSession, sf: str, path: str, late: bool) -> int:
+    """One half of the events, as order messages in as many files as Spark's
+    default partitioning gives; that number."""
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     half = ntz_literal(HALF)
     events = _events(spark, sf).filter(F.col("ts") >= half if late else F.col("ts") < half)
     events_topic(events).repartitionByRange(files, "offset").write.mode("append").parquet(path)
+    return files
 
 
 def q_stream_restart(spark, sf):
-    """One file per micro-batch; the stream stops, more files arrive, it goes on."""
+    """A third of the files per micro-batch; the stream stops, more files arrive, it goes on."""
     topic, target = scratch_path(spark, "restart_topic"), scratch_path(spark, "restart_orders")
     for late in (False, True):
-        _topic_files(spark, sf, topic, late, files=3)
-        records = read_topic_files(spark, topic, max_files_per_trigger=1)
+        files = _topic_files(spark, sf, topic, late)
+        records = read_topic_files(spark, topic, max_files_per_trigger=-(-files // 3))
         job = OrderBatchJob(target, target="sorted", opts=PipelineOptions(at=AT))
         run(start(records, job, _once(target)))
     return spark.read.parquet(target).drop("batch_id")
@@ -452,11 +455,12 @@ def q_stream_restart(spark, sf):
 
 def q_stream_multi_batch_upsert(spark, sf):
     """Keyed upserts over several micro-batches with a restart in between; a
-    later batch wins over an earlier one."""
+    later batch wins over an earlier one. Each half is one micro-batch, as the
+    order in which a stream takes files is not that of their offsets."""
     topic, target = scratch_path(spark, "upsert_topic"), scratch_path(spark, "upsert_orders")
     for late in (False, True):
-        _topic_files(spark, sf, topic, late, files=1)
-        records = read_topic_files(spark, topic, max_files_per_trigger=1)
+        _topic_files(spark, sf, topic, late)
+        records = read_topic_files(spark, topic)
         job = OrderBatchJob(target, target="keyed", opts=PipelineOptions(at=AT), created_value=F.col("order_timestamp"))
         run(start(records, job, _once(target)))
     return KeyedTable(target).snapshot(spark)

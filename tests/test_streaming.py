@@ -194,3 +194,17 @@ def test_empty_micro_batch_is_harmless(spark, tmp_path):
         assert seen[0]["valid_rows"] == 0 and seen[1]["valid_rows"] == 1000
     assert spark.read.parquet(str(tmp_path / "sorted")).count() == 1000
     assert KeyedTable(str(tmp_path / "keyed")).snapshot(spark).count() > 0
+
+
+def test_topic_of_the_stream_queries_has_a_file_per_partition(spark, tmp_path):
+    import __spark_entry__ as E
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (5, 9):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            path = str(tmp_path / f"topic{parts}")
+            assert E._topic_files(spark, SF, path, False) == parts
+            assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == parts
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
