@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, near_dedup, pii, quality, sampled_pieces, sharding, substring_dedup, url_filter
+from . import chat, exact_dedup, mixing, near_dedup, pii, quality, sampled_pieces, sharding, substring_dedup, target_sampling, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op10_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digests(chat.format_chats(turns.unionByName(extra)))
 
 
+def op13_target_sampling(spark: SparkSession, sf: str) -> DataFrame:
+    return target_sampling.score(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sampled_pieces": op1_sampled_pieces,
     "op2_pii": op2_pii,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
     "op10_chat_format": op10_chat_format,
+    "op13_target_sampling": op13_target_sampling,
 }
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[ \x09-\x0D]+', '', 'g')"
@@ -208,6 +213,37 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || chr(
 FROM t GROUP BY conv_id
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _op13_sql() -> str:
+    """CRC-32 byte by byte over the distinct features."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    size, ts = target_sampling.BUCKETS, target_sampling
+    return rf"""
+WITH w AS (SELECT *, regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS ws
+           FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents UNION ALL SELECT NULL, NULL, text FROM benchmark) x),
+f AS (SELECT rid, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]),
+                                     list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) AS g FROM w),
+n AS (SELECT rid, g, count(*) AS n FROM f GROUP BY rid, g),
+h AS (SELECT g, hex(encode(g)) AS x FROM (SELECT DISTINCT g FROM n) y),
+c AS (SELECT g, xor(list_reduce(list_transform(range(0, len(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT),
+                                lambda a, b: xor({table!r}[(xor(a, b) & 255) + 1], a >> 8), 4294967295::BIGINT), 4294967295) % {size} AS b FROM h),
+t AS (SELECT b, coalesce(sum(n) FILTER (rid IS NOT NULL), 0) AS s, coalesce(sum(n) FILTER (rid IS NULL), 0) AS t FROM n JOIN c USING (g) GROUP BY b),
+a AS (SELECT b, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM t) + {size}) / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM t) + {size}))))::BIGINT AS gain FROM t),
+d AS (SELECT rid, sum(n) AS n_features, sum(n * gain) AS weight FROM n JOIN c USING (g) JOIN a USING (b) WHERE rid IS NOT NULL GROUP BY rid),
+s AS (SELECT doc_id, len(ws) >= {ts.MIN_WORDS} AS fit, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+             (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{ts.SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+      FROM w LEFT JOIN d USING (rid) WHERE rid IS NOT NULL)
+SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= {ts.PERCENT} * fits // 100 THEN place END AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER (PARTITION BY fit) AS fits FROM s) z
+"""
+
+
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": _OP3,
     "op4_mixing": _OP4,
@@ -215,4 +251,5 @@ ORACLE: dict[str, str] = {
     "op7_near_dedup": _OP7,
     "op8_substring_dedup": _OP8,
     "op10_chat_format": _OP10,
+    "op13_target_sampling": _op13_sql(),
 }
