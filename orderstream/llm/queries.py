@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, near_dedup, pii, quality, sampled_pieces, sharding, substring_dedup, target_sampling, url_filter
+from . import chat, exact_dedup, mixing, near_dedup, pii, quality, sampled_pieces, sharding, source_divergence, substring_dedup, target_sampling, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op10_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digests(chat.format_chats(turns.unionByName(extra)))
 
 
+def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf, "documents"))
+
+
 def op13_target_sampling(spark: SparkSession, sf: str) -> DataFrame:
     return target_sampling.score(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
     "op10_chat_format": op10_chat_format,
+    "op12_source_divergence": op12_source_divergence,
     "op13_target_sampling": op13_target_sampling,
 }
 
@@ -215,6 +220,26 @@ FROM t GROUP BY conv_id
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({_LOWER}, '[a-z\x{{80}}-\x{{10FFFF}}]+') AS ws FROM documents),
+c AS (SELECT rid, lang, source, term, count(*) AS n FROM (SELECT rid, lang, source, unnest(ws) AS term FROM d) x GROUP BY ALL),
+v AS (SELECT lang, term, sum(n) AS total FROM c GROUP BY lang, term HAVING count(*) >= {source_divergence.MIN_DOCS}),
+k AS (SELECT lang, source, term, sum(n) AS n FROM c SEMI JOIN v USING (lang, term) GROUP BY ALL),
+z AS (SELECT lang, count(*) AS size, sum(total) AS whole FROM v GROUP BY lang),
+g AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN k USING (lang, source) GROUP BY ALL),
+p AS (SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (g.total + 5 * size) AS p,
+             1 + (1000000000::HUGEINT * (v.total + 5)) // (whole + 5 * size) AS q
+      FROM g JOIN z USING (lang) JOIN v USING (lang) LEFT JOIN k USING (lang, source, term)),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p)) AS f FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) s
+             ON s.lang = a.lang AND s.source = a.source AND s.other = b.source
+      UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r) x WHERE part = 'pair' OR rank <= {source_divergence.TOP_TERMS}
+"""
+
 
 def _op13_sql() -> str:
     """CRC-32 byte by byte over the distinct features."""
@@ -251,5 +276,6 @@ ORACLE: dict[str, str] = {
     "op7_near_dedup": _OP7,
     "op8_substring_dedup": _OP8,
     "op10_chat_format": _OP10,
+    "op12_source_divergence": _OP12,
     "op13_target_sampling": _op13_sql(),
 }
