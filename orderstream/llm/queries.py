@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, near_dedup, pii, quality, sampled_pieces, sharding, source_divergence, substring_dedup, target_sampling, url_filter
+from . import chat, exact_dedup, mixing, near_dedup, pii, quality, sampled_pieces, sharding, sketches, source_divergence, substring_dedup, target_sampling, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op10_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digests(chat.format_chats(turns.unionByName(extra)))
 
 
+def op11_fingerprint_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    return sketches.digests(sketches.edits(table(spark, sf, "documents")))
+
+
 def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf, "documents"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
     "op10_chat_format": op10_chat_format,
+    "op11_fingerprint_sketch": op11_fingerprint_sketch,
     "op12_source_divergence": op12_source_divergence,
     "op13_target_sampling": op13_target_sampling,
 }
@@ -220,6 +225,32 @@ FROM t GROUP BY conv_id
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _op11_sql() -> str:
+    """Sketches cell by cell; likeness from the sets of keys themselves."""
+    places, bits = sketches.PLACES, sketches.PLACE_BITS
+    pattern = sketches._PATTERN.replace("'", "''")
+    keys = lambda t: f"list_distinct(list_transform(regexp_extract_all({t}, '{pattern}'), lambda p: ('0x' || substr(md5(p), 1, {sketches.KEY_BITS // 4}))::BIGINT))"
+    check = f"(((k & {(1 << 28) - 1}) * {sketches._MIX_LOW} + (k >> 28) * {sketches._MIX_HIGH}) >> 20) & 4294967295"
+    near = lambda a, b: f"CASE WHEN len(list_distinct({a} || {b})) > 0 THEN len(list_intersect({a}, {b})) / len(list_distinct({a} || {b}))::DOUBLE ELSE 1.0::DOUBLE END"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+n AS (SELECT *, coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)) AS x, length(t) AS n FROM d),
+e AS (SELECT *, left(t, n - n // 2) || left(x, n // 2) AS e FROM n),
+k AS (SELECT *, {keys("t")} AS tk, {keys("e")} AS ek, {keys("x")} AS xk FROM e),
+c AS (SELECT rid, own, i, count(*) AS n, bit_xor(k) AS k, bit_xor({check}) AS c
+      FROM (SELECT rid, own, k, {places} * j + ((k >> ({bits} * j)) & {places - 1}) AS i
+            FROM (SELECT rid, TRUE AS own, unnest(tk) AS k FROM k UNION ALL SELECT rid, FALSE, unnest(ek) FROM k) y, range(3) r(j)) z GROUP BY ALL),
+f AS (SELECT rid, string_agg(coalesce(format('{{:X}}.{{:X}}.{{:X}}', a.n, a.k, a.c), '-'), ' ' ORDER BY i) AS own,
+             string_agg(coalesce(format('{{:X}}.{{:X}}.{{:X}}', b.n, b.k, b.c), '-'), ' ' ORDER BY i) AS edited
+      FROM (SELECT rid, i FROM d, range({3 * places}) r(i)) g
+      LEFT JOIN (SELECT * FROM c WHERE own) a USING (rid, i) LEFT JOIN (SELECT * FROM c WHERE NOT own) b USING (rid, i) GROUP BY rid)
+SELECT doc_id, n AS n_chars, sha256(e) AS edited_sha256, own AS fingerprint, edited AS edited_fingerprint,
+       {near("tk", "ek")} AS near_edited, {near("tk", "xk")} AS near_next
+FROM k JOIN f USING (rid)
+"""
+
+
 _OP12 = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
                   regexp_extract_all({_LOWER}, '[a-z\x{{80}}-\x{{10FFFF}}]+') AS ws FROM documents),
@@ -276,6 +307,7 @@ ORACLE: dict[str, str] = {
     "op7_near_dedup": _OP7,
     "op8_substring_dedup": _OP8,
     "op10_chat_format": _OP10,
+    "op11_fingerprint_sketch": _op11_sql(),
     "op12_source_divergence": _OP12,
     "op13_target_sampling": _op13_sql(),
 }
