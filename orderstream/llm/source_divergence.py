@@ -6,9 +6,9 @@ has more of than its language. A language's vocabulary are the terms in at least
 ``1 + (10**9 * (count + SMOOTH)) div (N + SMOOTH * V)``.
 
 Frequencies come from single-pass in-memory indexing. A task adds the postings of
-its documents (language, term -> document count, count by source) to a book in
-memory until ``BLOCK_POSTINGS`` are in it, and spills the book as a run: sorted by
-language and term, dealt to hash shards of (language, term). Runs are written below
+its documents (term, language -> documents; term, source -> count) block by block to
+a book in memory until ``BLOCK_POSTINGS`` are in it, and spills the book as a run:
+sorted by language and term, dealt to hash shards of (language, term). Runs are written below
 ``spark.checkpoint.dir``. Each shard then merges its runs with a heap, at most
 ``FAN_IN`` at a time and so level by level, until one is left. A term that every
 document has is one entry in a run, so no shard is hot.
@@ -34,24 +34,28 @@ gives an empty result.
 from __future__ import annotations
 
 import heapq
+import itertools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
+from .target_sampling import crc32s
 from .word_bytes import blocks, byte_table, words_of
 
 MIN_DOCS = 30
 SMOOTH = 5
 TOP_TERMS = 50
 BILLION = 1_000_000_000
-#: (term, source) entries of a book in memory, and runs merged at once.
-BLOCK_POSTINGS = 400_000
+#: Postings of a book in memory, and runs merged at once.
+BLOCK_POSTINGS = 1_000_000
 FAN_IN = 64
 #: Pairs of sources whose corrections a task sums up before it sends them on.
 PAIRS_HELD = 200_000
@@ -75,63 +79,96 @@ _MERGED_ARROW = pa.schema(
         ("postings", pa.list_(pa.struct([("source", pa.string()), ("count", pa.int64())]))),
     ]
 )
-#: lang, term, documents, count by source
-Entry = tuple[str, bytes, int, dict[str, int]]
+
+
+def _counted(keys: np.ndarray, amounts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, and how often each occurs or the sum of its amounts."""
+    code, unique = pd.factorize(keys)
+    if amounts is None:
+        return unique, np.bincount(code, minlength=len(unique))
+    total = np.zeros(len(unique), np.int64)
+    np.add.at(total, code, amounts)
+    return unique, total
 
 
 class Book:
-    """Postings in memory: language -> term -> [documents, count by source]."""
+    """Postings in memory. A block of texts adds its distinct terms, (term, group,
+    count) and (term, language, documents); a group is a language and a source."""
 
     def __init__(self) -> None:
-        self.terms: dict[str, dict[bytes, list]] = {}
+        self.groups: dict[tuple[str, str], int] = {}
+        self.langs: dict[str, int] = {}
+        self.blocks: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         self.postings = 0
 
-    def add(self, lang: str, term: bytes, source: str, count: int) -> None:
-        entry = self.terms.setdefault(lang, {}).setdefault(term, [0, {}])
-        before = entry[1].get(source)
-        self.postings += before is None
-        entry[1][source] = (before or 0) + count
-
-    def add_block(self, text: tuple[np.ndarray, np.ndarray], lang: list[str], source: list[str]) -> None:
+    def add(self, text: tuple[np.ndarray, np.ndarray], lang: list[str], source: list[str]) -> None:
         """The documents of a block of texts, one language and source each."""
         words = words_of(*text, _WORD_BYTES)
         if not len(words):
             return
-        ids, names = words.encoded()
-        terms, size = names.to_pylist(), len(names)
-        groups: dict[tuple[str, str], int] = {}
-        group = np.array([groups.setdefault(pair, len(groups)) for pair in zip(lang, source)])
-        name = list(groups)
-        keys, counts = np.unique(group[words.doc] * size + ids, return_counts=True)
-        for key, count in zip(keys.tolist(), counts.tolist()):
-            which, term = divmod(key, size)
-            self.add(name[which][0], terms[term], name[which][1], count)
-        once = np.unique(words.doc * size + ids)  # a term of a document
-        keys, counts = np.unique(group[once // size] * size + once % size, return_counts=True)
-        for key, count in zip(keys.tolist(), counts.tolist()):
-            which, term = divmod(key, size)
-            self.terms[name[which][0]][terms[term]][0] += count
-
-    def entries(self) -> Iterator[Entry]:
-        for lang in sorted(self.terms):
-            for term, (df, counts) in sorted(self.terms[lang].items()):
-                yield lang, term, df, counts
-
-
-def _run_rows(entries: Iterator[Entry], shards: int, run: int, shard: int | None = None) -> pa.RecordBatch:
-    """Sorted entries as one row per shard and language."""
-    rows: dict[tuple[int, str], dict] = {}
-    for lang, term, df, counts in entries:
-        own = zlib.crc32(term, zlib.crc32(lang.encode())) % shards if shard is None else shard
-        row = rows.get((own, lang))
-        if row is None:
-            row = rows[(own, lang)] = {"shard": own, "run": run, "lang": lang, "terms": [], "df": [], "n": [], "sources": [], "counts": []}
-        row["terms"].append(term)
-        row["df"].append(df)
-        row["n"].append(len(counts))
-        row["sources"].extend(counts)
-        row["counts"].extend(counts.values())
-    return pa.RecordBatch.from_pylist([rows[k] for k in sorted(rows)], _RUN_ARROW)
+        ids, terms = words.encoded()
+        size = len(terms)
+        group = np.array([self.groups.setdefault(pair, len(self.groups)) for pair in zip(lang, source)])
+        own = np.array([self.langs.setdefault(x, len(self.langs)) for x in lang])
+        posted = _counted(group[words.doc] * size + ids)
+        once = pd.unique(words.doc * size + ids)  # a term of a document
+        found = _counted(own[once // size] * size + once % size)
+        self.blocks.append((terms, *posted, *found))
+        self.postings += len(posted[0])
+
+    def spilled(self, shards: int, run: int) -> pa.RecordBatch:
+        """The book as a run: its blocks' terms made one, sorted."""
+        terms = pa.concat_arrays([block[0] for block in self.blocks]).dictionary_encode()
+        order = pc.sort_indices(terms.dictionary).to_numpy()
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        number = place[terms.indices.to_numpy()]
+        size, at, posted, found = len(order), 0, [], []
+        for block, group, count, lang, df in self.blocks:
+            own = number[at : at + len(block)]
+            at += len(block)
+            posted.append((group // len(block) * size + own[group % len(block)], count))
+            found.append((lang // len(block) * size + own[lang % len(block)], df))
+        key, count = _counted(*map(np.concatenate, zip(*posted)))
+        pair, df = _counted(*map(np.concatenate, zip(*found)))
+        names = [*self.groups]
+        lang_of = np.array([self.langs[lang] for lang, _ in names])
+        return _run_rows(
+            terms.dictionary.take(pa.array(order)), [*self.langs], shards, run,
+            lang=pair // size, term=pair % size, df=df,
+            posted_lang=lang_of[key // size], posted_term=key % size,
+            source=pa.array([source for _, source in names]), which=key // size, count=count,
+        )
+
+
+def _run_rows(terms: pa.Array, langs: list[str], shards: int, run: int, *, lang, term, df, posted_lang, posted_term, source, which, count, shard=None) -> pa.RecordBatch:
+    """One row per shard and language, terms in order. ``terms`` are sorted;
+    ``lang``, ``term``, ``df`` are the entries, the rest their postings."""
+    if shard is None:
+        offsets = np.frombuffer(terms.buffers()[1], np.int64, len(terms) + 1)
+        by_term = crc32s(np.frombuffer(terms.buffers()[2], np.uint8), offsets[:-1], np.diff(offsets)).astype(np.int64)
+        salt = np.array([zlib.crc32(x.encode()) for x in langs], np.int64)
+        shard_of = lambda lang, term: (by_term[term] ^ salt[lang]) % shards
+    else:
+        shard_of = lambda lang, term: np.full(len(lang), shard, np.int64)
+    own = shard_of(lang, term)
+    order = np.lexsort((term, lang, own))
+    own, lang, term, df = own[order], lang[order], term[order], df[order]
+    posted = np.lexsort((which, posted_term, posted_lang, shard_of(posted_lang, posted_term)))
+    source, count = source.take(pa.array(which[posted])), count[posted]
+    entry = np.flatnonzero(np.diff(posted_lang[posted] * len(terms) + posted_term[posted], prepend=-1))
+    n = np.diff(np.append(entry, len(posted)))  # postings of each entry, in the same order
+    first = np.flatnonzero(np.diff(own * len(langs) + lang, prepend=-1))
+    cuts = pa.array(np.append(first, len(own)).astype(np.int32))
+    ends = np.concatenate([[0], np.cumsum(n)])
+    posting_cuts = pa.array(ends[np.append(first, len(own))].astype(np.int32))
+    listed = lambda at, values: pa.ListArray.from_arrays(at, values)
+    columns = [
+        pa.array(own[first].astype(np.int32)), pa.array(np.full(len(first), run, np.int64)), pa.array([langs[x] for x in lang[first]], pa.string()),
+        listed(cuts, terms.take(pa.array(term)).cast(pa.binary())), listed(cuts, pa.array(df.astype(np.int64))),
+        listed(cuts, pa.array(n.astype(np.int32))), listed(posting_cuts, source.cast(pa.string())), listed(posting_cuts, pa.array(count.astype(np.int64))),
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=_RUN_ARROW)
 
 
 def spilled_runs(docs: DataFrame, shards: int) -> DataFrame:
@@ -142,37 +179,40 @@ def spilled_runs(docs: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             langs, sources = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for low, high, *text in blocks(batch.column(0)):
-                book.add_block(tuple(text), langs[low:high], sources[low:high])
+                book.add(tuple(text), langs[low:high], sources[low:high])
                 if book.postings >= BLOCK_POSTINGS:
-                    yield _run_rows(book.entries(), shards, run)
+                    yield book.spilled(shards, run)
                     run, book = run + 1, Book()
         if book.postings:
-            yield _run_rows(book.entries(), shards, run)
+            yield book.spilled(shards, run)
 
     return docs.select("text", "lang", "source").mapInArrow(index, _RUN)
 
 
-def _run_entries(row: dict) -> Iterator[Entry]:
-    at = 0
-    for term, df, n in zip(row["terms"], row["df"], row["n"]):
-        yield row["lang"], term, df, dict(zip(row["sources"][at : at + n], row["counts"][at : at + n]))
-        at += n
-
-
-def _merged_entries(table: pa.Table) -> Iterator[Entry]:
-    """A heap merge of the runs of one shard; equal terms become one entry."""
-    now: Entry | None = None
-    for entry in heapq.merge(*map(_run_entries, table.to_pylist()), key=lambda e: e[:2]):
-        if now is not None and now[:2] == entry[:2]:
-            for source, count in entry[3].items():
-                now[3][source] = now[3].get(source, 0) + count
-            now = (*now[:2], now[2] + entry[2], now[3])
-        else:
-            if now is not None:
-                yield now
-            now = entry
-    if now is not None:
-        yield now
+def _heap_merged(table: pa.Table) -> Iterator[tuple[str, pa.Array, np.ndarray, np.ndarray, pa.Array, np.ndarray, np.ndarray]]:
+    """The runs of one shard, merged with a heap. By language: its name, the sorted
+    terms, their document counts, and their postings as term number, distinct
+    sources, source number and count."""
+    for lang in sorted(set(table.column("lang").to_pylist())):
+        rows = table.filter(pc.equal(table.column("lang"), lang))
+        runs = [rows.column("terms")[i].as_py() for i in range(len(rows))]
+        terms, origin, group, last = [], [], [], None
+        for term, run in heapq.merge(*[zip(run, itertools.repeat(i)) for i, run in enumerate(runs)]):
+            if term != last:
+                terms.append(term)
+                last = term
+            origin.append(run)
+            group.append(len(terms) - 1)
+        # Entries of a run come in its order: put the merged numbers back there.
+        back = np.argsort(np.array(origin), kind="stable")
+        number = np.array(group)[back]
+        flat = {c: pc.list_flatten(rows.column(c)).combine_chunks() for c in ("df", "n", "sources", "counts")}
+        df = np.zeros(len(terms), np.int64)
+        np.add.at(df, number, flat["df"].to_numpy())
+        sources = flat["sources"].dictionary_encode()
+        posted, size = np.repeat(number, flat["n"].to_numpy()), len(sources.dictionary)
+        key, count = _counted(posted * size + sources.indices.to_numpy(), flat["counts"].to_numpy())
+        yield lang, pa.array(terms, pa.large_binary()), df, key // size, sources.dictionary, key % size, count
 
 
 def merged(runs: DataFrame, min_docs: int = MIN_DOCS, fan_in: int = FAN_IN) -> DataFrame:
@@ -181,15 +221,33 @@ def merged(runs: DataFrame, min_docs: int = MIN_DOCS, fan_in: int = FAN_IN) -> D
 
     def some(key: tuple, table: pa.Table) -> pa.Table:
         shard, run = (k.as_py() for k in key)
-        return pa.Table.from_batches([_run_rows(_merged_entries(table), 1, run, shard)])
+        parts = []
+        for lang, terms, df, term, source, which, count in _heap_merged(table):
+            zeros = np.zeros(len(term), np.int64)
+            parts.append(
+                _run_rows(
+                    terms, [lang], 1, run, shard=shard, lang=np.zeros(len(terms), np.int64), term=np.arange(len(terms)), df=df,
+                    posted_lang=zeros, posted_term=term, source=source, which=which, count=count,
+                )
+            )
+        return pa.Table.from_batches(parts, _RUN_ARROW)
 
     def last(table: pa.Table) -> pa.Table:
-        rows = [
-            {"lang": lang, "term": term.decode(), "df": df, "total": sum(counts.values()), "postings": [{"source": s, "count": c} for s, c in sorted(counts.items())]}
-            for lang, term, df, counts in _merged_entries(table)
-            if df >= min_docs
-        ]
-        return pa.Table.from_pylist(rows, _MERGED_ARROW)
+        parts = []
+        for lang, terms, df, term, source, which, count in _heap_merged(table):
+            kept = np.flatnonzero(df >= min_docs)
+            order = np.lexsort((which, term))
+            order = order[df[term[order]] >= min_docs]
+            starts = np.searchsorted(term[order], np.append(kept, len(terms)))
+            total = np.zeros(len(terms), np.int64)
+            np.add.at(total, term, count)
+            postings = pa.StructArray.from_arrays([source.take(pa.array(which[order])).cast(pa.string()), pa.array(count[order])], ["source", "count"])
+            columns = [
+                pa.array([lang] * len(kept), pa.string()), terms.take(pa.array(kept)).cast(pa.string()), pa.array(df[kept]), pa.array(total[kept]),
+                pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), postings),
+            ]
+            parts.append(pa.RecordBatch.from_arrays(columns, schema=_MERGED_ARROW))
+        return pa.Table.from_batches(parts, _MERGED_ARROW)
 
     count = runs.select("run").distinct().count()
     while count > fan_in:

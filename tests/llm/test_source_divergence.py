@@ -74,7 +74,7 @@ def test_runs_are_sorted_and_merge_to_the_counts(docs, monkeypatch):
     monkeypatch.setattr(sd, "BLOCK_POSTINGS", 30)
     monkeypatch.setattr(sd.blocks, "__defaults__", (2000,))
     runs = sd.spilled_runs(docs(corpus()).na.fill(""), 4).collect()
-    assert len({r.run for r in runs}) > 5
+    assert len({r.run for r in runs}) > 2
     for r in runs:
         assert list(r.terms) == sorted(r.terms) and sum(r.n) == len(r.sources) == len(r.counts)
 
