@@ -227,8 +227,9 @@ def ranked(scored: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS
     """``scored`` (with _words and _score) and ``_rank``, NULL if not drawn."""
     fit = F.col("_words") >= min_words
     order = [fit.desc(), F.col("_score").desc(), F.col("doc_id").asc_nulls_last()]
+    # Stored: range partitioning reads its input twice, and a row keeps its place.
+    scored = stored(scored, "sampling_weights")
     placed = scored.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    # Stored, so that every row keeps its place whatever is computed again.
     placed = stored(placed, "sampling_scores").withColumn("_part", F.shiftright("_at", 33))
     parts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), F.count(F.when(fit, 1)).alias("_fit"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
