@@ -17,8 +17,8 @@ threshold ``t`` with the inclusion score 1 - exp(-exp(p - t)).
 Randomness comes from (seed, row key), so a retried task repeats its draw. No piece
 of the model spans the start of a word, so the lattice falls into independent words
 (checked when the model is loaded: a word starts at a space mark that follows a
-character which is not one). Words' lattices are built once per distinct word of a
-batch and kept as flat arrays; drawing and splitting are array operations over a
+character which is not one). Lattices are built once per distinct word of some
+megabytes of text and kept as flat arrays; drawing and splitting are array operations over a
 whole document.
 
 The model's scores are merge ranks for a BPE file, so its pieces get the weight
@@ -32,15 +32,16 @@ produced, also not from texts that spell them. An empty table gives an empty res
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import math
-import re
 from collections.abc import Callable, Generator, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,61 +51,84 @@ DRAWS = 2
 ALPHA = 1.0
 SEED = 7
 MARK = "▁"
-_WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-WORDS_KEPT = 200_000  # distinct words whose lattices a task holds before it starts anew
-BATCH_CHARS = 2_000_000
+_MARK_BYTES = MARK.encode()
+_BARE = 1 << 22  # added to piece numbers; below it are the characters without a piece
+#: Characters of the texts that share their words' lattices, and of those that are
+#: walked together.
+CHUNK_CHARS = 6_000_000
+BATCH_CHARS = 1_000_000
+SLAB_CHARS = 50_000  # of words whose lattices are built together
 
 
 class Trie:
     """The pieces as a table of (node, character) -> node, looked up for many
-    positions at a time (open addressing with linear probing)."""
+    positions at a time (open addressing with linear probing). Characters are
+    numbered densely (0: in no piece), so that a key is as short as can be."""
 
     def __init__(self, pieces: dict[str, int]):
-        step: dict[tuple[int, int], int] = {}
+        alphabet = sorted({ord(c) for c in set("".join(pieces))})
+        self.alphabet = np.array(alphabet, dtype=np.int64)
+        number = {c: i + 1 for i, c in enumerate(alphabet)}
+        width = len(alphabet) + 1
+        step: dict[int, int] = {}  # node * width + character
         piece = [-1]
-        for text, number in pieces.items():
+        for text, value in pieces.items():
             node = 0
             for c in text:
-                key = (node, ord(c))
-                if key not in step:
-                    step[key] = len(piece)
+                key = node * width + number[ord(c)]
+                node = step.get(key, 0)
+                if not node:
+                    node = step[key] = len(piece)
                     piece.append(-1)
-                node = step[key]
-            piece[node] = number
+            piece[node] = value
         self.piece = np.array(piece, dtype=np.int64)
         self.bits = max(4, int(len(step) * 2.5).bit_length())
-        keys = np.array([n << 21 | c for n, c in step], dtype=np.int64)
-        values = np.array(list(step.values()), dtype=np.int64)
-        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
-        self.values = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.kind = np.uint32 if len(piece) * width < 2**32 - 1 else np.uint64
+        self.width = self.kind(width)
+        self.shift = self.kind(self.kind().itemsize * 8 - self.bits)
+        self.odd = self.kind(0x9E3779B97F4A7C15 >> (64 - self.kind().itemsize * 8) | 1)
+        self.mask = (1 << self.bits) - 1
+        self.free = self.kind(-1 % (1 << self.kind().itemsize * 8))
+        self.inner = np.zeros(len(piece), dtype=bool)  # nodes that lead further
+        self.inner[[key // width for key in step]] = True
+        keys = np.fromiter(step, self.kind, len(step))
+        values = np.fromiter(step.values(), np.int32, len(step))
+        self.keys = np.full(1 << self.bits, self.free, dtype=self.kind)
+        self.values = np.full(1 << self.bits, -1, dtype=np.int32)
         at = self._home(keys)
         todo = np.arange(len(keys))
         while len(todo):
             slot = at[todo]
-            free = self.keys[slot] < 0
+            free = self.keys[slot] == self.free
             self.keys[slot[free]] = keys[todo[free]]  # of several on one slot the last one stays
             won = self.keys[slot] == keys[todo]
             self.values[slot[won]] = values[todo[won]]
             todo = todo[~won]
-            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
+            at[todo] = (at[todo] + 1) & self.mask
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
-        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+        return ((keys * self.odd) >> self.shift).astype(np.int32)
 
-    def next(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    def numbers(self, chars: np.ndarray) -> np.ndarray:
+        """The dense numbers of characters."""
+        at = np.minimum(np.searchsorted(self.alphabet, chars), len(self.alphabet) - 1)
+        return np.where(self.alphabet[at] == chars, at + 1, 0).astype(self.kind)
+
+    def next(self, nodes: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         """The node each one leads to, or -1."""
-        keys = nodes << 21 | chars
+        keys = nodes.astype(self.kind) * self.width + numbers
         slot = self._home(keys)
         found = self.keys[slot]
-        out = np.where(found == keys, self.values[slot], -1)
-        todo = np.nonzero((found != keys) & (found >= 0))[0]
+        hit = found == keys
+        out = self.values[slot]
+        out[~hit] = -1
+        todo = np.flatnonzero(~hit & (found != self.free))
         while len(todo):
-            slot[todo] = (slot[todo] + 1) & ((1 << self.bits) - 1)
+            slot[todo] = (slot[todo] + 1) & self.mask
             found = self.keys[slot[todo]]
             hit = found == keys[todo]
             out[todo[hit]] = self.values[slot[todo[hit]]]
-            todo = todo[~hit & (found >= 0)]
+            todo = todo[~hit & (found != self.free)]
         return out
 
 
@@ -131,103 +155,129 @@ class Pieces:
         # Scores of -1e9 mark pieces outside the merge order: they come last.
         self.score = alpha * (-np.log1p(np.minimum(-ranks, n)) if merges else ranks)
         self.byte_score = alpha * (-math.log(2.0 * n) if merges else float(whole.min(initial=0.0)) - 10.0)
+        if max(map(len, self.text), default=0) >= 1 << 10:
+            raise ValueError("a piece of this model is too long")
         if any(a != MARK and b == MARK for t in self.text for a, b in zip(t, t[1:], strict=False)):
             raise ValueError("a piece of this model spans the start of a word")
         self.trie = Trie(self.text)
-        self.forget()
-
-    def forget(self) -> None:
-        self.words: dict[str, int] = {}
-        self.nodes = 0
-        self._new: list[str] = []
-        none = np.zeros(0, dtype=np.int32)
-        # First edge of each node; per edge: cumulative probability within its
-        # node, node it leads to (-1: the word's end), piece, log probability.
-        self._arrays = (np.zeros(1, dtype=np.int64), np.zeros(0), none, none, np.zeros(0))
+        self.starts([])
 
     def _edges(self, chars: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(from, to, piece, score) of all edges, ordered by where they start and
         by length; a negative piece stands for the bytes of a character."""
-        start, node, length = np.arange(len(chars)), np.zeros(len(chars), dtype=np.int64), 0
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        start, node, length = np.arange(len(chars)), np.zeros(len(chars), dtype=np.int32), 0
+        numbers = self.trie.numbers(chars)
+        found: list[np.ndarray] = []
         covered = np.zeros(len(chars), dtype=bool)
         while len(start):
-            node = self.trie.next(node, chars[start + length])
+            node = self.trie.next(node, numbers[start + length])
             length += 1
-            on = node >= 0
+            on = np.flatnonzero(node >= 0)
             start, node = start[on], node[on]
             piece = self.trie.piece[node]
-            is_piece = piece >= 0
-            found.append((start[is_piece], start[is_piece] + length, piece[is_piece]))
+            is_piece = np.flatnonzero(piece >= 0)
+            begin = start[is_piece]
+            found.append(begin << 33 | length << 23 | (piece[is_piece] + _BARE))
             if length == 1:
-                covered[start[is_piece]] = True
-            on = start + length < end[start]
+                covered[begin] = True
+            on = np.flatnonzero(self.trie.inner[node] & (start + length < end[start]))
             start, node = start[on], node[on]
-        bare = np.nonzero(~covered)[0]
-        found.insert(0, (bare, bare + 1, -1 - chars[bare]))
-        begin, to, piece = (np.concatenate(x) for x in zip(*found, strict=True))
-        size = 1 + (-1 - piece > 0x7F) + (-1 - piece > 0x7FF) + (-1 - piece > 0xFFFF)  # bytes of a bare character
-        score = np.where(piece >= 0, self.score[np.maximum(piece, 0)], self.byte_score * size)
-        order = np.argsort(begin, kind="stable")
-        return begin[order], to[order], piece[order], score[order]
-
-    def _build(self, new: list[str]) -> None:
-        chars = np.frombuffer("".join(new).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-        size = np.array([len(w) for w in new])
+        bare = np.flatnonzero(~covered)
+        found.append(bare << 33 | 1 << 23 | (_BARE - 1 - chars[bare]))
+        # One sort of whole numbers: start, length, piece.
+        edge = np.sort(np.concatenate(found))
+        begin, piece = edge >> 33, (edge & (1 << 23) - 1) - _BARE
+        score = self.score[np.maximum(piece, 0)]
+        odd = np.flatnonzero(piece < 0)
+        code = -1 - piece[odd]
+        score[odd] = self.byte_score * (1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))  # bytes of a bare character
+        return begin, begin + (edge >> 23 & (1 << 10) - 1), piece, score
+
+    def _build(self, chars: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The lattices of words, given as their characters and lengths: edges of
+        each node; per edge the cumulative probability within its node, the node
+        it leads to (-1: the word's end), the piece and the log probability."""
+        n = len(chars)
         end = np.repeat(np.cumsum(size), size)
         begin, to, piece, score = self._edges(chars, end)
-        n = len(chars)
-        first = np.concatenate([[0], np.cumsum(np.bincount(begin, minlength=n))])
+        degree = np.bincount(begin, minlength=n)
+        first = np.concatenate([[0], np.cumsum(degree)])
         # Log weight of all ways from a character to its word's end, for all words
-        # at a time: characters by their distance from it.
+        # at a time: characters by their distance from it. Place n is every end.
         beta = np.zeros(n + 1)
-        ends = np.zeros(n + 1, dtype=bool)
-        ends[np.cumsum(size)] = True
+        log = np.empty(len(to))
+        share = np.empty(len(to))
+        to = np.where(to == end[begin], n, to) if n else to
         left = end - np.arange(n)
-        by_left = np.argsort(left, kind="stable")
-        cut = np.searchsorted(left[by_left], np.arange(1, int(left.max()) + 2))
-        degree = np.diff(first)
+        by_left = np.argsort(left.astype(np.uint16) if len(left) and left.max() < 1 << 16 else left, kind="stable")
+        cut = np.concatenate([[0], np.cumsum(np.bincount(left, minlength=1)[1:])])
         for d in range(len(cut) - 1):
             at = by_left[cut[d] : cut[d + 1]]
             many = degree[at]
             offset = np.cumsum(many) - many
             e = np.arange(int(many.sum())) + np.repeat(first[at] - offset, many)
-            value = score[e] + np.where(ends[to[e]], 0.0, beta[to[e]])
+            value = score[e] + beta[to[e]]
             top = np.maximum.reduceat(value, offset)
-            beta[at] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, many)), offset))
-        log = score + np.where(ends[to], 0.0, beta[to]) - beta[begin]
-        total = np.cumsum(np.exp(log))
+            part = np.exp(value - np.repeat(top, many))
+            whole = np.add.reduceat(part, offset)
+            beta[at] = top + np.log(whole)
+            share[e] = part / np.repeat(whole, many)
+            log[e] = value - np.repeat(beta[at], many)
+        total = np.cumsum(share)
         cum = total - np.concatenate([[0.0], total])[first[begin]]
         cum[first[1:] - 1] = 1.0
-        old_first, old_cum, old_to, old_piece, old_log = self._arrays
-        base = len(old_first) - 1
-        self._arrays = (
-            np.concatenate([old_first[:-1], first + len(old_log)]),
-            np.concatenate([old_cum, cum]),
-            np.concatenate([old_to, np.where(ends[to], -1, to + base).astype(np.int32)]),
-            np.concatenate([old_piece, piece.astype(np.int32)]),
-            np.concatenate([old_log, log]),
-        )
+        return degree, cum, np.where(to == n, -1, to).astype(np.int32), piece.astype(np.int32), log
 
     def arrays(self):
-        if self._new:
-            self._build(self._new)
-            self._new = []
         return self._arrays
 
     def normalise(self, text: str) -> str:
         return self.processor.normalize(text) if text else ""
 
-    def starts(self, text: str) -> np.ndarray:
-        """The nodes at which the words of a normalised text start (a node per
-        character). ``arrays`` builds the lattices of all new words at a time."""
-        parts = _WORD.findall(text)
-        known = self.words
-        for w in set(parts).difference(known):
-            known[w] = self.nodes
-            self.nodes += len(w)
-            self._new.append(w)
-        return np.fromiter(map(known.__getitem__, parts), dtype=np.int64, count=len(parts))
+    def starts(self, texts: list[str]) -> list[np.ndarray]:
+        """For each normalised text the nodes at which its words start (a node per
+        character). From now on ``arrays`` holds the lattices of these texts, each
+        distinct word's once."""
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        size = np.array([len(r) for r in raw], dtype=np.int64)
+        data = np.frombuffer(b"".join([*raw, bytes(len(_MARK_BYTES))]), dtype=np.uint8)
+        n, ends = len(data) - len(_MARK_BYTES), np.cumsum(size)
+        mark = np.ones(n, dtype=bool)
+        for i, byte in enumerate(_MARK_BYTES):
+            mark &= data[i : n + i] == byte
+        # A word starts at a text's start, and at a mark that follows no mark.
+        first = mark.copy()
+        first[len(_MARK_BYTES) :] &= ~mark[: -len(_MARK_BYTES)]
+        first[(ends - size)[size > 0]] = True
+        at = np.flatnonzero(first)
+        offsets = pa.py_buffer(np.append(at, n).astype(np.int64))
+        coded = pa.Array.from_buffers(pa.large_binary(), len(at), [None, offsets, pa.py_buffer(data)]).dictionary_encode()
+        words = coded.dictionary
+        if not len(words):
+            none = np.zeros(0, dtype=np.int32)
+            self._arrays = (np.zeros(1, dtype=np.int64), np.zeros(0), none, none, np.zeros(0))
+            return [np.zeros(0, dtype=np.int64) for _ in texts]
+        # Words by length, some thousand at a time: their arrays fit a cache, and
+        # words of equal length take equally many steps.
+        order = np.argsort(np.diff(np.frombuffer(words.buffers()[1], np.int64, len(words) + 1)), kind="stable")
+        words = words.take(pa.array(order))
+        cuts = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1)
+        raw = words.buffers()[2].to_pybytes()
+        begins = (np.frombuffer(raw, np.uint8, int(cuts[-1])) & 0xC0) != 0x80  # bytes that begin a character
+        length = np.add.reduceat(begins, cuts[:-1], dtype=np.int64)
+        begin = np.cumsum(length) - length
+        slab = np.flatnonzero(np.diff(begin // SLAB_CHARS, prepend=-1))
+        parts = []
+        for low, high in zip(slab, np.append(slab[1:], len(length))):
+            text = raw[cuts[low] : cuts[high]].decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass")
+            degree, cum, to, piece, log = self._build(np.frombuffer(text, dtype=np.uint32).astype(np.int64), length[low:high])
+            to[to >= 0] += begin[low]
+            parts.append((degree, cum, to, piece, log))
+        degree, *edges = (np.concatenate(x) for x in zip(*parts, strict=True))
+        self._arrays = (np.concatenate([[0], np.cumsum(degree)]), *edges)
+        node = np.empty(len(order), dtype=np.int64)
+        node[order] = begin
+        return np.split(node[coded.indices.to_numpy()], np.searchsorted(at, ends[:-1]))
 
 
 @dataclass
@@ -236,7 +286,6 @@ class Draw:
 
     edges: np.ndarray
     word: np.ndarray  # word of each edge
-    node: np.ndarray  # node of each edge
     value: float  # Gumbel-perturbed log probability
     log_p: float = 0.0
 
@@ -249,39 +298,35 @@ def uniforms(streams: np.ndarray, step: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) * 2.0**-53
 
 
-def walk(pieces: Pieces, starts: np.ndarray, streams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def walk(pieces: Pieces, starts: np.ndarray, streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Draw a path from each start node to its word's end, by a stream of random
-    numbers per word: (edges, word, node), in text order."""
+    numbers per word: (edges, word of each), in text order."""
     first, cum, to, _, _ = pieces.arrays()
     at, who = starts, np.arange(len(starts))
-    edges, words, nodes = [], [], []
+    edges, words = [], []
     while len(at):
         e, u = first[at], uniforms(streams[who], len(edges))
-        on = np.nonzero(cum[e] <= u)[0]
+        on = np.flatnonzero(cum[e] <= u)
         while len(on):  # a node has few edges, and the last one's value is 1
             e[on] += 1
             on = on[cum[e[on]] <= u[on]]
         edges.append(e)
         words.append(who)
-        nodes.append(at)
         nxt = to[e]
-        on = nxt >= 0
+        on = np.flatnonzero(nxt >= 0)
         at, who = nxt[on], who[on]
     if not edges:
         none = np.zeros(0, dtype=np.int64)
-        return none, none, none
+        return none, none
     # Step s of a word goes s places behind the word's first edge.
     many = np.zeros(len(starts), dtype=np.int64)
     for who in words:
         many[who] += 1
     place = np.cumsum(many) - many
     e = np.empty(int(many.sum()), dtype=np.int64)
-    n = np.empty(len(e), dtype=np.int64)
     for step, who in enumerate(words):
-        to_place = place[who] + step
-        e[to_place] = edges[step]
-        n[to_place] = nodes[step]
-    return e, np.repeat(np.arange(len(starts)), many), n
+        e[place[who] + step] = edges[step]
+    return e, np.repeat(np.arange(len(starts)), many)
 
 
 def best_regions(prefix: np.ndarray, share: np.ndarray, bound: float, need: int, rng: np.random.Generator) -> list[tuple[int, float]]:
@@ -301,7 +346,7 @@ def streams_of(key: int, words: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
 
 
-Path = tuple[np.ndarray, np.ndarray, np.ndarray]
+Path = tuple[np.ndarray, np.ndarray]
 
 
 def search(pieces: Pieces, starts: np.ndarray, k: int, key: int) -> Generator[tuple, Path, tuple[list[Draw], float]]:
@@ -311,6 +356,7 @@ def search(pieces: Pieces, starts: np.ndarray, k: int, key: int) -> Generator[tu
     that ``sample`` can walk for many texts at a time."""
     rng = np.random.Generator(np.random.PCG64(key))
     first, _, to, _, logs = pieces.arrays()
+    node_of = lambda edge: int(np.searchsorted(first, edge, "right")) - 1  # noqa: E731  every node has an edge
     whole = float(rng.gumbel())
     # (-bound, number, parent draw, position in it, excluded edges); None: the root.
     heap: list = [(-whole, 0, None, 0, ())]
@@ -319,20 +365,19 @@ def search(pieces: Pieces, starts: np.ndarray, k: int, key: int) -> Generator[tu
         neg, _, parent, at, excluded = heapq.heappop(heap)
         bound = -neg
         if parent is None:
-            e, w, n = yield starts, streams_of(key, np.arange(len(starts)))
+            e, w = yield starts, streams_of(key, np.arange(len(starts)))
         else:
-            node, word = int(parent.node[at]), int(parent.word[at])
+            node, word = node_of(int(parent.edges[at])), int(parent.word[at])
             options = [x for x in range(int(first[node]), int(first[node + 1])) if x not in excluded]
             weights = np.exp(logs[options])
             pick = options[min(int(np.searchsorted(np.cumsum(weights), rng.random() * weights.sum())), len(options) - 1)]
             rest = np.concatenate([to[pick : pick + 1][to[pick : pick + 1] >= 0], starts[word + 1 :]])
             ends_word = int(to[pick]) < 0
-            e, w, n = yield rest, rng.integers(0, 2**64, len(rest), dtype=np.uint64)
+            e, w = yield rest, rng.integers(0, 2**64, len(rest), dtype=np.uint64)
             w = w + (word + 1 if ends_word else word)
             e = np.concatenate([parent.edges[:at], [pick], e])
             w = np.concatenate([parent.word[:at], [word], w])
-            n = np.concatenate([parent.node[:at], [node], n])
-        draw = Draw(e, w, n, bound)
+        draw = Draw(e, w, bound)
         taken = logs[e]
         before = np.concatenate([[0.0], np.cumsum(taken)])
         draw.log_p = float(before[-1])
@@ -342,7 +387,7 @@ def search(pieces: Pieces, starts: np.ndarray, k: int, key: int) -> Generator[tu
         # of each one's mass in its prefix (0 where a node has one edge only).
         beside = -np.expm1(np.minimum(taken[at:], 0.0))
         if parent is not None:
-            left = [x for x in range(int(first[n[at]]), int(first[n[at] + 1])) if x not in exclude_here]
+            left = [x for x in range(int(first[node]), int(first[node + 1])) if x not in exclude_here]
             beside[0] = np.exp(logs[left]).sum()
         need = k - len(out) + 1  # one more, for the threshold
         for pos, value in best_regions(before[at:-1], beside, bound, need, rng):
@@ -385,14 +430,14 @@ def sample(pieces: Pieces, texts: list[np.ndarray], k: int, keys: list[int]) ->
     running = [(i, search(pieces, t, k, key)) for i, (t, key) in enumerate(zip(texts, keys, strict=True))]
     asked = [next(g) for _, g in running]
     while running:
-        e, w, n = walk(pieces, np.concatenate([a[0] for a in asked]), np.concatenate([a[1] for a in asked]))
+        e, w = walk(pieces, np.concatenate([a[0] for a in asked]), np.concatenate([a[1] for a in asked]))
         offset = np.concatenate([[0], np.cumsum([len(a[0]) for a in asked])])
         cut = np.searchsorted(w, offset)
         on, asked = [], []
         for j, (i, g) in enumerate(running):
             part = slice(cut[j], cut[j + 1])
             try:
-                asked.append(g.send((e[part], w[part] - offset[j], n[part])))
+                asked.append(g.send((e[part], w[part] - offset[j])))
                 on.append((i, g))
             except StopIteration as end:
                 done[i] = end.value
@@ -409,6 +454,12 @@ ENCODED = "doc_id long, draw int, n_pieces long, ids array<int>, log_prob double
 CHECKED = ENCODED + ", text_sha256 string"
 
 
+@functools.lru_cache(maxsize=1)
+def _prepared(model: bytes, alpha: float) -> tuple[Pieces, Callable[[np.ndarray], str]]:
+    """Kept by a Python worker from one task to the next."""
+    return Pieces(model, alpha), decoder(model)
+
+
 def encode(
     docs: DataFrame, model: bytes, k: int = DRAWS, alpha: float = ALPHA, seed: int = SEED, decoded: bool = False
 ) -> DataFrame:
@@ -420,15 +471,21 @@ def encode(
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one model file
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = Pieces(shared.value, alpha)
-        restore = decoder(shared.value) if decoded else None
+        pieces, decoding = _prepared(shared.value, alpha)
+        restore = decoding if decoded else None
         todo: list[tuple] = []
         chars = 0
 
         def drawn() -> Iterator[pd.DataFrame]:
+            starts = pieces.starts([text for _, text in todo])
+            size = np.cumsum([len(text) for _, text in todo]) // BATCH_CHARS
+            for at in np.split(np.arange(len(todo)), np.flatnonzero(np.diff(size)) + 1):
+                yield from some([todo[i][0] for i in at], [starts[i] for i in at])
+
+        def some(keys: list, starts: list[np.ndarray]) -> Iterator[pd.DataFrame]:
             rows, size = [], 0
-            found = sample(pieces, [starts for _, starts in todo], k, [_key(seed, repr(key)) for key, _ in todo])
-            for (key, _), (draws, threshold) in zip(todo, found, strict=True):
+            found = sample(pieces, starts, k, [_key(seed, repr(key)) for key in keys])
+            for key, (draws, threshold) in zip(keys, found, strict=True):
                 for r, d in enumerate(draws):
                     ids = ids_of(pieces, d.edges)
                     log_q = 0.0 if threshold == -math.inf else _log_inclusion(d.log_p - threshold)
@@ -445,14 +502,14 @@ def encode(
 
         for batch in batches:
             for key, text in zip(batch["key"].tolist(), batch["text"].tolist(), strict=True):
-                todo.append((key, pieces.starts(pieces.normalise(text))))
+                todo.append((key, pieces.normalise(text)))
                 chars += len(text)
-                if chars >= BATCH_CHARS:
+                if chars >= CHUNK_CHARS:
                     yield from drawn()
                     todo, chars = [], 0
-                    if len(pieces.words) > WORDS_KEPT:
-                        pieces.forget()
-        yield from drawn()
+        if todo:
+            yield from drawn()
+        pieces.starts([])  # the lattices go, the model stays for the next task
 
     rows = docs.select(F.col("doc_id").cast("string").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInPandas(run, CHECKED if decoded else ENCODED)
@@ -484,15 +541,11 @@ def decoder(model: bytes) -> Callable[[np.ndarray], str]:
         piece = p.id_to_piece(i)
         table.append(bytes([int(piece[1:-1], 16)]) if p.is_byte(i) else b"" if p.is_control(i) else piece.replace(MARK, " ").encode())
     prefix = p.normalize("a") != "a"
-    size = np.array([len(t) for t in table])
-    begin = np.cumsum(size) - size
-    joined = np.frombuffer(b"".join(table), dtype=np.uint8)
+    spelled = pa.array(table, pa.large_binary())
 
     def restore(ids: np.ndarray) -> str:
-        # The bytes of all pieces, gathered from the joined table.
-        many = size[ids]
-        at = np.arange(int(many.sum())) + np.repeat(begin[ids] - (np.cumsum(many) - many), many)
-        text = joined[at].tobytes().decode("utf-8", "replace")
+        pieces = spelled.take(pa.array(ids))
+        text = pieces.buffers()[2].to_pybytes().decode("utf-8", "replace") if len(ids) else ""
         return text[1:] if prefix and text[:1] == " " else text
 
     return restore

@@ -45,13 +45,12 @@ def enumerate_all(pieces, text):
 
 
 def draws(pieces, text, k, seed):
-    ((found, threshold),) = sp.sample(pieces, [pieces.starts(pieces.normalise(text))], k, [sp._key(seed, "x")])
+    ((found, threshold),) = sp.sample(pieces, pieces.starts([pieces.normalise(text)]), k, [sp._key(seed, "x")])
     return [(tuple(sp.ids_of(pieces, d.edges).tolist()), d) for d in found], threshold
 
 
 def test_ordered_sampling_without_replacement(pieces):
     pieces.score = pieces.score * 0.2  # flatter, so that many orders occur
-    pieces.forget()
     try:
         text = "it is"
         exact = enumerate_all(pieces, text)
@@ -71,8 +70,7 @@ def test_ordered_sampling_without_replacement(pieces):
         assert abs(estimate / n - sum(p * len(k) for k, p in exact.items())) < 0.1
     finally:
         pieces.score = pieces.score / 0.2
-        pieces.forget()
-
+    
 
 def test_all_segmentations_of_a_short_text(pieces):
     exact = enumerate_all(pieces, "ab é")
