@@ -19,7 +19,8 @@ small table), and rows are numbered inside their slice only.
 
 Edge cases: NULL or blank text has no tokens and is never selected. NULL language
 or source is a child of its own with weight 1, as is any child without a listed
-weight; weight 0 gives nothing. Repeated rows are separate documents that follow
+weight; weight 0 gives nothing, and what is below it counts in no ancestor's
+capacity. Repeated rows are separate documents that follow
 each other in every epoch (their order among themselves does not matter). Extra
 columns are carried. An empty table gives an empty result.
 """
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,7 +102,11 @@ def plan(leaves: DataFrame, budget: Column, weights: Mapping[str, Mapping[str, i
     """``leaves`` (domain, lang, source, tokens, rows) with their ``quota``;
     ``budget`` is an expression over ``_total``, the tokens of all leaves. The tree
     has one row per leaf, not per document."""
-    nodes = leaves.withColumn("_cap", F.col("tokens") * max_epochs).withColumn("_root", F.lit(0))
+    usable = F.lit(True)  # a leaf below any child of weight 0 has nothing to give
+    for level in LEVELS:
+        usable = usable & (_weight(level, weights) > 0)
+    cap = F.when(usable, F.col("tokens") * max_epochs).otherwise(F.lit(0))
+    nodes = leaves.withColumn("_cap", cap).withColumn("_root", F.lit(0))
     parent, quota = ["_root"], None
     for depth, level in enumerate(LEVELS):
         keys = [*parent, level]
@@ -115,10 +121,7 @@ def plan(leaves: DataFrame, budget: Column, weights: Mapping[str, Mapping[str, i
             for s in same[1:]:
                 condition = condition & s
             level_nodes = level_nodes.join(quota, condition).drop(*[f"_q_{k}" for k in parent])
-        weighed = level_nodes.withColumn("weight", _weight(level, weights))
-        # A child of weight 0 has nothing to give.
-        weighed = weighed.withColumn("capacity", F.when(F.col("weight") > 0, F.col("capacity")).otherwise(F.lit(0)))
-        shared = _share(weighed, parent, level)
+        shared = _share(level_nodes.withColumn("weight", _weight(level, weights)), parent, level)
         quota = shared.select(*[F.col(k).alias(f"_q_{k}") for k in keys], F.col("quota").alias("budget"))
         parent = keys
         if depth == len(LEVELS) - 1:
@@ -185,10 +188,21 @@ def choose(
     )
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a column _row that names each row for good: its place in the
+    files of a table that is read as it is; else a number, stored with the rows."""
+    try:
+        return docs.withColumn("_row", F.struct("_metadata.file_path", "_metadata.row_index"))
+    except AnalysisException:
+        return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "mixing_documents")
+
+
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents with the columns of ``docs``, each as often as the
     mix repeats it."""
-    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "mixing_documents")
-    chosen = choose(numbered, row=F.col("_row"), **options).select("_row", "copies")
-    repeated = numbered.join(chosen, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return repeated.select(*docs.columns)
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    rows = _numbered(docs)
+    chosen = choose(rows, row=F.col("_row"), **options).select("_row", "copies")
+    renamed = rows.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)], "_row")
+    repeated = renamed.join(chosen, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return repeated.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])

@@ -31,13 +31,15 @@ def brute(rows, weights, percent, epochs, seed):
     tokens = {k: sum(x[2] for x in v) for k, v in leaves.items()}
     weight = lambda level, name: weights.get(level, {}).get(name, 1)
 
+    usable = lambda leaf: all(weight(level, name) for level, name in zip(mixing.LEVELS, leaf))
+
     def down(budget, prefix, depth):
         names = {k[depth] for k in tokens if k[:depth] == prefix}
         kids = {}
         for n in names:
             w = weight(mixing.LEVELS[depth], n)
-            cap = sum(t for k, t in tokens.items() if k[: depth + 1] == (*prefix, n)) * epochs
-            kids[n] = (w, cap if w else 0)
+            cap = sum(t for k, t in tokens.items() if k[: depth + 1] == (*prefix, n) and usable(k)) * epochs
+            kids[n] = (w, cap)
         out = {}
         for n, q in fill(budget, kids).items():
             out |= {(*prefix, n): q} if depth == 2 else down(q, (*prefix, n), depth + 1)
@@ -77,6 +79,25 @@ def test_against_brute_force(docs, monkeypatch, percent, epochs, slice_rows):
     assert mixed.columns == frame.columns and mixed.count() == sum(copies.values())
 
 
+def test_weight_zero_below_passes_its_share_on(docs):
+    """web has tokens only below a source of weight 0: its whole share goes to
+    its sibling domain."""
+    rows = [(i, "w " * 10, "en", "src5") for i in range(40)] + [(100 + i, "w " * 10, "en", "src12") for i in range(40)]
+    weights = {"domain": {"web": 5, "books": 3}, "source": {"src5": 0}}
+    got = mixing.choose(docs(rows), 50, weights, 4).collect()
+    assert {r.source for r in got} == {"src12"} and sum(r.n_tokens * r.copies for r in got) == 400
+
+
+def test_mix_reads_a_table_on_files(spark, docs, tmp_path):
+    rows = [(i, "w " * (i % 9), "en", f"src{i % 4}") for i in [*range(50)] * 6]
+    docs(rows).withColumnRenamed("n_chars", "copies").repartition(3).write.parquet(str(tmp_path / "t"))
+    frame = spark.read.parquet(str(tmp_path / "t"))
+    mixed = mixing.mix(frame, budget_percent=150)
+    chosen = mixing.choose(frame, budget_percent=150).collect()
+    assert mixed.columns == frame.columns
+    assert sorted(r.doc_id for r in mixed.collect()) == sorted(x for r in chosen for x in [r.doc_id] * r.copies)
+
+
 def test_empty(docs):
     assert mixing.choose(docs([])).count() == 0
     assert mixing.choose(docs([(1, None), (2, " ")])).count() == 0
