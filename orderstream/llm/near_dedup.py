@@ -177,15 +177,17 @@ def local_links(members: list[np.ndarray], percent: int) -> list[tuple[int, int]
     through others: the hub's, and further ones between different parts."""
     n = len(members)
     size = np.array([len(m) for m in members])
-    owner = np.repeat(np.arange(n), size)
+    owner = np.repeat(np.arange(n, dtype=np.int32), size)
     unique, at = np.unique(np.concatenate(members), return_inverse=True)
+    at, kinds = at.astype(np.int32), len(unique)
+    del unique
     core = 2 * np.bincount(at) > n
     in_core = core[at]
     inside = np.bincount(owner[in_core], minlength=n)
     delta = (size - inside) + (int(core.sum()) - inside)
     g = (100 - percent) * size - (100 + percent) * delta
     hub = int(g.argmax())
-    has = np.zeros(len(unique), dtype=bool)
+    has = np.zeros(kinds, dtype=bool)
     has[at[owner == hub]] = True
     both = np.bincount(owner[has[at]], minlength=n)
     linked = 100 * both >= percent * (size + size[hub] - both)
@@ -195,16 +197,18 @@ def local_links(members: list[np.ndarray], percent: int) -> list[tuple[int, int]
     if not len(rest):
         return links
     # Elements of D, by member: shingles beside the core, then core ones missing.
-    place = np.cumsum(core) - 1
+    place = np.cumsum(core, dtype=np.int32) - 1
     missing = np.ones((n, int(core.sum())), dtype=bool)
     missing[owner[in_core], place[at[in_core]]] = False
-    miss_owner, miss_at = np.nonzero(missing)
-    element = np.concatenate([at[~in_core], len(unique) + miss_at])
+    miss_owner, miss_at = (x.astype(np.int32) for x in np.nonzero(missing))
+    element = np.concatenate([at[~in_core], kinds + miss_at])
     holder = np.concatenate([owner[~in_core], miss_owner])
+    del at, owner, in_core, missing, miss_owner, miss_at
     shared = np.bincount(element, minlength=1)[element] > 1
     element, holder = element[shared], holder[shared]
     order = np.argsort(element, kind="stable")
     posting, keys = holder[order], element[order]
+    del order
     by_holder = np.argsort(holder, kind="stable")
     first = np.searchsorted(holder[by_holder], np.arange(n + 1))
     for u in rest.tolist():
