@@ -55,7 +55,7 @@ _MARK_BYTES = MARK.encode()
 _BARE = 1 << 22  # added to piece numbers; below it are the characters without a piece
 #: Characters of the texts that share their words' lattices, and of those that are
 #: walked together.
-CHUNK_CHARS = 6_000_000
+CHUNK_CHARS = 8_000_000
 BATCH_CHARS = 1_000_000
 SLAB_CHARS = 50_000  # of words whose lattices are built together
 
@@ -273,8 +273,13 @@ class Pieces:
             degree, cum, to, piece, log = self._build(np.frombuffer(text, dtype=np.uint32).astype(np.int64), length[low:high])
             to[to >= 0] += begin[low]
             parts.append((degree, cum, to, piece, log))
-        degree, *edges = (np.concatenate(x) for x in zip(*parts, strict=True))
-        self._arrays = (np.concatenate([[0], np.cumsum(degree)]), *edges)
+        columns = [list(x) for x in zip(*parts, strict=True)]
+        del parts, degree, cum, to, piece, log
+        joined = []
+        for column in columns:  # one at a time: its parts go when it is joined
+            joined.append(np.concatenate(column))
+            column.clear()
+        self._arrays = (np.concatenate([[0], np.cumsum(joined[0])]), *joined[1:])
         node = np.empty(len(order), dtype=np.int64)
         node[order] = begin
         return np.split(node[coded.indices.to_numpy()], np.searchsorted(at, ends[:-1]))
@@ -470,19 +475,19 @@ def encode(
     to, made where they are drawn (``decode`` gives the text itself)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one model file
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, decoding = _prepared(shared.value, alpha)
         restore = decoding if decoded else None
         todo: list[tuple] = []
         chars = 0
 
-        def drawn() -> Iterator[pd.DataFrame]:
+        def drawn() -> Iterator[pa.RecordBatch]:
             starts = pieces.starts([text for _, text in todo])
             size = np.cumsum([len(text) for _, text in todo]) // BATCH_CHARS
             for at in np.split(np.arange(len(todo)), np.flatnonzero(np.diff(size)) + 1):
                 yield from some([todo[i][0] for i in at], [starts[i] for i in at])
 
-        def some(keys: list, starts: list[np.ndarray]) -> Iterator[pd.DataFrame]:
+        def some(keys: list, starts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             rows, size = [], 0
             found = sample(pieces, starts, k, [_key(seed, repr(key)) for key in keys])
             for key, (draws, threshold) in zip(keys, found, strict=True):
@@ -501,7 +506,7 @@ def encode(
                 yield _encoded(rows, decoded)
 
         for batch in batches:
-            for key, text in zip(batch["key"].tolist(), batch["text"].tolist(), strict=True):
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 todo.append((key, pieces.normalise(text)))
                 chars += len(text)
                 if chars >= CHUNK_CHARS:
@@ -512,7 +517,7 @@ def encode(
         pieces.starts([])  # the lattices go, the model stays for the next task
 
     rows = docs.select(F.col("doc_id").cast("string").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, CHECKED if decoded else ENCODED)
+    return rows.mapInArrow(run, CHECKED if decoded else ENCODED)
 
 
 def _log_inclusion(x: float) -> float:
@@ -522,11 +527,17 @@ def _log_inclusion(x: float) -> float:
     return math.log(-math.expm1(-math.exp(min(x, 50.0))))
 
 
-def _encoded(rows: list[tuple], decoded: bool) -> pd.DataFrame:
-    names = ["doc_id", "draw", "n_pieces", "ids", "log_prob", "log_inclusion", "weight"]
-    out = pd.DataFrame(rows, columns=names + ["text_sha256"] * decoded)
-    out["doc_id"] = out["doc_id"].astype("Int64")
-    return out
+def _encoded(rows: list[tuple], decoded: bool) -> pa.RecordBatch:
+    doc, draw, size, ids, log_p, log_q, weight, *text = zip(*rows, strict=True)
+    ends = np.cumsum(size).astype(np.int32)
+    columns = {
+        "doc_id": pa.array(doc, pa.int64()), "draw": pa.array(draw, pa.int32()), "n_pieces": pa.array(size, pa.int64()),
+        "ids": pa.ListArray.from_arrays(pa.array(np.append(np.int32(0), ends)), pa.array(np.concatenate(ids))),
+        "log_prob": pa.array(log_p, pa.float64()), "log_inclusion": pa.array(log_q, pa.float64()), "weight": pa.array(weight, pa.float64()),
+    }
+    if decoded:
+        columns["text_sha256"] = pa.array(text[0], pa.string())
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def decoder(model: bytes) -> Callable[[np.ndarray], str]:
