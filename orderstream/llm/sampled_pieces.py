@@ -55,7 +55,7 @@ _MARK_BYTES = MARK.encode()
 _BARE = 1 << 22  # added to piece numbers; below it are the characters without a piece
 #: Characters of the texts that share their words' lattices, and of those that are
 #: walked together.
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 4_000_000
 BATCH_CHARS = 1_000_000
 SLAB_CHARS = 50_000  # of words whose lattices are built together
 
