@@ -1,19 +1,30 @@
 """Quality rules with risk-controlled cutoffs (operator 6).
 
 Base rules are fixed (``n_words < 20``, or more than 30 % of the words inside
-repeated 8-word windows). On top of them each metric of ``METRICS`` gets one
-cutoff per stratum (language), chosen from a labelled holdout: reject a document
-whose metric lies above it. The cutoff is the lowest one for which the exact
-binomial (Clopper-Pearson) test rejects "more than ``risk`` of the good
-documents are lost" at level ``delta``, both split over the metrics and the
-strata (Bonferroni), so with probability ``1 - delta`` no stratum loses more than
-``risk`` of its good documents to all cutoffs together. Cutoffs of a metric are
-nested, so testing them from the mildest on needs no further correction. A
-stratum with too few labels to certify anything gets no cutoff.
-
-Metrics are whole per-mille values from 0 to 1000, so the holdout is summed
-into at most 1001 bins per metric and stratum before it is shuffled again.
-Everything is DataFrame expressions; documents are never exploded.
+repeated 8-word windows). On top of them each stratum (language) gets one cutoff
+per metric of ``METRICS``, chosen from a labelled holdout: reject a document that
+has a metric above its cutoff.
+
+The cutoffs of a stratum are chosen jointly, as one step of a nested family of
+``STEPS`` steps from no rejection to a tail of the good documents beyond the
+risk. The good documents whose id's SHA-256 begins with one of ``FIT_DIGITS`` (a
+quarter) shape the family and take no further part: per metric, the first steps
+close in on their largest value, the others cut into their upper tail, equally
+deep in every metric. The other good documents certify: a step is safe where the
+exact binomial (Clopper-Pearson) test over them rejects "more than ``risk`` of
+the good documents are lost to any of the cutoffs" at level ``delta`` divided by
+the number of strata (Bonferroni). Steps are nested and tested from the mildest
+on, so one stratum's steps need no further correction, and with probability
+``1 - delta`` no stratum loses more than ``risk`` of its good documents. Among the
+safe steps, the one with the largest share of bad less share of good holdout
+documents rejected is taken (the mildest of equals), so no good document is lost
+without a bad one to show for it; a stratum without bad labels takes its strictest
+safe step. A stratum with too few labels to certify anything gets no cutoff.
+
+Metrics are whole per-mille values from 0 to 1000, so the holdout is summed into
+at most 1001 bins per metric and stratum for the family, and into ``STEPS + 1``
+bins per stratum for the test. Everything is DataFrame expressions; documents are
+never exploded.
 
 Edge cases: NULL or blank text has no words and fails the base rules. A NULL
 language is a stratum of its own. Repeated rows are judged one by one; labels of
@@ -24,6 +35,8 @@ result; no labels give base rules only.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +48,13 @@ MAX_REPEAT_PERCENT = 30
 RISK = 0.02
 DELTA = 0.05
 MAX_BROADCAST_STRATA = 10_000
+#: First hex digits of SHA-256(doc_id) of the documents that shape the family.
+FIT_DIGITS = "0123"
+#: Steps above the largest fitted value: per mille of the way up to 1000.
+WIDE = (*(round(1000 * 0.8**i) for i in range(31)), 0)
+#: Steps into the fitted values: tails of equal width, the last twice the risk.
+TAILS = 32
+STEPS = len(WIDE) + TAILS
 # Fixed value: the characters counted as symbols.
 SYMBOLS = "[#*$%&|<>]"
 
@@ -114,16 +134,25 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
+def _log_factorial(x: Column) -> Column:
+    """Stirling's series; exact to 1e-14 from 100 on."""
+    return x * F.log(x) - x + F.log(x * F.lit(2 * math.pi)) / 2 + 1 / (12 * x) - 1 / (360 * x * x * x)
+
+
 def allowed_losses(n: Column, risk: float, level: Column) -> Column:
     """The largest k with P(Binomial(n, risk) <= k) <= level, or -1.
 
     The terms are built by their ratio in logarithms, so large ``n`` does not
-    underflow; k cannot pass the mean, so the walk ends there."""
-    import math
-
+    underflow. k cannot pass the mean, so the walk ends there; where the mean is
+    large it begins 12 deviations below (what lies lower is under 1e-30), so its
+    length grows with the square root of ``n``."""
     odds = math.log(risk) - math.log1p(-risk)
-    first = n.cast("double") * F.lit(math.log1p(-risk))
-    start = F.struct(first.alias("log_term"), F.lit(0.0).alias("cdf"), F.lit(-1).cast("long").alias("k"))
+    mean = n * F.lit(risk)
+    begin = F.when(mean > 400, F.floor(mean - 12 * F.sqrt(mean))).otherwise(F.lit(0)).cast("long")
+    x, size = begin.cast("double"), n.cast("double")
+    choose = F.when(begin > 0, _log_factorial(size) - _log_factorial(x) - _log_factorial(size - x)).otherwise(F.lit(0.0))
+    first = choose + x * F.lit(odds) + size * F.lit(math.log1p(-risk))
+    start = F.struct(first.alias("log_term"), F.lit(0.0).alias("cdf"), (begin - 1).alias("k"))
 
     def step(acc: Column, j: Column) -> Column:
         cdf = acc["cdf"] + F.exp(acc["log_term"])
@@ -134,49 +163,103 @@ def allowed_losses(n: Column, risk: float, level: Column) -> Column:
             F.when(cdf <= level, j).otherwise(acc["k"]).alias("k"),
         )
 
-    walk = F.sequence(F.lit(0).cast("long"), F.floor(n * F.lit(risk)).cast("long"))
+    walk = F.sequence(begin, F.floor(mean).cast("long"))
     return F.aggregate(walk, start, step, lambda acc: acc["k"])
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """One row per stratum: the metrics' cutoffs (NULL: none certified).
+def tails(risk: float) -> list[int]:
+    """The shares (per million) of the fitted documents above the cutoffs of the
+    last steps, per metric."""
+    return [round(2_000_000 * risk * (i + 1) / TAILS) for i in range(TAILS)]
+
 
-    ``labels`` (doc_id, quality) marks the holdout. Only good documents that
-    pass the base rules count: those rules come first."""
-    good_ids = labels.groupBy("doc_id").agg(F.min("quality").alias("_quality")).filter("_quality = 1")
-    held = measured.filter(~base_failed()).join(good_ids, "doc_id", "left_semi")
+def _families(fit: DataFrame, risk: float) -> DataFrame:
+    """One row per stratum: for each metric its ``STEPS`` cutoffs, falling."""
     metric = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRICS]))
-    bins = (
-        held.select(F.col(stratum).alias("_stratum"), metric.alias("m"))
-        .groupBy("_stratum", "m.metric", "m.value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    bins = fit.select("_stratum", metric.alias("m")).groupBy("_stratum", "m.metric", "m.value").agg(F.count(F.lit(1)).alias("n"))
     by = Window.partitionBy("_stratum", "metric")
     above = by.orderBy(F.col("value").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    one = F.lit(1).alias("_one")
-    strata = bins.select("_stratum", one).distinct().groupBy("_one").agg(F.count(F.lit(1)).alias("_strata"))
-    scored = bins.select(
-        "*", one, F.sum("n").over(by).alias("good"), F.coalesce(F.sum("n").over(above), F.lit(0)).alias("lost")
-    ).join(F.broadcast(strata), "_one")  # one row
-    groups = (
-        scored.groupBy("_stratum", "metric", "_strata")
-        .agg(F.max("good").alias("good"), F.collect_list(F.struct("value", "lost")).alias("steps"))  # at most 1001 bins
-        .withColumn("k", allowed_losses(F.col("good"), risk / len(METRICS), F.lit(delta / len(METRICS)) / F.col("_strata")))
+    scored = bins.withColumns({"good": F.sum("n").over(by), "above": F.coalesce(F.sum("n").over(above), F.lit(0))})
+    groups = scored.groupBy("_stratum", "metric").agg(
+        F.max("good").alias("good"), F.max("value").alias("top"), F.collect_list(F.struct("value", "above")).alias("bins")  # at most 1001
+    )
+    wide = F.transform(F.array(*map(F.lit, WIDE)), lambda s: F.col("top") + F.floor((1000 - F.col("top")) * s / 1000).cast("int"))
+    tail = F.transform(
+        F.array(*map(F.lit, tails(risk))),
+        lambda p: F.array_min(
+            F.transform(F.filter("bins", lambda b: b["above"] <= F.floor(F.col("good") * p / 1_000_000)), lambda b: b["value"])
+        ),
+    )
+    family = groups.select("_stratum", "metric", F.concat(wide, tail).alias("cuts"))
+    return family.groupBy("_stratum").pivot("metric", list(METRICS)).agg(F.first("cuts"))
+
+
+def _with_strata(rows: DataFrame, stratum: Column, strata: DataFrame, name: str, how: str) -> DataFrame:
+    """``rows`` joined to a table of one row per stratum, its columns renamed
+    ``_of_<column>``. The table is stored and counted, so that the rows need no
+    shuffle for it; more strata than the bound are joined by a shuffle."""
+    strata = stored(strata.select([F.col(c).alias(f"_of_{c}") for c in strata.columns]), name)
+    if strata.count() <= MAX_BROADCAST_STRATA:
+        strata = F.broadcast(strata)
+    return rows.join(strata, stratum.eqNullSafe(F.col("_of__stratum")), how)
+
+
+def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """One row per stratum that has certified cutoffs, one column per metric.
+
+    ``labels`` (doc_id, quality) marks the holdout. Only documents that pass the
+    base rules count: those rules come first."""
+    marks = labels.groupBy("doc_id").agg((F.min("quality") == 1).alias("_good")).filter("_good IS NOT NULL")
+    passed = measured.filter(~base_failed()).select("doc_id", F.col(stratum).alias("_stratum"), *METRICS)
+    digit = F.substring(F.sha2(F.col("doc_id").cast("string"), 256), 1, 1)
+    held = passed.join(marks, "doc_id").withColumn("_fit", F.col("_good") & digit.isin(*FIT_DIGITS)).drop("doc_id")
+    held = stored(held, "quality_holdout")
+    families = _families(held.filter("_fit"), risk)
+    judged = _with_strata(held.filter(~F.col("_fit")), F.col("_stratum"), families, "quality_families", "inner")
+
+    def steps_survived(metric: str) -> Column:
+        return F.size(F.filter(f"_of_{metric}", lambda cut: cut >= F.col(metric)))
+
+    survived = F.least(*map(steps_survived, METRICS))
+    hist = (
+        judged.groupBy("_stratum", survived.alias("step"))
+        .agg(F.count_if("_good").alias("good"), F.count_if(~F.col("_good")).alias("bad"), *[F.first(f"_of_{m}").alias(m) for m in METRICS])
+        .groupBy("_stratum")
+        .agg(
+            F.sum("good").alias("n"),
+            F.sum("bad").alias("n_bad"),
+            F.collect_list(F.struct("step", "good", "bad")).alias("hist"),  # at most STEPS + 1
+            *[F.first(m).alias(m) for m in METRICS],
+        )
+        .filter("n > 0")
     )
-    fit = F.array_min(F.transform(F.filter("steps", lambda s: s["lost"] <= F.col("k")), lambda s: s["value"]))
-    return groups.select("_stratum", "metric", fit.alias("cutoff")).groupBy("_stratum").pivot("metric", list(METRICS)).agg(F.first("cutoff"))
+    hist = stored(hist, "quality_tests")
+    one = F.lit(1).alias("_one")
+    strata = hist.groupBy(one).agg(F.count(F.lit(1)).alias("_strata"))
+    tested = hist.select("*", one).join(F.broadcast(strata), "_one")  # one row
+    tested = tested.withColumn("k", allowed_losses(F.col("n"), risk, F.lit(delta) / F.col("_strata")))
+
+    def until(step: Column, kind: str) -> Column:
+        return F.aggregate(
+            "hist", F.lit(0).cast("long"), lambda acc, h: acc + F.when(h["step"] <= step, h[kind]).otherwise(F.lit(0))
+        )
+
+    def score(step: Column) -> Column:
+        lost, caught = until(step, "good"), until(step, "bad")
+        gain = F.when(F.col("n_bad") > 0, caught / F.col("n_bad") - lost / F.col("n")).otherwise(step.cast("double"))
+        return F.struct(gain.alias("gain"), (-step).alias("mild"), lost.alias("lost"))
+
+    steps = F.transform(F.sequence(F.lit(0), F.lit(STEPS - 1)), score)
+    best = F.array_max(F.filter(steps, lambda s: s["lost"] <= F.col("k")))
+    picked = tested.withColumn("_step", -best["mild"]).filter("_step IS NOT NULL")
+    return picked.select("_stratum", *[F.get(F.col(m), F.col("_step")).alias(m) for m in METRICS])
 
 
 def _verdict(measured: DataFrame, cuts: DataFrame, stratum: str) -> DataFrame:
-    cuts = stored(cuts.select(F.col("_stratum"), *[F.col(m).alias(f"_cut_{m}") for m in METRICS]), "quality_cutoffs")
-    # One row per stratum. Checked, so that the texts need no shuffle for it;
-    # more strata than that are joined by a shuffle.
-    if cuts.count() <= MAX_BROADCAST_STRATA:
-        cuts = F.broadcast(cuts)
-    joined = measured.join(cuts, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    joined = _with_strata(measured, F.col(stratum), cuts, "quality_cutoffs", "left")
     over = F.lit(False)
     for m in METRICS:
-        over = over | F.coalesce(F.col(m) > F.col(f"_cut_{m}"), F.lit(False))
+        over = over | F.coalesce(F.col(m) > F.col(f"_of_{m}"), F.lit(False))
     # One CASE, not a conjunction: no part of it can move below the join.
     return joined.withColumn("base_failed", base_failed()).withColumn(
         "kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(~over)

@@ -155,10 +155,13 @@ def _op6_sql() -> str:
         "m_repeat": share("n_repeat_words", "n_words - n_repeat_words"),
         "m_long_words": share("word_chars", "10 * n_words"),
     }
-    count = len(metrics)
-    risk, w = quality.RISK / count, quality.WINDOW
+    risk, w = quality.RISK, quality.WINDOW
     base = f"(n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words)"
-    bins = " UNION ALL ".join(f"SELECT stratum, '{m}' AS metric, {m} AS value FROM held" for m in metrics)
+    bins = " UNION ALL ".join(f"SELECT stratum, '{m}' AS metric, {m} AS value FROM held WHERE fit" for m in metrics)
+    tested = " UNION ALL ".join(f"SELECT rid, stratum, '{m}' AS metric, {m} AS value FROM held WHERE NOT fit" for m in metrics)
+    digits = ", ".join(f"'{d}'" for d in quality.FIT_DIGITS)
+    wide = ", ".join(f"({i}, {share})" for i, share in enumerate(quality.WIDE))
+    tails = ", ".join(f"({i}, {ppm})" for i, ppm in enumerate(quality.tails(risk), len(quality.WIDE)))
     over = " OR ".join(f"coalesce({m} > (SELECT cutoff FROM cuts c WHERE c.stratum IS NOT DISTINCT FROM v.stratum AND c.metric = '{m}'), FALSE)" for m in metrics)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang AS stratum, coalesce(text, '') AS t, {_WORDS} AS ws,
@@ -172,15 +175,25 @@ b AS (SELECT d.rid, doc_id, stratum, len(ws)::BIGINT AS n_words, length(array_to
              len(regexp_extract_all(t, '\p{{Lu}}')) AS upper, len(regexp_extract_all(t, '\p{{P}}')) AS punct
       FROM d LEFT JOIN cov USING (rid)),
 v AS (SELECT *, {base} AS base_failed, {", ".join(f"{e} AS {m}" for m, e in metrics.items())} FROM b),
-held AS (SELECT * FROM v WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1)),
+held AS (SELECT v.*, good, good AND substr(sha256(doc_id::VARCHAR), 1, 1) IN ({digits}) AS fit
+         FROM v JOIN (SELECT doc_id, min(quality) = 1 AS good FROM labels GROUP BY doc_id HAVING min(quality) IS NOT NULL) l USING (doc_id) WHERE NOT base_failed),
 bins AS (SELECT stratum, metric, value, count(*) AS n FROM ({bins}) x GROUP BY ALL),
-steps AS (SELECT stratum, metric, value, sum(n) OVER (PARTITION BY stratum, metric) AS good,
-                 coalesce(sum(n) OVER (PARTITION BY stratum, metric ORDER BY value DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lost FROM bins),
-sizes AS (SELECT DISTINCT good FROM steps),
-cdf AS (SELECT good, j, sum(exp(lgamma(good + 1) - lgamma(j + 1) - lgamma(good - j + 1) + j * ln({risk!r}) + (good - j) * ln(1 - {risk!r}))) OVER (PARTITION BY good ORDER BY j) AS p
-        FROM (SELECT good, unnest(range(0, floor(good * {risk!r})::BIGINT + 1)) AS j FROM sizes) x),
-k AS (SELECT good, max(j) AS k FROM cdf WHERE p <= {quality.DELTA!r} / {count} / (SELECT count(*) FROM (SELECT DISTINCT stratum FROM bins) x) GROUP BY good),
-cuts AS (SELECT stratum, metric, min(value) AS cutoff FROM steps JOIN k USING (good) WHERE lost <= k GROUP BY ALL)
+above AS (SELECT *, sum(n) OVER (PARTITION BY stratum, metric) AS size, max(value) OVER (PARTITION BY stratum, metric) AS top,
+                 coalesce(sum(n) OVER (PARTITION BY stratum, metric ORDER BY value DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS higher FROM bins),
+family AS (SELECT DISTINCT stratum, metric, step, top + (1000 - top) * share // 1000 AS cut FROM above, (VALUES {wide}) w(step, share)
+           UNION ALL SELECT stratum, metric, step, min(value) AS cut FROM above, (VALUES {tails}) t(step, ppm) WHERE higher <= size * ppm // 1000000 GROUP BY ALL),
+gone AS (SELECT rid, min(step) AS step FROM ({tested}) x JOIN family f ON f.stratum IS NOT DISTINCT FROM x.stratum AND f.metric = x.metric AND x.value > f.cut GROUP BY rid),
+judged AS (SELECT h.stratum, h.good, coalesce(gone.step, {quality.STEPS}) AS step FROM held h LEFT JOIN gone USING (rid)
+           WHERE NOT fit AND EXISTS (SELECT 1 FROM family f WHERE f.stratum IS NOT DISTINCT FROM h.stratum)),
+sizes AS (SELECT stratum, count(*) FILTER (good) AS n, count(*) FILTER (NOT good) AS n_bad FROM judged GROUP BY stratum HAVING count(*) FILTER (good) > 0),
+cdf AS (SELECT n, j, sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({risk!r}) + (n - j) * ln(1 - {risk!r}))) OVER (PARTITION BY n ORDER BY j) AS p
+        FROM (SELECT n, unnest(range(0, floor(n * {risk!r})::BIGINT + 1)) AS j FROM (SELECT DISTINCT n FROM sizes) y) x),
+k AS (SELECT n, max(j) AS k FROM cdf WHERE p <= {quality.DELTA!r} / (SELECT count(*) FROM sizes) GROUP BY n),
+losses AS (SELECT s.stratum, r.step, n, n_bad, count(*) FILTER (j.good) AS lost, count(*) FILTER (NOT j.good) AS caught
+           FROM sizes s CROSS JOIN range({quality.STEPS}) r(step) LEFT JOIN judged j ON j.stratum IS NOT DISTINCT FROM s.stratum AND j.step <= r.step GROUP BY ALL),
+picked AS (SELECT stratum, first(step ORDER BY CASE WHEN n_bad > 0 THEN caught::DOUBLE / n_bad - lost::DOUBLE / n ELSE step END DESC, step) AS step
+           FROM losses JOIN k USING (n) WHERE lost <= k GROUP BY stratum),
+cuts AS (SELECT f.stratum, metric, cut AS cutoff FROM family f JOIN picked p ON f.stratum IS NOT DISTINCT FROM p.stratum AND f.step = p.step)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({over}) AS kept FROM v
 """
 
