@@ -194,14 +194,12 @@ def _families(fit: DataFrame, risk: float) -> DataFrame:
     return family.groupBy("_stratum").pivot("metric", list(METRICS)).agg(F.first("cuts"))
 
 
-def _with_strata(rows: DataFrame, stratum: Column, strata: DataFrame, name: str, how: str) -> DataFrame:
-    """``rows`` joined to a table of one row per stratum, its columns renamed
-    ``_of_<column>``. The table is stored and counted, so that the rows need no
-    shuffle for it; more strata than the bound are joined by a shuffle."""
+def _per_stratum(strata: DataFrame, name: str) -> DataFrame:
+    """A table of one row per stratum, ready to be joined: its columns renamed
+    ``_of_<column>``, stored and counted, so that the other side needs no shuffle;
+    more strata than the bound are joined by a shuffle."""
     strata = stored(strata.select([F.col(c).alias(f"_of_{c}") for c in strata.columns]), name)
-    if strata.count() <= MAX_BROADCAST_STRATA:
-        strata = F.broadcast(strata)
-    return rows.join(strata, stratum.eqNullSafe(F.col("_of__stratum")), how)
+    return F.broadcast(strata) if strata.count() <= MAX_BROADCAST_STRATA else strata
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
@@ -214,8 +212,8 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk:
     digit = F.substring(F.sha2(F.col("doc_id").cast("string"), 256), 1, 1)
     held = passed.join(marks, "doc_id").withColumn("_fit", F.col("_good") & digit.isin(*FIT_DIGITS)).drop("doc_id")
     held = stored(held, "quality_holdout")
-    families = _families(held.filter("_fit"), risk)
-    judged = _with_strata(held.filter(~F.col("_fit")), F.col("_stratum"), families, "quality_families", "inner")
+    families = _per_stratum(_families(held.filter("_fit"), risk), "quality_families")
+    judged = held.filter(~F.col("_fit")).join(families, F.col("_stratum").eqNullSafe(F.col("_of__stratum")))
 
     def steps_survived(metric: str) -> Column:
         return F.size(F.filter(f"_of_{metric}", lambda cut: cut >= F.col(metric)))
@@ -223,13 +221,12 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk:
     survived = F.least(*map(steps_survived, METRICS))
     hist = (
         judged.groupBy("_stratum", survived.alias("step"))
-        .agg(F.count_if("_good").alias("good"), F.count_if(~F.col("_good")).alias("bad"), *[F.first(f"_of_{m}").alias(m) for m in METRICS])
+        .agg(F.count_if("_good").alias("good"), F.count_if(~F.col("_good")).alias("bad"))
         .groupBy("_stratum")
         .agg(
             F.sum("good").alias("n"),
             F.sum("bad").alias("n_bad"),
             F.collect_list(F.struct("step", "good", "bad")).alias("hist"),  # at most STEPS + 1
-            *[F.first(m).alias(m) for m in METRICS],
         )
         .filter("n > 0")
     )
@@ -252,11 +249,12 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk:
     steps = F.transform(F.sequence(F.lit(0), F.lit(STEPS - 1)), score)
     best = F.array_max(F.filter(steps, lambda s: s["lost"] <= F.col("k")))
     picked = tested.withColumn("_step", -best["mild"]).filter("_step IS NOT NULL")
-    return picked.select("_stratum", *[F.get(F.col(m), F.col("_step")).alias(m) for m in METRICS])
+    chosen = picked.select("_stratum", "_step").join(families, F.col("_stratum").eqNullSafe(F.col("_of__stratum")))
+    return chosen.select("_stratum", *[F.get(F.col(f"_of_{m}"), F.col("_step")).alias(m) for m in METRICS])
 
 
 def _verdict(measured: DataFrame, cuts: DataFrame, stratum: str) -> DataFrame:
-    joined = _with_strata(measured, F.col(stratum), cuts, "quality_cutoffs", "left")
+    joined = measured.join(_per_stratum(cuts, "quality_cutoffs"), F.col(stratum).eqNullSafe(F.col("_of__stratum")), "left")
     over = F.lit(False)
     for m in METRICS:
         over = over | F.coalesce(F.col(m) > F.col(f"_of_{m}"), F.lit(False))
