@@ -3,7 +3,8 @@ near-dedup, mixing to target weights, sampled tokenisation.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before
 it kept; ``run`` stores each stage's result below ``spark.checkpoint.dir``
-before the next one reads it.
+before the next one reads it. So each stage's documents are a table on files, and
+stages name a row by its place there instead of storing a numbered copy.
 """
 
 from __future__ import annotations
@@ -21,16 +22,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.keep_first(docs)
+    return exact_dedup.keep_first(docs, on_files=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Five-word shingles, 80 % similar."""
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, on_files=True)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs)
+    return mixing.mix(docs, on_files=True)
 
 
 def segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

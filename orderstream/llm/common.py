@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from ..session import checkpoint_root, scratch_path
 SPACE_CLASS = r"[ \x09-\x0D]"
 WORD_CLASS = r"[^ \x09-\x0D]"
 
-__all__ = ["SPACE_CLASS", "WORD_CLASS", "checkpoint_root", "scratch_path", "stored", "table", "text_or_empty", "words"]
+__all__ = ["SPACE_CLASS", "WORD_CLASS", "checkpoint_root", "named_rows", "scratch_path", "stored", "table", "text_or_empty", "words"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def named_rows(docs: DataFrame, name: str, on_files: bool = False) -> tuple[DataFrame, str]:
+    """``docs`` with a column that names each row for good, and that column's name
+    (one that ``docs`` do not have): a struct of file_path and row_index.
+
+    ``on_files``: ``docs`` are read from files as they are, with no join or explode
+    since that could repeat a row. The name is then the row's place in its file and
+    no copy is stored. Else, or where the source knows no places, rows are numbered
+    and stored with their number (file_path is empty)."""
+    taken = {c.lower() for c in docs.columns}
+    row = "_row"
+    while row in taken:
+        row += "_"
+    if on_files and "_metadata" not in taken:
+        try:
+            return docs.withColumn(row, F.struct("_metadata.file_path", "_metadata.row_index")), row
+        except AnalysisException:
+            pass  # not a file source: numbered below
+    number = F.struct(F.lit("").alias("file_path"), F.monotonically_increasing_id().alias("row_index"))
+    return stored(docs.withColumn(row, number), name), row
+
+
 def text_or_empty(c: Column | str = "text") -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 

@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, scratch_path, stored, text_or_empty
+from .common import SPACE_CLASS, named_rows, scratch_path, stored, text_or_empty
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -45,14 +45,14 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def arrivals(docs: DataFrame, digest: Digest, arrival: Column, *more: Column) -> DataFrame:
-    """One narrow row per document; ``arrival`` is its number."""
+def arrivals(docs: DataFrame, digest: Digest, arrival: Column, file: Column, *more: Column) -> DataFrame:
+    """One narrow row per document; ``arrival`` is its number in its ``file``."""
     return docs.select(
         digest(normalised()).alias("_digest"),
         F.length(text_or_empty()).cast("long").alias("_points"),
         F.col("doc_id").cast("long").alias("_doc_id"),
         arrival.alias("_arrival"),
-        F.input_file_name().alias("_file"),
+        file.alias("_file"),
         *more,
     )
 
@@ -122,38 +122,41 @@ def _classified(seen: DataFrame, entries: DataFrame) -> DataFrame:
         F.col("_doc_id").alias("doc_id"),
         (-F.col("_first.neg_id")).alias("keep_id"),
         F.col("_rows").alias("group_size"),
-        (F.col("_arrival") == -F.col("_first.neg_arrival")).alias("kept"),
+        ((F.col("_arrival") == -F.col("_first.neg_arrival")) & (F.col("_file") == F.col("_first.file"))).alias("kept"),
         "_digest",
         "_arrival",
+        "_file",
         F.col("_first.file").alias("keep_file"),
     )
 
 
-def _told_apart(docs: DataFrame, collided: DataFrame, digest: Digest, arrival: Column) -> DataFrame:
+def _told_apart(docs: DataFrame, collided: DataFrame, digest: Digest, arrival: Column, file: Column) -> DataFrame:
     """Classes among the rows of collided digests, by digest and full bytes."""
-    rows = arrivals(docs, digest, arrival, normalised().alias("_bytes")).join(collided, "_digest", "left_semi")
+    rows = arrivals(docs, digest, arrival, file, normalised().alias("_bytes")).join(collided, "_digest", "left_semi")
     keyed = stored(rows, "exact_collided").withColumn("_digest", F.struct("_digest", "_bytes"))
     return _classified(keyed, state(keyed)).withColumn("_digest", F.col("_digest._digest"))
 
 
-def _classes(docs: DataFrame, digest: Digest, files_per_batch: int | None, arrival: Column) -> DataFrame:
-    seen, entries = _remember(arrivals(docs, digest, arrival), files_per_batch)
+def _classes(docs: DataFrame, digest: Digest, files_per_batch: int | None, arrival: Column, file: Column) -> DataFrame:
+    seen, entries = _remember(arrivals(docs, digest, arrival, file), files_per_batch)
     collided = stored(_collided(docs, entries, digest), "exact_differ")
     out = _classified(seen, entries)
     if not collided.isEmpty():
-        out = out.join(collided, "_digest", "left_anti").unionByName(_told_apart(docs, collided, digest, arrival))
+        out = out.join(collided, "_digest", "left_anti").unionByName(_told_apart(docs, collided, digest, arrival, file))
     return out
 
 
 def classify(docs: DataFrame, digest: Digest = sha256, files_per_batch: int | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, digest, keep_file."""
-    out = _classes(docs, digest, files_per_batch, F.monotonically_increasing_id())
+    out = _classes(docs, digest, files_per_batch, F.monotonically_increasing_id(), F.input_file_name())
     return out.select("doc_id", "keep_id", "group_size", "kept", F.col("_digest").alias("digest"), "keep_file")
 
 
-def keep_first(docs: DataFrame, digest: Digest = sha256, files_per_batch: int | None = None) -> DataFrame:
-    """The documents that stay, with the columns of ``docs``. The documents are
-    stored with their arrival number first, so that a choice names one row."""
-    numbered = stored(docs.withColumn("_arrival", F.monotonically_increasing_id()), "exact_documents")
-    stays = _classes(numbered, digest, files_per_batch, F.col("_arrival")).filter("kept").select("_arrival")
-    return numbered.join(stays, "_arrival", "left_semi").select(*docs.columns)
+def keep_first(docs: DataFrame, digest: Digest = sha256, files_per_batch: int | None = None, on_files: bool = False) -> DataFrame:
+    """The documents that stay, with the columns of ``docs``. Rows are named first
+    (``on_files``: see ``named_rows``), so that a choice names one row; of equal
+    ones on files the earliest in its file arrives first."""
+    rows, row = named_rows(docs, "exact_documents", on_files)
+    classes = _classes(rows, digest, files_per_batch, F.col(f"{row}.row_index"), F.col(f"{row}.file_path"))
+    stays = classes.filter("kept").select(F.struct(F.col("_file").alias("file_path"), F.col("_arrival").alias("row_index")).alias(row))
+    return rows.join(stays, row, "left_semi").select(*docs.columns)

@@ -29,11 +29,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_CLASS, stored, text_or_empty
+from .common import WORD_CLASS, named_rows, stored, text_or_empty
 
 SLICE_ROWS = 4096
 LEVELS = ("domain", "lang", "source")
@@ -188,21 +187,12 @@ def choose(
     )
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a column _row that names each row for good: its place in the
-    files of a table that is read as it is; else a number, stored with the rows."""
-    try:
-        return docs.withColumn("_row", F.struct("_metadata.file_path", "_metadata.row_index"))
-    except AnalysisException:
-        return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "mixing_documents")
-
-
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix(docs: DataFrame, on_files: bool = False, **options) -> DataFrame:
     """The mixed documents with the columns of ``docs``, each as often as the
-    mix repeats it."""
+    mix repeats it. ``on_files``: see ``named_rows``."""
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    rows = _numbered(docs)
-    chosen = choose(rows, row=F.col("_row"), **options).select("_row", "copies")
-    renamed = rows.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)], "_row")
+    rows, row = named_rows(docs, "mixing_documents", on_files)
+    chosen = choose(rows, row=F.col(row), **options).select("_row", "copies")
+    renamed = rows.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)], F.col(row).alias("_row"))
     repeated = renamed.join(chosen, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return repeated.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import named_rows, stored
 from .components import components
 
 COORDINATES = 24
@@ -130,7 +130,7 @@ def sets(docs: DataFrame, words: int, row: Column | None = None) -> DataFrame:
 
     number = row if row is not None else F.monotonically_increasing_id()
     rows = docs.select(number.alias("_row"), F.col("doc_id").cast("string").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "_row long, doc_id long, n long, node binary, sig array<long>")
+    return rows.mapInPandas(run, f"_row {rows.schema['_row'].dataType.simpleString()}, doc_id long, n long, node binary, sig array<long>")
 
 
 def merged_lists(nodes: DataFrame, needed: int) -> DataFrame:
@@ -320,8 +320,10 @@ def classify(docs: DataFrame, words: int = 5, percent: int = 80, list_shingles:
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
 
 
-def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, list_shingles: int = LIST_SHINGLES) -> DataFrame:
-    """One document of each component, with the columns of ``docs``."""
-    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "near_documents")
-    out = _classified(numbered, words, percent, F.col("_row"), list_shingles)
-    return numbered.join(out.filter("_row = first_row").select("_row"), "_row", "left_semi").select(*docs.columns)
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, list_shingles: int = LIST_SHINGLES, on_files: bool = False) -> DataFrame:
+    """One document of each component, with the columns of ``docs``.
+    ``on_files``: see ``named_rows``."""
+    rows, row = named_rows(docs, "near_documents", on_files)
+    rows = rows.withColumn(row, F.concat_ws(" ", f"{row}.row_index", f"{row}.file_path"))
+    out = _classified(rows, words, percent, F.col(row), list_shingles)
+    return rows.join(out.filter("_row = first_row").select(F.col("_row").alias(row)), row, "left_semi").select(*docs.columns)

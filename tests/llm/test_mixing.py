@@ -3,6 +3,7 @@ from collections import defaultdict
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderstream.llm import mixing
 
@@ -90,12 +91,15 @@ def test_weight_zero_below_passes_its_share_on(docs):
 
 def test_mix_reads_a_table_on_files(spark, docs, tmp_path):
     rows = [(i, "w " * (i % 9), "en", f"src{i % 4}") for i in [*range(50)] * 6]
-    docs(rows).withColumnRenamed("n_chars", "copies").repartition(3).write.parquet(str(tmp_path / "t"))
+    docs(rows).withColumnRenamed("n_chars", "copies").withColumn("_row", F.lit(7)).repartition(3).write.parquet(str(tmp_path / "t"))
     frame = spark.read.parquet(str(tmp_path / "t"))
-    mixed = mixing.mix(frame, budget_percent=150)
     chosen = mixing.choose(frame, budget_percent=150).collect()
-    assert mixed.columns == frame.columns
-    assert sorted(r.doc_id for r in mixed.collect()) == sorted(x for r in chosen for x in [r.doc_id] * r.copies)
+    for on_files in (True, False):
+        mixed = mixing.mix(frame, on_files, budget_percent=150)
+        assert mixed.columns == frame.columns
+        got = mixed.collect()
+        assert {r._row for r in got} == {7}
+        assert sorted(r.doc_id for r in got) == sorted(x for r in chosen for x in [r.doc_id] * r.copies)
 
 
 def test_empty(docs):

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderstream.llm import near_dedup
 
@@ -96,6 +97,23 @@ def test_stage_keeps_one_row_of_each_component(docs):
     assert kept.count() == len(set(part))
 
 
+def test_stage_names_rows_by_their_place_in_the_files(spark, docs, tmp_path):
+    rows = corpus(1, 60)
+    df = docs(rows + rows).withColumn("_row", F.lit(7)).withColumn("node", F.lit("x"))
+    df.repartition(4).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    classes = near_dedup.classify(docs(rows)).collect()
+    empty = sum(r.n_shingles == 0 for r in classes)  # each is a component of its own
+    known = sorted({r.component_id for r in classes if r.n_shingles})
+    for on_files in (True, False):
+        kept = near_dedup.keep_one(table, on_files=on_files)
+        assert kept.columns == df.columns
+        got = kept.collect()
+        assert {(r._row, r.node) for r in got} == {(7, "x")}
+        assert sorted(r.doc_id for r in got if shingle_set(r.text, 5)) == known
+        assert sum(not shingle_set(r.text, 5) for r in got) == 2 * empty
+
+
 def test_empty(docs):
     assert near_dedup.classify(docs([])).count() == 0
     assert near_dedup.classify(docs([(1, None), (2, "")])).count() == 2
