@@ -32,7 +32,7 @@ BLOCK_AT = 0.8
 RULES = (
     ("allow", "org/"),
     ("block", "example.org/es/"),
-    ("allow", "example.org/en/1"),
+    ("block", "example.org/en/1"),
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 )
